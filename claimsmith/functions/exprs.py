@@ -91,7 +91,7 @@ def code_between(col, lo: str, hi: str) -> Column:
 
 def yyyymm_to_date(col) -> Column:
     """'YYYYMM' -> first day of the month; bad text -> null."""
-    return F.try_to_date(F.concat(c(col), F.lit("01")), F.lit("yyyyMMdd"))
+    return F.try_to_date(F.concat(c(col), F.lit("01")), "yyyyMMdd")
 
 
 def period_label(start: dt.date, end: dt.date) -> str:

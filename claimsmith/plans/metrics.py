@@ -125,7 +125,7 @@ def run_metrics(run: EpisodeRun, ps_membership: DataFrame, w: StudyWindow, cfg:
         F.max(F.when(nicu, F.col("LOS"))).alias("max_nicu_los_days"),
         F.min(F.when(nicu, F.col("LOS"))).alias("min_nicu_los_days"),
         F.sum(F.when(nicu, F.col("AMT"))).alias("_nicu_cost"),
-        F.median(F.when(nicu, F.col("AMT").cast("double"))).alias("median_nicu_cost_per_episode"),
+        (F.median(F.when(nicu, (F.col("AMT") * 100).cast("bigint"))) / 100.0).alias("median_nicu_cost_per_episode"),
         F.max(F.when(nicu, F.col("AMT"))).cast("double").alias("max_nicu_cost_per_episode"),
         F.sum(F.when(nicu, F.col("PROF"))).alias("_prof"),
         F.sum(F.when(nicu, F.col("MAN"))).alias("_man"),

@@ -104,7 +104,7 @@ def profile_columns(df: DataFrame, expected: dict, table_name: str,
     long = df.select(F.inline(pairs))
     counts = long.groupBy("column_name").agg(F.count(F.lit(1)).alias("total_rows"),
                                             F.count_if(F.col("value").isNull()).alias("null_count"))
-    distinct_pairs = long.groupBy("column_name", "value").agg()
+    distinct_pairs = long.select("column_name", "value").distinct()
     n_distinct = distinct_pairs.groupBy("column_name").agg(F.count(F.lit(1)).alias("_n_distinct"))
     samples = (top_k_salted(distinct_pairs.filter(F.col("value").isNotNull()), "column_name", "value", "value",
                             5, salt_buckets, descending=False, out="_rk")

@@ -28,7 +28,9 @@ def sos_data_pull(claims: DataFrame, members: DataFrame, xref: DataFrame,
     """Claims in the study period at outpatient places of service, with the
     member attributes and procedure crosswalk, and a provider category."""
     clm = claims.filter((F.col("SRVC_FROM_DT") >= lit_date(start)) & (F.col("LST_SRVC_DT") <= lit_date(end))
-                        & F.col("PL_OF_SRVC_CD").isin(list(K.SOS_PLACES_OF_SERVICE)))
+                        & F.col("PL_OF_SRVC_CD").isin(list(K.SOS_PLACES_OF_SERVICE))).select(
+        "INDV_ID", "LINE_KEY", "PROCESS_DT", "PL_OF_SRVC_CD", "BILL_TYPE", "SRVC_FROM_DT", "PROC_CD", "RVNU_CD",
+        "PROV_NPI", "PROV_FULL_NM", "PROV_STATE", "PROV_ZIP_CD", "COV_AMT", "ALLW_AMT")
     mem = members.select(F.col("INDV_ID").alias("_M_ID"), "BUS_LINE_CD", "REL_CD", "BTH_DT", "GENDER",
                          "SBSCR_ID", F.substring("MBR_ZIP_CD", 1, 5).alias("MBR_ZIP_CD"),
                          F.col("STATE").alias("MBR_STATE"))

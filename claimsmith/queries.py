@@ -127,7 +127,7 @@ def _stay_intervals(ctx: Ctx) -> DataFrame:
     cond = (F.col("CLAIM_TYPE") == "IP") & ((F.col("ADMIT_DT_FIL") >= F.col("DELIVERY_DT"))
                                             | (F.col("SRVC_FROM_DT") >= F.col("DELIVERY_DT")))
     c1 = classify.drop_flagged(c1.filter(cond), "HIGH_COST")
-    iv = c1.groupBy("INDV_ID", "DELIVERY_DT", "ADMIT_DT_FIL", "DISCH_DT_FIL").agg()
+    iv = c1.select("INDV_ID", "DELIVERY_DT", "ADMIT_DT_FIL", "DISCH_DT_FIL").distinct()
     return sessionize_gap(iv, ["INDV_ID", "DELIVERY_DT"], "ADMIT_DT_FIL", "DISCH_DT_FIL", CFG.hosp_stay_gap_days)
 
 
@@ -477,7 +477,7 @@ def q_agg_min_drg(ctx):
 def q_agg_median_cost(ctx):
     n = ctx.run.nicu_rollup.filter((F.col("STAY_TYPE") == "Long Stay") & (F.col("CONTRACT") == "DRG"))
     return n.groupBy("FINAL_DRG_CD").agg(
-        F.median(F.col("ALL_FACILITY_COST").cast("double")).alias("MEDIAN_ALL_FACILITY_COST"))
+        (F.median((F.col("ALL_FACILITY_COST") * 100).cast("bigint")) / 100.0).alias("MEDIAN_ALL_FACILITY_COST"))
 
 
 def q_agg_summary(ctx):
@@ -612,7 +612,7 @@ def q_sort_desc(ctx):
 def q_sample_distinct(ctx):
     cols = ["DIAG_1_CD", "RVNU_CD", "PROC_CD", "DSCHRG_STS", "PL_OF_SRVC_CD", "INDV_ID"]
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols])
-    d = ctx.claims.select(F.inline(pairs)).filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg()
+    d = ctx.claims.select(F.inline(pairs)).filter(F.col("value").isNotNull()).distinct()
     return top_k_salted(d, "column_name", "value", "value", 5, CFG.rank_salt_buckets, descending=False, out="SAMPLE_RANK")
 
 

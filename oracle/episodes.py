@@ -279,7 +279,7 @@ nicu_rollup AS (
     CASE WHEN coalesce(LOS, 0) > 0 AND coalesce(TOTAL_NICU_COST, 0) / coalesce(LOS, 0) < 150 THEN TRUE ELSE FALSE END AS LOW_PAID_NICU,
     (CONTRACT = 'DRG') AND (coalesce(LOS, 0) <= 5) AND FINAL_REV_CD IN ('170', '171') AS INAPPROPRIATE_NICU
   FROM nicu_joined),
-drg_median AS (SELECT FINAL_DRG_CD, median(CAST(ALL_FACILITY_COST AS DOUBLE)) AS MEDIAN_ALL_FACILITY_COST
+drg_median AS (SELECT FINAL_DRG_CD, median(CAST(ALL_FACILITY_COST * 100 AS BIGINT)) / 100.0 AS MEDIAN_ALL_FACILITY_COST
                FROM nicu_rollup WHERE STAY_TYPE = 'Long Stay' AND CONTRACT = 'DRG' GROUP BY FINAL_DRG_CD),
 newborns_final AS (
   SELECT n.*, r.FINAL_DRG_CD, r.TOTAL_NICU_COST, r.ALL_PROFFEE, r.MANAGEABLE_PROFFEE, r.CRITICAL_CARE_PROFFEE,

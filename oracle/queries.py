@@ -68,6 +68,8 @@ CLAIM_PROJ = ("INDV_ID, CLM_AUD_NBR, LINE_KEY, SRVC_FROM_DT, LST_SRVC_DT AS SRVC
 CLAIM_TYPE_EXPR = __import__("oracle.episodes", fromlist=["CLAIM_TYPE"]).CLAIM_TYPE
 DISCHARGE_RANK = __import__("oracle.episodes", fromlist=["DISCHARGE_RANK"]).DISCHARGE_RANK
 
+_CFG_HASH = __import__("claimsmith.config", fromlist=["ClaimsConfig"]).ClaimsConfig().config_hash()
+
 CODE_FREQ = f"""(SELECT DERIV_DRG_CD AS DRG, count(DISTINCT INDV_ID) AS MEMBER_COUNT, min(SRVC_FROM_DT) AS MIN_DATE,
     max(SRVC_FROM_DT) AS MAX_DATE FROM fx_claims
   WHERE (coalesce(RVNU_CD IN ('0170', '0171', '0172', '0173', '0174'), FALSE) OR {any_diag(NEWBORN_ICD)})
@@ -117,7 +119,7 @@ RUN_METRICS = f"""(WITH mm AS (
     count_if(CONTRACT = 'Per-Diem') AS nicu_per_diem_contract, CAST(sum(LOS) AS BIGINT) AS total_nicu_los_days,
     median(CAST(LOS AS DOUBLE)) AS median_nicu_los_days, CAST(max(LOS) AS BIGINT) AS max_nicu_los_days,
     CAST(min(LOS) AS BIGINT) AS min_nicu_los_days, sum(TOTAL_NICU_COST) AS nicu_cost,
-    median(CAST(TOTAL_NICU_COST AS DOUBLE)) AS median_nicu_cost_per_episode,
+    median(CAST(TOTAL_NICU_COST * 100 AS BIGINT)) / 100.0 AS median_nicu_cost_per_episode,
     CAST(max(TOTAL_NICU_COST) AS DOUBLE) AS max_nicu_cost_per_episode,
     sum(ALL_PROFFEE) AS prof, sum(MANAGEABLE_PROFFEE) AS man, sum(CRITICAL_CARE_PROFFEE) AS crit,
     sum(ALL_FACILITY_COST) AS fac, sum(FACILITY_RM_COST) AS room,
@@ -172,7 +174,8 @@ RUN_METRICS = f"""(WITH mm AS (
    {pct_h_sql('nicu_inappropriate_cases', 'total_nicu_episodes')} AS pct_nicu_inappropriate,
    {pct_h_sql('claims_with_null_diagnosis', 'total_claims_processed')} AS pct_claims_null_diagnosis,
    {pct_h_sql('newborns_previous_period', 'total_newborns_identified')} AS pct_previous_period,
-   {pct_h_sql('newborns_current_period', 'total_newborns_identified')} AS pct_current_period
+   {pct_h_sql('newborns_current_period', 'total_newborns_identified')} AS pct_current_period,
+   '{_CFG_HASH}' AS config_hash
  FROM m, nb, hs, nc, cl)"""
 
 BODIES = {
