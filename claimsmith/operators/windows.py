@@ -115,3 +115,25 @@ def second_smallest_distinct(df: DataFrame, keys: list[str], value: str, out: st
     return (df.groupBy(*keys)
             .agg(F.array_sort(F.collect_set(value)).alias("_vals"))
             .select(*keys, F.try_element_at("_vals", F.lit(2)).alias(out)))
+
+
+def sessionize_events(df: DataFrame, key: str, ts: str, gap_seconds: int, out: str = "SESSION_ID") -> DataFrame:
+    """Session number per key: a new session starts when the previous event
+    of the key is more than ``gap_seconds`` earlier.
+
+    Events are grouped into gap-wide time buckets.  Two events in one bucket
+    are less than a gap apart, so a session can only start at the first
+    event of a bucket; the rule is applied to per-(key, bucket) min/max
+    summaries (map-side combined), whose count per key is bounded by time
+    span / gap rather than by event volume.  Events take their bucket's
+    session number through an equi-join.
+    """
+    secs = F.unix_micros(F.col(ts).cast("timestamp")) / 1_000_000
+    b = df.withColumn("_bk", F.floor(secs / gap_seconds).cast("long")).withColumn("_s", secs)
+    summ = b.groupBy(key, "_bk").agg(F.min("_s").alias("_first"), F.max("_s").alias("_last"))
+    w = Window.partitionBy(key).orderBy("_bk")
+    prev_last = F.lag("_last").over(w)
+    starts = summ.withColumn("_new", F.when(prev_last.isNull() | (F.col("_first") - prev_last > gap_seconds), 1)
+                             .otherwise(0))
+    sessions = starts.withColumn(out, F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return b.join(sessions.select(key, "_bk", out), [key, "_bk"]).drop("_bk", "_s")

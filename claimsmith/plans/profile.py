@@ -89,29 +89,64 @@ def missing_columns(df: DataFrame, expected: dict) -> list[str]:
     return [c for c in expected if c not in df.columns]
 
 
+def _smallest_per_partition(cols, k):
+    """mapInPandas body: the k smallest distinct non-null values of each column
+    within one partition (bounded output: k rows per column per partition)."""
+    import pandas as pd
+
+    def run(batches):
+        best = {c: [] for c in cols}
+        for pdf in batches:
+            for c in cols:
+                vals = pdf[c].dropna().unique().tolist()
+                if vals:
+                    best[c] = sorted(set(best[c]).union(vals))[:k]
+        yield pd.DataFrame([(c, v) for c in cols for v in best[c]], columns=["column_name", "value"])
+    return run
+
+
 def profile_columns(df: DataFrame, expected: dict, table_name: str,
-                    distinct_max: int = K.QA_DISTINCT_COUNT_MAX_POPULATED, salt_buckets: int = 16) -> DataFrame:
+                    distinct_max: int = K.QA_DISTINCT_COUNT_MAX_POPULATED, salt_buckets: int = 16,
+                    sample_size: int = 5) -> DataFrame:
     """One row per expected column that exists: type, counts, percentages,
-    distinct count (when populated rows <= ``distinct_max``; null counts
-    as a value) and the 5 smallest distinct non-null values."""
+    distinct count (only when populated rows <= ``distinct_max``, the cost
+    guard; null counts as a value) and the 5 smallest distinct non-null values.
+
+    Pass 1 is one aggregate (row and null counts of every column; its single
+    row of integers decides which columns qualify for a distinct count).
+    Pass 2 counts distinct values of the qualifying columns only, so no
+    high-cardinality column is shuffled.  Pass 3 keeps the ``sample_size``
+    smallest values per column in each partition and merges those
+    candidates with the salted top-k.
+    """
     spark = df.sparkSession
     cols = [c for c in expected if c in df.columns]
+    if not cols:
+        return spark.createDataFrame([], "table_name string, column_name string")
+    counts = df.agg(F.count(F.lit(1)).alias("_total"),
+                    *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}") for i, c in enumerate(cols)]).first()
+    total = counts["_total"]
+    nulls = {c: counts[f"_n{i}"] for i, c in enumerate(cols)}
     meta = spark.createDataFrame(
-        [(c, str(df.schema[c].dataType), expected[c][0], expected[c][1], expected[c][2]) for c in cols],
-        "column_name string, data_type string, critical boolean, key_field boolean, description string")
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
-                      for c in cols])
-    long = df.select(F.inline(pairs))
-    counts = long.groupBy("column_name").agg(F.count(F.lit(1)).alias("total_rows"),
-                                            F.count_if(F.col("value").isNull()).alias("null_count"))
-    distinct_pairs = long.select("column_name", "value").distinct()
-    n_distinct = distinct_pairs.groupBy("column_name").agg(F.count(F.lit(1)).alias("_n_distinct"))
-    samples = (top_k_salted(distinct_pairs.filter(F.col("value").isNotNull()), "column_name", "value", "value",
-                            5, salt_buckets, descending=False, out="_rk")
+        [(c, str(df.schema[c].dataType), expected[c][0], expected[c][1], expected[c][2], total, nulls[c])
+         for c in cols],
+        "column_name string, data_type string, critical boolean, key_field boolean, description string, "
+        "total_rows long, null_count long")
+    low = [c for c in cols if 0 < total - nulls[c] <= distinct_max]
+    if low:
+        pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
+                          for c in low])
+        n_distinct = (df.select(F.inline(pairs)).distinct()
+                      .groupBy("column_name").agg(F.count(F.lit(1)).alias("_n_distinct")))
+    else:
+        n_distinct = spark.createDataFrame([], "column_name string, _n_distinct long")
+    as_text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
+    cand = as_text.mapInPandas(_smallest_per_partition(cols, sample_size), "column_name string, value string")
+    samples = (top_k_salted(cand.distinct(), "column_name", "value", "value", sample_size, salt_buckets,
+                            descending=False, out="_rk")
                .groupBy("column_name")
                .agg(F.array_join(F.array_sort(F.collect_list("value")), ", ").alias("sample_values")))
-    prof = (meta.join(counts, "column_name", "left").join(n_distinct, "column_name", "left")
-            .join(samples, "column_name", "left"))
+    prof = meta.join(n_distinct, "column_name", "left").join(samples, "column_name", "left")
     populated = F.col("total_rows") - F.col("null_count")
     null_h = hundredths_pct(F.col("null_count"), F.col("total_rows"))
     pop_h = hundredths_pct(populated, F.col("total_rows"))

@@ -59,6 +59,7 @@ class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark, self.sf = spark, sf_dir
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
         ensure_checkpoint_dir(spark)
         self.cut = SK.materialize if materialize else None
 
@@ -475,9 +476,11 @@ def q_agg_min_drg(ctx):
 
 
 def q_agg_median_cost(ctx):
+    from claimsmith.operators.aggregates import exact_median
     n = ctx.run.nicu_rollup.filter((F.col("STAY_TYPE") == "Long Stay") & (F.col("CONTRACT") == "DRG"))
-    return n.groupBy("FINAL_DRG_CD").agg(
-        (F.median((F.col("ALL_FACILITY_COST") * 100).cast("bigint")) / 100.0).alias("MEDIAN_ALL_FACILITY_COST"))
+    med = exact_median(n.withColumn("_cents", (F.col("ALL_FACILITY_COST") * 100).cast("bigint")),
+                       ["FINAL_DRG_CD"], "_cents", "_M")
+    return med.select("FINAL_DRG_CD", (F.col("_M") / 100.0).alias("MEDIAN_ALL_FACILITY_COST"))
 
 
 def q_agg_summary(ctx):
@@ -832,6 +835,35 @@ def q_metrics_job(ctx):
     return M.period_compare(ctx.history)
 
 
+# Generic (column-parametrised) uses on the plain tables.
+def q_sessionize_events(ctx):
+    from claimsmith.operators.windows import sessionize_events
+    ev = TB.read_table(ctx.spark, ctx.sf, "events").select("event_id", "user_id", "ts")
+    return sessionize_events(ev, "user_id", "ts", 1800)
+
+
+def q_latest_order_per_customer(ctx):
+    od = TB.read_table(ctx.spark, ctx.sf, "orders")
+    return latest_per_key(od, "o_custkey", "o_orderdate", "o_orderkey", ["o_orderkey", "o_orderdate", "o_totalprice"])
+
+
+def q_top_priority(ctx):
+    od = TB.read_table(ctx.spark, ctx.sf, "orders")
+    freq = od.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("N_ORDERS"))
+    return freq.agg(F.min_by("o_orderpriority", F.struct(-F.col("N_ORDERS"), F.col("o_orderpriority"))).alias("TOP_CODE"),
+                    F.max("N_ORDERS").alias("N_ORDERS"))
+
+
+def q_profile_orders(ctx):
+    od = TB.read_table(ctx.spark, ctx.sf, "orders")
+    expected = {c: (c in ("o_orderkey", "o_custkey"), True, c) for c in od.columns}
+    return P.profile_columns(od, expected, "ORDERS").drop("null_pct_h", "populated_pct_h")
+
+
+def q_agg_claim_type_counts(ctx):
+    return ctx.run.tagged.groupBy("CLAIM_TYPE").agg(F.count(F.lit(1)).alias("COUNT"))
+
+
 QUERY_FUNCS = {name[2:]: fn for name, fn in dict(globals()).items() if name.startswith("q_") and callable(fn)}
 
 

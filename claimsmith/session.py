@@ -17,6 +17,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
+             # HotSpot does not JIT methods above 8000 bytes of bytecode; wide
+             # projections must fall back to per-operator code instead.
+             .config("spark.sql.codegen.hugeMethodLimit", "8000")
              .config("spark.driver.memory", os.environ.get("CLAIMSMITH_DRIVER_MEMORY", "16g"))
              .config("spark.sql.execution.arrow.pyspark.enabled", "true")
              .getOrCreate())

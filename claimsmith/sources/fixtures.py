@@ -50,11 +50,16 @@ def fx_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = (li.join(od, li.l_orderkey == od.o_orderkey)
             .join(su, li.l_suppkey == su.s_suppkey)
             .join(na, su.s_nationkey == na.n_nationkey))
-    k, o, p, s, n = (F.col("o_custkey"), F.col("l_orderkey"), F.col("l_partkey"),
-                     F.col("l_suppkey"), F.col("l_linenumber"))
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    bth = _birth(k)
-    srvc = _plus_days(bth, (o * 7 + n * 11) % 150)
+    # Shared terms are computed once in a narrow projection so the wide
+    # projection below references columns instead of repeating expressions.
+    base = base.select(
+        F.col("o_custkey").alias("k"), F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p"),
+        F.col("l_suppkey").alias("s"), F.col("l_linenumber").alias("n"), "s_name", "s_nationkey", "n_name",
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+        _birth(F.col("o_custkey")).alias("bth"))
+    base = base.withColumn("srvc", _plus_days(F.col("bth"), (F.col("o") * 7 + F.col("n") * 11) % 150))
+    k, o, p, s, n = (F.col(x) for x in ("k", "o", "p", "s", "n"))
+    cents, bth, srvc = F.col("cents"), F.col("bth"), F.col("srvc")
     j = lambda x: F.concat(F.lit("J"), (F.lit(100) + x).cast("string"))
     diag1 = (F.when(k % 5 != 0, j(p % 900))
              .when((p % 20 == 0) & (k % 3 == 0), "Z3830")

@@ -11,6 +11,7 @@ import datetime as dt
 import os
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,12 +20,26 @@ from claimsmith.session import ensure_checkpoint_dir
 from claimsmith.sources.tables import date_named_columns
 
 
-def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
-    """Cut a long plan: reliable checkpoint into the session's checkpoint
-    folder (survives executor loss), or ``persist`` for in-memory reuse."""
+def materialize(df: DataFrame, mode: str = "table") -> DataFrame:
+    """Cut a long plan so later stages start from stored data.
+
+    ``table`` (default) writes Parquet under the session's checkpoint folder
+    (shared storage on a cluster) and reads it back: columnar, lineage cut,
+    survives executor loss.  ``checkpoint`` uses Spark's reliable
+    checkpoint; ``persist`` keeps the plan and caches (no lineage cut).
+    """
+    if mode == "table":
+        spark = df.sparkSession
+        path = os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+        df.write.mode("errorifexists").parquet(path)
+        return spark.read.parquet(path)
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        # Persist first so writing the checkpoint does not recompute the plan.
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = df.checkpoint(eager=True)
+        df.unpersist()
+        return out
     if mode == "persist":
         return df.persist()
     if mode == "none":

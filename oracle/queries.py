@@ -435,6 +435,31 @@ BODIES = {
 }
 BODIES["metrics_job"] = BODIES["period_compare"]
 
+ORDERS_PROFILE_COLS = [
+    ("o_orderkey", True, True, "o_orderkey", "LongType()"),
+    ("o_custkey", True, True, "o_custkey", "LongType()"),
+    ("o_orderstatus", False, True, "o_orderstatus", "StringType()"),
+    ("o_totalprice", False, True, "o_totalprice", "DoubleType()"),
+    ("o_orderdate", False, True, "o_orderdate", "TimestampNTZType()"),
+    ("o_orderpriority", False, True, "o_orderpriority", "StringType()"),
+]
+BODIES.update({
+    "sessionize_events": """SELECT event_id, user_id, ts, CAST(sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS SESSION_ID FROM (
+          SELECT event_id, user_id, ts, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
+              OR epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) > 1800000000
+              THEN 1 ELSE 0 END AS new FROM events)""",
+    "latest_order_per_customer": """SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) AS rn
+        FROM orders) WHERE rn = 1""",
+    "top_priority": """SELECT arg_min(o_orderpriority, (-N_ORDERS, o_orderpriority)) AS TOP_CODE, max(N_ORDERS) AS N_ORDERS
+        FROM (SELECT o_orderpriority, count(*) AS N_ORDERS FROM orders GROUP BY o_orderpriority)""",
+    "profile_orders": "SELECT " + PROFILE_OUT + " FROM (" + "\nUNION ALL\n".join(
+        __import__("oracle.ctes", fromlist=["_profile_one"])._profile_one("ORDERS", "orders", *c)
+        for c in ORDERS_PROFILE_COLS) + ")",
+    "agg_claim_type_counts": "SELECT CLAIM_TYPE, count(*) AS COUNT FROM tagged GROUP BY CLAIM_TYPE",
+})
+
 EXTRA_CTES = f""",
 mem_base2 AS (SELECT INDV_ID, MEM_EFF_DT, MEM_EXP_DT,
     {overlap('MEM_EFF_DT', 'MEM_EXP_DT', "DATE '1999-08-01'", "DATE '2000-07-31'")} AS MMYR1,
