@@ -147,9 +147,10 @@ h1 AS (SELECT *, coalesce(ADMIT_DT, SRVC_FROM_DT) AS ADMIT_DT_FIL, coalesce(DISC
          AND NOT HIGH_COST),
 h2 AS (SELECT *, CASE WHEN lag(DISCH_DT_FIL) OVER w IS NULL
                         OR date_diff('day', lag(DISCH_DT_FIL) OVER w, ADMIT_DT_FIL) > 4 THEN 1 ELSE 0 END AS NEW_STAY
-       FROM h1 WINDOW w AS (PARTITION BY INDV_ID, DELIVERY_DT ORDER BY ADMIT_DT_FIL ASC NULLS FIRST, DISCH_DT_FIL ASC NULLS FIRST)),
+       FROM h1 WINDOW w AS (PARTITION BY INDV_ID, DELIVERY_DT ORDER BY ADMIT_DT_FIL ASC NULLS FIRST, DISCH_DT_FIL ASC NULLS FIRST,
+                            LINE_KEY)),
 h3 AS (SELECT *, sum(NEW_STAY) OVER (PARTITION BY INDV_ID, DELIVERY_DT ORDER BY ADMIT_DT_FIL ASC NULLS FIRST,
-                  DISCH_DT_FIL ASC NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS HOSP_STAY FROM h2),
+                  DISCH_DT_FIL ASC NULLS FIRST, LINE_KEY ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS HOSP_STAY FROM h2),
 stays0 AS (SELECT INDV_ID, DELIVERY_DT, CAST(HOSP_STAY AS BIGINT) AS HOSP_STAY, min(ADMIT_DT_FIL) AS ADMIT0,
                   max(DISCH_DT_FIL) AS DSCHRG0, sum(NET_PD_AMT) AS PAID_AMT
            FROM h3 GROUP BY INDV_ID, DELIVERY_DT, HOSP_STAY),

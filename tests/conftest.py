@@ -15,6 +15,7 @@ def spark():
     from pyspark.sql import SparkSession
     s = (SparkSession.builder.master("local[*]").appName("claimsmith-tests")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.driver.memory", "4g")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.codegen.hugeMethodLimit", "8000")
