@@ -52,6 +52,7 @@ def main():
             dt = time.perf_counter() - t0
             if i > 0 or runs == 0:
                 samples.append(dt)
+            print(f"[bench] {k} run {i}: {dt:.2f}s", file=sys.stderr, flush=True)
         timings[k] = round(statistics.median(samples), 3)
         rows[k] = None
     m = re.search(r"sf([0-9.]+)", sf_dir)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimsmith.config import ClaimsConfig
-from claimsmith.sources.tables import read_table
+from claimsmith.sources.tables import read_table, spread_input
 
 BIRTH_BASE = "1999-08-01"
 
@@ -44,6 +44,7 @@ def fx_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One claim line per lineitem row (claims table stand-in)."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
+    li = spread_input(li)
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -117,8 +118,8 @@ def fx_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly eligibility rows (about ten per member)."""
-    od = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    od = spread_input(read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"))
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     base = od.join(cu, od.o_custkey == cu.c_custkey).join(na, cu.c_nationkey == na.n_nationkey)
