@@ -62,21 +62,35 @@ def ranked_top3(lines: DataFrame, amt: str, cfg: ClaimsConfig) -> DataFrame:
 
 def event_buckets(lines: DataFrame, amt: str, cfg: ClaimsConfig) -> DataFrame:
     """Per-event sums: not-in-ranking, not-eligible, secondary, tertiary,
-    all-other eligible.  One aggregate over the lines joined to their top-3
-    rank (the ranked side has at most three rows per event)."""
+    all-other eligible.
+
+    Two per-event aggregates joined per event - never a line-level join:
+    totals over all lines (one pass), and sums over the at most three ranked
+    rows per event; all-other = eligible total - eligible amounts ranked 1-3.
+    """
     g = classify.split_professional_facility(lines)
-    top = ranked_top3(lines, amt, cfg).select(F.col("LINE_KEY").alias("_LK"), "RANK")
-    j = g.join(top, g["LINE_KEY"] == top["_LK"], "left")
-    rankable = (F.col("LINE_GROUP") == "RANKABLE") & (F.col(amt) != 0)
-    elig = rankable & (F.col("ELIGIBLE") == "Y")
     a = F.col(amt)
-    return j.groupBy(EVENT).agg(
+    rankable = (F.col("LINE_GROUP") == "RANKABLE") & (a != 0)
+    elig = rankable & (F.col("ELIGIBLE") == "Y")
+    totals = g.groupBy(EVENT).agg(
         F.sum(F.when(F.col("LINE_GROUP") == "NOT_RANKED", a)).alias("COVERED_NOT_IN_RANKING"),
         F.sum(F.when(rankable & (F.col("ELIGIBLE") != "Y"), a)).alias("NOT_ELIGIBLE_COVERED_AMT"),
-        F.sum(F.when(elig & (F.col("RANK") == 2), a)).alias("SECONDARY_COVERED_AMT"),
-        F.sum(F.when(elig & (F.col("RANK") == 3), a)).alias("TERTIARY_COVERED_AMT"),
-        F.sum(F.when(elig & (F.col("RANK").isNull() | (F.col("RANK") > 3)), a)).alias("ALLOTH_COVERED_AMT"),
-        F.count_if(elig & (F.col("RANK") == 1)).alias("_HAS_PRIMARY"))
+        F.sum(F.when(elig, a)).alias("_ELIG_TOTAL"),
+        F.count_if(elig).alias("_N_ELIG"))
+    top = ranked_top3(lines, amt, cfg)
+    te = F.col("ELIGIBLE") == "Y"
+    top_sums = top.groupBy(EVENT).agg(
+        F.sum(F.when(te & (F.col("RANK") == 2), a)).alias("SECONDARY_COVERED_AMT"),
+        F.sum(F.when(te & (F.col("RANK") == 3), a)).alias("TERTIARY_COVERED_AMT"),
+        F.sum(F.when(te, a)).alias("_ELIG_TOP"),
+        F.count_if(te).alias("_N_ELIG_TOP"),
+        F.count_if(te & (F.col("RANK") == 1)).alias("_HAS_PRIMARY"))
+    j = totals.join(top_sums, EVENT, "left")
+    n_other = F.col("_N_ELIG") - F.coalesce(F.col("_N_ELIG_TOP"), F.lit(0))
+    other = F.when(n_other > 0, F.col("_ELIG_TOTAL") - F.coalesce(F.col("_ELIG_TOP"), F.lit(0)))
+    return j.select(EVENT, "COVERED_NOT_IN_RANKING", "NOT_ELIGIBLE_COVERED_AMT", "SECONDARY_COVERED_AMT",
+                    "TERTIARY_COVERED_AMT", other.cast(j.schema["_ELIG_TOTAL"].dataType).alias("ALLOTH_COVERED_AMT"),
+                    F.coalesce(F.col("_HAS_PRIMARY"), F.lit(0)).alias("_HAS_PRIMARY"))
 
 
 def primary_lines(lines: DataFrame, amt: str, cfg: ClaimsConfig) -> DataFrame:

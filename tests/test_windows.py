@@ -63,3 +63,44 @@ def test_top_k_salted_equals_brute_force_on_hot_key(spark):
     exp = sorted(tuple(r) for r in df.withColumn("RANK", F.row_number().over(w)).filter("RANK <= 3")
                  .select("e", "lk", "RANK").collect())
     assert got == exp
+
+
+def test_sessionize_events_matches_lag_rule(spark):
+    import datetime as dt2
+    from claimsmith.operators.windows import sessionize_events
+    random.seed(11)
+    base = dt2.datetime(2020, 1, 1)
+    rows = []
+    for u in range(20):
+        t = base
+        for i in range(60 if u else 2000):  # user 0 is hot
+            t = t + dt2.timedelta(seconds=random.choice([10, 100, 1799, 1800, 1801, 5000]))
+            rows.append((u * 100000 + i, u, t))
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp")
+    got = {r["event_id"]: r["SESSION_ID"] for r in sessionize_events(df, "user_id", "ts", 1800).collect()}
+    exp = {}
+    by_user = {}
+    for e, u, t in rows:
+        by_user.setdefault(u, []).append((t, e))
+    for u, evs in by_user.items():
+        evs.sort()
+        sid, prev = 0, None
+        for t, e in evs:
+            if prev is None or (t - prev).total_seconds() > 1800:
+                sid += 1
+            exp[e] = sid
+            prev = t
+    assert got == exp
+
+
+def test_table_name_rules():
+    import pytest
+    from claimsmith.config import ClaimsConfig, table_name
+    cfg = ClaimsConfig(client="ACME", table_suffix="_TEST")
+    assert table_name("medical", cfg) == "FA_MEDICAL_ACME"
+    assert table_name("ps_newborns", cfg) == "PS_NEWBORNS_ACME_TEST"
+    assert table_name("ref_newborn_icd", cfg) == "NEWBORN_ICD"
+    with pytest.raises(ValueError):
+        table_name("unknown", cfg)
+    with pytest.raises(ValueError):
+        ClaimsConfig(table_suffix="bad")
