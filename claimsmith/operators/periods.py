@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimsmith.config import ClaimsConfig, StudyWindow
+from claimsmith.config import StudyWindow
 from claimsmith.functions.exprs import (
     c, lit_date, months_crossed, period_label, strict_greatest, strict_least, years_crossed,
 )

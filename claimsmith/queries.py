@@ -23,7 +23,7 @@ from claimsmith.operators.joins import join_trimmed
 from claimsmith.operators.periods import (
     membership_latest, membership_periods, overlap_months, study_window, study_window_frame,
 )
-from claimsmith.operators.windows import latest_per_key, preferred_per_key, top_k_salted
+from claimsmith.operators.windows import latest_per_key, top_k_salted
 from claimsmith.plans import episodes as EP
 from claimsmith.plans import metrics as M
 from claimsmith.plans import profile as P

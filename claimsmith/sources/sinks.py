@@ -75,9 +75,8 @@ def upsert_merge(target: DataFrame, source: DataFrame, key: str = "ID") -> tuple
             out.append(F.when(src_present, F.col(f"`s_{c}`")).otherwise(F.col(f"`t_{c}`")).alias(c))
         elif c in source.columns:
             out.append(F.col(f"`s_{c}`").alias(c))
-        else:
-            out.append(F.when(src_present, F.lit(None)).otherwise(F.col(f"`t_{c}`")).alias(c)
-                       if False else F.col(f"`t_{c}`").alias(c))
+        else:  # target-only column: kept as is (null for inserted rows)
+            out.append(F.col(f"`t_{c}`").alias(c))
     action = (F.when(F.col("_s").isNotNull() & F.col("_t").isNotNull(), "UPDATED")
               .when(F.col("_s").isNotNull(), "INSERTED").otherwise("KEPT"))
     merged = j.select(*out, action.alias("_ACTION"))

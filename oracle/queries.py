@@ -7,7 +7,7 @@ are BIGINT, matching the normalised Spark outputs.
 
 from __future__ import annotations
 
-from oracle.ctes import AS_OF, PROFILE_CTES, REQUEST_CTES, SOS_CTES, h_pct
+from oracle.ctes import AS_OF, PROFILE_CTES, REQUEST_CTES, SOS_CTES
 from oracle.episodes import EPISODE_CTES, NEWBORN_ICD, any_diag, inlist, overlap
 from oracle.fixtures import FIXTURE_CTES
 
