@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from claimsmith.config import ClaimsConfig, StudyWindow
 from claimsmith.functions.exprs import lit_date
 from claimsmith.operators.aggregates import exact_median
+from claimsmith.sources.sinks import materialize
 from claimsmith.plans.episodes import EpisodeRun
 
 
@@ -34,6 +35,7 @@ def _avg(total: Column, n: Column) -> Column:
 
 def metrics_source(run: EpisodeRun, ps_membership: DataFrame) -> DataFrame:
     """Union of the frames the metrics read, tagged by source."""
+    ps_membership = materialize(ps_membership)  # read four times below
     yr = F.col("STUDY_YR")
     mem = ps_membership.groupBy("INDV_ID").agg(
         F.max(yr == "Previous").alias("IN_PREV"), F.max(yr == "Current").alias("IN_CUR"),

@@ -70,3 +70,18 @@ def test_result_independent_of_partitioning(spark):
         results.append(sorted(tuple(r) for r in run.final.collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1]
+
+
+def test_metrics_constraints_hold(spark):
+    import __spark_entry__ as E
+    qs = E.queries()
+    assert qs["metrics_checks"](spark, SF0001).count() == 0
+    row = qs["run_metrics"](spark, SF0001).first()
+    for c in ("nicu_rate_pct", "pct_professional_fees", "pct_facility_cost", "pct_previous_period"):
+        assert 0 <= row[c] <= 100
+    assert row["pct_previous_period"] + row["pct_current_period"] in (0.0, pytest_approx_100())
+
+
+def pytest_approx_100():
+    import pytest
+    return pytest.approx(100.0, abs=0.011)
