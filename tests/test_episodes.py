@@ -85,3 +85,24 @@ def test_metrics_constraints_hold(spark):
 def pytest_approx_100():
     import pytest
     return pytest.approx(100.0, abs=0.011)
+
+
+def test_study_window_rules_and_errors(spark):
+    import pytest
+    from claimsmith.operators.periods import study_window
+    li = spark.read.parquet(f"{SF0001}/lineitem.parquet")
+    w = study_window(li, 24, 3, from_col="l_shipdate", process_col="l_shipdate")
+    assert (w.start, w.mid, w.end, w.runout_end) == (D(1999, 8, 1), D(2000, 8, 1), D(2001, 7, 31), D(2001, 10, 31))
+    short = spark.createDataFrame([(D(2001, 1, 5), D(2001, 2, 1)), (D(2001, 6, 5), D(2001, 7, 1))],
+                                  "SRVC_FROM_DT date, PROCESS_DT date")
+    with pytest.raises(ValueError):
+        study_window(short, 24)
+    empty = spark.createDataFrame([(None, D(2001, 2, 1))], "SRVC_FROM_DT date, PROCESS_DT date")
+    with pytest.raises(ValueError):
+        study_window(empty, 24)
+
+
+def test_sink_dry_run_previews(spark):
+    from claimsmith.sources.sinks import sink_overwrite
+    n, preview = sink_overwrite(spark.range(12), "/nonexistent/never-written", dry_run=True)
+    assert n == 12 and preview.count() == 5
