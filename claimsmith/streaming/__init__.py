@@ -1 +1,9 @@
-"""streaming."""
+"""Structured Streaming entry points.
+
+The source workloads are batch jobs; the one with an incremental mode - the
+request list loaded by key-based merge - is exposed here as a file stream
+whose micro-batches are merged into a versioned Parquet target
+(``upsert_stream``).
+"""
+
+from claimsmith.streaming.upsert import latest_version, upsert_stream  # noqa: F401
