@@ -20,7 +20,16 @@ from claimsmith.session import ensure_checkpoint_dir
 from claimsmith.sources.tables import date_named_columns
 
 
-def materialize(df: DataFrame, mode: str = "table") -> DataFrame:
+def drop_stored(spark: SparkSession, paths) -> None:
+    """Delete stored intermediate tables (paths returned by ``materialize``)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+
+
+def materialize(df: DataFrame, mode: str = "table", stored: list | None = None) -> DataFrame:
     """Cut a long plan so later stages start from stored data.
 
     ``table`` (default) writes Parquet under the session's checkpoint folder
@@ -32,6 +41,8 @@ def materialize(df: DataFrame, mode: str = "table") -> DataFrame:
         spark = df.sparkSession
         path = os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex)
         df.write.mode("errorifexists").parquet(path)
+        if stored is not None:
+            stored.append(path)
         return spark.read.parquet(path)
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)

@@ -58,3 +58,18 @@ def test_materialize_table_cuts_lineage(spark):
 def test_full_refresh_empty_keeps_target(spark):
     empty = spark.createDataFrame([], "ID int")
     assert SK.full_refresh(spark, empty, "/nonexistent/target") == ("/nonexistent/target", 0, 0)
+
+
+def test_episode_release_drops_stored_tables(spark):
+    import os
+    from claimsmith.config import FIXTURE_WINDOW, ClaimsConfig
+    from claimsmith.operators.periods import membership_periods
+    from claimsmith.plans import episodes as EP
+    claims = FX.fx_claims(spark, SF0001)
+    ps = membership_periods(FX.fx_membership(spark, SF0001), FIXTURE_WINDOW, "DEMO")
+    run = EP.newborn_episodes(claims, ps, FIXTURE_WINDOW, ClaimsConfig())
+    n = run.hosp.count()
+    paths = list(run.stored)
+    assert n > 0 and len(paths) == 2
+    run.release()
+    assert not any(os.path.exists(p.replace("file:", "")) for p in paths)
