@@ -40,7 +40,8 @@ def main():
 
     from claimsmith.session import local_session
     from claimsmith.queries import queries
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="claimsmith-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(int(cpus) * 2)))
+    spark = local_session(cores=cpus, shuffle_partitions=parts, app="claimsmith-bench")
     qs = queries()
     timings, rows = {}, {}
     for k in keys:
