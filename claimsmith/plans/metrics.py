@@ -13,7 +13,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimsmith import config as K
 from claimsmith.config import ClaimsConfig, StudyWindow
+from claimsmith.operators import classify
 from claimsmith.functions.exprs import lit_date
 from claimsmith.operators.aggregates import exact_median
 from claimsmith.sources.sinks import materialize
@@ -44,6 +46,7 @@ def metrics_source(run: EpisodeRun, ps_membership: DataFrame) -> DataFrame:
         F.sum(F.when(yr == "Current", F.col("MEMBER_MONTHS").cast("long"))).alias("MM_CUR"),
         F.max(F.col("GENDER") == "M").alias("G_M"), F.max(F.col("GENDER") == "F").alias("G_F"),
         F.max(F.col("GENDER").isNull()).alias("G_U"), F.max(F.col("BTH_DT").isNull()).alias("NULL_BTH"),
+        F.max(F.col("PRDCT_CD").isNull()).alias("NULL_LOB"),
     ).withColumn("_SRC", F.lit("MEM"))
     # Distinct-value sources (pre-distinct, so the main aggregate needs no
     # count_distinct and no row expansion).
@@ -51,6 +54,18 @@ def metrics_source(run: EpisodeRun, ps_membership: DataFrame) -> DataFrame:
             for c in ("STATE", "BUS_LINE_CD", "PRDCT_CD")]
     dims += [run.nicu_rollup.select(F.lit(f"DIM_{c}").alias("_SRC"), F.col(c).cast("string").alias("DIM_VALUE")).distinct()
              for c in ("PROVID", "PROV_TIN", "PROV_STATE")]
+    dims += [run.hosp.select(F.lit("DIM_HOSP_MEMBER").alias("_SRC"), F.col("INDV_ID").alias("DIM_VALUE")).distinct()]
+    # Last discharge status per NICU stay, grouped with the pipeline's meaning
+    # of the codes (20 = death, 01/06 = home).
+    sts = F.col("LAST_DISCHARGE_STATUS")
+    dsc = run.nicu_claims.last_status.select(
+        F.lit("DSC").alias("_SRC"),
+        F.when(sts.isin(*K.DISCHARGE_STATUS_HOME), "routine")
+         .when(sts == K.DISCHARGE_STATUS_DEATH, "expired")
+         .when(sts.isin(*K.DISCHARGE_STATUS_TRANSFERS), "transfer")
+         .when(classify.discharge_rank_expr("LAST_DISCHARGE_STATUS") == 9, "invalid")
+         .otherwise("other").alias("DSC_GROUP"))
+    cb = run.ident.claim_base.select(F.lit("CB").alias("_SRC"))
     nb = run.ident.newborns.select(F.lit("NB").alias("_SRC"), "STUDY_YR", "BIRTH_TYPE", "BABY_TYPE",
                                    "CONTRACT", "STAY_TYPE", "BUS_LINE_CD", F.col("LOS").cast("long").alias("LOS"),
                                    F.col("NET_PD_AMT").cast("decimal(38,2)").alias("AMT"))
@@ -74,7 +89,7 @@ def metrics_source(run: EpisodeRun, ps_membership: DataFrame) -> DataFrame:
                             F.col("DIAG_1_CD").isNull().alias("NULL_DIAG"),
                             (F.col("NET_PD_AMT") > 500000).alias("HIGH_COST"))
     out = mem
-    for f in (nb, nicu, hosp, clm, *dims):
+    for f in (nb, nicu, hosp, clm, dsc, cb, *dims):
         out = out.unionByName(f, allowMissingColumns=True)
     return out
 
@@ -100,6 +115,17 @@ def run_metrics(run: EpisodeRun, ps_membership: DataFrame, w: StudyWindow, cfg:
         cnt(is_("DIM_BUS_LINE_CD") & F.col("DIM_VALUE").isNotNull()).alias("unique_business_lines_count"),
         cnt(is_("DIM_PRDCT_CD") & F.col("DIM_VALUE").isNotNull()).alias("unique_product_codes_count"),
         cnt(mem & F.col("NULL_BTH")).alias("members_with_null_birth_date"),
+        cnt(mem & F.col("G_U")).alias("members_with_null_gender"),
+        cnt(mem & F.col("NULL_LOB")).alias("members_with_missing_lob"),
+        cnt(is_("DIM_HOSP_MEMBER") & F.col("DIM_VALUE").isNotNull()).alias("newborns_with_hospital_stay"),
+        cnt(hosp).alias("total_hospital_episodes_created"),
+        cnt(hosp & (F.col("LOS") < 1)).alias("episodes_with_los_lt_1"),
+        cnt(is_("CB")).alias("_cb_claims"),
+        cnt(is_("DSC") & (F.col("DSC_GROUP") == "routine")).alias("nicu_discharge_routine"),
+        cnt(is_("DSC") & (F.col("DSC_GROUP") == "transfer")).alias("nicu_discharge_transfer"),
+        cnt(is_("DSC") & (F.col("DSC_GROUP") == "expired")).alias("nicu_discharge_expired"),
+        cnt(is_("DSC") & (F.col("DSC_GROUP") == "other")).alias("nicu_discharge_other"),
+        cnt(is_("DSC") & (F.col("DSC_GROUP") == "invalid")).alias("nicu_discharge_invalid"),
         cnt(nb).alias("total_newborns_identified"),
         cnt(nb & (F.col("STUDY_YR") == "Previous")).alias("newborns_previous_period"),
         cnt(nb & (F.col("STUDY_YR") == "Current")).alias("newborns_current_period"),
@@ -183,6 +209,7 @@ def run_metrics(run: EpisodeRun, ps_membership: DataFrame, w: StudyWindow, cfg:
         _avg(C("total_hospital_episodes"), C("total_newborns_identified")).alias("avg_episodes_per_newborn"),
         _pct_h(C("episodes_discharge_clipped"), C("total_hospital_episodes")).alias("pct_episodes_discharge_clipped"),
         _avg(C("_hosp_los"), C("total_hospital_episodes")).alias("avg_los_all_episodes"),
+        _avg(C("_cb_claims"), C("total_hospital_episodes")).alias("avg_claims_per_episode"),
         _avg(C("total_nicu_los_days"), C("total_nicu_episodes")).alias("avg_nicu_los_days"),
         C("_nicu_cost").cast("double").alias("total_nicu_cost"),
         _avg(C("_nicu_cost"), C("total_nicu_episodes")).alias("avg_nicu_cost_per_episode"),
@@ -202,7 +229,7 @@ def run_metrics(run: EpisodeRun, ps_membership: DataFrame, w: StudyWindow, cfg:
         _pct_h(C("newborns_previous_period"), C("total_newborns_identified")).alias("pct_previous_period"),
         _pct_h(C("newborns_current_period"), C("total_newborns_identified")).alias("pct_current_period"),
         F.lit(cfg.config_hash()).alias("config_hash"),
-    ).drop("_nb_paid", "_hosp_los", "_nicu_cost", "_prof", "_man", "_crit", "_fac", "_room")
+    ).drop("_nb_paid", "_hosp_los", "_nicu_cost", "_prof", "_man", "_crit", "_fac", "_room", "_cb_claims")
     # Money median: exact and distributed (see exact_median); one row, attached by
     # a broadcast join on a constant key (1 x 1 rows).
     med = exact_median(run.nicu_rollup.select((F.col("TOTAL_NICU_COST") * 100).cast("bigint").alias("_c")), [], "_c", "_m")

@@ -89,17 +89,20 @@ def avg_sql(total, n):
     return f"CASE WHEN {n} > 0 THEN CAST({total} AS DOUBLE) / {n} END"
 
 
+DISCHARGE_RANK_L = DISCHARGE_RANK.replace("DSCHRG_STS", "LAST_DISCHARGE_STATUS")
+
 RUN_METRICS = f"""(WITH mm AS (
   SELECT INDV_ID, bool_or(STUDY_YR = 'Previous') AS IN_PREV, bool_or(STUDY_YR = 'Current') AS IN_CUR,
     sum(MEMBER_MONTHS) AS MM, sum(CASE WHEN STUDY_YR = 'Previous' THEN MEMBER_MONTHS END) AS MM_PREV,
     sum(CASE WHEN STUDY_YR = 'Current' THEN MEMBER_MONTHS END) AS MM_CUR,
     bool_or(GENDER = 'M') AS G_M, bool_or(GENDER = 'F') AS G_F, bool_or(GENDER IS NULL) AS G_U,
-    bool_or(BTH_DT IS NULL) AS NULL_BTH FROM ps_membership GROUP BY INDV_ID),
+    bool_or(BTH_DT IS NULL) AS NULL_BTH, bool_or(PRDCT_CD IS NULL) AS NULL_LOB FROM ps_membership GROUP BY INDV_ID),
  m AS (SELECT count(*) AS total_members_enrolled, CAST(sum(MM) AS BIGINT) AS total_member_months,
     count_if(IN_PREV) AS members_previous_period, count_if(IN_CUR) AS members_current_period,
     CAST(sum(MM_PREV) AS BIGINT) AS member_months_previous, CAST(sum(MM_CUR) AS BIGINT) AS member_months_current,
     count_if(G_M) AS members_by_gender_m, count_if(G_F) AS members_by_gender_f, count_if(G_U) AS members_by_gender_unknown,
-    count_if(NULL_BTH) AS members_with_null_birth_date,
+    count_if(NULL_BTH) AS members_with_null_birth_date, count_if(G_U) AS members_with_null_gender,
+    count_if(NULL_LOB) AS members_with_missing_lob,
     (SELECT count(DISTINCT STATE) FROM ps_membership) AS unique_states_count,
     (SELECT count(DISTINCT BUS_LINE_CD) FROM ps_membership) AS unique_business_lines_count,
     (SELECT count(DISTINCT PRDCT_CD) FROM ps_membership) AS unique_product_codes_count FROM mm),
@@ -111,7 +114,17 @@ RUN_METRICS = f"""(WITH mm AS (
     count_if(STAY_TYPE = 'Long Stay') AS newborns_long_stay, CAST(sum(LOS) AS BIGINT) AS total_newborn_los_days,
     sum(NET_PD_AMT) AS nb_paid FROM newborn_ident),
  hs AS (SELECT count(*) AS total_hospital_episodes, CAST(sum(OUT_END_DATE) AS BIGINT) AS episodes_discharge_clipped,
-    CAST(sum(LOS) AS BIGINT) AS hosp_los FROM hosp),
+    CAST(sum(LOS) AS BIGINT) AS hosp_los, count(DISTINCT INDV_ID) AS newborns_with_hospital_stay,
+    count(*) AS total_hospital_episodes_created, count_if(LOS < 1) AS episodes_with_los_lt_1,
+    (SELECT count(*) FROM claim_base) AS cb_claims FROM hosp),
+ dsc AS (SELECT count_if(LAST_DISCHARGE_STATUS IN ('01', '06')) AS nicu_discharge_routine,
+    count_if(LAST_DISCHARGE_STATUS IN ('02','05','66','43','62','63','65')) AS nicu_discharge_transfer,
+    count_if(LAST_DISCHARGE_STATUS = '20') AS nicu_discharge_expired,
+    count_if(NOT (LAST_DISCHARGE_STATUS IN ('01','06','20','02','05','66','43','62','63','65'))
+             AND g <> 9) AS nicu_discharge_other,
+    count_if(NOT (LAST_DISCHARGE_STATUS IN ('01','06','20','02','05','66','43','62','63','65'))
+             AND g = 9) AS nicu_discharge_invalid
+  FROM (SELECT LAST_DISCHARGE_STATUS, {DISCHARGE_RANK_L} AS g FROM last_status)),
  nc AS (SELECT count(*) AS total_nicu_episodes,
     count_if(STUDY_YR = 'Previous') AS nicu_episodes_previous, count_if(STUDY_YR = 'Current') AS nicu_episodes_current,
     count_if(BIRTH_TYPE = 'Single') AS nicu_single_birth, count_if(BIRTH_TYPE = 'Twin') AS nicu_twin_birth,
@@ -149,7 +162,8 @@ RUN_METRICS = f"""(WITH mm AS (
  SELECT 'run-0001' AS run_id, DATE '2001-12-31' AS run_date, 'DEMO' AS client_name,
    DATE '1999-08-01' AS birth_window_start, DATE '2000-08-01' AS birth_window_mid,
    DATE '2001-07-31' AS birth_window_end, DATE '2001-10-31' AS runout_end_date,
-   m.*, nb.* EXCLUDE (nb_paid), hs.* EXCLUDE (hosp_los), nc.* EXCLUDE (nicu_cost, prof, man, crit, fac, room), cl.*,
+   m.*, nb.* EXCLUDE (nb_paid), hs.* EXCLUDE (hosp_los, cb_claims), nc.* EXCLUDE (nicu_cost, prof, man, crit, fac, room), cl.*,
+   dsc.*, {avg_sql('cb_claims', 'total_hospital_episodes')} AS avg_claims_per_episode,
    {avg_sql('total_member_months', 'total_members_enrolled')} AS avg_member_months_per_member,
    {pct_h_sql('total_nicu_episodes', 'total_newborns_identified')} AS nicu_rate_pct,
    CAST(nb_paid AS DOUBLE) AS total_newborn_paid_amt,
@@ -176,7 +190,7 @@ RUN_METRICS = f"""(WITH mm AS (
    {pct_h_sql('newborns_previous_period', 'total_newborns_identified')} AS pct_previous_period,
    {pct_h_sql('newborns_current_period', 'total_newborns_identified')} AS pct_current_period,
    '{_CFG_HASH}' AS config_hash
- FROM m, nb, hs, nc, cl)"""
+ FROM m, nb, hs, nc, cl, dsc)"""
 
 BODIES = {
     # 2.1 sources
