@@ -60,8 +60,17 @@ def overlap_months(eff, exp, lo: dt.date, hi: dt.date) -> Column:
     return F.when(e < s, F.lit(0)).otherwise(months_crossed(s, e) + 1)
 
 
+def _tiebreak(df: DataFrame, tiebreak: str | None):
+    """Explicit tie-break column, the fixture's ROW_KEY, or a row hash."""
+    if tiebreak:
+        return tiebreak
+    if "ROW_KEY" in df.columns:
+        return "ROW_KEY"
+    return F.xxhash64(*[F.col(f"`{x}`") for x in df.columns])
+
+
 def membership_periods(members: DataFrame, window: StudyWindow, client_name: str,
-                       one_pass: bool = True) -> DataFrame:
+                       one_pass: bool = True, tiebreak: str | None = None) -> DataFrame:
     """Member-months per member x study year (Previous / Current).
 
     Latest demographics per member (by month desc) joined to all distinct
@@ -71,7 +80,7 @@ def membership_periods(members: DataFrame, window: StudyWindow, client_name: str
     """
     src = (members.filter(F.col("INDV_ID").isNotNull() & F.col("YEARMO").isNotNull())
            .withColumn("MM_DATE", F.to_date(F.concat(F.col("YEARMO"), F.lit("01")), "yyyyMMdd")))
-    demo = latest_per_key(src, "INDV_ID", "MM_DATE", "ROW_KEY",
+    demo = latest_per_key(src, "INDV_ID", "MM_DATE", _tiebreak(src, tiebreak),
                           ["GENDER", "BTH_DT", "BUS_LINE_CD", "PRDCT_CD", "STATE"])
     enroll = src.select("INDV_ID", F.col("MEM_EFF_DT").cast("date").alias("MEM_EFF_DT"),
                         F.col("MEM_EXP_DT").cast("date").alias("MEM_EXP_DT")).distinct()
@@ -99,13 +108,13 @@ def membership_periods(members: DataFrame, window: StudyWindow, client_name: str
 
 
 def membership_latest(members: DataFrame, start: dt.date, end: dt.date, client_name: str,
-                      month_col: str = "MM") -> DataFrame:
+                      month_col: str = "MM", tiebreak: str | None = None) -> DataFrame:
     """Latest in-window eligibility row per member, with the period label."""
     src = (members.filter(F.col("INDV_ID").isNotNull() & F.col(month_col).isNotNull())
            .withColumn("MM_DATE", F.to_date(F.concat(F.col(month_col), F.lit("01")), "yyyyMMdd"))
            .filter((F.col("MM_DATE") >= lit_date(start)) & (F.col("MM_DATE") <= lit_date(end))))
     keep = ["SBSCR_ID", "GENDER", "BTH_DT", "BUS_LINE_CD", "PRODUCT", "STATE", "REL_CD", "MBR_ZIP_CD", "MM_DATE"]
-    return (latest_per_key(src, "INDV_ID", "MM_DATE", "ROW_KEY", keep)
+    return (latest_per_key(src, "INDV_ID", "MM_DATE", _tiebreak(src, tiebreak), keep)
             .withColumn("CLIENT_NAME", F.lit(client_name))
             .withColumn("STUDY_PERIOD", F.lit(period_label(start, end))))
 
