@@ -58,34 +58,6 @@ FACILITY_PROC_RANGES = ((80000, 89999),)
 OPEN_STATUS = ("Not Started", "In Progress", "Waiting")
 COMPLETE_STATUS = ("Complete", "Completed")
 DAYS_ON_STATUS_THRESHOLD = 14
-# Client-type code -> label.  The labels are neutral stand-ins (the source
-# labels name an organisation); the shape (8 codes, 7 and 8 share a label,
-# unknown codes pass through) is what the operator reproduces.
-CLIENT_TYPE_MAPPING = {
-    "1": "Direct NBEA",
-    "2": "Cross Carrier NBEA",
-    "3": "Carrier NBEA",
-    "4": "Direct",
-    "5": "Cross Carrier",
-    "6": "Prospective",
-    "7": "N/A",
-    "8": "N/A",
-}
-# Product flag columns of the wide request list (vendor-named products left out).
-BOOLEAN_COLUMNS = (
-    "BARIATRIC", "BH", "CGP", "CSP", "DM", "KIDNEY", "TRANSPLANT", "CHD", "VAD",
-    "NICU", "MATERNITY", "FERTILITY", "FOCUSED_ANALYTICS", "OUTPATIENT_REHAB",
-    "OHS", "FCR_PROFESSIONAL", "CKS", "CKD", "CARDIOLOGY", "DME", "INPATIENT_REHAB",
-    "SPINE_PAIN_JOINT", "SPECIALTY_REDIRECTION", "MEDICAL_REBATES_ONBOARDING",
-    "BRS", "DATA_INTAKE", "DATA_QAVC", "SPECIALTY_FUSION", "MBO_IMPLEMENTATION",
-    "MSPN_IMPLEMENTATION", "VARIABLE_COPAY", "ACCUMULATOR_ADJUSTMENT",
-    "SMGP", "SGP", "SECOND_MD", "MBO_PRESALES", "MSPN_PRESALES",
-    "MEDICAL_REBATES_PREDEAL", "CAR_REPORT", "MSK_MSS",
-    "FCR_FACILITY", "RADIATION_ONCOLOGY", "SMO_PRESALES",
-    "SMO_IMPLEMENTATION", "SBO_HEALTH_TRUST_PRESALES", "SBO_HEALTH_TRUST_IMPLEMENTATION",
-    "CORE_SBO", "ENHANCE_SBO", "RESOURCE_BRIDGE",
-    "PHS", "CANCER", "CAR-T", "PHARMACY_GROWTH_PRESALE", "PHARMACY_GROWTH_EXISTING",
-)
 REQUEST_URL_PREFIX = "https://requests.example.org/DispForm.aspx?ID="
 # Logical request fields and the candidate source column names, first existing wins.
 REQUEST_COLUMN_CANDIDATES = {
@@ -104,7 +76,6 @@ REQUEST_COLUMN_CANDIDATES = {
     "PTRR": ("PTRR",),
 }
 # Data-QA thresholds.
-QA_DISTINCT_COUNT_MAX_POPULATED = 100000
 QA_CRITICAL_NULL_PCT = 50
 QA_WARNING_NULL_PCT = 10
 QA_GOOD_POPULATION_PCT = 90

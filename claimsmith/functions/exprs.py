@@ -18,7 +18,7 @@ __all__ = [
     "c", "lit_date", "strict_greatest", "strict_least", "months_crossed", "years_crossed",
     "try_number", "number_text", "prefix", "is_in", "any_null", "money", "to_double",
     "code_between", "yyyymm_to_date", "period_label", "event_id", "bracket_text",
-    "days_between_clock", "title_case", "null_safe_concat", "pct", "safe_ratio",
+    "days_between_clock", "elapsed_days", "parse_when", "DATE_FORMATS", "null_safe_concat",
 ]
 
 
@@ -116,26 +116,33 @@ def bracket_text(col) -> Column:
     return F.when(t.rlike(r"\[(.*?)\]"), F.regexp_extract(t, r"\[(.*?)\]", 1))
 
 
-def days_between_clock(as_of: dt.date, col) -> Column:
-    """Whole days from a date/timestamp to the as-of clock, floored."""
-    return F.datediff(lit_date(as_of), F.to_date(c(col)))
+def elapsed_days(start, end) -> Column:
+    """Whole days elapsed from start to end, floored (23 hours are 0 days, minus 1 hour is -1)."""
+    micros = F.unix_micros(c(end).cast("timestamp")) - F.unix_micros(c(start).cast("timestamp"))
+    return F.floor(micros / 86_400_000_000).cast("int")
 
 
-def title_case(text: str) -> str:
-    """Python str.title() of a column name, computed on the driver."""
-    return text.title()
+def days_between_clock(as_of: dt.date | dt.datetime, col) -> Column:
+    """Whole days elapsed from a date/timestamp to the as-of clock, floored."""
+    return elapsed_days(col, F.lit(str(as_of)).cast("timestamp"))
 
 
-def null_safe_concat(prefix_text: str, col) -> Column:
-    return F.when(c(col).isNotNull(), F.concat(F.lit(prefix_text), c(col).cast("string")))
+# Text dates that are read beside ISO ones, in this order; month before day, as in the US.
+DATE_FORMATS = ("M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy h:mm a", "M/d/yyyy h:mm:ss a",
+                "yyyy/M/d", "yyyyMMdd", "d MMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy")
 
 
-def pct(num, den, digits: int = 2) -> Column:
-    """Percentage rounded half-up; null-safe zero denominator -> 0."""
-    n, d = c(num).cast("double"), c(den).cast("double")
-    return F.when(d > 0, F.round(n * 100.0 / d, digits)).otherwise(F.lit(0.0))
+def parse_when(df, name: str, formats=DATE_FORMATS) -> Column:
+    """A column as timestamp: dates and timestamps as they are, text by ISO or
+    the first of ``formats`` that fits, anything else null."""
+    col = F.col(f"`{name}`")
+    if df.schema[name].dataType.typeName() in ("date", "timestamp", "timestamp_ntz"):
+        return col.cast("timestamp")
+    text = F.trim(col.cast("string"))
+    # Eight digits would pass as an ISO year.
+    iso = F.when(~text.rlike("^[0-9]+$"), F.try_to_timestamp(text))
+    return F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(f)) for f in formats])
 
 
-def safe_ratio(num, den) -> Column:
-    n, d = c(num).cast("double"), c(den).cast("double")
-    return F.when(d > 0, n / d)
+def null_safe_concat(prefix_text: str, col) -> Column:
+    return F.when(c(col).isNotNull(), F.concat(F.lit(prefix_text), c(col).cast("string")))

@@ -52,14 +52,20 @@ def join_trimmed(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return left.join(right.select(*keys, *extra), keys, how)
 
 
-def join_enrich_nullsafe(df: DataFrame, other: DataFrame, key: str, cols: list[str]) -> DataFrame:
+def join_enrich_nullsafe(df: DataFrame, other: DataFrame, key: str, cols: list[str],
+                         null_salts: int = 64) -> DataFrame:
     """Left join ``cols`` of ``other`` by ``key`` where null matches null
     (pandas merge semantics; duplicates on the right fan out).  No-op when
     ``other`` lacks the key or ``df`` lacks it."""
     if key not in df.columns or key not in other.columns:
         return df
-    right = other.select(F.col(key).alias("_rk"), *cols)
-    return df.join(right, df[key].eqNullSafe(right["_rk"]), "left").drop("_rk")
+    # Null keys are dealt over ``null_salts`` tasks: left rows by their hash,
+    # the right side's null rows (all of them) to each.
+    right = other.select(F.col(key).alias("_rk"), *cols).withColumn("_rs", F.explode(
+        F.when(F.col("_rk").isNull(), F.sequence(F.lit(0), F.lit(null_salts - 1))).otherwise(F.array(F.lit(0)))))
+    left = df.withColumn("_ls", F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(null_salts)))
+                         .otherwise(F.lit(0)).cast("int"))
+    return left.join(right, left[key].eqNullSafe(right["_rk"]) & (F.col("_ls") == F.col("_rs")), "left").drop("_rk", "_ls", "_rs")
 
 
 def join_padded_key(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

@@ -66,25 +66,34 @@ def first_value_by_key(df: DataFrame, key: str, value: str, out: str) -> DataFra
     return df.withColumn(out, F.first(value).over(w))
 
 
-def sessionize_gap(intervals: DataFrame, keys: list[str], start: str, end: str,
-                   gap_days: int, out: str = "HOSP_STAY") -> DataFrame:
+def sessionize_gap(intervals: DataFrame, keys: list[str], start: str, end: str, gap_days: int,
+                   out: str = "HOSP_STAY", copies: str | None = None, mode: str = "previous") -> DataFrame:
     """Number sessions: new when there is no previous row or the gap between
     the previous row's end and this start exceeds ``gap_days``.
 
-    Compares with the previous row only (not a running max), ordered by
-    (start, end) ascending with nulls first.  ``intervals`` should already
-    be distinct per (keys, start, end): duplicates never open a session.
+    Rows are ordered by (start, end) ascending with nulls first.  ``mode``
+    'previous' compares with the previous row's end, 'running_max' with the
+    latest end so far.  ``intervals`` are distinct per (keys, start, end);
+    ``copies`` names the number of equal lines each stands for.  A line equal
+    to the one before it opens a session too when that end is null or more
+    than the gap before the start: ``REOPENS`` tells so, ``out`` is then the
+    first line's session, and the interval's further lines take the next
+    ``copies - 1`` numbers.
     """
     w = Window.partitionBy(*keys).orderBy(F.col(start).asc_nulls_first(), F.col(end).asc_nulls_first())
-    prev_end = F.lag(end).over(w)
-    new = F.when(prev_end.isNull() | (F.datediff(F.col(start), prev_end) > gap_days), 1).otherwise(0)
-    return (intervals.withColumn("NEW_STAY", new)
-            .withColumn(out, F.sum("NEW_STAY").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-
-
-def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.sum(value).over(w))
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    if mode == "previous":
+        prev_end, own_end = F.lag(end).over(w), F.col(end)
+    elif mode == "running_max":
+        prev_end, own_end = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.max(end).over(so_far)
+    else:
+        raise ValueError(mode)
+    opens = lambda e: F.coalesce(F.datediff(F.col(start), e) > gap_days, F.lit(False)) | e.isNull()
+    rows = intervals.withColumn("NEW_STAY", F.when(opens(prev_end), 1).otherwise(0)).withColumn("REOPENS", opens(own_end))
+    if copies is None:
+        return rows.withColumn(out, F.sum("NEW_STAY").over(so_far)).drop("REOPENS")
+    extra = F.when(F.col("REOPENS"), F.col(copies) - 1).otherwise(F.lit(0))
+    return rows.withColumn(out, F.sum(F.col("NEW_STAY") + extra).over(so_far) - extra)
 
 
 def top_k_salted(df: DataFrame, key: str, order: str, tiebreak: str, k: int = 3,
@@ -106,15 +115,23 @@ def top_k_salted(df: DataFrame, key: str, order: str, tiebreak: str, k: int = 3,
             .filter(F.col(out) <= k).drop("_salt", "_r1"))
 
 
-def second_smallest_distinct(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """2nd-lowest distinct value per key (null when fewer than two).
+def rank_all(df: DataFrame, key: str, order: str, tiebreak: str, out: str = "RANK", cut=None) -> DataFrame:
+    """Every row ranked 1..n per key by ``order`` desc (nulls last), then ``tiebreak`` ascending.
 
-    Callers filter ``value`` to a bounded code range first, so the distinct
-    set per key is bounded by the range width.
+    Rows are range partitioned by (key, order, tiebreak) and stored, so a hot
+    key spreads over many partitions; a row's rank is its place inside its
+    (key, partition) plus the rows its key has in earlier partitions.
+    ``cut`` stores the partitioned rows (default: the shared checkpoint folder).
     """
-    return (df.groupBy(*keys)
-            .agg(F.array_sort(F.collect_set(value)).alias("_vals"))
-            .select(*keys, F.try_element_at("_vals", F.lit(2)).alias(out)))
+    from claimsmith.sources.sinks import materialize
+    spec = [F.col(order).desc_nulls_last(), F.col(tiebreak).asc()]
+    dealt = (cut or materialize)(df.repartitionByRange(F.col(key), *spec).withColumn("_part", F.spark_partition_id()))
+    counts = dealt.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(key).orderBy("_part")  # one row per partition that holds the key
+    before = counts.select(key, "_part", (F.sum("_n").over(earlier) - F.col("_n")).alias("_before"))
+    local = F.row_number().over(Window.partitionBy(key, "_part").orderBy(*spec))
+    return (dealt.withColumn("_local", local).join(before, [key, "_part"])
+            .withColumn(out, (F.col("_before") + F.col("_local")).cast("long")).drop("_part", "_local", "_before"))
 
 
 def sessionize_events(df: DataFrame, key: str, ts: str, gap_seconds: int, out: str = "SESSION_ID") -> DataFrame:

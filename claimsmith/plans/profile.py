@@ -2,9 +2,9 @@
 
 The profile unpivots the table once into (column, value-as-text) pairs.
 Row and null counts are one partial aggregate; distinct counts come from
-one distinct over (column, value) pairs; sample values are the 5 smallest
-distinct values per column via the salted top-k (a column with millions of
-distinct values is never sorted in one task).  Percentages use integer
+one exact distinct over (column, value) pairs, whatever the table's size;
+sample values are the 5 smallest of its values per column via the salted
+top-k (a column with millions of distinct values is never sorted in one task).  Percentages use integer
 arithmetic (half-up to hundredths) so they are exact.
 """
 
@@ -87,36 +87,29 @@ def missing_columns(df: DataFrame, expected: dict) -> list[str]:
     return [c for c in expected if c not in df.columns]
 
 
-def _smallest_per_partition(cols, k):
-    """mapInPandas body: the k smallest distinct non-null values of each column
-    within one partition (bounded output: k rows per column per partition)."""
-    import pandas as pd
+def distinct_values(df: DataFrame, cols) -> DataFrame:
+    """(column_name, value as text) of every distinct value, null included; equal values combine before the shuffle."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols])
+    return df.select(F.inline(pairs)).distinct()
 
-    def run(batches):
-        best = {c: [] for c in cols}
-        for pdf in batches:
-            for c in cols:
-                vals = pdf[c].dropna().unique().tolist()
-                if vals:
-                    best[c] = sorted(set(best[c]).union(vals))[:k]
-        yield pd.DataFrame([(c, v) for c in cols for v in best[c]], columns=["column_name", "value"])
-    return run
 
+def sample_values(values: DataFrame, sample_size: int, salt_buckets: int, out: str = "SAMPLE_RANK") -> DataFrame:
+    """The ``sample_size`` smallest non-null values of each column, ranked."""
+    return top_k_salted(values.filter(F.col("value").isNotNull()), "column_name", "value", "value", sample_size,
+                        salt_buckets, descending=False, out=out)
 
-def profile_columns(df: DataFrame, expected: dict, table_name: str,
-                    distinct_max: int = K.QA_DISTINCT_COUNT_MAX_POPULATED, salt_buckets: int = 16,
-                    sample_size: int = 5) -> DataFrame:
+
+def profile_columns(df: DataFrame, expected: dict, table_name: str, salt_buckets: int = 16,
+                    sample_size: int = 5, cut=None) -> DataFrame:
     """One row per expected column that exists: type, counts, percentages,
-    distinct count (only when populated rows <= ``distinct_max``, the cost
-    guard; null counts as a value) and the 5 smallest distinct non-null values.
-
-    Pass 1 is one aggregate (row and null counts of every column; its single
-    row of integers decides which columns qualify for a distinct count).
-    Pass 2 counts distinct values of the qualifying columns only, so no
-    high-cardinality column is shuffled.  Pass 3 keeps the ``sample_size``
-    smallest values per column in each partition and merges those
-    candidates with the salted top-k.
+    distinct count (null counts as a value; null for a column without any
+    value) and the 5 smallest distinct non-null values.
+
+    Pass 1 is one aggregate (row and null counts of every column).  Pass 2 is
+    one distinct over (column, value), combined before its shuffle and stored
+    by ``cut``; distinct counts and sample values both come from it.
     """
+    from claimsmith.sources.sinks import materialize
     spark = df.sparkSession
     cols = [c for c in expected if c in df.columns]
     if not cols:
@@ -130,18 +123,9 @@ def profile_columns(df: DataFrame, expected: dict, table_name: str,
          for c in cols],
         "column_name string, data_type string, critical boolean, key_field boolean, description string, "
         "total_rows long, null_count long")
-    low = [c for c in cols if 0 < total - nulls[c] <= distinct_max]
-    if low:
-        pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
-                          for c in low])
-        n_distinct = (df.select(F.inline(pairs)).distinct()
-                      .groupBy("column_name").agg(F.count(F.lit(1)).alias("_n_distinct")))
-    else:
-        n_distinct = spark.createDataFrame([], "column_name string, _n_distinct long")
-    as_text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
-    cand = as_text.mapInPandas(_smallest_per_partition(cols, sample_size), "column_name string, value string")
-    samples = (top_k_salted(cand.distinct(), "column_name", "value", "value", sample_size, salt_buckets,
-                            descending=False, out="_rk")
+    values = (cut or materialize)(distinct_values(df, cols))
+    n_distinct = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("_n_distinct"))
+    samples = (sample_values(values, sample_size, salt_buckets)
                .groupBy("column_name")
                .agg(F.array_join(F.array_sort(F.collect_list("value")), ", ").alias("sample_values")))
     prof = meta.join(n_distinct, "column_name", "left").join(samples, "column_name", "left")
@@ -152,17 +136,20 @@ def profile_columns(df: DataFrame, expected: dict, table_name: str,
         F.lit(table_name).alias("table_name"), "column_name", "description", "critical", "key_field", "data_type",
         "total_rows", "null_count", (null_h / 100.0).alias("null_pct"), null_h.alias("null_pct_h"),
         populated.alias("populated_count"), (pop_h / 100.0).alias("populated_pct"), pop_h.alias("populated_pct_h"),
-        F.when((populated > 0) & (populated <= distinct_max), F.col("_n_distinct")).alias("distinct_count"),
+        F.when(populated > 0, F.col("_n_distinct")).alias("distinct_count"),
         "sample_values")
 
 
 def profile_alerts(df: DataFrame, profile: DataFrame, expected: dict, table_name: str) -> DataFrame:
     """CRITICAL/WARNING alerts: missing columns, null-heavy critical columns,
-    all-null columns.  Empty tables get one CRITICAL alert."""
+    all-null columns.  An empty table gets one CRITICAL alert and no other.
+    Counts come from the profile, so the table isn't scanned again."""
     spark = df.sparkSession
     missing = [(c, "CRITICAL" if expected[c][0] else "WARNING",
                 f"Missing column: {c} - {expected[c][2]}") for c in missing_columns(df, expected)]
-    miss_df = spark.createDataFrame(missing, "column_name string, severity string, message string")
+    rows = profile.agg(F.coalesce(F.max("total_rows"), F.lit(0)).alias("_rows"))  # one row
+    miss_df = (spark.createDataFrame(missing, "column_name string, severity string, message string")
+               .join(F.broadcast(rows.filter(F.col("_rows") > 0)), F.lit(True)).drop("_rows"))
     crit, nul, tot = F.col("critical"), F.col("null_count"), F.col("total_rows")
     sev = (F.when(crit & (nul * 100 > tot * K.QA_CRITICAL_NULL_PCT), "CRITICAL")
            .when(crit & (nul * 100 > tot * K.QA_WARNING_NULL_PCT), "WARNING")
@@ -173,7 +160,7 @@ def profile_alerts(df: DataFrame, profile: DataFrame, expected: dict, table_name
            .otherwise(F.concat(F.lit("Column "), F.col("column_name"), F.lit(" is completely NULL"))))
     col_alerts = (profile.filter(F.col("total_rows") > 0).select("column_name", sev.alias("severity"), msg.alias("message"))
                   .filter(F.col("severity").isNotNull()))
-    empty = (df.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == 0)
+    empty = (rows.filter(F.col("_rows") == 0)
              .select(F.lit(None).cast("string").alias("column_name"), F.lit("CRITICAL").alias("severity"),
                      F.lit(f"Table {table_name} is empty!").alias("message")))
     return (miss_df.unionByName(col_alerts).unionByName(empty)
@@ -181,12 +168,14 @@ def profile_alerts(df: DataFrame, profile: DataFrame, expected: dict, table_name
             .withColumn("severity_order", F.when(F.col("severity") == "CRITICAL", 0).otherwise(1)))
 
 
-def profile_summary(df: DataFrame, alerts: DataFrame, expected: dict, table_name: str) -> DataFrame:
-    """Counts of expected/found/missing columns and alerts; PASSED iff no CRITICAL."""
+def profile_summary(df: DataFrame, profile: DataFrame, alerts: DataFrame, expected: dict, table_name: str) -> DataFrame:
+    """Counts of expected/found/missing columns and alerts; PASSED iff no CRITICAL.
+
+    Rows come from the profile, so the table isn't scanned again."""
     n_missing = len(missing_columns(df, expected))
     u = (alerts.select("severity", F.lit(None).cast("long").alias("_rows"))
-         .unionByName(df.select(F.lit(None).cast("string").alias("severity"), F.lit(1).cast("long").alias("_rows"))))
-    return (u.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_rows"),
+         .unionByName(profile.select(F.lit(None).cast("string").alias("severity"), F.col("total_rows").alias("_rows"))))
+    return (u.agg(F.coalesce(F.max("_rows"), F.lit(0)).alias("total_rows"),
                   F.count_if(F.col("severity") == "CRITICAL").alias("critical_alerts"),
                   F.count_if(F.col("severity") == "WARNING").alias("warnings"))
             .select(F.lit(table_name).alias("table_name"), "total_rows",
@@ -272,6 +261,7 @@ def null_counts(df: DataFrame, cols, product: str = "PRODUCT", date: str = "REQU
 
 def profile_table(df: DataFrame, expected: dict, table_name: str):
     """(profile, alerts, summary) of one table."""
-    prof = profile_columns(df, expected, table_name)
+    from claimsmith.sources.sinks import materialize
+    prof = materialize(profile_columns(df, expected, table_name))  # one row a column; alerts and summary read it
     alerts = profile_alerts(df, prof, expected, table_name)
-    return prof, alerts, profile_summary(df, alerts, expected, table_name)
+    return prof, alerts, profile_summary(df, prof, alerts, expected, table_name)

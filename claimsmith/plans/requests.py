@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimsmith import config as K
-from claimsmith.functions.exprs import bracket_text, days_between_clock, null_safe_concat
+from claimsmith.functions.exprs import (
+    DATE_FORMATS, bracket_text, days_between_clock, elapsed_days, null_safe_concat, parse_when,
+)
 from claimsmith.operators import classify
 from claimsmith.operators.joins import join_enrich_nullsafe
 
@@ -22,8 +24,8 @@ def _q(name: str):
     return F.col(f"`{name}`")
 
 
-def clean_requests(df: DataFrame, flags=K.BOOLEAN_COLUMNS, mapping=K.CLIENT_TYPE_MAPPING) -> DataFrame:
-    """Recode client types, null flags -> false, fill the products text."""
+def clean_requests(df: DataFrame, flags, mapping: dict) -> DataFrame:
+    """Recode client types by the caller's labels, null flags -> false, fill the products text."""
     out = classify.map_values(df, "CLIENT_TYPE_DETAIL", mapping) if "CLIENT_TYPE_DETAIL" in df.columns else df
     out = classify.fill_flags(out, flags)
     return classify.flag_list_text(out, flags)
@@ -56,17 +58,18 @@ def explode_products(df: DataFrame, products) -> DataFrame:
                            "CLOSED_DATE", "PTRR")
 
 
-def request_metrics(df: DataFrame, as_of: dt.date, url_prefix: str = K.REQUEST_URL_PREFIX) -> DataFrame:
-    """Derived request/product metrics against an ``as_of`` clock."""
+def request_metrics(df: DataFrame, as_of: dt.date | dt.datetime, url_prefix: str = K.REQUEST_URL_PREFIX,
+                    date_formats=DATE_FORMATS) -> DataFrame:
+    """Derived request/product metrics against an ``as_of`` clock; day counts are elapsed days, floored."""
     out = df
     for c in ("REQUEST_DATE", "START_DATE", "COMPLETE_DATE", "STATUS_CHANGE_DATE", "CLOSED_DATE"):
         if c in out.columns:
-            out = out.withColumn(c, F.try_to_timestamp(_q(c).cast("string")))
+            out = out.withColumn(c, parse_when(df, c, date_formats))
     days_on = F.coalesce(days_between_clock(as_of, "STATUS_CHANGE_DATE"), F.lit(0))
     open_ = F.coalesce(F.col("STATUS").isin(list(K.OPEN_STATUS)), F.lit(False))
     out = out.withColumns({
         "DAYS_OPEN": days_between_clock(as_of, "REQUEST_DATE"),
-        "PRODUCT_TAT": F.datediff(F.to_date("COMPLETE_DATE"), F.to_date("START_DATE")),
+        "PRODUCT_TAT": elapsed_days("START_DATE", "COMPLETE_DATE"),
         "COMPLETED_PRODUCT": F.coalesce(F.col("STATUS").isin(list(K.COMPLETE_STATUS)), F.lit(False)),
         "REQUEST_TYPE": bracket_text("TITLE"),
         "REQUEST_YEAR": F.year("REQUEST_DATE"),
@@ -79,9 +82,12 @@ def request_metrics(df: DataFrame, as_of: dt.date, url_prefix: str = K.REQUEST_U
     return out.withColumn("URL", null_safe_concat(url_prefix, "ID"))
 
 
-def transform_products(requests: DataFrame, initiatives: DataFrame, products, as_of: dt.date) -> DataFrame:
-    """Clean -> explode -> enrich with initiatives (null-safe key) -> metrics."""
-    cleaned = clean_requests(requests)
+def transform_products(requests: DataFrame, initiatives: DataFrame, products, as_of: dt.date | dt.datetime,
+                       mapping: dict) -> DataFrame:
+    """Clean -> explode -> enrich with initiatives (null-safe key) -> metrics.
+
+    The flag columns are those of the caller's ``products``."""
+    cleaned = clean_requests(requests, [p[2] for p in products], mapping)
     exploded = explode_products(cleaned, products)
     enriched = join_enrich_nullsafe(exploded, initiatives, "SALESFORCE_ID", ["HAS_VALUE"])
     return request_metrics(enriched, as_of)

@@ -18,7 +18,7 @@ from claimsmith import config as K
 from claimsmith.config import ClaimsConfig
 from claimsmith.functions.exprs import event_id, lit_date
 from claimsmith.operators import classify
-from claimsmith.operators.windows import top_k_salted
+from claimsmith.operators.windows import rank_all, top_k_salted
 
 EVENT = "OUTPATIENT_EVENT_ID"
 
@@ -34,11 +34,11 @@ def sos_data_pull(claims: DataFrame, members: DataFrame, xref: DataFrame,
     mem = members.select(F.col("INDV_ID").alias("_M_ID"), "BUS_LINE_CD", "REL_CD", "BTH_DT", "GENDER",
                          "SBSCR_ID", F.substring("MBR_ZIP_CD", 1, 5).alias("MBR_ZIP_CD"),
                          F.col("STATE").alias("MBR_STATE"))
-    # The crosswalk is config-sized (one row per procedure code).
-    xr = F.broadcast(xref.select(F.col("PROC_CD").alias("_X_PROC"), "PROC_CD_DESC",
+    # No hint: Spark broadcasts the crosswalk where its measured size allows.
+    xr = xref.select(F.col("PROC_CD").alias("_X_PROC"), "PROC_CD_DESC",
                                  F.col("ASGN_SPCLTY").alias("PROCEDURE_SPECIALTY"),
                                  F.col("INCLD_ORDRNG").alias("INCLUDE_IN_ORDERING"),
-                                 F.col("ASC_ELIG").alias("ELIGIBLE")))
+                                 F.col("ASC_ELIG").alias("ELIGIBLE"))
     j = (clm.join(mem, clm["INDV_ID"] == mem["_M_ID"], "left")
          .join(xr, clm["PROC_CD"] == xr["_X_PROC"], "left"))
     return j.select(
@@ -53,11 +53,20 @@ def sos_event_id(pull: DataFrame) -> DataFrame:
     return pull.withColumn(EVENT, event_id("INDV_ID", "SRVC_FROM_DT"))
 
 
-def ranked_top3(lines: DataFrame, amt: str, cfg: ClaimsConfig) -> DataFrame:
-    """Facility lines in the ordering with non-zero amount, ranks 1..3 per event."""
-    rankable = classify.split_professional_facility(lines).filter(
+def rankable_lines(lines: DataFrame, amt: str) -> DataFrame:
+    """Facility lines that take part in the ordering, with a non-zero amount."""
+    return classify.split_professional_facility(lines).filter(
         (F.col("LINE_GROUP") == "RANKABLE") & (F.col(amt) != 0))
-    return top_k_salted(rankable, EVENT, amt, "LINE_KEY", 3, cfg.rank_salt_buckets)
+
+
+def ranked_lines(lines: DataFrame, amt: str, cut=None) -> DataFrame:
+    """Every rankable line with its rank by amount inside its event."""
+    return rank_all(rankable_lines(lines, amt), EVENT, amt, "LINE_KEY", cut=cut)
+
+
+def ranked_top3(lines: DataFrame, amt: str, cfg: ClaimsConfig) -> DataFrame:
+    """Ranks 1..3 per event, all that the roll-up needs beside event totals."""
+    return top_k_salted(rankable_lines(lines, amt), EVENT, amt, "LINE_KEY", 3, cfg.rank_salt_buckets)
 
 
 def event_buckets(lines: DataFrame, amt: str, cfg: ClaimsConfig) -> DataFrame:

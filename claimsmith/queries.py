@@ -23,7 +23,7 @@ from claimsmith.operators.joins import join_trimmed
 from claimsmith.operators.periods import (
     membership_latest, membership_periods, overlap_months, study_window, study_window_frame,
 )
-from claimsmith.operators.windows import latest_per_key, top_k_salted
+from claimsmith.operators.windows import latest_per_key
 from claimsmith.plans import episodes as EP
 from claimsmith.plans import metrics as M
 from claimsmith.plans import profile as P
@@ -38,6 +38,7 @@ CFG = ClaimsConfig()
 W = FIXTURE_WINDOW
 SOS_START, SOS_END = dt.date(2000, 8, 1), dt.date(2001, 7, 31)
 AMT = "ALLW_AMT"
+REQUEST_FLAGS = [p[2] for p in FX.REQUEST_PRODUCTS]
 
 
 def normalize(df: DataFrame) -> DataFrame:
@@ -105,7 +106,8 @@ class Ctx:
 
     @cached_property
     def products(self):
-        return R.transform_products(self.requests, self.initiatives, FX.REQUEST_PRODUCTS, FIXTURE_AS_OF)
+        return R.transform_products(self.requests, self.initiatives, FX.REQUEST_PRODUCTS, FIXTURE_AS_OF,
+                                    FX.CLIENT_TYPES)
 
     @cached_property
     def claims_profile(self):
@@ -121,15 +123,8 @@ class Ctx:
 
 
 def _stay_intervals(ctx: Ctx) -> DataFrame:
-    """Distinct (admit, discharge) intervals stitched into stays (F4/F5)."""
-    from claimsmith.operators.periods import fill_dates
-    from claimsmith.operators.windows import sessionize_gap
-    c1 = fill_dates(ctx.run.newborn_claims)
-    cond = (F.col("CLAIM_TYPE") == "IP") & ((F.col("ADMIT_DT_FIL") >= F.col("DELIVERY_DT"))
-                                            | (F.col("SRVC_FROM_DT") >= F.col("DELIVERY_DT")))
-    c1 = classify.drop_flagged(c1.filter(cond), "HIGH_COST")
-    iv = c1.select("INDV_ID", "DELIVERY_DT", "ADMIT_DT_FIL", "DISCH_DT_FIL").distinct()
-    return sessionize_gap(iv, ["INDV_ID", "DELIVERY_DT"], "ADMIT_DT_FIL", "DISCH_DT_FIL", CFG.hosp_stay_gap_days)
+    """The job's own intervals, each with its first line's stay number."""
+    return EP.stay_intervals(ctx.run.newborn_claims, CFG)
 
 
 def _write_read(ctx: Ctx, df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
@@ -168,6 +163,7 @@ def q_scan_csv_upper(ctx):
 def q_scan_optional(ctx):
     src = ctx.requests.select(
         "ID", F.when(F.col("ID") % 10 == 0, F.lit("not a date"))
+        .when(F.col("ID") % 10 == 5, F.date_format("STATUS_CHANGE_DATE", "M/d/yyyy H:mm:ss"))
         .otherwise(F.col("STATUS_CHANGE_DATE").cast("string")).alias("status_change_date"))
     path = scratch_dir(ctx.spark, "optional_in")
     src.write.option("header", True).csv(path)
@@ -210,12 +206,11 @@ def q_schema_evolve(ctx):
 
 
 def q_typed_table(ctx):
-    _, source = FX.fx_upsert(ctx.spark, ctx.sf)
-    return SK.typed_table(source)
+    return SK.typed_table(FX.fx_orders_v2(ctx.spark, ctx.sf))
 
 
 def q_normalize_dates(ctx):
-    out, _ = SK.normalize_dates(ctx.requests.select("ID", "REQUEST_DATE", "STATUS_CHANGE_DATE", "CLOSED_DATE",
+    out, _ = SK.normalize_dates(ctx.requests.select("ID", "REQUEST_DATE", "STATUS_CHANGE_DATE", "CLOSED_DATE", "RECEIVED_DATE",
                                                     "NICU_START"))
     return out
 
@@ -271,16 +266,16 @@ def q_provider_category(ctx):
 
 
 def q_map_values(ctx):
-    return classify.map_values(ctx.requests, "CLIENT_TYPE_DETAIL", K.CLIENT_TYPE_MAPPING).select(
+    return classify.map_values(ctx.requests, "CLIENT_TYPE_DETAIL", FX.CLIENT_TYPES).select(
         "ID", "CLIENT_TYPE_DETAIL")
 
 
 def q_fill_flags(ctx):
-    return classify.fill_flags(ctx.requests, K.BOOLEAN_COLUMNS).select("ID", "NICU", "MATERNITY", "KIDNEY", "`CAR-T`")
+    return classify.fill_flags(ctx.requests, REQUEST_FLAGS).select("ID", "NICU", "MATERNITY", "KIDNEY", "`CAR-T`")
 
 
 def q_flag_list_text(ctx):
-    return R.clean_requests(ctx.requests).select("ID", "PRODUCTS_REQUESTED")
+    return R.clean_requests(ctx.requests, REQUEST_FLAGS, FX.CLIENT_TYPES).select("ID", "PRODUCTS_REQUESTED")
 
 
 def q_high_cost_flag(ctx):
@@ -327,12 +322,7 @@ def q_filter_since_delivery(ctx):
 
 
 def q_filter_stay_claims(ctx):
-    from claimsmith.operators.periods import fill_dates
-    c1 = fill_dates(ctx.run.newborn_claims)
-    cond = (F.col("CLAIM_TYPE") == "IP") & ((F.col("ADMIT_DT_FIL") >= F.col("DELIVERY_DT"))
-                                            | (F.col("SRVC_FROM_DT") >= F.col("DELIVERY_DT")))
-    return classify.drop_flagged(c1.filter(cond), "HIGH_COST").select(
-        "INDV_ID", "LINE_KEY", "DELIVERY_DT", "ADMIT_DT_FIL", "DISCH_DT_FIL")
+    return EP.stay_lines(ctx.run.newborn_claims).select("INDV_ID", "LINE_KEY", "DELIVERY_DT", "ADMIT_DT_FIL", "DISCH_DT_FIL")
 
 
 def q_split_professional_facility(ctx):
@@ -600,7 +590,7 @@ def q_second_value(ctx):
 
 
 def q_rank_by_amount(ctx):
-    return S.ranked_top3(ctx.sos_lines, AMT, CFG).select(S.EVENT, "LINE_KEY", AMT, "ELIGIBLE", "RANK")
+    return S.ranked_lines(ctx.sos_lines, AMT).select(S.EVENT, "LINE_KEY", AMT, "ELIGIBLE", "RANK")
 
 
 def q_primary_line(ctx):
@@ -613,10 +603,7 @@ def q_sort_desc(ctx):
 
 
 def q_sample_distinct(ctx):
-    cols = ["DIAG_1_CD", "RVNU_CD", "PROC_CD", "DSCHRG_STS", "PL_OF_SRVC_CD", "INDV_ID"]
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols])
-    d = ctx.claims.select(F.inline(pairs)).filter(F.col("value").isNotNull()).distinct()
-    return top_k_salted(d, "column_name", "value", "value", 5, CFG.rank_salt_buckets, descending=False, out="SAMPLE_RANK")
+    return P.sample_values(P.distinct_values(ctx.claims, ctx.claims.columns), 5, CFG.rank_salt_buckets)
 
 
 def q_preview_limit(ctx):
@@ -679,7 +666,7 @@ def q_missing_columns(ctx):
 
 
 def q_explode_products(ctx):
-    return R.explode_products(R.clean_requests(ctx.requests), FX.REQUEST_PRODUCTS)
+    return R.explode_products(R.clean_requests(ctx.requests, REQUEST_FLAGS, FX.CLIENT_TYPES), FX.REQUEST_PRODUCTS)
 
 
 # 2.9 scalar functions
@@ -802,8 +789,7 @@ def q_newborns_final(ctx):
 
 
 def q_newborn_end_to_end(ctx):
-    li = TB.read_table(ctx.spark, ctx.sf, "lineitem")
-    w = study_window(li, 24, 3, from_col="l_shipdate", process_col="l_shipdate")
+    w = study_window(ctx.claims, 24, 3)
     return EP.newborn_episodes(ctx.claims, membership_periods(ctx.members, w, "DEMO"), w, CFG,
                                materialize=ctx.cut).final
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -30,7 +32,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint folder from the session (``spark.checkpoint.dir``); only
-    when unset (tests, local runs) a fresh scratch folder is created."""
+    when unset in local mode (tests) a fresh scratch folder is created; on a
+    cluster an unset folder is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -39,6 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share; "
+                         "intermediate tables can't be kept in a machine's own folder on a cluster")
     scratch = tempfile.mkdtemp(prefix="claimsmith-ckpt-")
     sc.setCheckpointDir(scratch)
     return scratch
@@ -47,5 +53,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh output folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, "out", name + "-" + next(tempfile._get_candidate_names()))
+    path = os.path.join(base, "out", f"{name}-{uuid.uuid4().hex}")
     return path

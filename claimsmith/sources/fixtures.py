@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimsmith.config import ClaimsConfig
-from claimsmith.sources.tables import read_table, spread_input
+from claimsmith.sources.tables import read_table
 
 BIRTH_BASE = "1999-08-01"
 
@@ -36,6 +36,10 @@ def _plus_days(d: Column, n: Column) -> Column:
     return F.date_add(d, n.cast("int"))
 
 
+def _at_hour(d: Column, hour: Column) -> Column:
+    return F.timestamp_micros(F.unix_micros(d.cast("timestamp")) + hour * 3_600_000_000)
+
+
 def _birth(k: Column) -> Column:
     return _plus_days(F.lit(BIRTH_BASE).cast("date"), (k * 37) % 730)
 
@@ -44,7 +48,6 @@ def fx_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One claim line per lineitem row (claims table stand-in)."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
-    li = spread_input(li)
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -118,8 +121,8 @@ def fx_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly eligibility rows (about ten per member)."""
-    od = spread_input(read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"))
+    od = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     base = od.join(cu, od.o_custkey == cu.c_custkey).join(na, cu.c_nationkey == na.n_nationkey)
@@ -152,6 +155,9 @@ REQUEST_PRODUCTS = (
     ("Kidney", "Specialty", "KIDNEY", "KIDNEY_START", "KIDNEY_END", "KIDNEY_STATUS"),
     ("CAR-T", "Specialty", "CAR-T", "CAR_T_START", "CAR_T_END", "CAR_T_STATUS"),
 )
+# Client-type labels of the request fixture; a code without a label (9) passes through.
+CLIENT_TYPES = {"1": "Direct NBEA", "2": "Cross Carrier NBEA", "3": "Carrier NBEA", "4": "Direct",
+                "5": "Cross Carrier", "6": "Prospective", "7": "N/A", "8": "N/A"}
 STATUSES = ["Not Started", "In Progress", "Waiting", "Complete", "Completed"]
 
 
@@ -178,7 +184,10 @@ def fx_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         overall.alias("OVERALL_STATUS"),
         F.when(o % 3 == 0, F.lit("Listed")).alias("PRODUCTS_REQUESTED"),
         F.when(o % 8 != 0, F.col("o_custkey").cast("string")).alias("SALESFORCE_ID"),
-        F.when(o % 9 != 0, _plus_days(day, o % 40)).alias("STATUS_CHANGE_DATE"),
+        F.when(o % 9 != 0, _at_hour(_plus_days(day, o % 40), o % 24)).alias("STATUS_CHANGE_DATE"),
+        # Text as a list may hold it: US style, ISO, not a date, absent.
+        _case(o % 4, [F.date_format(day, "M/d/yyyy"), F.date_format(day, "yyyy-MM-dd"), F.lit("not a date"),
+                      F.lit(None).cast("string")]).alias("RECEIVED_DATE"),
         F.when(~overall.isin("Not Started", "In Progress", "Waiting"),
                F.date_add(day, 45)).alias("CLOSED_DATE"),
         F.when(o % 6 == 0, "Y").otherwise("N").alias("PTRR"),
@@ -189,8 +198,8 @@ def fx_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     for i, (_, _, _, start, end, status) in enumerate(REQUEST_PRODUCTS):
         st = _plus_days(day, (o + i) % 10)
-        cols += [st.alias(start),
-                 F.when((o + i) % 4 != 0, _plus_days(st, (o + i) % 30)).alias(end),
+        cols += [_at_hour(st, (o + i) * 7 % 24).alias(start),
+                 F.when((o + i) % 4 != 0, _at_hour(_plus_days(st, (o + i) % 30), (o + i) * 5 % 24)).alias(end),
                  _case((o + i) % 5, STATUSES).alias(status)]
     return base.select(*cols)
 
@@ -202,14 +211,19 @@ def fx_initiatives(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("c_acctbal") > 5000).alias("HAS_VALUE")))
 
 
+def fx_orders_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order, changed, with one column more."""
+    return (read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+        .withColumn("o_totalprice", F.col("o_totalprice") + 1).withColumn("SRC_NOTE", F.lit("v2")))
+
+
 def fx_upsert(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(target, source) for the key-based merge."""
+    """(target, source) for the key-based merge: every order is in one of them or in both."""
     od = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     target = od.filter(F.col("o_orderkey") % 3 != 0)
-    source = (od.filter(F.col("o_orderkey") % 2 == 0)
-              .withColumn("o_totalprice", F.col("o_totalprice") + 1)
-              .withColumn("SRC_NOTE", F.lit("v2")))
+    source = fx_orders_v2(spark, sf_dir).filter((F.col("o_orderkey") % 2 == 0) | (F.col("o_orderkey") % 3 == 0))
     return target, source
 
 

@@ -12,16 +12,29 @@ import os
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimsmith.functions.exprs import DATE_FORMATS, parse_when
 from claimsmith.session import ensure_checkpoint_dir
 from claimsmith.sources.tables import date_named_columns
 
 
+# Intermediate tables of this process that haven't been dropped yet.
+STORED: list[str] = []
+
+
+def release_stored(spark: SparkSession) -> int:
+    """Drop every stored intermediate table; call when their results are read.  Returns how many."""
+    n = len(STORED)
+    drop_stored(spark, list(STORED))
+    return n
+
+
 def drop_stored(spark: SparkSession, paths) -> None:
     """Delete stored intermediate tables (paths returned by ``materialize``)."""
+    STORED[:] = [p for p in STORED if p not in set(paths)]
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
@@ -40,10 +53,11 @@ def materialize(df: DataFrame, mode: str = "table", stored: list | None = None)
     if mode == "table":
         spark = df.sparkSession
         path = os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex)
-        df.write.mode("errorifexists").parquet(path)
+        STORED.append(path)
         if stored is not None:
             stored.append(path)
-        return spark.read.parquet(path)
+        df.write.mode("errorifexists").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         # Persist first so writing the checkpoint does not recompute the plan.
@@ -78,7 +92,10 @@ def upsert_merge(target: DataFrame, source: DataFrame, key: str = "ID") -> tuple
     cols = list(dict.fromkeys(target.columns + [c for c in source.columns if c not in target.columns]))
     s = source.select(*[F.col(f"`{c}`").alias(f"s_{c}") for c in source.columns]).withColumn("_s", F.lit(True))
     t = target.select(*[F.col(f"`{c}`").alias(f"t_{c}") for c in target.columns]).withColumn("_t", F.lit(True))
-    j = t.join(s, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer")
+    # Null keys match nothing; a hash of the row deals them to many tasks.
+    salt = lambda d, p: d.withColumn(f"_{p}_salt", F.when(F.col(f"{p}_{key}").isNull(), F.xxhash64(*d.columns)).otherwise(F.lit(0)))
+    s, t = salt(s, "s"), salt(t, "t")
+    j = t.join(s, (F.col(f"t_{key}") == F.col(f"s_{key}")) & (F.col("_t_salt") == F.col("_s_salt")), "full_outer")
     src_present = F.col("_s").isNotNull()
     out = []
     for c in cols:
@@ -110,12 +127,14 @@ def full_refresh(spark: SparkSession, df: DataFrame, target_path: str | None) ->
     """Truncate + reload: write a new version; empty input keeps the target.
 
     Returns (current path, rows inserted, rows updated=0)."""
-    if df.isEmpty():
-        return target_path, 0, 0
     base = os.path.dirname(target_path) if target_path else ensure_checkpoint_dir(spark)
     path = new_version_path(base)
-    df.write.mode("errorifexists").parquet(path)
-    n = spark.read.parquet(path).count()
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
+    n = seen.get["n"]
+    if n == 0:
+        drop_stored(spark, [path])
+        return target_path, 0, 0
     return path, n, 0
 
 
@@ -155,14 +174,12 @@ def schema_evolve(target: DataFrame, new: DataFrame, date_cols=()) -> DataFrame:
     return t.unionByName(n, allowMissingColumns=True)
 
 
-def normalize_dates(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Every DATE-named column -> 'YYYY-MM-DD' text, unparsable -> null."""
+def normalize_dates(df: DataFrame, formats=DATE_FORMATS) -> tuple[DataFrame, list[str]]:
+    """Every DATE-named column -> 'YYYY-MM-DD' text (ISO or ``formats``), unparsable -> null."""
     touched = date_named_columns(df.columns)
     out = df
     for c in touched:
-        t = df.schema[c].dataType
-        v = F.col(f"`{c}`") if isinstance(t, (T.DateType, T.TimestampType)) else F.try_to_timestamp(F.col(f"`{c}`").cast("string"))
-        out = out.withColumn(c, F.date_format(v, "yyyy-MM-dd"))
+        out = out.withColumn(c, F.date_format(parse_when(df, c, formats), "yyyy-MM-dd"))
     return out, touched
 
 

@@ -14,26 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimsmith.config import ClaimsConfig, table_name
+from claimsmith.functions.exprs import DATE_FORMATS, parse_when
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Parquet table ``<sf_dir>/<name>.parquet`` (a file or a directory).
-
-    ``spread``: for fact tables, see ``spread_input``.
-    """
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_input(df) if spread else df
-
-
-def spread_input(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has task
-    slots (e.g. a single-row-group file), so the per-row work after it uses
-    every core.  A large multi-file input already has more splits than slots
-    and is returned unchanged - no extra shuffle at scale."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet table ``<sf_dir>/<name>.parquet`` (a file or a directory)."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def scan_table(spark: SparkSession, table_type: str, cfg: ClaimsConfig,
@@ -80,12 +66,12 @@ def date_named_columns(columns) -> list[str]:
     return [c for c in columns if _DATE_WORD.search(c.upper())]
 
 
-def coerce_date_columns(df: DataFrame) -> DataFrame:
-    """Every DATE-named string column -> timestamp; unparsable -> null."""
+def coerce_date_columns(df: DataFrame, formats=DATE_FORMATS) -> DataFrame:
+    """Every DATE-named string column -> timestamp by ISO or ``formats``; unparsable -> null."""
     out = df
     for c in date_named_columns(df.columns):
         if isinstance(df.schema[c].dataType, T.StringType):
-            out = out.withColumn(c, F.try_to_timestamp(F.col(c)))
+            out = out.withColumn(c, parse_when(df, c, formats))
     return out
 
 

@@ -82,8 +82,8 @@ sos_rollup AS (SELECT {", ".join(SOS_DIMS)}, count(DISTINCT OUTPATIENT_EVENT_ID)
 CLIENT_TYPE = ("CASE CLIENT_TYPE_DETAIL WHEN '1' THEN 'Direct NBEA' WHEN '2' THEN 'Cross Carrier NBEA' "
                "WHEN '3' THEN 'Carrier NBEA' WHEN '4' THEN 'Direct' WHEN '5' THEN 'Cross Carrier' "
                "WHEN '6' THEN 'Prospective' WHEN '7' THEN 'N/A' WHEN '8' THEN 'N/A' END")
-# Flag order of the configured boolean column list, restricted to the four present.
-FLAGS = [("KIDNEY", "Kidney"), ("NICU", "Nicu"), ("MATERNITY", "Maternity"), ('"CAR-T"', "Car-T")]
+# Flags in the order of the products.
+FLAGS = [("NICU", "Nicu"), ("MATERNITY", "Maternity"), ("KIDNEY", "Kidney"), ('"CAR-T"', "Car-T")]
 FLAG_TEXT = "concat_ws(', ', " + ", ".join(f"CASE WHEN coalesce({f}, FALSE) THEN '{t}' END" for f, t in FLAGS) + ")"
 PRODUCTS = [("NICU", "Clinical", "NICU", "NICU_START", "NICU_END", "NICU_STATUS"),
             ("Maternity", "Clinical", "MATERNITY", "MATERNITY_START", "MATERNITY_END", "MATERNITY_STATUS"),
@@ -91,6 +91,11 @@ PRODUCTS = [("NICU", "Clinical", "NICU", "NICU_START", "NICU_END", "NICU_STATUS"
             ("CAR-T", "Specialty", '"CAR-T"', "CAR_T_START", "CAR_T_END", "CAR_T_STATUS")]
 
 
+def elapsed(a, b):
+    """Whole days elapsed, floored."""
+    return f"CAST(floor((epoch_us(CAST({b} AS TIMESTAMP)) - epoch_us(CAST({a} AS TIMESTAMP))) / 86400000000.0) AS BIGINT)"
+
+
 def _prod_select(p):
     name, cat, flag, start, end, status = p
     return (f"SELECT ID, TITLE, REQUEST_DATE, CLIENT, MARKET, REQUESTOR, CLIENT_TYPE_DETAIL AS CLIENT_TYPE, "
@@ -114,15 +119,15 @@ req_metrics AS (SELECT ID, TITLE, CAST(REQUEST_DATE AS TIMESTAMP) AS REQUEST_DAT
     CAST(START_DATE AS TIMESTAMP) AS START_DATE, CAST(COMPLETE_DATE AS TIMESTAMP) AS COMPLETE_DATE, STATUS,
     CAST(STATUS_CHANGE_DATE AS TIMESTAMP) AS STATUS_CHANGE_DATE, CAST(CLOSED_DATE AS TIMESTAMP) AS CLOSED_DATE, PTRR,
     HAS_VALUE,
-    date_diff('day', REQUEST_DATE, {AS_OF}) AS DAYS_OPEN,
-    date_diff('day', START_DATE, COMPLETE_DATE) AS PRODUCT_TAT,
+    {elapsed('REQUEST_DATE', AS_OF)} AS DAYS_OPEN,
+    {elapsed('START_DATE', 'COMPLETE_DATE')} AS PRODUCT_TAT,
     coalesce(STATUS IN ('Complete', 'Completed'), FALSE) AS COMPLETED_PRODUCT,
     CASE WHEN regexp_matches(TITLE, '\\[(.*?)\\]') THEN regexp_extract(TITLE, '\\[(.*?)\\]', 1) END AS REQUEST_TYPE,
     year(REQUEST_DATE) AS REQUEST_YEAR,
     coalesce(STATUS IN ('Not Started', 'In Progress', 'Waiting'), FALSE) AS PRODUCT_OPEN,
-    coalesce(date_diff('day', STATUS_CHANGE_DATE, {AS_OF}), 0) AS DAYS_ON_STATUS,
+    coalesce({elapsed('STATUS_CHANGE_DATE', AS_OF)}, 0) AS DAYS_ON_STATUS,
     coalesce(STATUS IN ('Not Started', 'In Progress', 'Waiting'), FALSE)
-      AND coalesce(date_diff('day', STATUS_CHANGE_DATE, {AS_OF}), 0) > 14 AS NEEDS_ATTENTION,
+      AND coalesce({elapsed('STATUS_CHANGE_DATE', AS_OF)}, 0) > 14 AS NEEDS_ATTENTION,
     CASE WHEN ID IS NOT NULL THEN '{URL}' || CAST(ID AS VARCHAR) END AS URL
   FROM req_enriched)"""
 
@@ -186,7 +191,7 @@ def _profile_one(table, src, name, crit, key, desc, dtype):
     count({name}) AS populated_count,
     CAST({h_pct(f"count({name})", "count(*)")} AS DOUBLE) / 100.0 AS populated_pct,
     {h_pct(f"count({name})", "count(*)")} AS populated_pct_h,
-    CASE WHEN count({name}) > 0 AND count({name}) <= 100000
+    CASE WHEN count({name}) > 0
          THEN count(DISTINCT {name}) + CASE WHEN count(*) > count({name}) THEN 1 ELSE 0 END END AS distinct_count,
     (SELECT string_agg(v, ', ' ORDER BY v) FROM (SELECT DISTINCT CAST({name} AS VARCHAR) AS v FROM {src}
        WHERE {name} IS NOT NULL ORDER BY v LIMIT 5)) AS sample_values

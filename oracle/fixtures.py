@@ -115,8 +115,9 @@ def _request_product_cols() -> str:
     out = []
     for i, (_, _, _, start, end, status) in enumerate(REQUEST_PRODUCTS):
         st = f"(day + CAST((o + {i}) % 10 AS INTEGER))"
-        out.append(f"{st} AS {start}")
-        out.append(f"CASE WHEN (o + {i}) % 4 <> 0 THEN {st} + CAST((o + {i}) % 30 AS INTEGER) END AS {end}")
+        at = lambda d, h: f"CAST({d} AS TIMESTAMP) + to_hours(CAST({h} AS INTEGER))"
+        out.append(f"{at(st, f'(o + {i}) * 7 % 24')} AS {start}")
+        out.append(f"CASE WHEN (o + {i}) % 4 <> 0 THEN {at(f'({st} + CAST((o + {i}) % 30 AS INTEGER))', f'(o + {i}) * 5 % 24')} END AS {end}")
         out.append(f"{case_idx(f'(o + {i}) % 5', [q(s) for s in STATUSES])} AS {status}")
     return ",\n    ".join(out)
 
@@ -140,7 +141,9 @@ fx_requests AS (
     overall AS OVERALL_STATUS,
     CASE WHEN o % 3 = 0 THEN 'Listed' END AS PRODUCTS_REQUESTED,
     CASE WHEN o % 8 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS SALESFORCE_ID,
-    CASE WHEN o % 9 <> 0 THEN day + CAST(o % 40 AS INTEGER) END AS STATUS_CHANGE_DATE,
+    CASE WHEN o % 9 <> 0 THEN CAST(day + CAST(o % 40 AS INTEGER) AS TIMESTAMP) + to_hours(CAST(o % 24 AS INTEGER)) END AS STATUS_CHANGE_DATE,
+    CASE o % 4 WHEN 0 THEN month(day) || '/' || day(day) || '/' || year(day) WHEN 1 THEN CAST(day AS VARCHAR)
+               WHEN 2 THEN 'not a date' END AS RECEIVED_DATE,
     CASE WHEN overall NOT IN ('Not Started', 'In Progress', 'Waiting') THEN day + 45 END AS CLOSED_DATE,
     CASE WHEN o % 6 = 0 THEN 'Y' ELSE 'N' END AS PTRR,
     (o % 2 = 0) AS NICU,
@@ -156,9 +159,9 @@ fx_initiatives AS (
 FX_UPSERT = """
 up_target AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
               FROM orders WHERE o_orderkey % 3 <> 0),
-up_source AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice,
-                     o_orderpriority, 'v2' AS SRC_NOTE
-              FROM orders WHERE o_orderkey % 2 = 0)"""
+orders_v2 AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice,
+                     o_orderpriority, 'v2' AS SRC_NOTE FROM orders),
+up_source AS (SELECT * FROM orders_v2 WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0)"""
 
 PROC_XWALK = (
     ("99233", "Subsequent hospital care", "Hospitalist", "Y", "Y"),

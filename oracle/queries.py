@@ -8,7 +8,7 @@ are BIGINT, matching the normalised Spark outputs.
 from __future__ import annotations
 
 from oracle.ctes import AS_OF, PROFILE_CTES, REQUEST_CTES, SOS_CTES
-from oracle.episodes import EPISODE_CTES, NEWBORN_ICD, any_diag, inlist, overlap
+from oracle.episodes import E, EPISODE_CTES, MID, NEWBORN_ICD, PREV_HIGH, RO, S, any_diag, inlist, overlap
 from oracle.fixtures import FIXTURE_CTES
 
 PREFIX = "WITH " + ",".join([FIXTURE_CTES, EPISODE_CTES, SOS_CTES, REQUEST_CTES, PROFILE_CTES])
@@ -77,8 +77,8 @@ CODE_FREQ = f"""(SELECT DERIV_DRG_CD AS DRG, count(DISTINCT INDV_ID) AS MEMBER_C
 DRG_TYPE = ("CASE WHEN DRG IS NULL THEN 'Unknown' WHEN substring(trim(DRG), 1, 3) IN ('593') THEN 'MS-DRG' "
             "WHEN substring(trim(DRG), 1, 3) IN ('790') THEN 'APR-DRG' ELSE 'Other' END")
 
-STAY_INTERVALS = """(SELECT INDV_ID, DELIVERY_DT, ADMIT_DT_FIL, DISCH_DT_FIL, CAST(max(NEW_STAY) AS BIGINT) AS NEW_STAY,
-    CAST(max(HOSP_STAY) AS BIGINT) AS HOSP_STAY FROM h3 GROUP BY INDV_ID, DELIVERY_DT, ADMIT_DT_FIL, DISCH_DT_FIL)"""
+STAY_INTERVALS = """(SELECT INDV_ID, DELIVERY_DT, ADMIT_DT_FIL, DISCH_DT_FIL, CAST(arg_min(NEW_STAY, LINE_KEY) AS BIGINT) AS NEW_STAY,
+    CAST(arg_min(HOSP_STAY, LINE_KEY) AS BIGINT) AS HOSP_STAY FROM h3 GROUP BY INDV_ID, DELIVERY_DT, ADMIT_DT_FIL, DISCH_DT_FIL)"""
 
 
 def pct_h_sql(num, den):
@@ -215,10 +215,10 @@ BODIES = {
     "schema_evolve": "SELECT *, CAST(NULL AS VARCHAR) AS SRC_NOTE FROM up_target UNION ALL SELECT * FROM up_source",
     "typed_table": """SELECT CAST(CAST(o_orderkey AS DECIMAL(38,0)) AS DOUBLE) AS o_orderkey,
         CAST(CAST(o_custkey AS DECIMAL(38,0)) AS DOUBLE) AS o_custkey, o_orderstatus,
-        CAST(CAST(o_totalprice AS DECIMAL(38,6)) AS DOUBLE) AS o_totalprice, o_orderpriority, SRC_NOTE FROM up_source""",
+        CAST(CAST(o_totalprice AS DECIMAL(38,6)) AS DOUBLE) AS o_totalprice, o_orderpriority, SRC_NOTE FROM orders_v2""",
     "normalize_dates": """SELECT ID, strftime(REQUEST_DATE, '%Y-%m-%d') AS REQUEST_DATE,
         strftime(STATUS_CHANGE_DATE, '%Y-%m-%d') AS STATUS_CHANGE_DATE, strftime(CLOSED_DATE, '%Y-%m-%d') AS CLOSED_DATE,
-        NICU_START FROM fx_requests""",
+        CASE WHEN ID % 4 IN (0, 1) THEN strftime(REQUEST_DATE, '%Y-%m-%d') END AS RECEIVED_DATE, NICU_START FROM fx_requests""",
     "audit_append": """SELECT 'run-0001' AS RUN_ID, TIMESTAMP '2001-12-31 00:00:00' AS RUN_TIMESTAMP, t.TABLE_NAME,
         'FULL_REFRESH' AS LOAD_TYPE, t.ROWS_EXTRACTED, t.ROWS_TRANSFORMED, t.ROWS_TRANSFORMED AS ROWS_INSERTED,
         CAST(0 AS BIGINT) AS ROWS_UPDATED, 'SUCCESS' AS STATUS, CAST(NULL AS VARCHAR) AS ERROR_MESSAGE,
@@ -357,17 +357,15 @@ BODIES = {
     "best_provider": "SELECT INDV_ID, ADMIT, DSCHRG, PROVID, CAST(HOSPPAID AS DOUBLE) AS HOSPPAID, HOSPADMIT, HOSPDISCHG, CAST(HOSPLOS AS BIGINT) AS HOSPLOS FROM prov_best",
     "first_category": "SELECT INDV_ID, ADMIT, DSCHRG, BW_CAT FROM bw",
     "second_value": "SELECT * FROM rev_features",
-    "rank_by_amount": "SELECT OUTPATIENT_EVENT_ID, LINE_KEY, CAST(ALLW_AMT AS DOUBLE) AS ALLW_AMT, ELIGIBLE, RANK FROM sos_ranked WHERE RANK <= 3",
+    "rank_by_amount": "SELECT OUTPATIENT_EVENT_ID, LINE_KEY, CAST(ALLW_AMT AS DOUBLE) AS ALLW_AMT, ELIGIBLE, RANK FROM sos_ranked",
     "primary_line": "SELECT OUTPATIENT_EVENT_ID, LINE_KEY, CAST(ALLW_AMT AS DOUBLE) AS ALLW_AMT FROM sos_prim",
     # 2.7 sorts / limits
     "sort_desc": f"SELECT * FROM {CODE_FREQ} ORDER BY MEMBER_COUNT DESC, DRG",
     "sample_distinct": """SELECT column_name, value, SAMPLE_RANK FROM (
         SELECT column_name, value, row_number() OVER (PARTITION BY column_name ORDER BY value) AS SAMPLE_RANK FROM (
           SELECT DISTINCT column_name, value FROM (
-            SELECT 'DIAG_1_CD' AS column_name, DIAG_1_CD AS value FROM fx_claims UNION ALL
-            SELECT 'RVNU_CD', RVNU_CD FROM fx_claims UNION ALL SELECT 'PROC_CD', PROC_CD FROM fx_claims UNION ALL
-            SELECT 'DSCHRG_STS', DSCHRG_STS FROM fx_claims UNION ALL SELECT 'PL_OF_SRVC_CD', PL_OF_SRVC_CD FROM fx_claims
-            UNION ALL SELECT 'INDV_ID', INDV_ID FROM fx_claims) WHERE value IS NOT NULL)) WHERE SAMPLE_RANK <= 5""",
+            UNPIVOT (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM fx_claims) ON COLUMNS(*) INTO NAME column_name VALUE value)))
+        WHERE SAMPLE_RANK <= 5""",
     "preview_limit": f"SELECT {HOSP_COLS} FROM hosp ORDER BY PAID_AMT DESC, INDV_ID, HOSP_STAY LIMIT 10",
     "top_code": f"SELECT arg_min(DRG, (-MEMBER_COUNT, DRG)) AS TOP_CODE, max(MEMBER_COUNT) AS MEMBER_COUNT FROM {CODE_FREQ}",
     "sort_alerts": """SELECT column_name, severity, message, 'FA_MEDICAL' AS table_name,
@@ -434,7 +432,7 @@ BODIES = {
     "nicu_rollup": f"SELECT {NICU_ROLLUP_COLS} FROM nicu_rollup",
     "nas_flag": f"SELECT {STAY}, NAS FROM nas",
     "newborns_final": f"SELECT {FINAL_COLS} FROM newborns_final",
-    "newborn_end_to_end": f"SELECT {FINAL_COLS} FROM newborns_final",
+    "newborn_end_to_end": f"SELECT {FINAL_COLS} FROM newborns_final",  # over the window of the claims, see oracle_sql
     "sos_data_pull": f"SELECT {SOS_PULL_COLS} FROM sos_pull",
     "sos_event_id": "SELECT LINE_KEY, INDV_ID, SRVC_FROM_DT, OUTPATIENT_EVENT_ID FROM sos_ev",
     "sos_rollup": "SELECT * REPLACE (CAST(ALLW_AMT AS DOUBLE) AS ALLW_AMT, CAST(PRIMARY_COVERED_AMT AS DOUBLE) AS PRIMARY_COVERED_AMT, CAST(SECONDARY_COVERED_AMT AS DOUBLE) AS SECONDARY_COVERED_AMT, CAST(TERTIARY_COVERED_AMT AS DOUBLE) AS TERTIARY_COVERED_AMT, CAST(ALLOTH_COVERED_AMT AS DOUBLE) AS ALLOTH_COVERED_AMT, CAST(NOT_ELIGIBLE_COVERED_AMT AS DOUBLE) AS NOT_ELIGIBLE_COVERED_AMT, CAST(COVERED_NOT_IN_RANKING AS DOUBLE) AS COVERED_NOT_IN_RANKING, CAST(EPISODE_COVERED AS DOUBLE) AS EPISODE_COVERED) FROM sos_rollup",
@@ -494,5 +492,24 @@ sw12 AS (SELECT *, CAST(WINDOW_END - INTERVAL 12 MONTH AS DATE) + 1 AS WINDOW_ST
 """
 
 
+# The study window derived from the claims themselves, for the whole chain.
+CLAIM_WINDOW = """
+cw0 AS (SELECT CAST(date_trunc('month', max(SRVC_FROM_DT)) AS DATE) - 1 AS RO FROM fx_claims
+        WHERE SRVC_FROM_DT IS NOT NULL AND PROCESS_DT IS NOT NULL),
+cw1 AS (SELECT RO, CAST(RO - INTERVAL 3 MONTH AS DATE) AS WE FROM cw0),
+cw2 AS (SELECT RO, WE, CAST(WE - INTERVAL 24 MONTH AS DATE) + 1 AS WS FROM cw1),
+cw AS (SELECT RO, WE, WS, CAST(WS + INTERVAL 12 MONTH AS DATE) AS MID FROM cw2)"""
+
+
+def claim_window_prefix() -> str:
+    """The episode chain with the fixed window's dates replaced by the derived ones."""
+    chain = EPISODE_CTES
+    for fixed, derived in ((PREV_HIGH, "(SELECT MID - 1 FROM cw)"), (S, "(SELECT WS FROM cw)"), (MID, "(SELECT MID FROM cw)"),
+                           (E, "(SELECT WE FROM cw)"), (RO, "(SELECT RO FROM cw)")):
+        chain = chain.replace(fixed, derived)
+    return "WITH " + ",".join([FIXTURE_CTES, CLAIM_WINDOW, chain]) + "\n"
+
+
 def oracle_sql() -> dict:
-    return {k: PREFIX + EXTRA_CTES + "\n" + v for k, v in BODIES.items()}
+    out = {k: PREFIX + EXTRA_CTES + "\n" + v for k, v in BODIES.items()}
+    return out | {"newborn_end_to_end": claim_window_prefix() + BODIES["newborn_end_to_end"]}
