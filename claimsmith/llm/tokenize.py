@@ -14,11 +14,13 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from itertools import chain, compress, count, islice, repeat
+from operator import is_
 
 import numpy as np
 
 BYTE_BPE = "byte_bpe_50k.json"
-MEMORY = 1 << 19
+MEMORY = 3 << 18
 LONG = 1 << 20  # characters of a text that are split at a time
 
 _PLAIN_CHARS = [c for c in map(chr, range(0x20, 0x234)) if unicodedata.category(c)[0] not in "CZ"]
@@ -81,41 +83,49 @@ class Encoder:
             self.special = special_tokens(json.load(f))
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.split = piece_splitter()
+        (self.line_break,) = self.library.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
 
     def _learn(self, pieces: set[str]) -> None:
-        new = list(pieces - self.known.keys())
-        if len(self.known) + len(new) > MEMORY:
-            self.known.clear()
-            new = list(pieces)
-        if new:
-            got = self.library.encode(new, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(got.ids, self.dtype).tobytes()
-            cut = (np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(new) + 1)) * self.dtype.itemsize).tolist()
-            self.known.update(zip(new, [ids[a:b] for a, b in zip(cut, cut[1:])]))
+        """Ask the library for pieces as the lines of one text: a line break ends a piece and has an id of its own."""
+        lines = [p for p in pieces if not p.isspace()]
+        if lines:
+            ids = np.array(self.library.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids, self.dtype)
+            end = np.flatnonzero(ids == self.line_break) * self.dtype.itemsize
+            raw = ids.tobytes()
+            starts = [0, *(end + self.dtype.itemsize).tolist()]
+            self.known.update(zip(lines, [raw[a:b] for a, b in zip(starts, [*end.tolist(), len(raw)], strict=True)], strict=True))
+        for p in pieces:
+            if p.isspace():
+                self.known[p] = np.array(self.library.encode(p, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece as bytes; unknown ones are asked of the library together."""
+        if len(self.known) > MEMORY:  # the first ones learned are the most common ones
+            self.known = dict(islice(self.known.items(), MEMORY * 3 // 4))
+        out = list(map(self.known.get, pieces))
+        gaps = list(compress(count(), map(is_, out, repeat(None))))
+        if gaps:
+            self._learn({pieces[i] for i in gaps})
+            for i in gaps:
+                out[i] = self.known[pieces[i]]
+        return out
 
     def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
         """One array a text; callers pass about a megabyte of text, or one longer text, at a time."""
         plain = [bool(t) and is_plain(t) and not any(s in t for s in self.special) for t in texts]
-        split = [self.split(t) if p and len(t) <= 2 * LONG else None for t, p in zip(texts, plain)]
-        self._learn(set().union(*[s for s in split if s]))
-        out = []
+        split = [self.split(t) if p and len(t) <= 2 * LONG else [] for t, p in zip(texts, plain)]
+        ids = self._ids(list(chain.from_iterable(split)))
+        out, at = [], 0
         for t, p, s in zip(texts, plain, split):
-            if s is not None:
-                out.append(b"".join(map(self.known.__getitem__, s)))
+            if s:
+                out.append(b"".join(ids[at:at + len(s)]))
+                at += len(s)
             elif p:
-                long = []
-                for stretch in stretches(t):
-                    pieces = self.split(stretch)
-                    before = len(self.known)
-                    self._learn(set(pieces))
-                    long.append(b"".join(map(self.known.__getitem__, pieces)))
-                    if len(self.known) < before:  # forgotten meanwhile: the shorter texts' pieces are needed still
-                        self._learn(set().union(*[x for x in split if x]))
-                out.append(b"".join(long))
+                out.append(b"".join(b"".join(self._ids(self.split(stretch))) for stretch in stretches(t)))
             else:
-                ids = self.library.encode(t, add_special_tokens=False).ids if t else []
-                out.append(np.array(ids, self.dtype).tobytes())
+                own = self.library.encode(t, add_special_tokens=False).ids if t else []
+                out.append(np.array(own, self.dtype).tobytes())
         return [np.frombuffer(b, self.dtype) for b in out]
 
     def encode(self, text: str | None) -> np.ndarray:
