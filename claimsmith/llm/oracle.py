@@ -2,6 +2,101 @@
 
 from __future__ import annotations
 
+from claimsmith.llm import secret_scan, spherical_dedup, url_templates
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def secret_scan_sql() -> str:
+    """Matches by splitting at each pattern; weak parts by the nearest complement before and after."""
+    parts, ranks = [], []
+    for rank, (kind, role, pattern, group, least) in enumerate(secret_scan.STRONG + secret_scan.WEAK):
+        p, weak = _q(pattern), rank >= len(secret_scan.STRONG)
+        value = f"regexp_extract(m[i], {p}, {group})" if group else "m[i]"
+        parts.append(f"""SELECT doc_id, {_q(kind)} AS kind, {_q(role)} AS role, {rank} AS rank, {weak} AS weak, i,
+            length(g[i]) + length(m[i]) AS step, length(m[i]) AS len, length({value}) >= {least} AS ok
+          FROM (SELECT doc_id, m, g, unnest(generate_series(1, len(m))) AS i FROM (
+            SELECT doc_id, regexp_extract_all(text, {p}) AS m, regexp_split_to_array(text, {p}) AS g
+            FROM documents WHERE regexp_matches(text, {p})))""")
+        ranks.append(kind)
+    reach = secret_scan.SCOPE
+    near = lambda r: f"""(coalesce(max(CASE WHEN role = '{r}' THEN e END) OVER before >= s - {reach}, FALSE)
+        OR coalesce(min(CASE WHEN role = '{r}' THEN s END) OVER after <= e + {reach}, FALSE)) AS near_{r}"""
+    count = lambda k: f"coalesce(count(*) FILTER (WHERE kind = '{k}'), 0)"
+    told = "kind || ':' || s || ':' || e"
+    return f"""WITH parts AS ({" UNION ALL ".join(parts)}),
+placed AS (SELECT *, CAST(sum(step) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT) AS e FROM parts),
+spans AS (SELECT *, e - len AS s FROM placed WHERE ok),
+reach AS (SELECT *, {near("identifier")}, {near("secret")},
+    coalesce(max(CASE WHEN NOT weak THEN e END) OVER before > s, FALSE)
+      OR coalesce(min(CASE WHEN NOT weak THEN s END) OVER after < e, FALSE) AS covered
+  FROM spans WINDOW before AS (PARTITION BY doc_id ORDER BY s, e, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                    after AS (PARTITION BY doc_id ORDER BY s, e, kind ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+kept AS (SELECT * FROM reach WHERE NOT weak OR (NOT covered AND CASE role WHEN 'identifier' THEN near_secret
+    WHEN 'secret' THEN near_identifier ELSE near_identifier AND near_secret END)),
+told AS (SELECT doc_id, {", ".join(f"{count(k)} AS n_{k}" for k in ranks[:3])},
+    coalesce(string_agg({told}, ',' ORDER BY s, rank) FILTER (WHERE NOT weak), '') AS base,
+    string_agg({told}, ',' ORDER BY s, rank) AS spans FROM kept GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in ranks[:3])}, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans FROM documents d LEFT JOIN told t ON d.doc_id = t.doc_id"""
+
+
+def url_filter_sql() -> str:
+    u = url_templates
+    rules, verdicts = [], []
+    for action, text in sorted(u.RULES, key=lambda r: -len(r[1])):
+        h, slash, p = text.partition("/")
+        fits = f"((host = {_q(h)} OR ends_with(host, {_q('.' + h)})) AND starts_with(path, {_q(slash + p)}))"
+        rules.append(f"WHEN {fits} THEN {_q(text)}")
+        verdicts.append(f"WHEN {fits} THEN {_q(action)}")
+    levels = ["tree0 AS (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS seg, '' AS template FROM base)"]
+    for i in range(u.LEVELS):
+        often = lambda c: f"({c} >= {u.MIN_COUNT} AND {c} >= total * {u.MIN_SHARE})"
+        levels.append(f"""here{i} AS (SELECT *, seg[{i + 1}] AS own, regexp_replace(seg[{i + 1}], '[0-9]+', '*', 'g') AS shape FROM tree{i}),
+counted{i} AS (SELECT *, count(*) OVER (PARTITION BY host, template, own IS NULL, own) AS c,
+    count(*) OVER (PARTITION BY host, template, own IS NULL, shape) AS shaped,
+    count(*) OVER (PARTITION BY host, template, own IS NULL) AS total FROM here{i}),
+tree{i + 1} AS (SELECT page_id, host, path, good, seg, template || CASE WHEN own IS NULL THEN ''
+    WHEN {often("c")} AND NOT regexp_full_match(own, '[0-9]+') THEN '/' || own
+    WHEN {often("shaped")} THEN '/' || shape ELSE '/**' END AS template FROM counted{i})""")
+    prior = f"((ag + 0.5 * {u.SMOOTHING}) / (an + {u.SMOOTHING}))"
+    host_prior = f"((hg + {u.SMOOTHING} * {prior}) / (hn + {u.SMOOTHING}))"
+    rate = "(fg / greatest(fn, 1))"
+    return f"""WITH split AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+parsed AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{u._UPPER}', '{u._LOWER}') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM split),
+marks AS (SELECT p.page_id, min(CAST(l.quality = 1 AND l.toxic = 0 AS INTEGER)) AS good FROM parsed p
+  JOIN labels l ON l.doc_id = TRY_CAST(regexp_extract(p.path, '/([0-9]+)', 1) AS BIGINT) GROUP BY p.page_id),
+base AS (SELECT p.*, m.good FROM parsed p LEFT JOIN marks m ON p.page_id = m.page_id),
+{", ".join(levels)},
+tree AS (SELECT page_id, host, path, good, template || CASE WHEN len(seg) > {u.LEVELS} THEN '/**' ELSE '' END AS template FROM tree{u.LEVELS}),
+stats AS (SELECT host, template, count(good) AS n, coalesce(sum(good), 0) AS g,
+    regexp_replace(template, '^((?:/[^/]*\\*[^/]*)*)/[^/*]+(/(?s:.*))?\\z', '\\1/{{}}\\2') AS family FROM tree GROUP BY host, template),
+pooled AS (SELECT *, sum(n) OVER (PARTITION BY host, family) AS fn, sum(g) OVER (PARTITION BY host, family) AS fg,
+    sum(n) OVER (PARTITION BY host) AS hn, sum(g) OVER (PARTITION BY host) AS hg, sum(n) OVER () AS an, sum(g) OVER () AS ag FROM stats),
+branch AS (SELECT *, CASE WHEN n = 0 OR abs(g / greatest(n, 1) - {rate}) <= {u.Z} * sqrt({rate} * (1 - {rate}) / greatest(n, 1))
+    THEN family ELSE template END AS merged FROM pooled),
+judged AS (SELECT host, template, (sum(g) OVER w + {u.SMOOTHING} * {host_prior}) / (sum(n) OVER w + {u.SMOOTHING}) AS purity
+  FROM branch WINDOW w AS (PARTITION BY host, merged))
+SELECT page_id, host, path, CASE {" ".join(rules)} END AS rule,
+  CASE {" ".join(verdicts)} ELSE CASE WHEN purity < {u.MIN_PURITY} THEN 'block' ELSE 'allow' END END AS verdict,
+  template, CAST(purity AS DOUBLE) AS purity
+FROM tree t JOIN (SELECT DISTINCT host AS jh, template AS jt, purity FROM judged) j ON t.host = jh AND t.template = jt"""
+
+
+def embedding_sql() -> str:
+    return f"""WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+usable AS (SELECT *, sqrt(list_dot_product(x, x)) AS size FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND x IS NOT NULL
+  AND len(list_filter(x, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0 AND len(list_filter(x, lambda e: e <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+  AND len(a.x) = len(b.x) WHERE list_dot_product(a.x, b.x) / (a.size * b.size) >= {spherical_dedup.THRESHOLD}),
+reach AS (SELECT vec_id AS id, vec_id AS low FROM usable UNION SELECT l.a, r.low FROM reach r JOIN links l ON l.b = r.id WHERE r.low < l.a),
+lows AS (SELECT id, min(low) AS low FROM reach GROUP BY id), counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, coalesce(l.low, v.vec_id) AS component_id, coalesce(l.low, v.vec_id) = v.vec_id AS kept
+FROM v LEFT JOIN lows l ON v.vec_id = l.id LEFT JOIN counts c ON v.vec_id = c.a"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_secret_scan": secret_scan_sql(), "op3_url_filter": url_filter_sql(), "op4_embedding_near_dedup": embedding_sql()}

@@ -81,7 +81,7 @@ def judged_templates(tree: DataFrame, smoothing: float = SMOOTHING, min_purity:
     stats = (tree.groupBy("host", "template")
              .agg(F.count("*").alias("pages"), F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("g")))
     # A family: templates that differ in their first literal segment only.
-    stats = C.store(stats.withColumn("family", F.regexp_replace("template", r"^((?:/[^/]*\*[^/]*)*)/[^/*]+(?=/|$)", "$1/{}")))
+    stats = C.store(stats.withColumn("family", F.regexp_replace("template", r"^((?:/[^/]*\*[^/]*)*)/[^/*]+(/(?s:.*))?\z", "$1/{}$2")))
     pool = stats.groupBy("host", "family").agg(F.sum("n").alias("fn"), F.sum("g").alias("fg"))
     rate = F.col("fg") / F.greatest("fn", F.lit(1))
     spread = F.sqrt(rate * (1 - rate) / F.greatest("n", F.lit(1)))
