@@ -1,14 +1,17 @@
 """Run-metrics history: one row per (run, client), checks, trend, compare.
 
-All metrics come from ONE aggregate over a union of the source frames,
-each tagged with ``_SRC`` - a single pass, no joins between one-row
-frames.  Ratios of counts and of money use integer arithmetic so the
+Every source frame is aggregated to one row with its own few expressions;
+the one-row frames are put under each other and a last aggregate takes each
+column's only value.  No row is widened and no frame is read for a column it
+doesn't have.  Ratios of counts and of money use integer arithmetic so the
 rounded percentages are exact.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +22,7 @@ from claimsmith.operators import classify
 from claimsmith.functions.exprs import lit_date
 from claimsmith.operators.aggregates import exact_median
 from claimsmith.sources.sinks import materialize
-from claimsmith.plans.episodes import EpisodeRun
+from claimsmith.plans.episodes import STAY_KEYS, EpisodeRun, readmissions, stay_fee_features
 
 
 def _pct_h(num: Column, den: Column) -> Column:
@@ -35,206 +38,230 @@ def _avg(total: Column, n: Column) -> Column:
     return F.when(n > 0, total.cast("double") / n)
 
 
-def metrics_source(run: EpisodeRun, ps_membership: DataFrame) -> DataFrame:
-    """Union of the frames the metrics read, tagged by source."""
-    ps_membership = materialize(ps_membership)  # read four times below
-    yr = F.col("STUDY_YR")
-    mem = ps_membership.groupBy("INDV_ID").agg(
-        F.max(yr == "Previous").alias("IN_PREV"), F.max(yr == "Current").alias("IN_CUR"),
-        F.sum(F.col("MEMBER_MONTHS").cast("long")).alias("MEMBER_MONTHS"),
-        F.sum(F.when(yr == "Previous", F.col("MEMBER_MONTHS").cast("long"))).alias("MM_PREV"),
-        F.sum(F.when(yr == "Current", F.col("MEMBER_MONTHS").cast("long"))).alias("MM_CUR"),
-        F.max(F.col("GENDER") == "M").alias("G_M"), F.max(F.col("GENDER") == "F").alias("G_F"),
-        F.max(F.col("GENDER").isNull()).alias("G_U"), F.max(F.col("BTH_DT").isNull()).alias("NULL_BTH"),
-        F.max(F.col("PRDCT_CD").isNull()).alias("NULL_LOB"),
-    ).withColumn("_SRC", F.lit("MEM"))
-    # Distinct-value sources (pre-distinct, so the main aggregate needs no
-    # count_distinct and no row expansion).
-    dims = [ps_membership.select(F.lit(f"DIM_{c}").alias("_SRC"), F.col(c).cast("string").alias("DIM_VALUE")).distinct()
-            for c in ("STATE", "BUS_LINE_CD", "PRDCT_CD")]
-    dims += [run.nicu_rollup.select(F.lit(f"DIM_{c}").alias("_SRC"), F.col(c).cast("string").alias("DIM_VALUE")).distinct()
-             for c in ("PROVID", "PROV_TIN", "PROV_STATE")]
-    dims += [run.hosp.select(F.lit("DIM_HOSP_MEMBER").alias("_SRC"), F.col("INDV_ID").alias("DIM_VALUE")).distinct()]
-    # Last discharge status per NICU stay, grouped with the pipeline's meaning
-    # of the codes (20 = death, 01/06 = home).
-    sts = F.col("LAST_DISCHARGE_STATUS")
-    dsc = run.nicu_claims.last_status.select(
-        F.lit("DSC").alias("_SRC"),
-        F.when(sts.isin(*K.DISCHARGE_STATUS_HOME), "routine")
-         .when(sts == K.DISCHARGE_STATUS_DEATH, "expired")
-         .when(sts.isin(*K.DISCHARGE_STATUS_TRANSFERS), "transfer")
-         .when(classify.discharge_rank_expr("LAST_DISCHARGE_STATUS") == 9, "invalid")
-         .otherwise("other").alias("DSC_GROUP"))
-    cb = run.ident.claim_base.select(F.lit("CB").alias("_SRC"))
-    nb = run.ident.newborns.select(F.lit("NB").alias("_SRC"), "STUDY_YR", "BIRTH_TYPE", "BABY_TYPE",
-                                   "CONTRACT", "STAY_TYPE", "BUS_LINE_CD", F.col("LOS").cast("long").alias("LOS"),
-                                   F.col("NET_PD_AMT").cast("decimal(38,2)").alias("AMT"))
-    nicu = run.nicu_rollup.select(
-        F.lit("NICU").alias("_SRC"), "STUDY_YR", "BIRTH_TYPE", "CONTRACT", "STAY_TYPE",
-        F.col("LOS").cast("long").alias("LOS"), F.col("TOTAL_NICU_COST").cast("decimal(38,2)").alias("AMT"),
-        F.col("ALL_PROFFEE").cast("decimal(38,2)").alias("PROF"),
-        F.col("MANAGEABLE_PROFFEE").cast("decimal(38,2)").alias("MAN"),
-        F.col("CRITICAL_CARE_PROFFEE").cast("decimal(38,2)").alias("CRIT"),
-        F.col("ALL_FACILITY_COST").cast("decimal(38,2)").alias("FAC"),
-        F.col("FACILITY_RM_COST").cast("decimal(38,2)").alias("ROOM"),
-        "REV_LEVELING", "FINAL_REV_CD", F.col("READMIT").cast("long").alias("READMIT"),
-        F.col("READMIT_PAID_AMT").cast("decimal(38,2)").alias("READMIT_AMT"),
-        F.col("READMIT_LOS").cast("long").alias("READMIT_LOS"), "LOW_PAID_NICU", "INAPPROPRIATE_NICU",
-        "PROVID", "PROV_TIN", "PROV_STATE", "BW_CAT", "GA_CAT")
-    hosp = run.hosp.select(F.lit("HOSP").alias("_SRC"), F.col("LOS").cast("long").alias("LOS"),
-                           F.col("PAID_AMT").cast("decimal(38,2)").alias("AMT"),
-                           F.col("OUT_END_DATE").cast("long").alias("OUT_END_DATE"))
-    clm = run.tagged.select(F.lit("CLM").alias("_SRC"), "CLAIM_TYPE", "NEWBORN_ICD", "NEWBORN_REV",
-                            "NICU_REV", "NICU_MSDRG", "NICU_APRDRG",
-                            F.col("DIAG_1_CD").isNull().alias("NULL_DIAG"),
-                            (F.col("NET_PD_AMT") > 500000).alias("HIGH_COST"))
-    out = mem
-    for f in (nb, nicu, hosp, clm, dsc, cb, *dims):
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
-
-
-def run_metrics(run: EpisodeRun, ps_membership: DataFrame, w: StudyWindow, cfg: ClaimsConfig,
-                run_id: str, client: str, run_date: dt.date) -> DataFrame:
-    """One history row (a subset of the 161 declared metrics)."""
-    src = F.col("_SRC")
-    is_ = lambda s: src == s
-    mem, nb, nicu, hosp, clm = (is_(x) for x in ("MEM", "NB", "NICU", "HOSP", "CLM"))
-    cnt = lambda cond: F.count_if(cond)
-    row = metrics_source(run, ps_membership).agg(
-        cnt(mem).alias("total_members_enrolled"),
-        F.sum(F.when(mem, F.col("MEMBER_MONTHS"))).alias("total_member_months"),
-        cnt(mem & F.col("IN_PREV")).alias("members_previous_period"),
-        cnt(mem & F.col("IN_CUR")).alias("members_current_period"),
-        F.sum(F.when(mem, F.col("MM_PREV"))).alias("member_months_previous"),
-        F.sum(F.when(mem, F.col("MM_CUR"))).alias("member_months_current"),
-        cnt(mem & F.col("G_M")).alias("members_by_gender_m"),
-        cnt(mem & F.col("G_F")).alias("members_by_gender_f"),
-        cnt(mem & F.col("G_U")).alias("members_by_gender_unknown"),
-        cnt(is_("DIM_STATE") & F.col("DIM_VALUE").isNotNull()).alias("unique_states_count"),
-        cnt(is_("DIM_BUS_LINE_CD") & F.col("DIM_VALUE").isNotNull()).alias("unique_business_lines_count"),
-        cnt(is_("DIM_PRDCT_CD") & F.col("DIM_VALUE").isNotNull()).alias("unique_product_codes_count"),
-        cnt(mem & F.col("NULL_BTH")).alias("members_with_null_birth_date"),
-        cnt(mem & F.col("G_U")).alias("members_with_null_gender"),
-        cnt(mem & F.col("NULL_LOB")).alias("members_with_missing_lob"),
-        cnt(is_("DIM_HOSP_MEMBER") & F.col("DIM_VALUE").isNotNull()).alias("newborns_with_hospital_stay"),
-        cnt(hosp).alias("total_hospital_episodes_created"),
-        cnt(hosp & (F.col("LOS") < 1)).alias("episodes_with_los_lt_1"),
-        cnt(is_("CB")).alias("_cb_claims"),
-        cnt(is_("DSC") & (F.col("DSC_GROUP") == "routine")).alias("nicu_discharge_routine"),
-        cnt(is_("DSC") & (F.col("DSC_GROUP") == "transfer")).alias("nicu_discharge_transfer"),
-        cnt(is_("DSC") & (F.col("DSC_GROUP") == "expired")).alias("nicu_discharge_expired"),
-        cnt(is_("DSC") & (F.col("DSC_GROUP") == "other")).alias("nicu_discharge_other"),
-        cnt(is_("DSC") & (F.col("DSC_GROUP") == "invalid")).alias("nicu_discharge_invalid"),
-        cnt(nb).alias("total_newborns_identified"),
-        cnt(nb & (F.col("STUDY_YR") == "Previous")).alias("newborns_previous_period"),
-        cnt(nb & (F.col("STUDY_YR") == "Current")).alias("newborns_current_period"),
-        cnt(nb & (F.col("BIRTH_TYPE") == "Single")).alias("newborns_single_birth"),
-        cnt(nb & (F.col("BIRTH_TYPE") == "Twin")).alias("newborns_twin_birth"),
-        cnt(nb & (F.col("BIRTH_TYPE") == "Multiple")).alias("newborns_multiple_birth"),
-        cnt(nb & (F.col("BABY_TYPE") == "Normal Newborn")).alias("newborns_normal"),
-        cnt(nb & (F.col("BABY_TYPE") == "NICU")).alias("newborns_with_any_nicu"),
-        cnt(nb & (F.col("STAY_TYPE") == "Short Stay")).alias("newborns_short_stay"),
-        cnt(nb & (F.col("STAY_TYPE") == "Long Stay")).alias("newborns_long_stay"),
-        F.sum(F.when(nb, F.col("LOS"))).alias("total_newborn_los_days"),
-        F.sum(F.when(nb, F.col("AMT"))).alias("_nb_paid"),
-        cnt(hosp).alias("total_hospital_episodes"),
-        F.sum(F.when(hosp, F.col("OUT_END_DATE"))).alias("episodes_discharge_clipped"),
-        F.sum(F.when(hosp, F.col("LOS"))).alias("_hosp_los"),
-        cnt(nicu).alias("total_nicu_episodes"),
-        cnt(nicu & (F.col("STUDY_YR") == "Previous")).alias("nicu_episodes_previous"),
-        cnt(nicu & (F.col("STUDY_YR") == "Current")).alias("nicu_episodes_current"),
-        cnt(nicu & (F.col("BIRTH_TYPE") == "Single")).alias("nicu_single_birth"),
-        cnt(nicu & (F.col("BIRTH_TYPE") == "Twin")).alias("nicu_twin_birth"),
-        cnt(nicu & (F.col("BIRTH_TYPE") == "Multiple")).alias("nicu_multiple_birth"),
-        cnt(nicu & (F.col("CONTRACT") == "DRG")).alias("nicu_drg_contract"),
-        cnt(nicu & (F.col("CONTRACT") == "Per-Diem")).alias("nicu_per_diem_contract"),
-        F.sum(F.when(nicu, F.col("LOS"))).alias("total_nicu_los_days"),
-        F.median(F.when(nicu, F.col("LOS").cast("double"))).alias("median_nicu_los_days"),
-        F.max(F.when(nicu, F.col("LOS"))).alias("max_nicu_los_days"),
-        F.min(F.when(nicu, F.col("LOS"))).alias("min_nicu_los_days"),
-        F.sum(F.when(nicu, F.col("AMT"))).alias("_nicu_cost"),
-        F.max(F.when(nicu, F.col("AMT"))).cast("double").alias("max_nicu_cost_per_episode"),
-        F.sum(F.when(nicu, F.col("PROF"))).alias("_prof"),
-        F.sum(F.when(nicu, F.col("MAN"))).alias("_man"),
-        F.sum(F.when(nicu, F.col("CRIT"))).alias("_crit"),
-        F.sum(F.when(nicu, F.col("FAC"))).alias("_fac"),
-        F.sum(F.when(nicu, F.col("ROOM"))).alias("_room"),
-        cnt(nicu & F.col("REV_LEVELING")).alias("nicu_episodes_with_rev_leveling"),
-        cnt(nicu & F.col("FINAL_REV_CD").isin("170", "171", "172", "173")).alias("nicu_rev_level_1"),
-        cnt(nicu & F.col("FINAL_REV_CD").isin("174", "175")).alias("nicu_rev_level_2"),
-        cnt(nicu & F.col("FINAL_REV_CD").isin("176", "177")).alias("nicu_rev_level_3"),
-        cnt(nicu & F.col("FINAL_REV_CD").isin("178", "179")).alias("nicu_rev_level_4"),
-        cnt(nicu & F.col("FINAL_REV_CD").isNull()).alias("nicu_rev_unknown"),
-        cnt(nicu & (F.col("READMIT") > 0)).alias("nicu_episodes_with_readmit"),
-        F.sum(F.when(nicu, F.col("READMIT"))).alias("total_nicu_readmissions"),
-        F.sum(F.when(nicu, F.col("READMIT_AMT"))).cast("double").alias("total_nicu_readmit_paid_amt"),
-        F.sum(F.when(nicu, F.col("READMIT_LOS"))).alias("total_nicu_readmit_los_days"),
-        cnt(nicu & F.col("LOW_PAID_NICU")).alias("nicu_low_paid_cases"),
-        F.sum(F.when(nicu & F.col("LOW_PAID_NICU"), F.col("AMT"))).cast("double").alias("total_low_paid_nicu_cost"),
-        cnt(nicu & F.col("INAPPROPRIATE_NICU")).alias("nicu_inappropriate_cases"),
-        F.sum(F.when(nicu & F.col("INAPPROPRIATE_NICU"), F.col("AMT"))).cast("double").alias("total_inappropriate_nicu_cost"),
-        cnt(nicu & F.col("PROVID").isNotNull()).alias("nicu_episodes_with_npi"),
-        cnt(nicu & F.col("PROV_TIN").isNotNull()).alias("nicu_episodes_with_tin"),
-        cnt(is_("DIM_PROVID") & F.col("DIM_VALUE").isNotNull()).alias("unique_nicu_providers_npi"),
-        cnt(is_("DIM_PROV_TIN") & F.col("DIM_VALUE").isNotNull()).alias("unique_nicu_providers_tin"),
-        cnt(is_("DIM_PROV_STATE") & F.col("DIM_VALUE").isNotNull()).alias("unique_nicu_provider_states"),
-        cnt(nicu & F.col("BW_CAT").isNull()).alias("nicu_birth_weight_unknown"),
-        cnt(nicu & (F.col("BW_CAT") == "Low")).alias("nicu_birth_weight_low"),
-        cnt(nicu & (F.col("BW_CAT") == "Very Low")).alias("nicu_birth_weight_very_low"),
-        cnt(nicu & F.col("GA_CAT").isNull()).alias("nicu_gest_age_unknown"),
-        cnt(nicu & (F.col("GA_CAT") == "Preterm")).alias("nicu_gest_age_preterm"),
-        cnt(clm).alias("total_claims_processed"),
-        cnt(clm & (F.col("CLAIM_TYPE") == "IP")).alias("total_ip_claims"),
-        cnt(clm & (F.col("CLAIM_TYPE") == "OP")).alias("total_op_claims"),
-        cnt(clm & F.col("HIGH_COST")).alias("claims_excluded_high_cost"),
-        cnt(clm & F.col("NULL_DIAG")).alias("claims_with_null_diagnosis"),
-        cnt(clm & F.col("NEWBORN_ICD")).alias("claims_matched_newborn_icd"),
-        cnt(clm & F.col("NEWBORN_REV")).alias("claims_matched_newborn_rev"),
-        cnt(clm & F.col("NICU_REV")).alias("claims_matched_nicu_rev"),
-        cnt(clm & F.col("NICU_MSDRG")).alias("claims_matched_nicu_msdrg"),
-        cnt(clm & F.col("NICU_APRDRG")).alias("claims_matched_nicu_aprdrg"),
-    )
+@dataclass(frozen=True)
+class RunInfo:
+    """What a history row says about its run, given by the caller.
+
+    ``lob_groups`` maps 'medicaid' and 'commercial' to their business lines;
+    every other line, or none, is 'other'.  ``weight_labels`` and
+    ``age_labels`` map the columns' endings to the category labels in use.
+    """
+
+    run_id: str
+    client: str
+    run_date: dt.date
+    etl_timestamp: dt.datetime | None = None
+    data_cutoff_date: dt.date | None = None
+    lob_groups: dict = field(default_factory=dict)
+    weight_labels: dict = field(default_factory=lambda: {
+        "normal": "Normal", "low": "Low", "very_low": "Very Low", "extremely_low": "Extremely Low"})
+    age_labels: dict = field(default_factory=lambda: {
+        "term": "Term", "preterm": "Preterm", "very_preterm": "Very Preterm", "extremely_preterm": "Extremely Preterm"})
+    pipeline_version: str | None = None
+    data_source_version: str | None = None
+    sql_engine: str = "spark"
+    processing_duration_seconds: int | None = None
+    data_quality_score: float | None = None
+    notes: str | None = None
+    created_by: str | None = None
+
+
+def _count(cond: Column) -> Column:
+    return F.count_if(F.coalesce(cond, F.lit(False)))
+
+
+def _money(name: str, when: Column | None = None) -> Column:
+    v = F.col(name).cast("decimal(38,2)")
+    return F.sum(v if when is None else F.when(when, v))
+
+
+def _lob(info: RunInfo) -> dict[str, Column]:
+    line = F.col("BUS_LINE_CD")
+    named = {g: F.coalesce(line.isin(list(v)), F.lit(False)) for g, v in
+             ((g, info.lob_groups.get(g, ())) for g in ("medicaid", "commercial"))}
+    return named | {"other_lob": ~named["medicaid"] & ~named["commercial"]}
+
+
+def member_metrics(ps: DataFrame, info: RunInfo) -> list[DataFrame]:
+    """Members (two aggregates: by member, then over members) and distinct values."""
+    yr, months = F.col("STUDY_YR"), F.col("MEMBER_MONTHS").cast("long")
+    each = ps.groupBy("INDV_ID").agg(
+        F.max(yr == "Previous").alias("prev"), F.max(yr == "Current").alias("cur"), F.sum(months).alias("mm"),
+        F.sum(F.when(yr == "Previous", months)).alias("mm_prev"), F.sum(F.when(yr == "Current", months)).alias("mm_cur"),
+        F.max(F.col("GENDER") == "M").alias("g_m"), F.max(F.col("GENDER") == "F").alias("g_f"),
+        F.max(F.col("GENDER").isNull()).alias("g_u"), F.max(F.col("BTH_DT").isNull()).alias("no_birth"),
+        F.max(F.col("PRDCT_CD").isNull()).alias("no_lob"), *[F.max(v).alias(f"lob_{g}") for g, v in _lob(info).items()])
+    c = F.col
+    members = each.agg(
+        F.count(F.lit(1)).alias("total_members_enrolled"), F.sum("mm").alias("total_member_months"),
+        _count(c("prev")).alias("members_previous_period"), _count(c("cur")).alias("members_current_period"),
+        F.sum("mm_prev").alias("member_months_previous"), F.sum("mm_cur").alias("member_months_current"),
+        _count(c("g_m")).alias("members_by_gender_m"), _count(c("g_f")).alias("members_by_gender_f"),
+        _count(c("g_u")).alias("members_by_gender_unknown"), _count(c("no_birth")).alias("members_with_null_birth_date"),
+        _count(c("g_u")).alias("members_with_null_gender"), _count(c("no_lob")).alias("members_with_missing_lob"),
+        *[_count(c(f"lob_{g}")).alias(f"member_count_{g}") for g in _lob(info)])
+    values = ps.agg(F.count_distinct("STATE").alias("unique_states_count"),
+                    F.count_distinct("BUS_LINE_CD").alias("unique_business_lines_count"),
+                    F.count_distinct("PRDCT_CD").alias("unique_product_codes_count"))
+    return [members, values]
+
+
+def newborn_metrics(run: EpisodeRun, info: RunInfo, cfg: ClaimsConfig) -> list[DataFrame]:
+    nb, c = run.ident.newborns, F.col
+    main = nb.agg(
+        F.count(F.lit(1)).alias("total_newborns_identified"),
+        _count(c("STUDY_YR") == "Previous").alias("newborns_previous_period"),
+        _count(c("STUDY_YR") == "Current").alias("newborns_current_period"),
+        _count(c("BIRTH_TYPE") == "Single").alias("newborns_single_birth"),
+        _count(c("BIRTH_TYPE") == "Twin").alias("newborns_twin_birth"),
+        _count(c("BIRTH_TYPE") == "Multiple").alias("newborns_multiple_birth"),
+        _count(c("BABY_TYPE") == "Normal Newborn").alias("newborns_normal"),
+        _count(c("BABY_TYPE") == "NICU").alias("newborns_with_any_nicu"),
+        _count(c("STAY_TYPE") == "Short Stay").alias("newborns_short_stay"),
+        _count(c("STAY_TYPE") == "Long Stay").alias("newborns_long_stay"),
+        _count(F.datediff("ADMIT", "DELIVERY_DT") <= cfg.init_hosp_threshold_days).alias("newborns_admitted_in_init_days"),
+        F.sum(c("LOS").cast("long")).alias("total_newborn_los_days"), _money("NET_PD_AMT").alias("_nb_paid"),
+        *[_count(v).alias(f"newborns_{g}") for g, v in _lob(info).items()])
+    again = readmissions(nb.select(*STAY_KEYS).distinct(), run.hosp, cfg).agg(
+        F.count(F.lit(1)).alias("newborns_with_readmission"),
+        F.coalesce(F.sum("READMIT"), F.lit(0)).alias("total_readmissions_count"),
+        _money("READMIT_PAID_AMT").alias("_readmit_paid"),
+        F.coalesce(F.sum("READMIT_LOS"), F.lit(0)).alias("total_readmission_los_days"))
+    clipped = nb.join(run.hosp.filter(c("OUT_END_DATE") == 1).select(*STAY_KEYS).distinct(), STAY_KEYS, "left_semi").agg(
+        F.count(F.lit(1)).alias("newborns_discharge_clipped"))
+    how = run.newborns_pre.agg(*[_count(c(f"HAS_NICU_{k.upper()}") == 1).alias(f"nicu_identified_by_{k}")
+                                 for k in ("rev", "msdrg", "aprdrg")])
+    return [main, again, clipped, how]
+
+
+def stay_metrics(run: EpisodeRun) -> list[DataFrame]:
+    c = F.col
+    hosp = run.hosp.agg(
+        F.count(F.lit(1)).alias("total_hospital_episodes"), F.count(F.lit(1)).alias("total_hospital_episodes_created"),
+        F.count_distinct("INDV_ID").alias("newborns_with_hospital_stay"), _count(c("LOS") < 1).alias("episodes_with_los_lt_1"),
+        F.sum(c("OUT_END_DATE").cast("long")).alias("episodes_discharge_clipped"), F.sum(c("LOS").cast("long")).alias("_hosp_los"),
+        _count(F.datediff("ADMIT", "DELIVERY_DT") > 0).alias("episodes_with_admit_gap"))
+    lines = run.ident.claim_base.agg(F.count(F.lit(1)).alias("_cb_claims"))
+    return [hosp, lines]
+
+
+def nicu_metrics(run: EpisodeRun, info: RunInfo, cfg: ClaimsConfig, cut) -> list[DataFrame]:
+    c = F.col
+    nicu = cut(run.nicu_rollup)
+    money = {"_nicu_cost": "TOTAL_NICU_COST", "_prof": "ALL_PROFFEE", "_man": "MANAGEABLE_PROFFEE",
+             "_crit": "CRITICAL_CARE_PROFFEE", "_fac": "ALL_FACILITY_COST", "_room": "FACILITY_RM_COST", "_nicu_readmit": "READMIT_PAID_AMT"}
+    levels = {1: ("170", "171", "172", "173"), 2: ("174", "175"), 3: ("176", "177"), 4: ("178", "179")}
+    los = c("LOS").cast("long")
+    main = nicu.agg(
+        F.count(F.lit(1)).alias("total_nicu_episodes"),
+        _count(c("STUDY_YR") == "Previous").alias("nicu_episodes_previous"), _count(c("STUDY_YR") == "Current").alias("nicu_episodes_current"),
+        _count(c("BIRTH_TYPE") == "Single").alias("nicu_single_birth"), _count(c("BIRTH_TYPE") == "Twin").alias("nicu_twin_birth"),
+        _count(c("BIRTH_TYPE") == "Multiple").alias("nicu_multiple_birth"),
+        _count(c("CONTRACT") == "DRG").alias("nicu_drg_contract"), _count(c("CONTRACT") == "Per-Diem").alias("nicu_per_diem_contract"),
+        F.count_if(~F.coalesce(c("CONTRACT").isin("DRG", "Per-Diem"), F.lit(False))).alias("nicu_other_contract"),
+        F.sum(los).alias("total_nicu_los_days"), F.median(los.cast("double")).alias("median_nicu_los_days"),
+        F.max(los).alias("max_nicu_los_days"), F.min(los).alias("min_nicu_los_days"),
+        F.max(c("TOTAL_NICU_COST").cast("decimal(38,2)")).cast("double").alias("max_nicu_cost_per_episode"),
+        *[_money(v).alias(k) for k, v in money.items()],
+        _count(c("REV_LEVELING")).alias("nicu_episodes_with_rev_leveling"),
+        *[_count(c("FINAL_REV_CD").isin(*v)).alias(f"nicu_rev_level_{k}") for k, v in levels.items()],
+        _count(c("FINAL_REV_CD").isNull()).alias("nicu_rev_unknown"),
+        _count(c("READMIT") > 0).alias("nicu_episodes_with_readmit"), F.sum(c("READMIT").cast("long")).alias("total_nicu_readmissions"),
+        F.sum(c("READMIT_LOS").cast("long")).alias("total_nicu_readmit_los_days"),
+        _count(c("LOW_PAID_NICU")).alias("nicu_low_paid_cases"),
+        _money("TOTAL_NICU_COST", c("LOW_PAID_NICU")).cast("double").alias("total_low_paid_nicu_cost"),
+        _count(c("INAPPROPRIATE_NICU")).alias("nicu_inappropriate_cases"),
+        _money("TOTAL_NICU_COST", c("INAPPROPRIATE_NICU")).cast("double").alias("total_inappropriate_nicu_cost"),
+        _count(c("PROVID").isNotNull()).alias("nicu_episodes_with_npi"), _count(c("PROV_TIN").isNotNull()).alias("nicu_episodes_with_tin"),
+        _count(c("BW_CAT").isNull()).alias("nicu_birth_weight_unknown"), _count(c("GA_CAT").isNull()).alias("nicu_gest_age_unknown"),
+        *[_count(c("BW_CAT") == v).alias(f"nicu_birth_weight_{k}") for k, v in info.weight_labels.items()],
+        *[_count(c("GA_CAT") == v).alias(f"nicu_gest_age_{k}") for k, v in info.age_labels.items()])
+    providers = nicu.agg(F.count_distinct("PROVID").alias("unique_nicu_providers_npi"),
+                         F.count_distinct("PROV_TIN").alias("unique_nicu_providers_tin"),
+                         F.count_distinct("PROV_STATE").alias("unique_nicu_provider_states"))
+    days = stay_fee_features(run.nicu_claims.claims, cfg).agg(
+        F.sum("MANAGEABLE_SVC_DAYS").alias("total_manageable_service_days"),
+        F.sum("CRITICAL_CARE_DAYS").alias("total_critical_care_service_days"))
+    # Last discharge status per stay, grouped with the pipeline's meaning of the codes (20 = death, 01/06 = home).
+    sts = c("LAST_DISCHARGE_STATUS")
+    known = F.coalesce(sts.isin(*K.DISCHARGE_STATUS_HOME, K.DISCHARGE_STATUS_DEATH, *K.DISCHARGE_STATUS_TRANSFERS), F.lit(False))
+    invalid = classify.discharge_rank_expr("LAST_DISCHARGE_STATUS") == 9
+    discharge = run.nicu_claims.last_status.agg(
+        _count(sts.isin(*K.DISCHARGE_STATUS_HOME)).alias("nicu_discharge_routine"),
+        _count(sts.isin(*K.DISCHARGE_STATUS_TRANSFERS)).alias("nicu_discharge_transfer"),
+        _count(sts == K.DISCHARGE_STATUS_DEATH).alias("nicu_discharge_expired"),
+        _count(~known & ~invalid).alias("nicu_discharge_other"), _count(~known & invalid).alias("nicu_discharge_invalid"))
+    # Money median: exact and distributed (see exact_median).
+    median = exact_median(nicu.select((c("TOTAL_NICU_COST") * 100).cast("bigint").alias("_c")), [], "_c", "_m").select(
+        (c("_m") / 100.0).alias("median_nicu_cost_per_episode"))
+    return [main, providers, days, discharge, median]
+
+
+def claim_metrics(tagged: DataFrame, cfg: ClaimsConfig) -> list[DataFrame]:
+    c = F.col
+    return [tagged.agg(
+        F.count(F.lit(1)).alias("total_claims_processed"),
+        _count(c("CLAIM_TYPE") == "IP").alias("total_ip_claims"), _count(c("CLAIM_TYPE") == "OP").alias("total_op_claims"),
+        _count(c("NET_PD_AMT") > cfg.high_cost_threshold).alias("claims_excluded_high_cost"),
+        _count(c("DIAG_1_CD").isNull()).alias("claims_with_null_diagnosis"),
+        *[_count(c(f.upper())).alias(f"claims_matched_{f}") for f in ("newborn_icd", "newborn_rev", "nicu_rev", "nicu_msdrg", "nicu_aprdrg")])]
+
+
+def run_metrics(run: EpisodeRun, ps_membership: DataFrame, w: StudyWindow, cfg: ClaimsConfig, info: RunInfo, cut=None) -> DataFrame:
+    """One history row with every declared metric.
+
+    ``cut`` stores the frames that are read several times (default: the
+    shared checkpoint folder)."""
+    cut = cut or materialize
+    parts = [*member_metrics(cut(ps_membership), info), *newborn_metrics(run, info, cfg), *stay_metrics(run),
+             *nicu_metrics(run, info, cfg, cut), *claim_metrics(run.tagged, cfg)]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    row = rows.agg(*[F.max(x).alias(x) for x in rows.columns])
     C = F.col
+    text = lambda v: F.lit(v).cast("string")
+    episodes, newborns, stays = C("total_nicu_episodes"), C("total_newborns_identified"), C("total_hospital_episodes")
     out = row.select(
-        F.lit(run_id).alias("run_id"), F.lit(run_date).cast("date").alias("run_date"), F.lit(client).alias("client_name"),
+        text(info.run_id).alias("run_id"), F.lit(info.run_date).cast("date").alias("run_date"), text(info.client).alias("client_name"),
+        F.lit(info.etl_timestamp).cast("timestamp").alias("etl_timestamp"),
         lit_date(w.start).alias("birth_window_start"), lit_date(w.mid).alias("birth_window_mid"),
         lit_date(w.end).alias("birth_window_end"), lit_date(w.runout_end).alias("runout_end_date"),
-        "*",
+        F.lit(info.data_cutoff_date).cast("date").alias("data_cutoff_date"),
+        *[C(x) for x in rows.columns],
         _avg(C("total_member_months"), C("total_members_enrolled")).alias("avg_member_months_per_member"),
-        _pct_h(C("total_nicu_episodes"), C("total_newborns_identified")).alias("nicu_rate_pct"),
-        C("_nb_paid").cast("double").alias("total_newborn_paid_amt"),
-        _avg(C("_nb_paid"), C("total_newborns_identified")).alias("avg_newborn_paid_amt"),
-        _avg(C("total_newborn_los_days"), C("total_newborns_identified")).alias("avg_newborn_los_days"),
-        _avg(C("total_hospital_episodes"), C("total_newborns_identified")).alias("avg_episodes_per_newborn"),
-        _pct_h(C("episodes_discharge_clipped"), C("total_hospital_episodes")).alias("pct_episodes_discharge_clipped"),
-        _avg(C("_hosp_los"), C("total_hospital_episodes")).alias("avg_los_all_episodes"),
-        _avg(C("_cb_claims"), C("total_hospital_episodes")).alias("avg_claims_per_episode"),
-        _avg(C("total_nicu_los_days"), C("total_nicu_episodes")).alias("avg_nicu_los_days"),
-        C("_nicu_cost").cast("double").alias("total_nicu_cost"),
-        _avg(C("_nicu_cost"), C("total_nicu_episodes")).alias("avg_nicu_cost_per_episode"),
+        _pct_h(episodes, newborns).alias("nicu_rate_pct"),
+        _pct_h(C("newborns_admitted_in_init_days"), newborns).alias("pct_admitted_in_init_days"),
+        C("_nb_paid").cast("double").alias("total_newborn_paid_amt"), _avg(C("_nb_paid"), newborns).alias("avg_newborn_paid_amt"),
+        _avg(C("total_newborn_los_days"), newborns).alias("avg_newborn_los_days"), _avg(stays, newborns).alias("avg_episodes_per_newborn"),
+        C("_readmit_paid").cast("double").alias("total_readmission_paid_amt"),
+        _avg(C("_readmit_paid"), C("total_readmissions_count")).alias("avg_readmission_paid_amt"),
+        _pct_h(C("episodes_discharge_clipped"), stays).alias("pct_episodes_discharge_clipped"),
+        _avg(C("_hosp_los"), stays).alias("avg_los_all_episodes"), _avg(C("_cb_claims"), stays).alias("avg_claims_per_episode"),
+        _avg(C("total_nicu_los_days"), episodes).alias("avg_nicu_los_days"),
+        C("_nicu_cost").cast("double").alias("total_nicu_cost"), _avg(C("_nicu_cost"), episodes).alias("avg_nicu_cost_per_episode"),
         _avg(C("_nicu_cost"), C("total_nicu_los_days")).alias("avg_nicu_cost_per_day"),
-        C("_prof").cast("double").alias("total_professional_fees"),
-        _avg(C("_prof"), C("total_nicu_episodes")).alias("avg_professional_fees"),
+        C("_prof").cast("double").alias("total_professional_fees"), _avg(C("_prof"), episodes).alias("avg_professional_fees"),
         _pct_h(_cents(C("_prof")), _cents(C("_nicu_cost"))).alias("pct_professional_fees"),
-        C("_man").cast("double").alias("total_manageable_proffee"),
-        C("_crit").cast("double").alias("total_critical_care_proffee"),
-        C("_fac").cast("double").alias("total_facility_cost"),
+        C("_man").cast("double").alias("total_manageable_proffee"), _avg(C("_man"), episodes).alias("avg_manageable_proffee"),
+        C("_crit").cast("double").alias("total_critical_care_proffee"), _avg(C("_crit"), episodes).alias("avg_critical_care_proffee"),
+        C("_fac").cast("double").alias("total_facility_cost"), _avg(C("_fac"), episodes).alias("avg_facility_cost"),
         _pct_h(_cents(C("_fac")), _cents(C("_nicu_cost"))).alias("pct_facility_cost"),
-        C("_room").cast("double").alias("total_facility_room_cost"),
-        _pct_h(C("nicu_episodes_with_rev_leveling"), C("total_nicu_episodes")).alias("pct_episodes_with_rev_leveling"),
-        _pct_h(C("nicu_low_paid_cases"), C("total_nicu_episodes")).alias("pct_nicu_low_paid"),
-        _pct_h(C("nicu_inappropriate_cases"), C("total_nicu_episodes")).alias("pct_nicu_inappropriate"),
+        C("_room").cast("double").alias("total_facility_room_cost"), _avg(C("_room"), episodes).alias("avg_facility_room_cost"),
+        _pct_h(_cents(C("_room")), _cents(C("_fac"))).alias("pct_room_of_facility"),
+        _pct_h(C("nicu_episodes_with_rev_leveling"), episodes).alias("pct_episodes_with_rev_leveling"),
+        C("_nicu_readmit").cast("double").alias("total_nicu_readmit_paid_amt"),
+        _avg(C("_nicu_readmit"), C("total_nicu_readmissions")).alias("avg_nicu_readmit_paid_amt"),
+        _pct_h(C("nicu_episodes_with_npi"), episodes).alias("pct_nicu_episodes_with_provider"),
+        _pct_h(C("nicu_low_paid_cases"), episodes).alias("pct_nicu_low_paid"),
+        _pct_h(C("nicu_inappropriate_cases"), episodes).alias("pct_nicu_inappropriate"),
         _pct_h(C("claims_with_null_diagnosis"), C("total_claims_processed")).alias("pct_claims_null_diagnosis"),
-        _pct_h(C("newborns_previous_period"), C("total_newborns_identified")).alias("pct_previous_period"),
-        _pct_h(C("newborns_current_period"), C("total_newborns_identified")).alias("pct_current_period"),
-        F.lit(cfg.config_hash()).alias("config_hash"),
-    ).drop("_nb_paid", "_hosp_los", "_nicu_cost", "_prof", "_man", "_crit", "_fac", "_room", "_cb_claims")
-    # Money median: exact and distributed (see exact_median); one row, attached by
-    # a broadcast join on a constant key (1 x 1 rows).
-    med = exact_median(run.nicu_rollup.select((F.col("TOTAL_NICU_COST") * 100).cast("bigint").alias("_c")), [], "_c", "_m")
-    med = med.select(F.lit(0).alias("_g"), (F.col("_m") / 100.0).alias("median_nicu_cost_per_episode"))
-    return (out.withColumn("_g", F.lit(0)).join(F.broadcast(med), "_g", "left").drop("_g"))
+        _pct_h(C("newborns_previous_period"), newborns).alias("pct_previous_period"),
+        _pct_h(C("newborns_current_period"), newborns).alias("pct_current_period"),
+        F.lit(cfg.config_hash()).alias("config_hash"), text(info.pipeline_version).alias("pipeline_version"),
+        text(info.data_source_version).alias("data_source_version"), text(info.sql_engine).alias("sql_engine"),
+        F.lit(info.processing_duration_seconds).cast("long").alias("processing_duration_seconds"),
+        F.lit(info.data_quality_score).cast("double").alias("data_quality_score"), text(info.notes).alias("notes"),
+        text(info.created_by).alias("created_by"))
+    return out.drop(*[x for x in out.columns if x.startswith("_")])
 
 
 def metrics_checks(history: DataFrame) -> DataFrame:
@@ -263,3 +290,13 @@ def trend_query(history: DataFrame, client: str) -> DataFrame:
                     "total_newborns_identified", "total_nicu_episodes", "nicu_rate_pct",
                     "avg_nicu_cost_per_episode", "avg_nicu_los_days", "pct_nicu_inappropriate", "pct_nicu_low_paid")
             .orderBy(F.col("run_date").desc()))
+
+
+def metrics_job(run: EpisodeRun, ps_membership: DataFrame, w: StudyWindow, cfg: ClaimsConfig, info: RunInfo,
+                history_path: str) -> dict[str, DataFrame]:
+    """Append the run's row to the history, and return history, checks, trend and period comparison over it."""
+    spark = ps_membership.sparkSession
+    run_metrics(run, ps_membership, w, cfg, info).write.mode("append").parquet(history_path)
+    history = spark.read.parquet(history_path)
+    return {"history": history, "checks": metrics_checks(history), "trend": trend_query(history, info.client),
+            "compare": period_compare(history)}

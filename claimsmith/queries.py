@@ -9,7 +9,7 @@ bigint) so they compare cleanly with the SQL oracle.
 from __future__ import annotations
 
 import datetime as dt
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +38,9 @@ CFG = ClaimsConfig()
 W = FIXTURE_WINDOW
 SOS_START, SOS_END = dt.date(2000, 8, 1), dt.date(2001, 7, 31)
 AMT = "ALLW_AMT"
+RUN_INFO = M.RunInfo("run-0001", "DEMO", FIXTURE_AS_OF, dt.datetime(2001, 12, 31, 6), W.runout_end,
+                     {"medicaid": ("AUTOMOBILE",), "commercial": ("BUILDING", "FURNITURE")},
+                     pipeline_version="2", data_source_version="fixtures", created_by="claimsmith")
 REQUEST_FLAGS = [p[2] for p in FX.REQUEST_PRODUCTS]
 
 
@@ -119,7 +122,7 @@ class Ctx:
 
     @cached_property
     def history(self):
-        return M.run_metrics(self.run, self.ps, W, CFG, "run-0001", "DEMO", FIXTURE_AS_OF)
+        return SK.materialize(M.run_metrics(self.run, self.ps, W, CFG, RUN_INFO))  # one row
 
 
 def _stay_intervals(ctx: Ctx) -> DataFrame:
@@ -542,8 +545,14 @@ def q_run_metrics(ctx):
     return ctx.history
 
 
+def _faulty_history(ctx):
+    """The run's row twice, and an earlier run whose rate left its range."""
+    earlier = ctx.history.withColumn("run_id", F.lit("run-0000")).withColumn("nicu_rate_pct", F.col("nicu_rate_pct") + 100.5)
+    return ctx.history.unionByName(ctx.history).unionByName(earlier)
+
+
 def q_metrics_checks(ctx):
-    return M.metrics_checks(ctx.history)
+    return M.metrics_checks(_faulty_history(ctx))
 
 
 # 2.6 windows
@@ -818,7 +827,18 @@ def q_qa_report(ctx):
 
 
 def q_metrics_job(ctx):
-    return M.period_compare(ctx.history)
+    """Two loads of one run id into a history: rows, violations, trend and comparison of the job."""
+    path = scratch_dir(ctx.spark, "history")
+    ctx.history.write.mode("append").parquet(path)
+    job = M.metrics_job(ctx.run, ctx.ps, W, CFG, RUN_INFO, path)
+    history = job["history"].select("run_id", "client_name", "run_date", F.col("total_newborns_identified").alias("newborns"),
+                                    F.col("total_nicu_episodes").alias("nicu_episodes"), "nicu_rate_pct")
+    trend = job["trend"].select("client_name", "run_date", F.col("total_newborns_identified").alias("newborns"),
+                                F.col("total_nicu_episodes").alias("nicu_episodes"), "nicu_rate_pct")
+    parts = [history, job["checks"], trend, job["compare"]]
+    out = [p.withColumn("section", F.lit(n)) for n, p in zip(("history", "checks", "trend", "compare"), parts)]
+    cols = ["section", "run_id", "client_name", "run_date", "period", "newborns", "nicu_episodes", "nicu_rate_pct", "violation"]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out).select(*cols)
 
 
 # Generic (column-parametrised) uses on the plain tables.

@@ -96,13 +96,17 @@ RUN_METRICS = f"""(WITH mm AS (
     sum(MEMBER_MONTHS) AS MM, sum(CASE WHEN STUDY_YR = 'Previous' THEN MEMBER_MONTHS END) AS MM_PREV,
     sum(CASE WHEN STUDY_YR = 'Current' THEN MEMBER_MONTHS END) AS MM_CUR,
     bool_or(GENDER = 'M') AS G_M, bool_or(GENDER = 'F') AS G_F, bool_or(GENDER IS NULL) AS G_U,
-    bool_or(BTH_DT IS NULL) AS NULL_BTH, bool_or(PRDCT_CD IS NULL) AS NULL_LOB FROM ps_membership GROUP BY INDV_ID),
+    bool_or(BTH_DT IS NULL) AS NULL_BTH, bool_or(PRDCT_CD IS NULL) AS NULL_LOB,
+    bool_or(BUS_LINE_CD = 'AUTOMOBILE') AS L_MED, bool_or(BUS_LINE_CD IN ('BUILDING', 'FURNITURE')) AS L_COM,
+    bool_or(BUS_LINE_CD IS NULL OR BUS_LINE_CD NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE')) AS L_OTH
+    FROM ps_membership GROUP BY INDV_ID),
  m AS (SELECT count(*) AS total_members_enrolled, CAST(sum(MM) AS BIGINT) AS total_member_months,
     count_if(IN_PREV) AS members_previous_period, count_if(IN_CUR) AS members_current_period,
     CAST(sum(MM_PREV) AS BIGINT) AS member_months_previous, CAST(sum(MM_CUR) AS BIGINT) AS member_months_current,
     count_if(G_M) AS members_by_gender_m, count_if(G_F) AS members_by_gender_f, count_if(G_U) AS members_by_gender_unknown,
     count_if(NULL_BTH) AS members_with_null_birth_date, count_if(G_U) AS members_with_null_gender,
-    count_if(NULL_LOB) AS members_with_missing_lob,
+    count_if(NULL_LOB) AS members_with_missing_lob, count_if(L_MED) AS member_count_medicaid,
+    count_if(L_COM) AS member_count_commercial, count_if(L_OTH) AS member_count_other_lob,
     (SELECT count(DISTINCT STATE) FROM ps_membership) AS unique_states_count,
     (SELECT count(DISTINCT BUS_LINE_CD) FROM ps_membership) AS unique_business_lines_count,
     (SELECT count(DISTINCT PRDCT_CD) FROM ps_membership) AS unique_product_codes_count FROM mm),
@@ -112,10 +116,25 @@ RUN_METRICS = f"""(WITH mm AS (
     count_if(BIRTH_TYPE = 'Multiple') AS newborns_multiple_birth, count_if(BABY_TYPE = 'Normal Newborn') AS newborns_normal,
     count_if(BABY_TYPE = 'NICU') AS newborns_with_any_nicu, count_if(STAY_TYPE = 'Short Stay') AS newborns_short_stay,
     count_if(STAY_TYPE = 'Long Stay') AS newborns_long_stay, CAST(sum(LOS) AS BIGINT) AS total_newborn_los_days,
-    sum(NET_PD_AMT) AS nb_paid FROM newborn_ident),
+    sum(NET_PD_AMT) AS nb_paid, count_if(BUS_LINE_CD = 'AUTOMOBILE') AS newborns_medicaid,
+    count_if(BUS_LINE_CD IN ('BUILDING', 'FURNITURE')) AS newborns_commercial,
+    count_if(BUS_LINE_CD IS NULL OR BUS_LINE_CD NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE')) AS newborns_other_lob,
+    count_if(date_diff('day', DELIVERY_DT, ADMIT) <= 4) AS newborns_admitted_in_init_days,
+    count_if(EXISTS (SELECT 1 FROM hosp h WHERE h.INDV_ID = n.INDV_ID AND h.ADMIT = n.ADMIT AND h.DSCHRG = n.DSCHRG
+                     AND h.OUT_END_DATE = 1)) AS newborns_discharge_clipped FROM newborn_ident n),
+ nr AS (SELECT count(*) AS newborns_with_readmission, CAST(coalesce(sum(n), 0) AS BIGINT) AS total_readmissions_count,
+    sum(paid) AS nb_readm, CAST(coalesce(sum(days), 0) AS BIGINT) AS total_readmission_los_days FROM (
+      SELECT n.INDV_ID, n.ADMIT, n.DSCHRG, count(DISTINCT h.ADMIT) AS n, sum(h.PAID_AMT) AS paid, sum(h.LOS) AS days
+      FROM (SELECT DISTINCT INDV_ID, ADMIT, DSCHRG FROM newborn_ident) n JOIN hosp h ON n.INDV_ID = h.INDV_ID
+      WHERE h.ADMIT > n.DSCHRG AND date_diff('day', n.DSCHRG, h.ADMIT) <= 30 GROUP BY ALL)),
+ how AS (SELECT count_if(HAS_NICU_REV = 1) AS nicu_identified_by_rev, count_if(HAS_NICU_MSDRG = 1) AS nicu_identified_by_msdrg,
+    count_if(HAS_NICU_APRDRG = 1) AS nicu_identified_by_aprdrg FROM newborns_pre),
+ svc AS (SELECT (SELECT CAST(sum(MANAGEABLE_SVC_DAYS) AS BIGINT) FROM man_aggs) AS total_manageable_service_days,
+    (SELECT CAST(sum(CRITICAL_CARE_DAYS) AS BIGINT) FROM crit_aggs) AS total_critical_care_service_days),
  hs AS (SELECT count(*) AS total_hospital_episodes, CAST(sum(OUT_END_DATE) AS BIGINT) AS episodes_discharge_clipped,
     CAST(sum(LOS) AS BIGINT) AS hosp_los, count(DISTINCT INDV_ID) AS newborns_with_hospital_stay,
     count(*) AS total_hospital_episodes_created, count_if(LOS < 1) AS episodes_with_los_lt_1,
+    count_if(date_diff('day', DELIVERY_DT, ADMIT) > 0) AS episodes_with_admit_gap,
     (SELECT count(*) FROM claim_base) AS cb_claims FROM hosp),
  dsc AS (SELECT count_if(LAST_DISCHARGE_STATUS IN ('01', '06')) AS nicu_discharge_routine,
     count_if(LAST_DISCHARGE_STATUS IN ('02','05','66','43','62','63','65')) AS nicu_discharge_transfer,
@@ -129,7 +148,8 @@ RUN_METRICS = f"""(WITH mm AS (
     count_if(STUDY_YR = 'Previous') AS nicu_episodes_previous, count_if(STUDY_YR = 'Current') AS nicu_episodes_current,
     count_if(BIRTH_TYPE = 'Single') AS nicu_single_birth, count_if(BIRTH_TYPE = 'Twin') AS nicu_twin_birth,
     count_if(BIRTH_TYPE = 'Multiple') AS nicu_multiple_birth, count_if(CONTRACT = 'DRG') AS nicu_drg_contract,
-    count_if(CONTRACT = 'Per-Diem') AS nicu_per_diem_contract, CAST(sum(LOS) AS BIGINT) AS total_nicu_los_days,
+    count_if(CONTRACT = 'Per-Diem') AS nicu_per_diem_contract,
+    count_if(CONTRACT IS NULL OR CONTRACT NOT IN ('DRG', 'Per-Diem')) AS nicu_other_contract, CAST(sum(LOS) AS BIGINT) AS total_nicu_los_days,
     median(CAST(LOS AS DOUBLE)) AS median_nicu_los_days, CAST(max(LOS) AS BIGINT) AS max_nicu_los_days,
     CAST(min(LOS) AS BIGINT) AS min_nicu_los_days, sum(TOTAL_NICU_COST) AS nicu_cost,
     median(CAST(TOTAL_NICU_COST * 100 AS BIGINT)) / 100.0 AS median_nicu_cost_per_episode,
@@ -142,7 +162,7 @@ RUN_METRICS = f"""(WITH mm AS (
     count_if(FINAL_REV_CD IN ('176', '177')) AS nicu_rev_level_3,
     count_if(FINAL_REV_CD IN ('178', '179')) AS nicu_rev_level_4, count_if(FINAL_REV_CD IS NULL) AS nicu_rev_unknown,
     count_if(READMIT > 0) AS nicu_episodes_with_readmit, CAST(sum(READMIT) AS BIGINT) AS total_nicu_readmissions,
-    CAST(sum(READMIT_PAID_AMT) AS DOUBLE) AS total_nicu_readmit_paid_amt,
+    sum(READMIT_PAID_AMT) AS readm_paid,
     CAST(sum(READMIT_LOS) AS BIGINT) AS total_nicu_readmit_los_days,
     count_if(LOW_PAID_NICU) AS nicu_low_paid_cases,
     CAST(sum(CASE WHEN LOW_PAID_NICU THEN TOTAL_NICU_COST END) AS DOUBLE) AS total_low_paid_nicu_cost,
@@ -153,7 +173,10 @@ RUN_METRICS = f"""(WITH mm AS (
     count(DISTINCT PROV_STATE) AS unique_nicu_provider_states,
     count_if(BW_CAT IS NULL) AS nicu_birth_weight_unknown, count_if(BW_CAT = 'Low') AS nicu_birth_weight_low,
     count_if(BW_CAT = 'Very Low') AS nicu_birth_weight_very_low, count_if(GA_CAT IS NULL) AS nicu_gest_age_unknown,
-    count_if(GA_CAT = 'Preterm') AS nicu_gest_age_preterm FROM nicu_rollup),
+    count_if(GA_CAT = 'Preterm') AS nicu_gest_age_preterm, count_if(BW_CAT = 'Normal') AS nicu_birth_weight_normal,
+    count_if(BW_CAT = 'Extremely Low') AS nicu_birth_weight_extremely_low, count_if(GA_CAT = 'Term') AS nicu_gest_age_term,
+    count_if(GA_CAT = 'Very Preterm') AS nicu_gest_age_very_preterm,
+    count_if(GA_CAT = 'Extremely Preterm') AS nicu_gest_age_extremely_preterm FROM nicu_rollup),
  cl AS (SELECT count(*) AS total_claims_processed, count_if(CLAIM_TYPE = 'IP') AS total_ip_claims,
     count_if(CLAIM_TYPE = 'OP') AS total_op_claims, count_if(NET_PD_AMT > 500000) AS claims_excluded_high_cost,
     count_if(DIAG_1_CD IS NULL) AS claims_with_null_diagnosis, count_if(NEWBORN_ICD) AS claims_matched_newborn_icd,
@@ -162,7 +185,18 @@ RUN_METRICS = f"""(WITH mm AS (
  SELECT 'run-0001' AS run_id, DATE '2001-12-31' AS run_date, 'DEMO' AS client_name,
    DATE '1999-08-01' AS birth_window_start, DATE '2000-08-01' AS birth_window_mid,
    DATE '2001-07-31' AS birth_window_end, DATE '2001-10-31' AS runout_end_date,
-   m.*, nb.* EXCLUDE (nb_paid), hs.* EXCLUDE (hosp_los, cb_claims), nc.* EXCLUDE (nicu_cost, prof, man, crit, fac, room), cl.*,
+   TIMESTAMP '2001-12-31 06:00:00' AS etl_timestamp, DATE '2001-10-31' AS data_cutoff_date, '2' AS pipeline_version,
+   'fixtures' AS data_source_version, 'spark' AS sql_engine, CAST(NULL AS BIGINT) AS processing_duration_seconds,
+   CAST(NULL AS DOUBLE) AS data_quality_score, CAST(NULL AS VARCHAR) AS notes, 'claimsmith' AS created_by,
+   m.*, nb.* EXCLUDE (nb_paid), nr.* EXCLUDE (nb_readm), how.*, svc.*, hs.* EXCLUDE (hosp_los, cb_claims),
+   nc.* EXCLUDE (nicu_cost, prof, man, crit, fac, room, readm_paid), cl.*,
+   {pct_h_sql('newborns_admitted_in_init_days', 'total_newborns_identified')} AS pct_admitted_in_init_days,
+   CAST(nb_readm AS DOUBLE) AS total_readmission_paid_amt, {avg_sql('nb_readm', 'total_readmissions_count')} AS avg_readmission_paid_amt,
+   CAST(readm_paid AS DOUBLE) AS total_nicu_readmit_paid_amt, {avg_sql('readm_paid', 'total_nicu_readmissions')} AS avg_nicu_readmit_paid_amt,
+   {avg_sql('man', 'total_nicu_episodes')} AS avg_manageable_proffee, {avg_sql('crit', 'total_nicu_episodes')} AS avg_critical_care_proffee,
+   {avg_sql('fac', 'total_nicu_episodes')} AS avg_facility_cost, {avg_sql('room', 'total_nicu_episodes')} AS avg_facility_room_cost,
+   {pct_h_sql('CAST(room * 100 AS BIGINT)', 'CAST(fac * 100 AS BIGINT)')} AS pct_room_of_facility,
+   {pct_h_sql('nicu_episodes_with_npi', 'total_nicu_episodes')} AS pct_nicu_episodes_with_provider,
    dsc.*, {avg_sql('cb_claims', 'total_hospital_episodes')} AS avg_claims_per_episode,
    {avg_sql('total_member_months', 'total_members_enrolled')} AS avg_member_months_per_member,
    {pct_h_sql('total_nicu_episodes', 'total_newborns_identified')} AS nicu_rate_pct,
@@ -190,7 +224,7 @@ RUN_METRICS = f"""(WITH mm AS (
    {pct_h_sql('newborns_previous_period', 'total_newborns_identified')} AS pct_previous_period,
    {pct_h_sql('newborns_current_period', 'total_newborns_identified')} AS pct_current_period,
    '{_CFG_HASH}' AS config_hash
- FROM m, nb, hs, nc, cl, dsc)"""
+ FROM m, nb, nr, how, svc, hs, nc, cl, dsc)"""
 
 BODIES = {
     # 2.1 sources
@@ -343,9 +377,9 @@ BODIES = {
         count(DISTINCT PRODUCT) AS DISTINCT_PRODUCTS, min(REQUEST_DATE) AS MIN_DATE, max(REQUEST_DATE) AS MAX_DATE
       FROM req_metrics""",
     "run_metrics": f"SELECT * FROM {RUN_METRICS}",
-    "metrics_checks": f"""SELECT run_id, client_name, 'PERCENT_RANGE' AS violation FROM {RUN_METRICS}
-        WHERE NOT (nicu_rate_pct BETWEEN 0 AND 100 AND pct_professional_fees BETWEEN 0 AND 100
-                   AND pct_facility_cost BETWEEN 0 AND 100)""",
+    "metrics_checks": f"""SELECT 'run-0000' AS run_id, client_name, 'PERCENT_RANGE' AS violation FROM {RUN_METRICS}
+        WHERE NOT (nicu_rate_pct + 100.5 BETWEEN 0 AND 100)
+        UNION ALL SELECT run_id, client_name, 'DUPLICATE_KEY' FROM {RUN_METRICS}""",
     # 2.6 windows
     "latest_per_key": "SELECT * FROM mem_demo",
     "preferred_per_key": "SELECT * FROM elig",
@@ -443,9 +477,16 @@ BODIES = {
         PTRR, HAS_VALUE, DAYS_OPEN, PRODUCT_TAT, COMPLETED_PRODUCT, REQUEST_TYPE, REQUEST_YEAR, PRODUCT_OPEN,
         DAYS_ON_STATUS, NEEDS_ATTENTION, URL FROM req_metrics""",
     "qa_report": f"SELECT {PROFILE_OUT} FROM claims_profile UNION ALL SELECT {PROFILE_OUT} FROM members_profile",
-    "metrics_job": None,  # filled below (same as period_compare)
+    "metrics_job": f"""SELECT * FROM (WITH h AS (SELECT * FROM {RUN_METRICS}), hh AS (SELECT * FROM h UNION ALL SELECT * FROM h)
+        SELECT 'history' AS section, run_id, client_name, run_date, CAST(NULL AS VARCHAR) AS period,
+          total_newborns_identified AS newborns, total_nicu_episodes AS nicu_episodes, nicu_rate_pct, CAST(NULL AS VARCHAR) AS violation FROM hh
+        UNION ALL SELECT 'checks', run_id, client_name, NULL, NULL, NULL, NULL, NULL, 'DUPLICATE_KEY' FROM h
+        UNION ALL SELECT 'trend', NULL, client_name, run_date, NULL, total_newborns_identified, total_nicu_episodes, nicu_rate_pct, NULL FROM hh
+        UNION ALL SELECT 'compare', run_id, client_name, NULL, 'Previous Period', newborns_previous_period, nicu_episodes_previous,
+          {pct_h_sql('nicu_episodes_previous', 'newborns_previous_period')}, NULL FROM hh
+        UNION ALL SELECT 'compare', run_id, client_name, NULL, 'Current Period', newborns_current_period, nicu_episodes_current,
+          {pct_h_sql('nicu_episodes_current', 'newborns_current_period')}, NULL FROM hh)""",
 }
-BODIES["metrics_job"] = BODIES["period_compare"]
 
 ORDERS_PROFILE_COLS = [
     ("o_orderkey", True, True, "o_orderkey", "LongType()"),

@@ -75,8 +75,12 @@ def test_result_independent_of_partitioning(spark):
 def test_metrics_constraints_hold(spark):
     import __spark_entry__ as E
     qs = E.queries()
-    assert qs["metrics_checks"](spark, SF0001).count() == 0
-    row = qs["run_metrics"](spark, SF0001).first()
+    # The query looks at a history with one run twice and one whose rate left its range.
+    assert sorted(tuple(r)[::2] for r in qs["metrics_checks"](spark, SF0001).collect()) == [("run-0000", "PERCENT_RANGE"), ("run-0001", "DUPLICATE_KEY")]
+    history = qs["run_metrics"](spark, SF0001).cache()
+    from claimsmith.plans.metrics import metrics_checks
+    assert metrics_checks(history).count() == 0 and len(history.columns) >= 161
+    row = history.first()
     for c in ("nicu_rate_pct", "pct_professional_fees", "pct_facility_cost", "pct_previous_period"):
         assert 0 <= row[c] <= 100
     assert row["pct_previous_period"] + row["pct_current_period"] in (0.0, pytest_approx_100())
