@@ -28,14 +28,32 @@ def any_column_in(cols, codes) -> Column:
     return F.coalesce(reduce(lambda a, b: a | b, [is_in(x, codes) for x in cols]), F.lit(False))
 
 
-def flag_any_of_columns(df: DataFrame, flags: dict, cols=DIAG_COLS, keys=CLAIM_KEYS) -> DataFrame:
-    """Claim-level existence flags: ``flags`` maps flag name -> code list.
+def _claims_in_tables(df: DataFrame, flags: dict, cols: list[str], keys: list[str], ref_col: str) -> DataFrame:
+    """(keys, _m_<flag>) of the claims with a code of the reference tables.
+
+    One equi-join of the distinct (claim, code) rows with the tables put
+    under each other; Spark broadcasts them where their size allows."""
+    refs = [t.select(F.col(ref_col).cast("string").alias("_code"), F.lit(f).alias("_flag")) for f, t in flags.items()]
+    codes = F.explode(F.array_distinct(F.array(*[F.col(x).cast("string") for x in cols])))
+    lines = df.select(*keys, codes.alias("_code")).filter(F.col("_code").isNotNull()).distinct()
+    hits = lines.join(reduce(DataFrame.unionByName, refs).distinct(), "_code")
+    return hits.groupBy(*keys).agg(*[F.max((F.col("_flag") == f).cast("int")).alias(f"_m_{f}") for f in flags])
+
+
+def flag_any_of_columns(df: DataFrame, flags: dict, cols=DIAG_COLS, keys=CLAIM_KEYS, ref_col: str = "CODE") -> DataFrame:
+    """Claim-level existence flags: ``flags`` maps flag name -> code list or
+    reference table (all of one kind; a table's codes are in ``ref_col``).
 
     A claim (``keys``) gets the flag on all its lines when any line has any
-    of ``cols`` in the code list.  Lines with a null key never match.
+    of ``cols`` among the codes.  Lines with a null key never match.
     """
     cols = [x for x in cols if x in df.columns]
     keys = list(keys)
+    if any(isinstance(v, DataFrame) for v in flags.values()):
+        matched = _claims_in_tables(df, flags, cols, keys, ref_col)
+        out = df.join(matched, keys, "left")
+        return (out.withColumns({f: F.coalesce(F.col(f"_m_{f}") == 1, F.lit(False)) for f in flags})
+                .drop(*[f"_m_{f}" for f in flags]))
     line_tests = {f: any_column_in(cols, codes) for f, codes in flags.items()}
     hit = reduce(lambda a, b: a | b, line_tests.values())
     key_ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -48,12 +66,16 @@ def flag_any_of_columns(df: DataFrame, flags: dict, cols=DIAG_COLS, keys=CLAIM_K
 
 
 def flag_code(df: DataFrame, col: str, codes, out: str) -> DataFrame:
-    """Line-level existence flag on one column (null -> false)."""
+    """Line-level existence flag on one column (null -> false); ``codes`` is a list or a reference table."""
+    if isinstance(codes, DataFrame):
+        return flag_code_table(df, col, codes, out)
     return df.withColumn(out, F.coalesce(is_in(col, codes), F.lit(False)))
 
 
 def flag_code_prefix(df: DataFrame, col: str, codes, out: str, n: int = 3) -> DataFrame:
-    """Line-level flag on the first ``n`` characters of a column."""
+    """Line-level flag on the first ``n`` characters of a column; ``codes`` is a list or a reference table."""
+    if isinstance(codes, DataFrame):
+        return flag_code_table(df, col, codes, out, n=n)
     return df.withColumn(out, F.coalesce(prefix(c(col).cast("string"), n).isin(list(codes)), F.lit(False)))
 
 
@@ -108,6 +130,21 @@ def cohort_keys_union(claims: DataFrame, cfg: ClaimsConfig, key: str = "INDV_ID"
     return reduce(DataFrame.unionByName, parts).filter(F.col(key).isNotNull()).distinct()
 
 
+def cohort_keys_by_tables(claims: DataFrame, rev: DataFrame, icd: DataFrame, msdrg: DataFrame, aprdrg: DataFrame,
+                          key: str = "INDV_ID", ref_col: str = "CODE") -> DataFrame:
+    """The cohort by reference tables: distinct members with a code of any of them.
+
+    One pass: each claim line's codes by kind, joined with the tables put
+    under each other."""
+    ref = reduce(DataFrame.unionByName, [t.select(F.lit(k).alias("KIND"), F.col(ref_col).cast("string").alias("CODE"))
+                                         for k, t in (("REV", rev), ("ICD", icd), ("DRG", msdrg), ("DRG", aprdrg))]).distinct()
+    kind = lambda k, v: F.struct(F.lit(k).alias("KIND"), v.alias("CODE"))
+    codes = F.array(kind("REV", F.col("RVNU_CD").cast("string")), *[kind("ICD", F.col(d).cast("string")) for d in DIAG_COLS],
+                    kind("DRG", prefix(F.col("DERIV_DRG_CD").cast("string"))))
+    lines = claims.filter(F.col(key).isNotNull()).select(key, F.inline(codes)).filter(F.col("CODE").isNotNull()).distinct()
+    return lines.join(ref, ["KIND", "CODE"], "left_semi").select(key).distinct()
+
+
 def cohort_semi_join(claims: DataFrame, cohort: DataFrame, key: str = "INDV_ID") -> DataFrame:
     """Restrict rows to cohort members (left-semi; no driver round trip)."""
     return claims.join(cohort, key, "left_semi")
@@ -123,7 +160,7 @@ def cohort_or_join(claims: DataFrame, cfg: ClaimsConfig, key: str = "INDV_ID") -
     spark = claims.sparkSession
     codes = ([(x, "REV") for x in cfg.newborn_rev_codes] + [(x, "ICD") for x in cfg.newborn_icd_codes]
              + [(x, "DRG") for x in cfg.nicu_msdrg_codes + cfg.nicu_aprdrg_codes])
-    ref = F.broadcast(spark.createDataFrame(codes, "CODE string, KIND string"))
+    ref = spark.createDataFrame(codes, "CODE string, KIND string")
     probes = F.array(
         F.struct(F.lit("REV").alias("KIND"), F.col("RVNU_CD").cast("string").alias("CODE")),
         *[F.struct(F.lit("ICD").alias("KIND"), F.col(d).cast("string").alias("CODE")) for d in DIAG_COLS],

@@ -10,6 +10,8 @@ arithmetic (half-up to hundredths) so they are exact.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -192,7 +194,7 @@ def key_field_population(profile: DataFrame) -> DataFrame:
     spark = profile.sparkSession
     cat = spark.createDataFrame([(f, name) for name, fields in KEY_FIELD_CATEGORIES for f in fields],
                                 "column_name string, category string")
-    kf = profile.filter(F.col("key_field")).join(F.broadcast(cat), "column_name")
+    kf = profile.filter(F.col("key_field")).join(cat, "column_name")
     h = F.col("populated_pct_h")
     status = (F.when(h >= K.QA_GOOD_POPULATION_PCT * 100, "good")
               .when(h >= K.QA_FAIR_POPULATION_PCT * 100, "fair").otherwise("poor"))
@@ -265,3 +267,20 @@ def profile_table(df: DataFrame, expected: dict, table_name: str):
     prof = materialize(profile_columns(df, expected, table_name))  # one row a column; alerts and summary read it
     alerts = profile_alerts(df, prof, expected, table_name)
     return prof, alerts, profile_summary(df, prof, alerts, expected, table_name)
+
+
+def qa_job(tables: dict, claims: DataFrame, cfg: K.ClaimsConfig) -> dict[str, DataFrame]:
+    """The QA run: ``tables`` maps a name to (frame, expected columns).
+
+    Returns profile, alerts, summary and key-field population of all tables,
+    and code frequency, breakdown by type and statistics of the newborn claims.
+    """
+    from claimsmith.sources.sinks import materialize
+    found = [profile_table(df, expected, name) for name, (df, expected) in tables.items()]
+    union = lambda frames: reduce(DataFrame.unionByName, frames)
+    fields = [key_field_population(prof)[1].withColumn("table_name", F.lit(name)) for name, (prof, _, _) in zip(tables, found)]
+    freq = materialize(code_frequency(claims, cfg))  # one row a code
+    return {"profile": union([f[0] for f in found]), "alerts": union([f[1] for f in found]),
+            "summary": union([f[2] for f in found]), "key_fields": union(fields),
+            "frequency": freq.withColumn("DRG_TYPE", drg_type_expr(F.col("DRG"), cfg)),
+            "breakdown": code_type_breakdown(freq, cfg), "statistics": code_frequency_stats(freq, cfg)}

@@ -27,6 +27,7 @@ from claimsmith.operators.windows import latest_per_key
 from claimsmith.plans import episodes as EP
 from claimsmith.plans import metrics as M
 from claimsmith.plans import profile as P
+from claimsmith.plans import request_job as RJ
 from claimsmith.plans import requests as R
 from claimsmith.plans import sos as S
 from claimsmith.session import ensure_checkpoint_dir, scratch_dir
@@ -219,16 +220,15 @@ def q_normalize_dates(ctx):
 
 
 def q_audit_append(ctx):
-    path = scratch_dir(ctx.spark, "audit")
-    n_req = ctx.requests.count()
-    n_prod = ctx.products.count()
-    for table, n_in, n_out in (("REQUESTS", n_req, n_req), ("PRODUCTS", n_req, n_prod)):
-        rec = SK.audit_record(ctx.spark, RUN_ID="run-0001", RUN_TIMESTAMP=dt.datetime(2001, 12, 31),
-                              TABLE_NAME=table, LOAD_TYPE="FULL_REFRESH", ROWS_EXTRACTED=n_in,
-                              ROWS_TRANSFORMED=n_out, ROWS_INSERTED=n_out, ROWS_UPDATED=0, STATUS="SUCCESS",
-                              ERROR_MESSAGE=None, DURATION_SECONDS=None, CREATED_BY="claimsmith")
-        SK.audit_append(rec, path)
-    return ctx.spark.read.parquet(path)
+    """Audit rows of a refresh run of the request job (but for its duration)."""
+    base = scratch_dir(ctx.spark, "requests")
+    _request_run(ctx, ctx.requests, base, "run-0001", incremental=False)
+    return ctx.spark.read.parquet(base + "/audit").drop("DURATION_SECONDS")
+
+
+def _request_run(ctx, requests, base, run_id, **options):
+    return RJ.request_job(ctx.spark, requests, ctx.initiatives, FX.REQUEST_PRODUCTS, FX.CLIENT_TYPES, FIXTURE_AS_OF, base,
+                          base + "/audit", run_id, dt.datetime(2001, 12, 31), created_by="claimsmith", **options)
 
 
 def q_export_report(ctx):
@@ -351,17 +351,21 @@ def q_join_left_eligibility(ctx):
 
 
 def q_flag_any_of_columns(ctx):
-    return ctx.run.tagged.select("LINE_KEY", "NEWBORN_ICD", "SINGLE", "TWIN", "MULTIPLE")
+    """By reference tables, over the job's claims."""
+    flags = ("NEWBORN_ICD", "SINGLE", "TWIN", "MULTIPLE")
+    ref = FX.ref_flag_table(ctx.spark, CFG, flags)
+    tables = {f: ref.filter(F.col("FLAG") == f) for f in flags}
+    return codes.flag_any_of_columns(ctx.claims1, tables).select("LINE_KEY", *flags)
 
 
 def q_flag_code(ctx):
-    out = codes.flag_code(ctx.claims, "RVNU_CD", CFG.newborn_rev_codes, "NEWBORN_REV")
-    return codes.flag_code(out, "RVNU_CD", CFG.nicu_rev_codes, "NICU_REV").select("LINE_KEY", "NEWBORN_REV", "NICU_REV")
+    out = codes.flag_code(ctx.claims, "RVNU_CD", FX.ref_codes_df(ctx.spark, CFG.newborn_rev_codes), "NEWBORN_REV")
+    return codes.flag_code(out, "RVNU_CD", FX.ref_codes_df(ctx.spark, CFG.nicu_rev_codes), "NICU_REV").select("LINE_KEY", "NEWBORN_REV", "NICU_REV")
 
 
 def q_flag_code_prefix(ctx):
-    out = codes.flag_code_prefix(ctx.claims, "DERIV_DRG_CD", CFG.nicu_msdrg_codes, "NICU_MSDRG")
-    return codes.flag_code_prefix(out, "DERIV_DRG_CD", CFG.nicu_aprdrg_codes, "NICU_APRDRG").select(
+    out = codes.flag_code_prefix(ctx.claims, "DERIV_DRG_CD", FX.ref_codes_df(ctx.spark, CFG.nicu_msdrg_codes), "NICU_MSDRG")
+    return codes.flag_code_prefix(out, "DERIV_DRG_CD", FX.ref_codes_df(ctx.spark, CFG.nicu_aprdrg_codes), "NICU_APRDRG").select(
         "LINE_KEY", "NICU_MSDRG", "NICU_APRDRG")
 
 
@@ -591,7 +595,7 @@ def q_best_provider(ctx):
 
 
 def q_first_category(ctx):
-    return EP.first_category(EP.diagnosis_long(ctx.run.nicu_claims.claims), CFG.birthweight_icd, "BW_CAT")
+    return EP.first_category(EP.diagnosis_long(ctx.run.nicu_claims.claims), FX.ref_category_df(ctx.spark, CFG.birthweight_icd, "BW_CAT"), "BW_CAT")
 
 
 def q_second_value(ctx):
@@ -630,7 +634,9 @@ def q_sort_alerts(ctx):
 
 # 2.8 set ops / reshaping
 def q_cohort_union(ctx):
-    return codes.cohort_keys_union(ctx.windowed, CFG)
+    ref = lambda v: FX.ref_codes_df(ctx.spark, v)
+    return codes.cohort_keys_by_tables(ctx.windowed, ref(CFG.newborn_rev_codes), ref(CFG.newborn_icd_codes),
+                                       ref(CFG.nicu_msdrg_codes), ref(CFG.nicu_aprdrg_codes))
 
 
 def _mem_long(ctx, one_pass=True):
@@ -816,14 +822,24 @@ def q_sos_rollup(ctx):
 
 
 def q_request_etl(ctx):
-    path = scratch_dir(ctx.spark, "request_target")
-    target, _, _ = SK.full_refresh(ctx.spark, SK.normalize_dates(ctx.products)[0], path + "/current")
-    return ctx.spark.read.parquet(target)
+    """A refresh run over the odd requests, then a merge run over all: the merged
+    list, the product rows and the audit rows of both runs, by section."""
+    base = scratch_dir(ctx.spark, "requests")
+    first = _request_run(ctx, ctx.requests.filter(F.col("ID") % 2 == 1), base, "run-0001", incremental=False)
+    last = _request_run(ctx, ctx.requests, base, "run-0002", current_requests=first.requests_path)
+    raw = ctx.spark.read.parquet(last.requests_path).select("ID", "TITLE", "CLIENT", "MARKET", "REQUESTOR", "OVERALL_STATUS",
+                                                             "PRODUCTS_REQUESTED", "SALESFORCE_ID", "PTRR")
+    parts = [raw, ctx.spark.read.parquet(last.products_path), ctx.spark.read.parquet(base + "/audit").drop("DURATION_SECONDS")]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                  [p.withColumn("SECTION", F.lit(n)) for n, p in zip(("REQUESTS", "PRODUCTS", "AUDIT"), parts)])
 
 
 def q_qa_report(ctx):
-    mprof = P.profile_columns(ctx.members, P.MEMBERSHIP_EXPECTED, "FA_MEMBERSHIP")
-    return ctx.claims_profile[0].unionByName(mprof).drop("null_pct_h", "populated_pct_h")
+    """The whole QA job over both tables, its parts by section."""
+    parts = P.qa_job({"FA_MEDICAL": (ctx.claims, P.CLAIMS_EXPECTED), "FA_MEMBERSHIP": (ctx.members, P.MEMBERSHIP_EXPECTED)},
+                     ctx.claims, CFG)
+    out = [df.withColumn("section", F.lit(name)) for name, df in parts.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out).drop("null_pct_h", "populated_pct_h")
 
 
 def q_metrics_job(ctx):

@@ -207,19 +207,24 @@ def _tenths(num, den):
     return f"CAST({t} // 10 AS VARCHAR) || '.' || CAST({t} % 10 AS VARCHAR)"
 
 
-PROFILE_CTES = ",\n".join([
-    profile_cte("claims_profile", "FA_MEDICAL", "fx_claims", CLAIMS_PROFILE_COLS),
-    profile_cte("members_profile", "FA_MEMBERSHIP", "fx_membership", MEMBERSHIP_PROFILE_COLS),
-    "claims_alerts AS (SELECT * FROM (VALUES " + ", ".join(
-        f"({q(n)}, '{'CRITICAL' if c else 'WARNING'}', {q(f'Missing column: {n} - {d}')})" for n, c, d in CLAIMS_MISSING)
-    + ") AS t(column_name, severity, message) UNION ALL "
-    + f"""SELECT column_name,
+def alert_cte(cte_name, profile, missing):
+    head = ("SELECT * FROM (VALUES " + ", ".join(
+        f"({q(n)}, '{'CRITICAL' if crit else 'WARNING'}', {q(f'Missing column: {n} - {d}')})" for n, crit, d in missing)
+        + ") AS t(column_name, severity, message) UNION ALL ") if missing else ""
+    return f"{cte_name} AS ({head}" + f"""SELECT column_name,
         CASE WHEN critical AND null_count * 100 > total_rows * 50 THEN 'CRITICAL'
              WHEN critical AND null_count * 100 > total_rows * 10 THEN 'WARNING'
              WHEN null_count = total_rows THEN 'WARNING' END AS severity,
         CASE WHEN critical AND null_count * 100 > total_rows * 10
              THEN 'Critical column ' || column_name || ' has ' || {_tenths('null_count', 'total_rows')} || '% NULLs'
              ELSE 'Column ' || column_name || ' is completely NULL' END AS message
-      FROM claims_profile WHERE total_rows > 0 AND (
-        (critical AND null_count * 100 > total_rows * 10) OR null_count = total_rows))""",
+      FROM {profile} WHERE total_rows > 0 AND (
+        (critical AND null_count * 100 > total_rows * 10) OR null_count = total_rows))"""
+
+
+PROFILE_CTES = ",\n".join([
+    profile_cte("claims_profile", "FA_MEDICAL", "fx_claims", CLAIMS_PROFILE_COLS),
+    profile_cte("members_profile", "FA_MEMBERSHIP", "fx_membership", MEMBERSHIP_PROFILE_COLS),
+    alert_cte("claims_alerts", "claims_profile", CLAIMS_MISSING),
+    alert_cte("members_alerts", "members_profile", []),
 ])

@@ -226,6 +226,32 @@ RUN_METRICS = f"""(WITH mm AS (
    '{_CFG_HASH}' AS config_hash
  FROM m, nb, nr, how, svc, hs, nc, cl, dsc)"""
 
+KEY_FIELDS = """VALUES ('SRVC_FROM_DT', 'DATE FIELDS'), ('SRVC_THRU_DT', 'DATE FIELDS'),
+        ('PROCESS_DT', 'DATE FIELDS'), ('ADMIT_DT', 'DATE FIELDS'), ('DSCHRG_DT', 'DATE FIELDS'),
+        ('DIAG_1_CD', 'DIAGNOSIS CODES'), ('DIAG_2_CD', 'DIAGNOSIS CODES'), ('DIAG_3_CD', 'DIAGNOSIS CODES'),
+        ('DIAG_4_CD', 'DIAGNOSIS CODES'), ('DIAG_5_CD', 'DIAGNOSIS CODES'), ('PROC_1_CD', 'PROCEDURE CODES'),
+        ('PROC_2_CD', 'PROCEDURE CODES'), ('PROC_3_CD', 'PROCEDURE CODES'), ('SBMT_CHRG_AMT', 'AMOUNT FIELDS'),
+        ('NET_PD_AMT', 'AMOUNT FIELDS'), ('DRG_OTLR_COST', 'AMOUNT FIELDS'), ('DRG', 'CODE FIELDS'),
+        ('RVNU_CD', 'CODE FIELDS')"""
+QA_JOB = f"""SELECT 'profile' AS section, {PROFILE_OUT} FROM claims_profile UNION ALL BY NAME
+  SELECT 'profile' AS section, {PROFILE_OUT} FROM members_profile UNION ALL BY NAME
+  SELECT 'alerts' AS section, column_name, severity, message, table_name,
+    CAST(CASE WHEN severity = 'CRITICAL' THEN 0 ELSE 1 END AS BIGINT) AS severity_order
+  FROM (SELECT *, 'FA_MEDICAL' AS table_name FROM claims_alerts UNION ALL SELECT *, 'FA_MEMBERSHIP' FROM members_alerts) UNION ALL BY NAME
+  SELECT 'summary' AS section, 'FA_MEDICAL' AS table_name, (SELECT count(*) FROM fx_claims) AS total_rows, CAST(31 AS BIGINT) AS expected_columns,
+    CAST(24 AS BIGINT) AS found_columns, CAST(7 AS BIGINT) AS missing_columns, coalesce(count_if(severity = 'CRITICAL'), 0) AS critical_alerts,
+    coalesce(count_if(severity = 'WARNING'), 0) AS warnings, coalesce(count_if(severity = 'CRITICAL'), 0) = 0 AS passed FROM claims_alerts UNION ALL BY NAME
+  SELECT 'summary' AS section, 'FA_MEMBERSHIP' AS table_name, (SELECT count(*) FROM fx_membership) AS total_rows, CAST(8 AS BIGINT) AS expected_columns,
+    CAST(8 AS BIGINT) AS found_columns, CAST(0 AS BIGINT) AS missing_columns, coalesce(count_if(severity = 'CRITICAL'), 0) AS critical_alerts,
+    coalesce(count_if(severity = 'WARNING'), 0) AS warnings, coalesce(count_if(severity = 'CRITICAL'), 0) = 0 AS passed FROM members_alerts UNION ALL BY NAME
+  SELECT 'key_fields' AS section, 'FA_MEDICAL' AS table_name, category, p.column_name, populated_pct, populated_count,
+    CASE WHEN populated_pct_h >= 9000 THEN 'good' WHEN populated_pct_h >= 5000 THEN 'fair' ELSE 'poor' END AS status
+  FROM claims_profile p JOIN ({KEY_FIELDS}) AS k(column_name, category) ON p.column_name = k.column_name WHERE p.key_field UNION ALL BY NAME
+  SELECT 'frequency' AS section, DRG, MEMBER_COUNT, MIN_DATE, MAX_DATE, {DRG_TYPE} AS DRG_TYPE FROM {CODE_FREQ} UNION ALL BY NAME
+  SELECT 'breakdown' AS section, {DRG_TYPE} AS DRG_TYPE, count(DRG) AS DRG_COUNT, CAST(sum(MEMBER_COUNT) AS BIGINT) AS TOTAL_MEMBERS
+  FROM {CODE_FREQ} GROUP BY ALL UNION ALL BY NAME
+  SELECT 'statistics' AS section, * FROM (CODE_STATS)"""
+
 BODIES = {
     # 2.1 sources
     "scan_table": "SELECT INDV_ID, CLM_AUD_NBR, LINE_KEY, SRVC_FROM_DT, CAST(NET_PD_AMT AS DOUBLE) AS NET_PD_AMT FROM fx_claims",
@@ -256,7 +282,7 @@ BODIES = {
     "audit_append": """SELECT 'run-0001' AS RUN_ID, TIMESTAMP '2001-12-31 00:00:00' AS RUN_TIMESTAMP, t.TABLE_NAME,
         'FULL_REFRESH' AS LOAD_TYPE, t.ROWS_EXTRACTED, t.ROWS_TRANSFORMED, t.ROWS_TRANSFORMED AS ROWS_INSERTED,
         CAST(0 AS BIGINT) AS ROWS_UPDATED, 'SUCCESS' AS STATUS, CAST(NULL AS VARCHAR) AS ERROR_MESSAGE,
-        CAST(NULL AS DOUBLE) AS DURATION_SECONDS, 'claimsmith' AS CREATED_BY
+        'claimsmith' AS CREATED_BY
       FROM (SELECT 'REQUESTS' AS TABLE_NAME, (SELECT count(*) FROM fx_requests) AS ROWS_EXTRACTED,
                    (SELECT count(*) FROM fx_requests) AS ROWS_TRANSFORMED
             UNION ALL SELECT 'PRODUCTS', (SELECT count(*) FROM fx_requests), (SELECT count(*) FROM req_prod)) t""",
@@ -470,13 +496,22 @@ BODIES = {
     "sos_data_pull": f"SELECT {SOS_PULL_COLS} FROM sos_pull",
     "sos_event_id": "SELECT LINE_KEY, INDV_ID, SRVC_FROM_DT, OUTPATIENT_EVENT_ID FROM sos_ev",
     "sos_rollup": "SELECT * REPLACE (CAST(ALLW_AMT AS DOUBLE) AS ALLW_AMT, CAST(PRIMARY_COVERED_AMT AS DOUBLE) AS PRIMARY_COVERED_AMT, CAST(SECONDARY_COVERED_AMT AS DOUBLE) AS SECONDARY_COVERED_AMT, CAST(TERTIARY_COVERED_AMT AS DOUBLE) AS TERTIARY_COVERED_AMT, CAST(ALLOTH_COVERED_AMT AS DOUBLE) AS ALLOTH_COVERED_AMT, CAST(NOT_ELIGIBLE_COVERED_AMT AS DOUBLE) AS NOT_ELIGIBLE_COVERED_AMT, CAST(COVERED_NOT_IN_RANKING AS DOUBLE) AS COVERED_NOT_IN_RANKING, CAST(EPISODE_COVERED AS DOUBLE) AS EPISODE_COVERED) FROM sos_rollup",
-    "request_etl": """SELECT ID, TITLE, strftime(REQUEST_DATE, '%Y-%m-%d') AS REQUEST_DATE, CLIENT, MARKET, REQUESTOR,
+    "request_etl": """SELECT 'PRODUCTS' AS SECTION, ID, TITLE, strftime(REQUEST_DATE, '%Y-%m-%d') AS REQUEST_DATE, CLIENT, MARKET, REQUESTOR,
         CLIENT_TYPE, OVERALL_STATUS, PRODUCTS_REQUESTED, SALESFORCE_ID, PRODUCT, PRODUCT_CATEGORY,
         strftime(START_DATE, '%Y-%m-%d') AS START_DATE, strftime(COMPLETE_DATE, '%Y-%m-%d') AS COMPLETE_DATE, STATUS,
         strftime(STATUS_CHANGE_DATE, '%Y-%m-%d') AS STATUS_CHANGE_DATE, strftime(CLOSED_DATE, '%Y-%m-%d') AS CLOSED_DATE,
         PTRR, HAS_VALUE, DAYS_OPEN, PRODUCT_TAT, COMPLETED_PRODUCT, REQUEST_TYPE, REQUEST_YEAR, PRODUCT_OPEN,
-        DAYS_ON_STATUS, NEEDS_ATTENTION, URL FROM req_metrics""",
-    "qa_report": f"SELECT {PROFILE_OUT} FROM claims_profile UNION ALL SELECT {PROFILE_OUT} FROM members_profile",
+        DAYS_ON_STATUS, NEEDS_ATTENTION, URL FROM req_metrics
+        UNION ALL BY NAME SELECT 'REQUESTS' AS SECTION, ID, TITLE, CLIENT, MARKET, REQUESTOR, OVERALL_STATUS, PRODUCTS_REQUESTED,
+          SALESFORCE_ID, PTRR FROM req_clean
+        UNION ALL BY NAME SELECT 'AUDIT' AS SECTION, RUN_ID, TIMESTAMP '2001-12-31 00:00:00' AS RUN_TIMESTAMP, TABLE_NAME, LOAD_TYPE,
+          ROWS_EXTRACTED, ROWS_TRANSFORMED, ROWS_INSERTED, ROWS_UPDATED, 'SUCCESS' AS STATUS, CAST(NULL AS VARCHAR) AS ERROR_MESSAGE,
+          'claimsmith' AS CREATED_BY FROM (
+          SELECT 'run-0001' AS RUN_ID, 'REQUESTS' AS TABLE_NAME, 'FULL_REFRESH' AS LOAD_TYPE, odd AS ROWS_EXTRACTED, odd AS ROWS_TRANSFORMED,
+            odd AS ROWS_INSERTED, CAST(0 AS BIGINT) AS ROWS_UPDATED FROM n
+          UNION ALL SELECT 'run-0001', 'PRODUCTS', 'FULL_REFRESH', odd, odd_products, odd_products, 0 FROM n
+          UNION ALL SELECT 'run-0002', 'REQUESTS', 'INCREMENTAL', every, every, every - odd, odd FROM n
+          UNION ALL SELECT 'run-0002', 'PRODUCTS', 'FULL_REFRESH', every, products, products, 0 FROM n)""",
     "metrics_job": f"""SELECT * FROM (WITH h AS (SELECT * FROM {RUN_METRICS}), hh AS (SELECT * FROM h UNION ALL SELECT * FROM h)
         SELECT 'history' AS section, run_id, client_name, run_date, CAST(NULL AS VARCHAR) AS period,
           total_newborns_identified AS newborns, total_nicu_episodes AS nicu_episodes, nicu_rate_pct, CAST(NULL AS VARCHAR) AS violation FROM hh
@@ -513,7 +548,9 @@ BODIES.update({
     "agg_claim_type_counts": "SELECT CLAIM_TYPE, count(*) AS COUNT FROM tagged GROUP BY CLAIM_TYPE",
 })
 
-EXTRA_CTES = f""",
+REQUEST_COUNTS = """n AS (SELECT count(*) AS every, count_if(ID % 2 = 1) AS odd, (SELECT count(*) FROM req_prod) AS products,
+    (SELECT count_if(ID % 2 = 1) FROM req_prod) AS odd_products FROM fx_requests)"""
+EXTRA_CTES = f""",{REQUEST_COUNTS},
 mem_base2 AS (SELECT INDV_ID, MEM_EFF_DT, MEM_EXP_DT,
     {overlap('MEM_EFF_DT', 'MEM_EXP_DT', "DATE '1999-08-01'", "DATE '2000-07-31'")} AS MMYR1,
     {overlap('MEM_EFF_DT', 'MEM_EXP_DT', "DATE '2000-08-01'", "DATE '2001-07-31'")} AS MMYR2
@@ -551,6 +588,9 @@ def claim_window_prefix() -> str:
     return "WITH " + ",".join([FIXTURE_CTES, CLAIM_WINDOW, chain]) + "\n"
 
 
+BODIES["qa_report"] = QA_JOB.replace("CODE_STATS", BODIES["code_frequency_stats"])
+
+
 def oracle_sql() -> dict:
     out = {k: PREFIX + EXTRA_CTES + "\n" + v for k, v in BODIES.items()}
     return out | {"newborn_end_to_end": claim_window_prefix() + BODIES["newborn_end_to_end"]}
