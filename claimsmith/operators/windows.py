@@ -41,6 +41,15 @@ def pick_one(df: DataFrame, keys: list[str], sort_key: list[Column], payload: li
     return df.groupBy(*keys).agg(agg.alias("_pick")).select(*keys, "_pick.*")
 
 
+def pick_row(df: DataFrame, keys: list[str], order: list[Column], payload: list[str]) -> DataFrame:
+    """One whole row per key, for wide rows of keys with few rows each (a claim's lines).
+
+    Spark keeps the first row per key before the shuffle (window group
+    limit), so no aggregate has to carry and sort the wide payload."""
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_first", first).filter(F.col("_first") == 1).select(*keys, *[F.col(f"`{p}`") for p in payload])
+
+
 def latest_per_key(df: DataFrame, key: str = "INDV_ID", order_col: str = "MM_DATE",
                    tiebreak: str = "ROW_KEY", payload: list[str] | None = None) -> DataFrame:
     """Latest row per key by ``order_col`` desc (nulls last), tie-break desc."""

@@ -19,6 +19,7 @@ from claimsmith.config import ClaimsConfig
 from claimsmith.functions.exprs import event_id, lit_date
 from claimsmith.operators import classify
 from claimsmith.operators.windows import rank_all, top_k_salted
+from claimsmith.sources.sinks import materialize
 
 EVENT = "OUTPATIENT_EVENT_ID"
 
@@ -69,7 +70,7 @@ def ranked_top3(lines: DataFrame, amt: str, cfg: ClaimsConfig) -> DataFrame:
     return top_k_salted(rankable_lines(lines, amt), EVENT, amt, "LINE_KEY", 3, cfg.rank_salt_buckets)
 
 
-def event_buckets(lines: DataFrame, amt: str, cfg: ClaimsConfig) -> DataFrame:
+def event_buckets(lines: DataFrame, amt: str, cfg: ClaimsConfig, top: DataFrame | None = None) -> DataFrame:
     """Per-event sums: not-in-ranking, not-eligible, secondary, tertiary,
     all-other eligible.
 
@@ -86,7 +87,7 @@ def event_buckets(lines: DataFrame, amt: str, cfg: ClaimsConfig) -> DataFrame:
         F.sum(F.when(rankable & (F.col("ELIGIBLE") != "Y"), a)).alias("NOT_ELIGIBLE_COVERED_AMT"),
         F.sum(F.when(elig, a)).alias("_ELIG_TOTAL"),
         F.count_if(elig).alias("_N_ELIG"))
-    top = ranked_top3(lines, amt, cfg)
+    top = ranked_top3(lines, amt, cfg) if top is None else top
     te = F.col("ELIGIBLE") == "Y"
     top_sums = top.groupBy(EVENT).agg(
         F.sum(F.when(te & (F.col("RANK") == 2), a)).alias("SECONDARY_COVERED_AMT"),
@@ -102,21 +103,26 @@ def event_buckets(lines: DataFrame, amt: str, cfg: ClaimsConfig) -> DataFrame:
                     F.coalesce(F.col("_HAS_PRIMARY"), F.lit(0)).alias("_HAS_PRIMARY"))
 
 
-def primary_lines(lines: DataFrame, amt: str, cfg: ClaimsConfig) -> DataFrame:
+def primary_lines(lines: DataFrame, amt: str, cfg: ClaimsConfig, top: DataFrame | None = None) -> DataFrame:
     """Eligible lines ranked first in their event (event dropped otherwise)."""
-    return ranked_top3(lines, amt, cfg).filter((F.col("RANK") == 1) & (F.col("ELIGIBLE") == "Y")).drop("RANK")
+    top = ranked_top3(lines, amt, cfg) if top is None else top
+    return top.filter((F.col("RANK") == 1) & (F.col("ELIGIBLE") == "Y")).drop("RANK")
 
 
+# The roll-up's output columns.
 ROLLUP_DIMS = ["BUS_LINE_CD", EVENT, "CBSA", "CBSA_NM", "SBSCR_ID", "REL_CD", "INDV_ID", "GENDER", "MBR_STATE",
                "MBR_ZIP_CD", "PROCESS_DT", "PL_OF_SRVC_CD", "BILL_TYPE", "SRVC_FROM_DT", "PROC_CD", "PROC_CD_DESC",
                "PROCEDURE_SPECIALTY", "INCLUDE_IN_ORDERING", "ELIGIBLE", "PROV_NPI", "PROV_FULL_NM",
                "PROV_STATE", "PROV_ZIP_CD", "PROV_CAT"]
 
 
-def sos_rollup(lines: DataFrame, cbsa: DataFrame, amt: str, cfg: ClaimsConfig) -> DataFrame:
-    """Episode roll-up: primary line dims + CBSA, bucket sums, total covered."""
-    prim = primary_lines(lines, amt, cfg).withColumn("_ZIP5", F.lpad(F.col("MBR_ZIP_CD").cast("string"), 5, "0"))
-    buckets = event_buckets(lines, amt, cfg).drop("_HAS_PRIMARY")
+def sos_rollup(lines: DataFrame, cbsa: DataFrame, amt: str, cfg: ClaimsConfig, cut=None) -> DataFrame:
+    """Episode roll-up: primary line dims + CBSA, bucket sums, total covered.
+
+    ``cut`` stores the top lines, which the primary lines and the buckets share."""
+    top = (cut or materialize)(ranked_top3(lines, amt, cfg))
+    prim = primary_lines(lines, amt, cfg, top).withColumn("_ZIP5", F.lpad(F.col("MBR_ZIP_CD").cast("string"), 5, "0"))
+    buckets = event_buckets(lines, amt, cfg, top).drop("_HAS_PRIMARY")
     xc = cbsa.select(F.lpad(F.col("ELIG_ZIP_CD").cast("string"), 5, "0").alias("_XZIP"), "CBSA", "CBSA_NM")
     base = (prim.join(buckets, EVENT, "left")
             .join(xc, F.col("_ZIP5") == F.col("_XZIP"), "left"))

@@ -106,7 +106,8 @@ class Ctx:
     @cached_property
     def sos_lines(self):
         mem = membership_latest(self.members, SOS_START, SOS_END, "DEMO")
-        return S.sos_event_id(S.sos_data_pull(self.claims, mem, FX.xref_proc(self.spark), SOS_START, SOS_END))
+        pull = S.sos_event_id(S.sos_data_pull(self.claims, mem, FX.xref_proc(self.spark), SOS_START, SOS_END))
+        return self.cut(pull) if self.cut else pull  # read once per branch of the roll-up
 
     @cached_property
     def products(self):

@@ -416,7 +416,8 @@ BODIES = {
     "last_discharge_status": "SELECT * FROM last_status",
     "best_provider": "SELECT INDV_ID, ADMIT, DSCHRG, PROVID, CAST(HOSPPAID AS DOUBLE) AS HOSPPAID, HOSPADMIT, HOSPDISCHG, CAST(HOSPLOS AS BIGINT) AS HOSPLOS FROM prov_best",
     "first_category": "SELECT INDV_ID, ADMIT, DSCHRG, BW_CAT FROM bw",
-    "second_value": "SELECT * FROM rev_features",
+    "second_value": """SELECT f.*, CAST(s.REV_NUM_2 AS VARCHAR) AS SECOND_REV_CD FROM rev_features f
+        LEFT JOIN rev_second s ON f.INDV_ID = s.INDV_ID AND f.ADMIT = s.ADMIT AND f.DSCHRG = s.DSCHRG""",
     "rank_by_amount": "SELECT OUTPATIENT_EVENT_ID, LINE_KEY, CAST(ALLW_AMT AS DOUBLE) AS ALLW_AMT, ELIGIBLE, RANK FROM sos_ranked",
     "primary_line": "SELECT OUTPATIENT_EVENT_ID, LINE_KEY, CAST(ALLW_AMT AS DOUBLE) AS ALLW_AMT FROM sos_prim",
     # 2.7 sorts / limits
