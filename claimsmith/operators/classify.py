@@ -138,6 +138,7 @@ def cost_per_day_expr(amount: str = "NET_PD_AMT", los: str = "LOS") -> Column:
 
 def discharge_rank_expr(status: str = "DSCHRG_STS") -> Column:
     """Discharge status -> priority 0 (death) .. 4 (home), 6 (other known), 9."""
+    # The ranges of other known codes.
     s = F.col(status)
     other = _any([F.length(s) < 2, s.isin(list(K.DISCHARGE_STATUS_EXCLUDED))]
                  + [s.between(lo, hi) for lo, hi in

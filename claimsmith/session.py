@@ -18,6 +18,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
+             # A hot member's rows are split even where a group-by on the member follows the join.
+             .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
              .config("spark.sql.session.timeZone", "UTC")
              # HotSpot does not JIT methods above 8000 bytes of bytecode; wide
              # projections must fall back to per-operator code instead.

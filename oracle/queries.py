@@ -447,7 +447,7 @@ BODIES = {
         total_nicu_episodes, nicu_rate_pct, avg_nicu_cost_per_episode, avg_nicu_los_days, pct_nicu_inappropriate,
         pct_nicu_low_paid FROM {RUN_METRICS} WHERE client_name = 'DEMO' ORDER BY run_date DESC""",
     "distinct_rows": "SELECT DISTINCT INDV_ID, MEM_EFF_DT, MEM_EXP_DT FROM fx_membership",
-    "missing_columns": "SELECT * FROM (VALUES ('SRVC_THRU_DT'), ('DSCHRG_DT'), ('DRG'), ('DRG_TYPE'), ('DRG_OTLR_FLG'), ('DRG_OTLR_COST'), ('PROVID')) AS t(column_name)",
+    "missing_columns": "SELECT column_name, (SELECT count(*) FROM fx_claims) AS n_rows FROM (VALUES ('SRVC_THRU_DT'), ('DSCHRG_DT'), ('DRG'), ('DRG_TYPE'), ('DRG_OTLR_FLG'), ('DRG_OTLR_COST'), ('PROVID')) AS t(column_name)",
     "explode_products": "SELECT * FROM req_prod",
     # 2.9 scalar
     "scalar_dates": f"""SELECT ROW_KEY, CAST(strptime(YEARMO || '01', '%Y%m%d') AS DATE) AS MM_DATE,

@@ -1,20 +1,16 @@
-"""Spark queries vs their DuckDB oracle on the smallest scale factor.
+"""Every query of the library against its DuckDB oracle on the smallest scale factor.
 
-The full key set is checked by ``tools/check_oracle.py`` (sf0.01); here a
-representative subset runs in the unit suite.
+The queries share one context, so the episode chain is built and stored once.
 """
 
 import duckdb
 import pytest
 
+from claimsmith import queries as Q
 from conftest import SF0001
+from oracle.queries import oracle_sql
 from tools.check_oracle import TABLES, digest
 
-KEYS = ["scan_sql_bounds", "claim_type", "provider_category", "cohort_semi_join", "membership_periods",
-        "hospital_rollup", "newborn_ident", "nicu_rollup", "newborns_final", "sos_rollup", "rank_by_amount",
-        "request_metrics", "explode_products", "profile_columns", "profile_alerts", "code_frequency_stats",
-        "upsert_merge", "study_window_24m", "run_metrics", "scalar_strings"]
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -25,15 +21,18 @@ def duck():
 
 
 @pytest.fixture(scope="module")
-def registry():
-    import __spark_entry__ as E
-    return E.queries(), E.oracle_sql()
+def context(spark):
+    return Q.Ctx(spark, SF0001)
+
+
+@pytest.fixture(scope="module")
+def sql():
+    return oracle_sql()
 
 
-@pytest.mark.parametrize("key", KEYS)
-def test_query_matches_oracle(spark, duck, registry, key):
-    qs, sql = registry
-    sdf = qs[key](spark, SF0001)
+@pytest.mark.parametrize("key", sorted(Q.QUERY_FUNCS))
+def test_query_matches_oracle(duck, context, sql, key):
+    sdf = Q.normalize(Q.QUERY_FUNCS[key](context))
     srows = [tuple(r) for r in sdf.collect()]
     cur = duck.execute(sql[key])
     ocols = [d[0] for d in cur.description]
@@ -43,9 +42,13 @@ def test_query_matches_oracle(spark, duck, registry, key):
     assert digest(sdf.columns, srows)[0] == digest(ocols, orows)[0]
 
 
-def test_every_key_has_an_oracle(registry):
-    qs, sql = registry
-    assert set(qs) == set(sql) and len(qs) >= 120
+def test_every_key_has_an_oracle(sql):
+    assert set(Q.QUERY_FUNCS) == set(sql) and len(sql) >= 120
+
+
+def test_entry_registers_every_key_and_its_oracle():
+    import __spark_entry__ as E
+    assert set(Q.QUERY_FUNCS) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):

@@ -1,4 +1,4 @@
-"""Write explain("formatted") plans of headline operators to docs/plans/.
+"""Write the operator trees of headline operators' plans to docs/plans/.
 
 usage: python tools/dump_plans.py [sf_dir]
 Plans are taken after the stored cut points, i.e. what each stage runs.
@@ -14,6 +14,16 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+def tree(plan: str) -> str:
+    """The operator tree of a formatted plan, without the details below it."""
+    out = []
+    for line in plan.splitlines():
+        if line.startswith("(1)"):
+            break
+        out.append(line.rstrip())
+    return "\n".join(out).strip() + "\n"
+
+
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from claimsmith import queries as Q
@@ -42,8 +52,8 @@ def main():
         with contextlib.redirect_stdout(buf):
             df.explain("formatted")
         with open(os.path.join(out_dir, f"{name}.txt"), "w") as f:
-            f.write(buf.getvalue())
-        print(name, len(buf.getvalue().splitlines()), "lines")
+            f.write(tree(buf.getvalue()))
+        print(name, len(tree(buf.getvalue()).splitlines()), "lines")
 
 
 if __name__ == "__main__":
