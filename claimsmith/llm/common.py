@@ -47,6 +47,16 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(prefix + c) for c in df.columns])
 
 
+_worker: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What a worker process keeps from task to task, for the operator that used it last."""
+    if owner not in _worker:
+        _worker.clear()
+    return _worker.setdefault(owner, {})
+
+
 # ---------------------------------------------------------------- components
 
 def connected_components(edges: DataFrame) -> DataFrame:

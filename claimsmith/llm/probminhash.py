@@ -18,8 +18,10 @@ How groups of any size stay linear:
 * a band's members are compared with the band's smallest id, not with each
   other; links found this way are joined into components;
 * only members of one band that ended up in *different* components are then
-  compared with each other, so no link between components can be lost and a
-  large group of near copies costs one comparison a member.
+  compared with each other, in blocks, so no link between components is lost
+  and a large group of near copies costs one comparison a member.  Blocks
+  sort out pairs by the agreement of their registers (4 standard errors below
+  the threshold) and compare the rest exactly; only links leave them.
 
 Null ids: the row is kept and never linked.  Null or empty text, or text
 without any word: no shingle; linked only with rows of the very same
@@ -39,6 +41,8 @@ from pyspark.sql import functions as F
 from claimsmith.llm import common as C
 
 BANDS, BAND_ROWS = 32, 6
+BLOCK, BLOCK_SHINGLES = 1024, 500_000  # members and shingles of one band that meet in a task, on either side
+ERRORS = 4.0
 _U = np.uint64
 _SCALE = 2.0 ** -53
 
@@ -86,18 +90,25 @@ def weighted_elements(shingle: np.ndarray, row: np.ndarray) -> tuple[np.ndarray,
     return key & _U((1 << 44) - 1), (key >> _U(44)).astype(np.int64), count
 
 
+def band_keys(z: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    """One key a band of registers (rows x bands x band rows); equal only within one band's place."""
+    key = np.broadcast_to(salt, z.shape[:2]).copy()
+    for j in range(z.shape[2]):
+        key = C.mix(key * _U(0x9E3779B97F4A7C15) + z[:, :, j])
+    return key
+
+
 def _sketches(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
+    C.worker_cache("sketch")
     salt = C.mix(np.arange(1, bands + 1, dtype=np.uint64))
     for batch in batches:
-        for lo, text in C.chunks(batch.column(1)):
+        for lo, text in C.chunks(batch.column(1), C.CHUNK_BYTES // 2):
             words, off = C.word_hashes(text)
             n = len(text)
             shingle, row, _ = C.shingle_hashes(words, off)
             element, at, count = weighted_elements(shingle, row)
             z = sketch(element, at, weights(count), n, bands * rows).reshape(n, bands, rows)
-            key = np.broadcast_to(salt, (n, bands)).copy()
-            for j in range(rows):
-                key = C.mix(key * _U(0x9E3779B97F4A7C15) + z[:, :, j])
+            key = band_keys(z, salt)
             size = np.bincount(at, minlength=n)
             same, band = [], []
             for i in range(n):
@@ -115,8 +126,11 @@ def _sketches(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Itera
 
 def jaccards(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
     """(probability Jaccard, plain Jaccard) of two shingle lists."""
-    ka, ca = np.unique(a, return_counts=True)
-    kb, cb = np.unique(b, return_counts=True)
+    return counted_jaccards(*np.unique(a, return_counts=True), *np.unique(b, return_counts=True))
+
+
+def counted_jaccards(ka: np.ndarray, ca: np.ndarray, kb: np.ndarray, cb: np.ndarray) -> tuple[float, float]:
+    """The same from distinct shingles in order and their counts."""
     common, ia, ib = np.intersect1d(ka, kb, assume_unique=True, return_indices=True)
     if not len(common):
         return 0.0, 0.0
@@ -153,6 +167,89 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return joined.mapInArrow(lambda it: _verify(it, threshold), "u long, v long")
 
 
+def _profiles(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
+    """(id, bands, registers as 16 bits, distinct shingles, counts, number of shingles) of texts."""
+    salt = C.mix(np.arange(1, bands + 1, dtype=np.uint64))
+    for batch in batches:
+        for lo, text in C.chunks(batch.column(1), C.CHUNK_BYTES // 2):
+            words, off = C.word_hashes(text)
+            n = len(text)
+            shingle, row, _ = C.shingle_hashes(words, off)
+            element, at, count = weighted_elements(shingle, row)
+            z = sketch(element, at, weights(count), n, bands * rows)
+            band = band_keys(z.reshape(n, bands, rows), salt)
+            short = (C.mix(z) >> _U(48)).astype("<u2")
+            order = np.argsort(row, kind="stable")
+            shingle, cut = shingle[order], np.searchsorted(row[order], np.arange(n + 1))
+            own = [np.unique(shingle[a:b], return_counts=True) for a, b in zip(cut[:-1], cut[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(lo, n), pa.array([b.view(np.int64) for b in band], pa.list_(pa.int64())),
+                 pa.array([r.tobytes() for r in short], pa.binary()), pa.array([k.astype("<u8").tobytes() for k, _ in own], pa.binary()),
+                 pa.array([c.astype("<u4").tobytes() for _, c in own], pa.binary()), pa.array([len(k) for k, _ in own], pa.int64())],
+                names=["id", "bands", "registers", "shingles", "counts", "n"])
+
+
+def _block(threshold: float):
+    """Links between members of one band in different components, within one pair of blocks.
+
+    A pair is looked at in its first common band only.  The registers'
+    agreement, within ``ERRORS`` standard errors, sorts out the dissimilar
+    ones, an exact comparison decides on the rest."""
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        col = {c: table.column(c).chunk(0) if table.num_rows else None for c in table.column_names}
+        own, bi, bj = (col[c].to_numpy() for c in ("own", "bi", "bj"))
+        left, right = np.flatnonzero(own == bi[0]), np.flatnonzero(own == bj[0])
+        component, band = col["component"].to_numpy(), col["band"][0].as_py()
+        differ = component[left][:, None] != component[right][None, :]
+        if bi[0] == bj[0]:
+            differ &= left[:, None] < right[None, :]
+        keys = np.stack([np.asarray(x) for x in col["bands"].to_numpy(zero_copy_only=False)])
+        for k in range(int(np.flatnonzero(keys[0] == band)[0])):
+            differ &= keys[left, k][:, None] != keys[right, k][None, :]
+        i, j = np.nonzero(differ)
+        i, j = left[i], right[j]
+        registers = np.stack([np.frombuffer(x.as_py(), "<u2") for x in col["registers"]])
+        least = threshold - ERRORS * np.sqrt(threshold * (1 - threshold) / registers.shape[1])
+        near = np.concatenate([(registers[i[lo:lo + 50_000]] == registers[j[lo:lo + 50_000]]).mean(axis=1) >= least
+                               for lo in range(0, len(i), 50_000)]) if len(i) else np.zeros(0, bool)
+        shingles = lambda r: (np.frombuffer(col["shingles"][int(r)].as_py(), "<u8"), np.frombuffer(col["counts"][int(r)].as_py(), "<u4"))
+        u, v, last, known = [], [], None, None
+        ids = col["id"].to_numpy()
+        for a, b in zip(i[near], j[near]):
+            if a != last:
+                last, known = a, shingles(a)
+            if max(counted_jaccards(*known, *shingles(b))) >= threshold:
+                u.append(int(ids[a]))
+                v.append(int(ids[b]))
+        return pa.table({"u": u, "v": v}, schema=schema)
+
+    return run
+
+
+def between_components(labelled: DataFrame, texts: DataFrame, threshold: float, bands: int, band_rows: int) -> DataFrame:
+    """Links (u, v) between members of one band that are in different components.
+
+    ``labelled``: (band, id, component) without the ids that all others of
+    the band have been compared with.  Members of a large band meet in blocks
+    of bounded size; only links leave the tasks, never pairs."""
+    split = (labelled.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+             .where("a <> b").select("band"))
+    open_ = C.store(labelled.join(split, "band", "left_semi"))
+    known = C.store(texts.join(open_.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+                    .mapInArrow(lambda it: _profiles(it, bands, band_rows),
+                                "id long, bands array<long>, registers binary, shingles binary, counts binary, n long"))
+    members = open_.join(known.select("id", "n"), "id")
+    size = members.groupBy("band").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    placed = (members.join(size, "band").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select("band", "id", "component", "own", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj")))
+    rows = placed.join(known.drop("n"), "id")
+    return C.store(rows.groupBy("band", "bi", "bj").applyInArrow(_block(threshold), "u long, v long")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = C.SIMILARITY, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
     """(doc_id, class_id) for every non-null id: class_id is the smallest id of its group."""
@@ -171,15 +268,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = shared.where("u <> id").select("u", F.col("id").alias("v")).distinct()
     links = C.store(verified(stars, texts, threshold))
     label = C.connected_components(links)
-    labelled = C.store(shared.join(label, "id", "left")
-                       .select("band", "id", "u", F.coalesce("component", "id").alias("component")))
-    split = labelled.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("band")
-    left = labelled.join(split, "band", "left_semi")
-    right = C.prefixed(left, "r_")
-    rest = (left.join(right, (F.col("band") == F.col("r_band")) & (F.col("component") < F.col("r_component")))
-            .where("id <> r_u and r_id <> u")
-            .select(F.least("id", "r_id").alias("u"), F.greatest("id", "r_id").alias("v")).distinct())
-    more = C.store(verified(rest, texts, threshold))
+    labelled = (shared.where("id <> u").join(label, "id", "left")
+                .select("band", "id", F.coalesce("component", "id").alias("component")))
+    more = between_components(labelled, texts, threshold, bands, band_rows)
     copies = member.where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     label = C.connected_components(links.union(more).union(copies))
     ids = sketched.select("doc_id").distinct()
