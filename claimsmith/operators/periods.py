@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from claimsmith.config import StudyWindow
 from claimsmith.functions.exprs import (
-    c, lit_date, months_crossed, period_label, strict_greatest, strict_least, years_crossed,
+    c, lit_date, months_crossed, period_label, strict_greatest, strict_least, years_crossed, yyyymm_to_date,
 )
 from claimsmith.operators.windows import latest_per_key
 from claimsmith.sources.tables import scan_sql_bounds
@@ -69,8 +69,40 @@ def _tiebreak(df: DataFrame, tiebreak: str | None):
     return F.xxhash64(*[F.col(f"`{x}`") for x in df.columns])
 
 
+def usable_months(members: DataFrame) -> DataFrame:
+    """Eligibility rows with member and month, and the month's first day."""
+    return (members.filter(F.col("INDV_ID").isNotNull() & F.col("YEARMO").isNotNull())
+            .withColumn("MM_DATE", yyyymm_to_date("YEARMO")))
+
+
+def enrollment_periods(src: DataFrame) -> DataFrame:
+    """Distinct (member, effective, expiration)."""
+    return src.select("INDV_ID", F.col("MEM_EFF_DT").cast("date").alias("MEM_EFF_DT"),
+                      F.col("MEM_EXP_DT").cast("date").alias("MEM_EXP_DT")).distinct()
+
+
+def latest_demographics(src: DataFrame, columns=("GENDER", "BTH_DT", "BUS_LINE_CD", "PRDCT_CD", "STATE"),
+                        tiebreak: str | None = None) -> DataFrame:
+    """Each member's attributes of the latest month."""
+    return latest_per_key(src, "INDV_ID", "MM_DATE", _tiebreak(src, tiebreak), list(columns))
+
+
+def with_overlaps(periods: DataFrame, window: StudyWindow) -> DataFrame:
+    """Periods with their months in each half of the window."""
+    return periods.withColumns({
+        "MMYR1": overlap_months("MEM_EFF_DT", "MEM_EXP_DT", window.start, window.mid - dt.timedelta(days=1)),
+        "MMYR2": overlap_months("MEM_EFF_DT", "MEM_EXP_DT", window.mid, window.end)})
+
+
+def by_study_year(overlaps: DataFrame) -> DataFrame:
+    """One row per period and study year it overlaps (one scan: both years as an array, exploded)."""
+    slices = F.array(F.struct(F.lit("Previous").alias("STUDY_YR"), F.col("MMYR1").alias("MEMBER_MONTHS")),
+                     F.struct(F.lit("Current").alias("STUDY_YR"), F.col("MMYR2").alias("MEMBER_MONTHS")))
+    return overlaps.select("*", F.inline(slices)).filter(F.col("MEMBER_MONTHS") > 0)
+
+
 def membership_periods(members: DataFrame, window: StudyWindow, client_name: str,
-                       one_pass: bool = True, tiebreak: str | None = None) -> DataFrame:
+                       tiebreak: str | None = None) -> DataFrame:
     """Member-months per member x study year (Previous / Current).
 
     Latest demographics per member (by month desc) joined to all distinct
@@ -78,32 +110,17 @@ def membership_periods(members: DataFrame, window: StudyWindow, client_name: str
     with no overlap are dropped; months summed per member, year and
     demographics.  Overlapping enrollment periods are counted twice.
     """
-    src = (members.filter(F.col("INDV_ID").isNotNull() & F.col("YEARMO").isNotNull())
-           .withColumn("MM_DATE", F.to_date(F.concat(F.col("YEARMO"), F.lit("01")), "yyyyMMdd")))
-    demo = latest_per_key(src, "INDV_ID", "MM_DATE", _tiebreak(src, tiebreak),
-                          ["GENDER", "BTH_DT", "BUS_LINE_CD", "PRDCT_CD", "STATE"])
-    enroll = src.select("INDV_ID", F.col("MEM_EFF_DT").cast("date").alias("MEM_EFF_DT"),
-                        F.col("MEM_EXP_DT").cast("date").alias("MEM_EXP_DT")).distinct()
+    src = usable_months(members)
     prev_high = window.mid - dt.timedelta(days=1)
-    base = enroll.join(demo, "INDV_ID").withColumns({
-        "MMYR1": overlap_months("MEM_EFF_DT", "MEM_EXP_DT", window.start, prev_high),
-        "MMYR2": overlap_months("MEM_EFF_DT", "MEM_EXP_DT", window.mid, window.end),
+    base = enrollment_periods(src).join(latest_demographics(src, tiebreak=tiebreak), "INDV_ID")
+    base = with_overlaps(base, window).withColumns({
         "AGE": F.when(F.col("BTH_DT").isNotNull(), years_crossed("BTH_DT", lit_date(window.end))),
         "CLIENT_NAME": F.lit(client_name),
         "PREVIOUS_PERIOD": F.lit(period_label(window.start, prev_high)),
         "CURRENT_PERIOD": F.lit(period_label(window.mid, window.end)),
     })
-    if one_pass:
-        # One scan: both study-year slices as an array, exploded.
-        slices = F.array(F.struct(F.lit("Previous").alias("STUDY_YR"), F.col("MMYR1").alias("MEMBER_MONTHS")),
-                         F.struct(F.lit("Current").alias("STUDY_YR"), F.col("MMYR2").alias("MEMBER_MONTHS")))
-        long = base.select("*", F.inline(slices)).filter(F.col("MEMBER_MONTHS") > 0)
-    else:
-        long = (base.filter(F.col("MMYR1") > 0).withColumns({"STUDY_YR": F.lit("Previous"), "MEMBER_MONTHS": F.col("MMYR1")})
-                .unionByName(base.filter(F.col("MMYR2") > 0)
-                             .withColumns({"STUDY_YR": F.lit("Current"), "MEMBER_MONTHS": F.col("MMYR2")})))
-    return (long.groupBy("INDV_ID", "STUDY_YR", "GENDER", "BTH_DT", "BUS_LINE_CD", "PRDCT_CD", "STATE",
-                         "AGE", "CLIENT_NAME", "PREVIOUS_PERIOD", "CURRENT_PERIOD")
+    return (by_study_year(base).groupBy("INDV_ID", "STUDY_YR", "GENDER", "BTH_DT", "BUS_LINE_CD", "PRDCT_CD", "STATE",
+                                        "AGE", "CLIENT_NAME", "PREVIOUS_PERIOD", "CURRENT_PERIOD")
             .agg(F.sum("MEMBER_MONTHS").cast("bigint").alias("MEMBER_MONTHS")))
 
 

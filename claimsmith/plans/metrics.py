@@ -22,7 +22,7 @@ from claimsmith.operators import classify
 from claimsmith.functions.exprs import lit_date
 from claimsmith.operators.aggregates import exact_median
 from claimsmith.sources.sinks import materialize
-from claimsmith.plans.episodes import STAY_KEYS, EpisodeRun, readmissions, stay_fee_features
+from claimsmith.plans.episodes import STAY_KEYS, EpisodeRun, NewbornIdent, readmissions, stay_fee_features
 
 
 def _pct_h(num: Column, den: Column) -> Column:
@@ -264,6 +264,19 @@ def run_metrics(run: EpisodeRun, ps_membership: DataFrame, w: StudyWindow, cfg:
     return out.drop(*[x for x in out.columns if x.startswith("_")])
 
 
+def run_summary(ident: NewbornIdent) -> DataFrame:
+    """One row: NICU and all newborns, NICU cost and days, averages and rate (0 where there is none)."""
+    nicu = ident.nicu_ident.agg(F.count(F.lit(1)).alias("TOTAL_NICU"), F.sum("TOTAL_NICU_COST").alias("TOTAL_COST"),
+                                F.sum(F.col("LOS").cast("long")).alias("TOTAL_LOS"))
+    born = ident.newborns.agg(F.count(F.lit(1)).alias("TOTAL_NEWBORNS"))
+    rows = nicu.unionByName(born, allowMissingColumns=True)
+    one = rows.agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("TOTAL_NICU", "TOTAL_NEWBORNS", "TOTAL_COST", "TOTAL_LOS")])
+    n = F.col("TOTAL_NICU")
+    mean = lambda c: F.when(n > 0, F.col(c).cast("double") / n).otherwise(0.0)
+    return one.select("*", mean("TOTAL_COST").alias("AVG_NICU_COST"), mean("TOTAL_LOS").alias("AVG_LOS"),
+                      _pct_h(n, F.col("TOTAL_NEWBORNS")).alias("NICU_RATE_PCT"))
+
+
 def metrics_checks(history: DataFrame) -> DataFrame:
     """Rows violating the table constraints (percent range, unique key)."""
     bad_pct = ~(F.col("nicu_rate_pct").between(0, 100) & F.col("pct_professional_fees").between(0, 100)

@@ -21,7 +21,8 @@ from claimsmith.functions import exprs as X
 from claimsmith.operators import classify, codes
 from claimsmith.operators.joins import join_trimmed
 from claimsmith.operators.periods import (
-    membership_latest, membership_periods, overlap_months, study_window, study_window_frame,
+    by_study_year, enrollment_periods, latest_demographics, membership_latest, membership_periods, study_window,
+    study_window_frame, usable_months, with_overlaps,
 )
 from claimsmith.operators.windows import latest_per_key
 from claimsmith.plans import episodes as EP
@@ -37,7 +38,6 @@ from claimsmith.sources import tables as TB
 
 CFG = ClaimsConfig()
 W = FIXTURE_WINDOW
-SOS_START, SOS_END = dt.date(2000, 8, 1), dt.date(2001, 7, 31)
 AMT = "ALLW_AMT"
 RUN_INFO = M.RunInfo("run-0001", "DEMO", FIXTURE_AS_OF, dt.datetime(2001, 12, 31, 6), W.runout_end,
                      {"medicaid": ("AUTOMOBILE",), "commercial": ("BUILDING", "FURNITURE")},
@@ -101,10 +101,17 @@ class Ctx:
         c0 = EP.project_claims(codes.cohort_semi_join(self.windowed, cohort))
         return classify.claim_type(EP.merge_eligibility(c0, EP.elig_latest(self.ps)))
 
+    @cached_property
+    def sos_period(self):
+        """The twelve months that the claims themselves give."""
+        row = study_window_frame(self.claims, 12, 3).first()
+        return row["WINDOW_START"], row["WINDOW_END"]
+
     @cached_property
     def sos_lines(self):
-        mem = membership_latest(self.members, SOS_START, SOS_END, "DEMO")
-        pull = S.sos_event_id(S.sos_data_pull(self.claims, mem, FX.xref_proc(self.spark), SOS_START, SOS_END))
+        start, end = self.sos_period
+        mem = membership_latest(self.members, start, end, "DEMO")
+        pull = S.sos_event_id(S.sos_data_pull(self.claims, mem, FX.xref_proc(self.spark), start, end))
         return self.cut(pull) if self.cut else pull  # read once per branch of the roll-up
 
     @cached_property
@@ -338,11 +345,8 @@ def q_filter_long_drg(ctx):
 
 # 2.4 joins
 def q_join_inner_using(ctx):
-    src = ctx.members.filter(F.col("INDV_ID").isNotNull() & F.col("YEARMO").isNotNull()).withColumn(
-        "MM_DATE", X.yyyymm_to_date("YEARMO"))
-    demo = latest_per_key(src, "INDV_ID", "MM_DATE", "ROW_KEY", ["GENDER", "BTH_DT", "STATE"])
-    enroll = src.select("INDV_ID", "MEM_EFF_DT", "MEM_EXP_DT").distinct()
-    return enroll.join(demo, "INDV_ID")
+    src = usable_months(ctx.members)
+    return enrollment_periods(src).join(latest_demographics(src, ("GENDER", "BTH_DT", "STATE")), "INDV_ID")
 
 
 def q_join_left_eligibility(ctx):
@@ -480,19 +484,7 @@ def q_agg_median_cost(ctx):
 
 
 def q_agg_summary(ctx):
-    nicu = ctx.run.ident.nicu_ident.select(F.lit(True).alias("_NICU"), F.col("TOTAL_NICU_COST").alias("_C"),
-                                           F.col("LOS").alias("_L"))
-    nb = ctx.run.ident.newborns.select(F.lit(False).alias("_NICU"), F.lit(None).cast("decimal(38,2)").alias("_C"),
-                                       F.lit(None).cast("int").alias("_L"))
-    u = nicu.unionByName(nb)
-    s = u.agg(F.count_if("_NICU").alias("TOTAL_NICU"), F.count_if(~F.col("_NICU")).alias("TOTAL_NEWBORNS"),
-              F.coalesce(F.sum("_C"), F.lit(0)).alias("TOTAL_COST"), F.coalesce(F.sum("_L"), F.lit(0)).alias("TOTAL_LOS"))
-    return s.select("TOTAL_NICU", "TOTAL_NEWBORNS", "TOTAL_COST", "TOTAL_LOS",
-                    F.when(F.col("TOTAL_NICU") > 0, F.col("TOTAL_COST").cast("double") / F.col("TOTAL_NICU"))
-                    .otherwise(0.0).alias("AVG_NICU_COST"),
-                    F.when(F.col("TOTAL_NICU") > 0, F.col("TOTAL_LOS").cast("double") / F.col("TOTAL_NICU"))
-                    .otherwise(0.0).alias("AVG_LOS"),
-                    M._pct_h(F.col("TOTAL_NICU"), F.col("TOTAL_NEWBORNS")).alias("NICU_RATE_PCT"))
+    return M.run_summary(ctx.run.ident)
 
 
 def q_agg_count_by_group(ctx):
@@ -560,9 +552,7 @@ def q_metrics_checks(ctx):
 
 # 2.6 windows
 def q_latest_per_key(ctx):
-    src = ctx.members.filter(F.col("INDV_ID").isNotNull() & F.col("YEARMO").isNotNull()).withColumn(
-        "MM_DATE", X.yyyymm_to_date("YEARMO"))
-    return latest_per_key(src, "INDV_ID", "MM_DATE", "ROW_KEY", ["GENDER", "BTH_DT", "BUS_LINE_CD", "PRDCT_CD", "STATE"])
+    return latest_demographics(usable_months(ctx.members))
 
 
 def q_preferred_per_key(ctx):
@@ -638,28 +628,16 @@ def q_cohort_union(ctx):
                                        ref(CFG.nicu_msdrg_codes), ref(CFG.nicu_aprdrg_codes))
 
 
-def _mem_long(ctx, one_pass=True):
-    src = ctx.members.filter(F.col("INDV_ID").isNotNull() & F.col("YEARMO").isNotNull())
-    enroll = src.select("INDV_ID", "MEM_EFF_DT", "MEM_EXP_DT").distinct()
-    prev_high = W.mid - dt.timedelta(days=1)
-    base = enroll.withColumns({"MMYR1": overlap_months("MEM_EFF_DT", "MEM_EXP_DT", W.start, prev_high),
-                               "MMYR2": overlap_months("MEM_EFF_DT", "MEM_EXP_DT", W.mid, W.end)})
-    return base
+def _overlaps(ctx):
+    return with_overlaps(enrollment_periods(usable_months(ctx.members)), W)
 
 
 def q_union_periods(ctx):
-    base = _mem_long(ctx)
-    slices = F.array(F.struct(F.lit("Previous").alias("STUDY_YR"), F.col("MMYR1").alias("MEMBER_MONTHS")),
-                     F.struct(F.lit("Current").alias("STUDY_YR"), F.col("MMYR2").alias("MEMBER_MONTHS")))
-    return base.select("INDV_ID", "MEM_EFF_DT", "MEM_EXP_DT", F.inline(slices)).filter(F.col("MEMBER_MONTHS") > 0)
+    return by_study_year(_overlaps(ctx)).drop("MMYR1", "MMYR2")
 
 
 def q_unpivot_codes(ctx):
-    nc = ctx.run.nicu_claims.claims
-    diag = [c for c in nc.columns if c.startswith("DIAG")]
-    return (nc.select(*EP.STAY_KEYS, *diag)
-            .unpivot(EP.STAY_KEYS, diag, "SRC_COL", "DIAGTMP")
-            .filter(F.col("DIAGTMP").isNotNull()).select(*EP.STAY_KEYS, "DIAGTMP").distinct())
+    return EP.diagnosis_long(ctx.run.nicu_claims.claims)
 
 
 def q_period_compare(ctx):
@@ -743,7 +721,7 @@ def q_study_window_12m(ctx):
 
 
 def q_overlap_months(ctx):
-    return _mem_long(ctx)
+    return _overlaps(ctx)
 
 
 def q_membership_periods(ctx):
@@ -751,7 +729,7 @@ def q_membership_periods(ctx):
 
 
 def q_membership_latest(ctx):
-    return membership_latest(ctx.members, SOS_START, SOS_END, "DEMO")
+    return membership_latest(ctx.members, *ctx.sos_period, "DEMO")
 
 
 def q_clip_and_los(ctx):

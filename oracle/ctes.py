@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from oracle.fixtures import q
 
-SOS_S, SOS_E = "DATE '2000-08-01'", "DATE '2001-07-31'"
+SOS_S, SOS_E = "(SELECT WS FROM sos_window)", "(SELECT WE FROM sos_window)"
 AS_OF = "DATE '2001-12-31'"
 URL = "https://requests.example.org/DispForm.aspx?ID="
 
@@ -33,10 +33,13 @@ BUCKETS = ["SECONDARY_COVERED_AMT", "TERTIARY_COVERED_AMT", "ALLOTH_COVERED_AMT"
            "COVERED_NOT_IN_RANKING"]
 
 SOS_CTES = f"""
+sos_window AS (SELECT WE, CAST(WE - INTERVAL 12 MONTH AS DATE) + 1 AS WS FROM (
+  SELECT CAST(CAST(date_trunc('month', max(SRVC_FROM_DT)) AS DATE) - 1 - INTERVAL 3 MONTH AS DATE) AS WE FROM fx_claims
+  WHERE SRVC_FROM_DT IS NOT NULL AND PROCESS_DT IS NOT NULL)),
 sos_mem_src AS (SELECT *, CAST(strptime(MM || '01', '%Y%m%d') AS DATE) AS MM_DATE
                 FROM fx_membership WHERE INDV_ID IS NOT NULL AND MM IS NOT NULL),
 sos_mem AS (SELECT INDV_ID, SBSCR_ID, GENDER, BTH_DT, BUS_LINE_CD, PRODUCT, STATE, REL_CD, MBR_ZIP_CD, MM_DATE,
-                   'DEMO' AS CLIENT_NAME, 'Aug 2000 - Jul 2001' AS STUDY_PERIOD FROM (
+                   'DEMO' AS CLIENT_NAME, strftime({SOS_S}, '%b %Y') || ' - ' || strftime({SOS_E}, '%b %Y') AS STUDY_PERIOD FROM (
   SELECT *, row_number() OVER (PARTITION BY INDV_ID ORDER BY MM_DATE DESC NULLS LAST, ROW_KEY DESC) AS rn
   FROM sos_mem_src WHERE MM_DATE >= {SOS_S} AND MM_DATE <= {SOS_E}) WHERE rn = 1),
 sos_pull AS (

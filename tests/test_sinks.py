@@ -73,3 +73,33 @@ def test_episode_release_drops_stored_tables(spark):
     assert n > 0 and len(paths) == 2
     run.release()
     assert not any(os.path.exists(p.replace("file:", "")) for p in paths)
+
+
+def test_dry_run_writes_nothing(spark, tmp_path):
+    df = spark.range(9).toDF("x")
+    n, head = SK.sink_overwrite(df, str(tmp_path / "t"), dry_run=True, preview=2)
+    assert n == 9 and head.count() == 2 and not (tmp_path / "t").exists()
+    SK.sink_overwrite(df, str(tmp_path / "t"))
+    SK.sink_overwrite(df.limit(3), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+
+
+def test_reports_as_csv_and_json_tabs(spark, tmp_path):
+    tabs = {"one": spark.createDataFrame([(1, "a,b")], "n int, t string"), "two": spark.createDataFrame([(2, None)], "n int, t string")}
+    for name, df in tabs.items():
+        for fmt in ("csv", "json"):
+            SK.export_report(df, str(tmp_path / fmt / name), fmt)
+            back = spark.read.option("header", True).schema("n int, t string").format(fmt).load(str(tmp_path / fmt / name))
+            assert [tuple(r) for r in back.collect()] == [tuple(r) for r in df.collect()]
+
+
+def test_hot_member_and_hot_group(spark):
+    """One member with most claim lines, one DRG with most stays: whole results either way."""
+    from claimsmith.operators.aggregates import exact_median
+    from claimsmith.plans.episodes import merge_eligibility
+    claims = spark.range(4000).select(F.when(F.col("id") % 10 > 0, "hot").otherwise(F.col("id").cast("string")).alias("INDV_ID"), "id")
+    elig = claims.select("INDV_ID").distinct().withColumn("STATE", F.col("INDV_ID"))
+    assert merge_eligibility(claims, elig).where("STATE = INDV_ID").count() == 4000
+    med = exact_median(claims.withColumn("v", F.col("id") * 7 % 4001), ["INDV_ID"], "v", "m", buckets=16)
+    hot = sorted(i * 7 % 4001 for i in range(4000) if i % 10 > 0)
+    assert med.where("INDV_ID = 'hot'").first().m == (hot[len(hot) // 2 - 1] + hot[len(hot) // 2]) / 2
