@@ -70,7 +70,7 @@ def test_episode_release_drops_stored_tables(spark):
     run = EP.newborn_episodes(claims, ps, FIXTURE_WINDOW, ClaimsConfig())
     n = run.hosp.count()
     paths = list(run.stored)
-    assert n > 0 and len(paths) == 2
+    assert n > 0 and len(paths) == 3  # tagged claims, baby-level table, stays
     run.release()
     assert not any(os.path.exists(p.replace("file:", "")) for p in paths)
 
