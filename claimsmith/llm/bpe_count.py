@@ -119,13 +119,11 @@ class Counter:
         return total
 
 
-_counters: dict[str | None, Counter] = {}
-
-
 def _count(batches: Iterator[pa.RecordBatch], path: str | None) -> Iterator[pa.RecordBatch]:
-    if path not in _counters:
-        _counters[path] = Counter(path)
-    count = _counters[path].count
+    kept = C.worker_cache("counter")
+    if path not in kept:
+        kept[path] = Counter(path)
+    count = kept[path].count
     for batch in batches:
         n = [count(t.as_py()) for t in batch.column(batch.num_columns - 1)]
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], names=[*batch.schema.names[:-1], "n_tokens"])

@@ -34,13 +34,14 @@ EPOCHS, ALPHA, BETA, L1, L2 = 5, 0.5, 1.0, 0.002, 0.002
 SCALE = 20.0  # relative frequencies are small; the learner sees them enlarged
 UNKNOWN = "und"
 _U = np.uint64
-_letters: list[np.ndarray] = []
+CHUNK = 1 << 18  # bytes of text whose n-grams are held at a time
 
 
 def letters() -> np.ndarray:
-    if not _letters:
-        _letters.append(np.array([chr(i).isalpha() for i in range(0x110000)]))
-    return _letters[0]
+    kept = C.worker_cache("letters")
+    if not kept:
+        kept["table"] = np.array([chr(i).isalpha() for i in range(0x110000)])
+    return kept["table"]
 
 
 def grams(column: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,7 +75,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Re
     """A task's document frequencies: (feature, rows that hold it), and (-1, rows)."""
     df, n, seen = np.zeros(1 << bits, np.int64), 0, np.zeros(1 << bits, bool)
     for batch in batches:
-        for _, text in C.chunks(batch.column(0)):
+        for _, text in C.chunks(batch.column(0), CHUNK):
             feature, row, some = grams(text, bits)
             n += int(some.sum())
             order = np.argsort(row, kind="stable")
@@ -215,7 +216,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_name: s
     def run(batches):
         for batch in batches:
             lang, score = [], []
-            for _, text in C.chunks(batch.column(at)):
+            for _, text in C.chunks(batch.column(at), CHUNK):
                 p, s = shared.value.predict(text)
                 lang += p
                 score += s

@@ -19,6 +19,8 @@ from operator import is_
 
 import numpy as np
 
+from claimsmith.llm.common import worker_cache
+
 BYTE_BPE = "byte_bpe_50k.json"
 MEMORY = 3 << 18
 LONG = 1 << 20  # characters of a text that are split at a time
@@ -132,11 +134,9 @@ class Encoder:
         return self.encode_many([text])[0]
 
 
-_encoders: dict[str | None, Encoder] = {}
-
-
 def encoder(path: str | None = None) -> Encoder:
     """One encoder a worker process."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    kept = worker_cache("encoder")
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
