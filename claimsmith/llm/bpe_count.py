@@ -120,7 +120,7 @@ class Counter:
 
 
 def _count(batches: Iterator[pa.RecordBatch], path: str | None) -> Iterator[pa.RecordBatch]:
-    kept = C.worker_cache("counter")
+    kept = C.start_task("counter")
     if path not in kept:
         kept[path] = Counter(path)
     count = kept[path].count

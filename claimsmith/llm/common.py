@@ -57,6 +57,13 @@ def worker_cache(owner: str) -> dict:
     return _worker.setdefault(owner, {})
 
 
+def start_task(owner: str) -> dict:
+    """The operator's cache, after memory that Arrow kept for reuse has gone back."""
+    cache = worker_cache(owner)
+    pa.default_memory_pool().release_unused()
+    return cache
+
+
 # ---------------------------------------------------------------- components
 
 def connected_components(edges: DataFrame) -> DataFrame:

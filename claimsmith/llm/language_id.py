@@ -38,6 +38,7 @@ CHUNK = 1 << 18  # bytes of text whose n-grams are held at a time
 
 
 def letters() -> np.ndarray:
+    """Which code points are letters; made once a worker."""
     kept = C.worker_cache("letters")
     if not kept:
         kept["table"] = np.array([chr(i).isalpha() for i in range(0x110000)])
@@ -73,6 +74,7 @@ def grams(column: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, n
 
 def _frequencies(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """A task's document frequencies: (feature, rows that hold it), and (-1, rows)."""
+    C.start_task("letters")
     df, n, seen = np.zeros(1 << bits, np.int64), 0, np.zeros(1 << bits, bool)
     for batch in batches:
         for _, text in C.chunks(batch.column(0), CHUNK):
@@ -214,6 +216,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_name: s
     at = docs.columns.index(text_col)
 
     def run(batches):
+        C.start_task("letters")
         for batch in batches:
             lang, score = [], []
             for _, text in C.chunks(batch.column(at), CHUNK):

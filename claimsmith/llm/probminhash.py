@@ -99,7 +99,7 @@ def band_keys(z: np.ndarray, salt: np.ndarray) -> np.ndarray:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    C.worker_cache("sketch")
+    C.start_task("sketch")
     salt = C.mix(np.arange(1, bands + 1, dtype=np.uint64))
     for batch in batches:
         for lo, text in C.chunks(batch.column(1), C.CHUNK_BYTES // 2):

@@ -108,7 +108,7 @@ class Seeds:
 
 
 def _scan(batches: Iterator[pa.RecordBatch], seeds: Seeds, threshold: float) -> Iterator[pa.RecordBatch]:
-    C.worker_cache("tiling")
+    C.start_task("tiling")
     for batch in batches:
         rows = []
         for _, text in C.chunks(batch.column(1)):

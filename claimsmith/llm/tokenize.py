@@ -19,7 +19,7 @@ from operator import is_
 
 import numpy as np
 
-from claimsmith.llm.common import worker_cache
+from claimsmith.llm.common import start_task
 
 BYTE_BPE = "byte_bpe_50k.json"
 MEMORY = 3 << 18
@@ -136,7 +136,7 @@ class Encoder:
 
 def encoder(path: str | None = None) -> Encoder:
     """One encoder a worker process."""
-    kept = worker_cache("encoder")
+    kept = start_task("encoder")
     if path not in kept:
         kept[path] = Encoder(path)
     return kept[path]
