@@ -47,6 +47,18 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(prefix + c) for c in df.columns])
 
 
+def dealt_anew(df: DataFrame, *keys: str) -> DataFrame:
+    """The same rows with key columns computed anew, for a join after an aggregate.
+
+    A join on an aggregate's keys would reuse the aggregate's partitioning,
+    and the rows of a hot key on the other side would all meet in one task.
+    Keys that are computed anew get an exchange of their own on both sides,
+    whose hot partitions Spark's skew-join rule splits."""
+    kinds = dict(df.dtypes)
+    same = {"string": lambda c: F.concat(c, F.lit("")), "binary": lambda c: F.concat(c, F.lit(b""))}
+    return df.withColumns({k: same.get(kinds[k], lambda c: c.bitwiseXOR(F.lit(0)))(F.col(k)) for k in keys})
+
+
 _worker: dict[str, dict] = {}
 
 
@@ -66,29 +78,34 @@ def start_task(owner: str) -> dict:
 
 # ---------------------------------------------------------------- components
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every u has one v and no v is a u: each component is its smallest id with all others on it."""
+    ends = (edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+            .union(edges.select("v", F.lit(0), F.lit(1))))
+    return ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up > 0 and down > 0)").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(u, v) edge table -> (id, component) for every id in an edge.
 
     ``component`` is the smallest id reachable.  Alternates the large-star
-    and small-star steps until the edge set no longer changes: O(log n)
+    and small-star steps until only stars are left: O(log n)
     rounds, each linear in the edges.  The neighbourhood minimum is
     pre-aggregated before the shuffle and joined back to the edges, so a hub
-    is never gathered in one task.  Self loops and nulls are ignored.
+    is never gathered in one task, and its edges are split over many.  Self
+    loops and nulls are ignored.
     """
     e = store(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
               .where("u <> v").distinct())
-    before = None
-    while True:
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now[0] == 0 or now == before:
-            break
-        before = now
+    while not _are_stars(e):
         both = e.union(e.select("v", "u")).toDF("u", "v")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = (both.join(dealt_anew(low, "u"), "u").where("v > u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        e = store(large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
-                                              F.col("m").alias("v")).distinct())
+        e = store(large.join(dealt_anew(low, "u"), "u")
+                  .select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+                  .where("u <> v").distinct())
     return (e.select(F.col("u").alias("id"), F.col("v").alias("component"))
             .union(e.select("v", "v").distinct().toDF("id", "component")))
 

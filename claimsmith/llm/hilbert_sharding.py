@@ -99,7 +99,7 @@ def assign(docs: DataFrame, dims: tuple[str, ...] = ("lang", "source"), shards:
     same = ["text_key", "text_crc32", "size"]
     groups = (rows.groupBy(*same).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *codes[:-1])).alias("first"), F.count("*").alias("copies"))
               .select(*same, "copies", *[F.col(f"first.{c}").alias(c) for c in codes[:-1]]))
-    placed = (rows.drop(*codes[:-1]).join(groups, same)
+    placed = (rows.drop(*codes[:-1]).join(C.dealt_anew(groups, "text_key"), same)
               .withColumn("hilbert", hilbert_index(cells, bits)).drop(*codes[:-1]))
     order = ["hilbert", *same, "doc_id"]
     placed = C.store(placed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()))
@@ -115,7 +115,7 @@ def assign(docs: DataFrame, dims: tuple[str, ...] = ("lang", "source"), shards:
     small = (F.col("copies") > 1) & (spread * shards * GROUP_SHARE <= total)
     begin = run.where(small).groupBy(*same).agg(F.min("before").alias("begin"))
     middle = F.when(F.col("begin").isNotNull(), F.col("begin") + spread / 2).otherwise(F.col("before") + F.col("size") / 2)
-    cutted = run.join(begin, same, "left").withColumn(
+    cutted = run.join(C.dealt_anew(begin, "text_key"), same, "left").withColumn(
         "shard", F.least(F.floor(middle * shards / total), F.lit(shards - 1)).cast("int"))
     cutted = C.store(cutted.select("doc_id", *same, "hilbert", "row", "shard"))
     base = cutted.groupBy("shard").agg(F.min("row").alias("base"))  # ``shards`` rows

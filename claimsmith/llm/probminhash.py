@@ -237,13 +237,13 @@ def between_components(labelled: DataFrame, texts: DataFrame, threshold: float,
     of bounded size; only links leave the tasks, never pairs."""
     split = (labelled.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b"))
              .where("a <> b").select("band"))
-    open_ = C.store(labelled.join(split, "band", "left_semi"))
+    open_ = C.store(labelled.join(C.dealt_anew(split, "band"), "band", "left_semi"))
     known = C.store(texts.join(open_.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
                     .mapInArrow(lambda it: _profiles(it, bands, band_rows),
                                 "id long, bands array<long>, registers binary, shingles binary, counts binary, n long"))
     members = open_.join(known.select("id", "n"), "id")
     size = members.groupBy("band").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    placed = (members.join(size, "band").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    placed = (members.join(C.dealt_anew(size, "band"), "band").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("band", "id", "component", "own", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj")))
     rows = placed.join(known.drop("n"), "id")
@@ -257,12 +257,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = base.where("doc_id is not null")
     sketched = C.store(base.mapInArrow(lambda it: _sketches(it, bands, band_rows),
                                        "doc_id long, same binary, n long, bands array<long>"))
-    groups = sketched.where("same is not null").groupBy("same").agg(F.min("doc_id").alias("rep"))
+    groups = C.dealt_anew(sketched.where("same is not null").groupBy("same").agg(F.min("doc_id").alias("rep")), "same")
     member = sketched.where("same is not null").join(groups, "same").select("doc_id", "rep").distinct()
     reps = sketched.where("n > 0").join(groups, "same").where("doc_id = rep")
     band = C.store(reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("band")).distinct())
     first = band.groupBy("band").agg(F.min("id").alias("u"), F.count("*").alias("c")).where("c > 1").select("band", "u")
-    shared = C.store(band.join(first, "band"))
+    shared = C.store(band.join(C.dealt_anew(first, "band"), "band"))
     texts = C.store(base.join(shared.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
                     .dropDuplicates(["doc_id"]))
     stars = shared.where("u <> id").select("u", F.col("id").alias("v")).distinct()

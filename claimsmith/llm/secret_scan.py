@@ -132,7 +132,7 @@ def attach(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col:
     own = spans.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), F.col("spans").alias("_spans"))
     rows = docs.withColumn("_text_key", F.xxhash64(F.col(f"`{text_col}`")))
     on = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
-    return (rows.join(own, on, "left").drop("_id", "_key", "_text_key")
+    return (rows.join(C.dealt_anew(own, "_key"), on, "left").drop("_id", "_key", "_text_key")
             .withColumn("_spans", F.coalesce("_spans", F.array().cast(spans.schema["spans"].dataType))))
 
 

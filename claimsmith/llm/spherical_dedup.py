@@ -128,7 +128,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = C.store(rows)
     good = rows.where("usable")
     firsts = good.groupBy("same").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
-    reps = C.store(good.join(firsts, "same").where("vec_id = id").select("id", "copies", "label", "x", "same").dropDuplicates(["same"])
+    first = good.join(C.dealt_anew(firsts, "same"), "same").where("vec_id = id").select("id", "copies", "label", "x", "same")
+    reps = C.store(C.dealt_anew(first, "same").dropDuplicates(["same"])
                    .withColumn("node", F.xxhash64("same").bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))))
     n = reps.count()
     if n:
@@ -139,7 +140,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     per = (firsts.select("same", F.col("id").alias("first"), "copies").join(links, "same", "left").join(label, "same", "left")
            .select(F.col("same").alias("_same"), (F.coalesce("partners", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                    F.coalesce("component", "first").alias("component_id")))
-    out = rows.join(per, F.col("same") == F.col("_same"), "left")
+    out = rows.join(C.dealt_anew(per, "_same"), F.col("same") == F.col("_same"), "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
                       F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))

@@ -65,11 +65,12 @@ def template_tree(pages: DataFrame, min_count: int = MIN_COUNT, min_share: float
         total = counts.groupBy("host", "template").agg(F.sum("c").alias("total"))
         shapes = counts.groupBy("host", "template", "shape").agg(F.sum("c").alias("shaped"))
         often = lambda c: (F.col(c) >= min_count) & (F.col(c) >= F.col("total") * min_share)
-        said = (counts.join(total, ["host", "template"]).join(shapes, ["host", "template", "shape"])
+        said = (counts.join(C.dealt_anew(total, "host"), ["host", "template"])
+                .join(C.dealt_anew(shapes, "host"), ["host", "template", "shape"])
                 .select("host", "template", "own",
                         F.when(often("c") & ~F.col("own").rlike("^[0-9]+$"), F.col("own"))
                         .when(often("shaped"), F.col("shape")).otherwise("**").alias("said")))
-        tree = C.store(here.drop("shape").join(said, ["host", "template", "own"], "left")
+        tree = C.store(here.drop("shape").join(C.dealt_anew(said, "host"), ["host", "template", "own"], "left")
                        .withColumn("template", F.when(F.col("said").isNotNull(), F.concat("template", F.lit("/"), "said"))
                                    .otherwise(F.col("template"))).drop("own", "said"))
     more = F.size("seg") > LEVELS
@@ -113,7 +114,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]
     tree = C.store(template_tree(base))
     judged = judged_templates(tree)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    return (tree.join(judged, ["host", "template"])
+    return (tree.join(C.dealt_anew(judged, "host"), ["host", "template"])
             .select("page_id", "host", "path", rule.alias("rule"),
                     F.coalesce(verdict, F.when(F.col("rejected"), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
                     "template", "purity"))
