@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimsmith.llm import common as C
-from claimsmith.llm.tokenize import MEMORY, is_plain, piece_splitter, special_tokens, stretches, tokenizer_path
+from claimsmith.llm.tokenize import MEMORY, is_plain, piece_splitter, stretches, tokenizer_path
 
 LIMIT = 1024
 
@@ -63,7 +63,7 @@ class Counter:
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merge[vocab[a], vocab[b]] = (rank, vocab[a + b])
-        self.special = special_tokens(spec)
+        self.special = [t["content"] for t in spec["added_tokens"]]
         self.split = piece_splitter()
         self.library = Tokenizer.from_file(path)  # only splits texts with unusual characters
         self.known = Remembered(lambda piece: self.merged([self.symbol[b] for b in piece.encode()]))

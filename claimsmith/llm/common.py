@@ -69,6 +69,19 @@ def worker_cache(owner: str) -> dict:
     return _worker.setdefault(owner, {})
 
 
+def one_at_a_time(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Each batch in a list of its own, emptied before the next batch is read.
+
+    A consumer that takes the batch with ``pop`` and lets go of it holds one
+    batch at a time, however large batches are."""
+    for batch in batches:
+        held = [batch]
+        del batch
+        yield held
+        held.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def start_task(owner: str) -> dict:
     """The operator's cache, after memory that Arrow kept for reuse has gone back."""
     cache = worker_cache(owner)
@@ -129,7 +142,7 @@ _powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1
 
 def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
     if len(_powers[name]) < n:
-        p = np.full(max(n, CHUNK_BYTES + 1), base, np.uint64)
+        p = np.full(max(n, (1 << 18) + 1), base, np.uint64)
         p[0] = 1
         _powers[name] = np.cumprod(p, dtype=np.uint64)
     return _powers[name][:n]

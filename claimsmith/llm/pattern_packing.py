@@ -36,7 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimsmith.llm import common as C
-from claimsmith.llm.tokenize import encoder
+from claimsmith.llm.tokenize import CHUNK, encoder
 
 SIZE = 1024
 END_ID = 2
@@ -52,10 +52,11 @@ def cuts(n: int, size: int) -> list[tuple[int, int]]:
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int, size: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
     enc, part, seen = encoder(path), TaskContext.get().partitionId(), Counter()
-    for batch in batches:
-        for lo, texts in C.chunks(batch.column(1)):
+    for held in C.one_at_a_time(batches):
+        keys = held[0].column(0).to_pylist()
+        for lo, texts in C.chunks(held[0].column(1), CHUNK):
             rows = []
-            for key, own in zip(batch.column(0).slice(lo, len(texts)).to_pylist(), enc.encode_many(texts.to_pylist())):
+            for key, own in zip(keys[lo:lo + len(texts)], enc.encode_many(texts.to_pylist())):
                 ids = np.append(own, np.array([end_id], enc.dtype)).astype("<u4")
                 for i, (a, n) in enumerate(cuts(len(ids), size)):
                     raw = ids[a:a + n].tobytes()
@@ -65,6 +66,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int, si
             kinds = [pa.int64(), pa.int32()] + [pa.int64()] * 5 + [pa.binary()]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "number", "ids"]
             n = 7 + keep_ids
+            del texts
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)][:n], names=names[:n])
 
 

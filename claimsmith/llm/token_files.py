@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimsmith.llm import common as C
-from claimsmith.llm.tokenize import encoder
+from claimsmith.llm.tokenize import CHUNK, encoder
 
 SHARD_IDS = 1 << 21
 END_ID = 0
@@ -147,15 +147,17 @@ def _write(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int, sha
     def image():
         return pa.RecordBatch.from_pylist([shard_image(part, seq, keys, ids)], schema=_SHARDS)
 
-    for batch in batches:
-        for lo, texts in C.chunks(batch.column(1)):
-            for key, own in zip(batch.column(0).slice(lo, len(texts)).to_pylist(), enc.encode_many(texts.to_pylist())):
+    for held in C.one_at_a_time(batches):
+        own_keys = held[0].column(0).to_pylist()
+        for lo, texts in C.chunks(held[0].column(1), CHUNK):
+            for key, own in zip(own_keys[lo:lo + len(texts)], enc.encode_many(texts.to_pylist())):
                 keys.append(key)
                 ids.append(np.concatenate([own, end]))
                 size += len(ids[-1])
                 if size >= shard_ids:
                     yield image()
                     keys, ids, size, seq = [], [], 0, seq + 1
+            del texts
     if keys:
         yield image()
 

@@ -2,28 +2,28 @@
 
 The tokenizer splits a text into pieces before it merges, and merges never
 cross pieces.  Texts of *plain* characters, which every version of the
-Unicode tables classes alike, are split here by the published pattern; the
-tokenizers library then gives the ids of each distinct piece once.  Any
+Unicode tables classes alike, are split here by the published pattern's
+rules on whole arrays; the tokenizers library then gives the ids of each
+distinct piece once.  Any
 other text, and one that holds a special token, is encoded whole by the
 library.  Both ways give the library's ids.
 """
 
 from __future__ import annotations
 
-import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
-from itertools import chain, compress, count, islice, repeat
-from operator import is_
 
 import numpy as np
 
 from claimsmith.llm.common import start_task
+from claimsmith.llm.pieces import PieceTable, piece_hashes, piece_starts
 
 BYTE_BPE = "byte_bpe_50k.json"
-MEMORY = 3 << 18
-LONG = 1 << 20  # characters of a text that are split at a time
+MEMORY = 1 << 19
+LONG = 1 << 18  # characters of a text that are split at a time
+CHUNK = 1 << 18  # bytes of text that callers encode at a time
 
 _PLAIN_CHARS = [c for c in map(chr, range(0x20, 0x234)) if unicodedata.category(c)[0] not in "CZ"]
 
@@ -69,66 +69,70 @@ def stretches(text: str) -> Iterator[str]:
     yield text[lo:] if lo else text
 
 
-def special_tokens(spec: dict) -> list[str]:
-    return [t["content"] for t in spec["added_tokens"]]
-
-
 class Encoder:
     """``encode_many(texts)``: an id array a text, as the library gives them without added tokens."""
 
     def __init__(self, path: str | None = None):
         from tokenizers import Tokenizer
 
-        path = path or tokenizer_path()
-        self.library = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            self.special = special_tokens(json.load(f))
+        self.library = Tokenizer.from_file(path or tokenizer_path())
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.split = piece_splitter()
         (self.line_break,) = self.library.encode("\n", add_special_tokens=False).ids
-        self.known: dict[str, bytes] = {}
+        self.known = PieceTable(self.dtype, MEMORY)
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Ask the library for pieces as the lines of one text: a line break ends a piece and has an id of its own."""
+    def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each piece, all ids): the lines of one text, as a line break ends a piece and has an id of its own."""
         lines = [p for p in pieces if not p.isspace()]
-        if lines:
-            ids = np.array(self.library.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids, self.dtype)
-            end = np.flatnonzero(ids == self.line_break) * self.dtype.itemsize
-            raw = ids.tobytes()
-            starts = [0, *(end + self.dtype.itemsize).tolist()]
-            self.known.update(zip(lines, [raw[a:b] for a, b in zip(starts, [*end.tolist(), len(raw)], strict=True)], strict=True))
-        for p in pieces:
-            if p.isspace():
-                self.known[p] = np.array(self.library.encode(p, add_special_tokens=False).ids, self.dtype).tobytes()
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece as bytes; unknown ones are asked of the library together."""
-        if len(self.known) > MEMORY:  # the first ones learned are the most common ones
-            self.known = dict(islice(self.known.items(), MEMORY * 3 // 4))
-        out = list(map(self.known.get, pieces))
-        gaps = list(compress(count(), map(is_, out, repeat(None))))
-        if gaps:
-            self._learn({pieces[i] for i in gaps})
-            for i in gaps:
-                out[i] = self.known[pieces[i]]
-        return out
+        ids = np.array(self.library.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids, self.dtype)
+        cut = np.flatnonzero(ids == self.line_break)
+        lengths, ids = np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1, np.delete(ids, cut)
+        if len(lines) < len(pieces):  # blanks would run into the line breaks
+            rest = iter(np.split(ids, np.cumsum(lengths)[:-1]))
+            each = [self._whole(p) if p.isspace() else next(rest) for p in pieces]
+            lengths, ids = np.array([len(x) for x in each]), np.concatenate(each)
+        if len(lengths) != len(pieces):
+            raise ValueError("ids of pieces don't match the pieces")
+        return lengths, ids
+
+    def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
+        self.known.shrink()
+        whole = "".join(texts)
+        if not whole:
+            return []
+        code = np.frombuffer(whole.encode("utf-16-le"), "<u2")
+        size = np.cumsum([0] + [len(t) for t in texts])
+        start = piece_starts(code, size[:-1])
+        h = piece_hashes(code, start)
+        entry = self.known.find(h)
+        unknown = np.flatnonzero(entry < 0)
+        if len(unknown):
+            new, at = np.unique(h[unknown], return_index=True)
+            at = np.sort(unknown[at])  # in the order of the texts: common pieces come first
+            stop = np.append(start[1:], len(code))
+            lengths, ids = self._learn([whole[a:b] for a, b in zip(start[at].tolist(), stop[at].tolist())])
+            self.known.add(h[at], lengths, ids)
+            entry[unknown] = self.known.find(h[unknown])
+        ids, before = self.known.ids(entry)
+        cut = before[np.searchsorted(start, size)]
+        return [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids if text else [], self.dtype)
 
     def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
-        """One array a text; callers pass about a megabyte of text, or one longer text, at a time."""
+        """One array a text; callers pass about ``CHUNK`` bytes of text, or one longer text, at a time."""
         plain = [bool(t) and is_plain(t) and not any(s in t for s in self.special) for t in texts]
-        split = [self.split(t) if p and len(t) <= 2 * LONG else [] for t, p in zip(texts, plain)]
-        ids = self._ids(list(chain.from_iterable(split)))
-        out, at = [], 0
-        for t, p, s in zip(texts, plain, split):
-            if s:
-                out.append(b"".join(ids[at:at + len(s)]))
-                at += len(s)
-            elif p:
-                out.append(b"".join(b"".join(self._ids(self.split(stretch))) for stretch in stretches(t)))
+        short = iter(self._encode_plain([t for t, p in zip(texts, plain) if p and len(t) <= 2 * LONG]))
+        out = []
+        for t, p in zip(texts, plain):
+            if not p:
+                out.append(self._whole(t))
+            elif len(t) <= 2 * LONG:
+                out.append(next(short))
             else:
-                own = self.library.encode(t, add_special_tokens=False).ids if t else []
-                out.append(np.array(own, self.dtype).tobytes())
-        return [np.frombuffer(b, self.dtype) for b in out]
+                out.append(np.concatenate([x for stretch in stretches(t) for x in self._encode_plain([stretch])]))
+        return out
 
     def encode(self, text: str | None) -> np.ndarray:
         return self.encode_many([text])[0]

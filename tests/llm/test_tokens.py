@@ -5,7 +5,7 @@ from collections import Counter as Bag
 import numpy as np
 import pytest
 
-from claimsmith.llm import bpe_count, pattern_packing, token_files, tokenize
+from claimsmith.llm import bpe_count, pattern_packing, pieces, token_files, tokenize
 from tests.llm.conftest import SF0001
 
 
@@ -37,6 +37,34 @@ def test_counts_and_ids_equal_the_library(library, odd_texts, monkeypatch):
         assert [a.tolist() for a in enc.encode_many(texts[lo:lo + 50])] == want[lo:lo + 50]
 
 
+def test_piece_boundaries_equal_the_pattern():
+    split, rng = tokenize.piece_splitter(), random.Random(5)
+    pool = list("  \n\t\r'''.,!srtvemldaZéß9²1ñ-_\"¡")
+    for _ in range(600):
+        texts = ["".join(rng.choice(pool) for _ in range(rng.randint(1, 25))) for _ in range(rng.randint(1, 12))]
+        whole, size = "".join(texts), np.cumsum([0] + [len(t) for t in texts])
+        code = np.frombuffer(whole.encode("utf-16-le"), "<u2")
+        cut = np.append(pieces.piece_starts(code, size[:-1]), len(code)).tolist()
+        assert [whole[a:b] for a, b in zip(cut, cut[1:])] == [p for t in texts for p in split(t)]
+
+
+def test_piece_table_forgets_the_latest_and_grows():
+    table = pieces.PieceTable(np.dtype("<u2"), 100)
+    rng = np.random.default_rng(1)
+    known = {}
+    for _ in range(20):
+        table.shrink()
+        h = np.unique(rng.integers(1, 1 << 63, 90).astype(np.uint64))
+        h = h[table.find(h) < 0]
+        ids = [rng.integers(0, 9, int(rng.integers(1, 5))) for _ in h]
+        table.add(h, np.array([len(x) for x in ids]), np.concatenate(ids))
+        known |= {int(k): x.tolist() for k, x in zip(h, ids)}
+        flat, before = table.ids(table.find(h))
+        assert [flat[a:b].tolist() for a, b in zip(before[:-1], before[1:])] == [known[int(k)] for k in h]
+    table.shrink()
+    assert table.n == 75 and (table.find(np.array([1, 2, 3], np.uint64)) == -1).all()
+
+
 def test_count_query_whole_table(spark, library, documents):
     got = {r.doc_id: r for r in bpe_count.op7_token_counts(spark, SF0001).collect()}
     assert len(got) == documents.count()
