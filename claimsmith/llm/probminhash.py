@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from claimsmith.llm import common as C
 
 BANDS, BAND_ROWS = 32, 6
-BLOCK, BLOCK_SHINGLES = 1024, 500_000  # members and shingles of one band that meet in a task, on either side
+BLOCK, BLOCK_SHINGLES = 512, 250_000  # members and shingles of one band that meet in a task, on either side
 ERRORS = 4.0
 _U = np.uint64
 _SCALE = 2.0 ** -53
