@@ -128,11 +128,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope:
 
 
 def attach(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with their ``_spans`` (empty array where there is none)."""
-    own = spans.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), F.col("spans").alias("_spans"))
+    """``docs`` with their ``_spans`` (empty array where there is none).
+
+    The few texts with spans are stored first: Spark then knows their size
+    and broadcasts them if it is small, else both sides are shuffled."""
+    own = C.store(spans.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), F.col("spans").alias("_spans")))
     rows = docs.withColumn("_text_key", F.xxhash64(F.col(f"`{text_col}`")))
     on = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
-    return (rows.join(C.dealt_anew(own, "_key"), on, "left").drop("_id", "_key", "_text_key")
+    return (rows.join(own, on, "left").drop("_id", "_key", "_text_key")
             .withColumn("_spans", F.coalesce("_spans", F.array().cast(spans.schema["spans"].dataType))))
 
 

@@ -191,11 +191,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = C.SIMILARITY
           text_col: str = "text") -> DataFrame:
     """``docs`` without contaminated rows, whatever their ids.
 
-    Only the text hashes of the contaminated rows are joined back; Spark
-    broadcasts them where their measured size allows.
+    Only the text hashes of the contaminated rows are stored and joined back:
+    Spark knows their size and broadcasts them if it is small.
     """
-    judged = C.store(contamination(docs, benchmark, threshold, id_col, text_col).select("text_key", "contaminated"))
-    bad = judged.where("contaminated").select(F.col("text_key").alias("_bad")).distinct()
+    judged = contamination(docs, benchmark, threshold, id_col, text_col)
+    bad = C.store(judged.where("contaminated").select(F.col("text_key").alias("_bad")).distinct())
     return docs.join(bad, F.xxhash64(F.col(f"`{text_col}`")) == F.col("_bad"), "left_anti")
 
 
