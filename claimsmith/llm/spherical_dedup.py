@@ -9,9 +9,9 @@
 3. A vector is also a visitor in each other cell that a partner could call
    home.  A partner at the threshold angle can lie beyond the plane between
    home c and other cell d only if ``x.(c - d) <= margin * |c - d|`` with
-   ``margin = sin(angle)``.  A random difference in 64 dimensions reaches a
-   fraction of that: the default takes 0.6 of it (about 5 standard
-   deviations); ``guard=1.0`` makes the search exact for any data.
+   ``margin = sin(angle)``.  The default ``guard=1.0`` takes the whole margin
+   (``SLACK`` above it for rounding), so the search is exact for any data; a
+   smaller guard takes a part of it and may miss links.
 4. In each (label, cell), blocks of visitors are multiplied with blocks of
    residents.  A partner has one home, so every link is counted once.  Blocks
    return link counts and a spanning forest, never pairs; big cells are cut
@@ -38,7 +38,7 @@ from claimsmith.llm import common as C
 THRESHOLD = 0.93
 SAMPLE, MAX_CELLS, ROUNDS = 65_536, 4_096, 8
 BLOCK = 2_048
-GUARD = 0.6
+GUARD, SLACK = 1.0, 1e-7
 
 
 def unit(v: pd.Series) -> np.ndarray:
@@ -70,7 +70,7 @@ def probes(x: np.ndarray, c: np.ndarray, margin: float) -> list[np.ndarray]:
     s = x @ c.T
     home = s.argmax(axis=1)
     gap = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (c @ c.T)))[home]
-    near = s[np.arange(len(x)), home][:, None] - s <= margin * gap
+    near = s[np.arange(len(x)), home][:, None] - s <= margin * gap + SLACK
     near[np.arange(len(x)), home] = False
     return [np.concatenate([[h], np.flatnonzero(r)]) for h, r in zip(home, near)]
 

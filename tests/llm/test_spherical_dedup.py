@@ -79,3 +79,35 @@ def test_recall_on_whole_table(spark):
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{SF0001}/embeddings.parquet").collect()]
     got = S.op4_embedding_near_dedup(spark, SF0001).collect()
     assert sorted([(r.vec_id, r.n_links, r.component_id, r.kept) for r in got], key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("dim, directions", [(64, 3), (64, 4), (8, None)])
+def test_every_partner_s_home_is_visited_in_low_dimensions(dim, directions):
+    """The cells of the default search, on vectors near a few directions or of few components."""
+    rng = np.random.default_rng(3)
+    if directions:
+        x = rng.normal(size=(4000, directions)) @ rng.normal(size=(directions, dim)) + 0.05 * rng.normal(size=(4000, dim))
+    else:
+        x = rng.normal(size=(4000, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    c = S.spherical_kmeans(x, 32)
+    cells = S.probes(x, c, S.GUARD * np.sqrt(1 - S.THRESHOLD ** 2))
+    visited = np.zeros((len(x), len(c)), bool)
+    for i, to in enumerate(cells):
+        visited[i, to] = True
+    a, b = np.nonzero(x @ x.T >= S.THRESHOLD)
+    home = np.array([to[0] for to in cells])
+    assert len(a) > len(x) and visited[a, home[b]].all()
+
+
+def test_nearly_equal_centroids_are_both_visited():
+    x = np.array([[1.0, 0.0], [np.cos(1e-9), np.sin(1e-9)]])
+    assert all(len(to) == 2 for to in S.probes(x, x, np.sqrt(1 - S.THRESHOLD ** 2)))
+
+
+def test_links_of_low_rank_vectors_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    x = (rng.normal(size=(700, 3)) @ rng.normal(size=(3, 64)) + 0.3 * rng.normal(size=(700, 64))).astype(np.float32)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    got = S.near_duplicates(spread(spark, rows)).collect()
+    assert sorted([(r.vec_id, r.n_links, r.component_id, r.kept) for r in got], key=str) == brute(rows)
