@@ -9,7 +9,9 @@ next arrival is later than the latest register (early termination).
 
 Rows of registers are hashed into bands; documents that share a band are
 compared exactly and linked when the probability Jaccard or the plain
-Jaccard of their shingle sets reaches the threshold.
+Jaccard of their shingle sets reaches the threshold.  Either measure has its
+own registers: a document that repeats a shingle has a second sketch with all
+weights 1 and the bands of both; without repeats the two sketches are one.
 
 How groups of any size stay linear:
 
@@ -21,7 +23,8 @@ How groups of any size stay linear:
   compared with each other, in blocks, so no link between components is lost
   and a large group of near copies costs one comparison a member.  Blocks
   sort out pairs by the agreement of their registers (4 standard errors below
-  the threshold) and compare the rest exactly; only links leave them.
+  the threshold in both sketches) and compare the rest exactly; only links
+  leave them.
 
 Null ids: the row is kept and never linked.  Null or empty text, or text
 without any word: no shingle; linked only with rows of the very same
@@ -98,6 +101,18 @@ def band_keys(z: np.ndarray, salt: np.ndarray) -> np.ndarray:
     return key
 
 
+def sketches(element: np.ndarray, row: np.ndarray, count: np.ndarray, n_rows: int, registers: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(weighted registers, registers with all weights 1, rows where the two may differ)."""
+    z = sketch(element, row, weights(count), n_rows, registers)
+    repeats = np.zeros(n_rows, bool)
+    repeats[row[count > 1]] = True
+    plain, some = z.copy(), repeats[row]
+    if some.any():
+        at = np.cumsum(repeats) - 1
+        plain[repeats] = sketch(element[some], at[row[some]], np.ones(some.sum()), int(repeats.sum()), registers)
+    return z, plain, repeats
+
+
 def _sketches(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     C.start_task("sketch")
     salt = C.mix(np.arange(1, bands + 1, dtype=np.uint64))
@@ -107,14 +122,14 @@ def _sketches(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Itera
             n = len(text)
             shingle, row, _ = C.shingle_hashes(words, off)
             element, at, count = weighted_elements(shingle, row)
-            z = sketch(element, at, weights(count), n, bands * rows).reshape(n, bands, rows)
-            key = band_keys(z, salt)
+            z, plain, repeats = sketches(element, at, count, n, bands * rows)
+            key, own = (band_keys(r.reshape(n, bands, rows), salt) for r in (z, plain))
             size = np.bincount(at, minlength=n)
             same, band = [], []
             for i in range(n):
                 if size[i]:
                     same.append(hashlib.blake2b(words[off[i]:off[i + 1]].tobytes(), digest_size=16).digest())
-                    band.append(key[i].view(np.int64))
+                    band.append((np.union1d(key[i], own[i]) if repeats[i] else key[i]).view(np.int64))
                 else:
                     raw = text[i].as_py()
                     same.append(hashlib.blake2b(raw.encode(), digest_size=15).digest() if raw else None)
@@ -168,7 +183,9 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
 
 def _profiles(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    """(id, bands, registers as 16 bits, distinct shingles, counts, number of shingles) of texts."""
+    """(id, bands, registers as 16 bits, distinct shingles, counts, number of shingles) of texts.
+
+    Bands and registers: those of the weighted sketch, then those of the plain one."""
     salt = C.mix(np.arange(1, bands + 1, dtype=np.uint64))
     for batch in batches:
         for lo, text in C.chunks(batch.column(1), C.CHUNK_BYTES // 2):
@@ -176,9 +193,9 @@ def _profiles(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Itera
             n = len(text)
             shingle, row, _ = C.shingle_hashes(words, off)
             element, at, count = weighted_elements(shingle, row)
-            z = sketch(element, at, weights(count), n, bands * rows)
-            band = band_keys(z.reshape(n, bands, rows), salt)
-            short = (C.mix(z) >> _U(48)).astype("<u2")
+            z, plain, _ = sketches(element, at, count, n, bands * rows)
+            band = np.hstack([band_keys(r.reshape(n, bands, rows), salt) for r in (z, plain)])
+            short = (C.mix(np.hstack([z, plain])) >> _U(48)).astype("<u2")
             order = np.argsort(row, kind="stable")
             shingle, cut = shingle[order], np.searchsorted(row[order], np.arange(n + 1))
             own = [np.unique(shingle[a:b], return_counts=True) for a, b in zip(cut[:-1], cut[1:])]
@@ -192,9 +209,10 @@ def _profiles(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Itera
 def _block(threshold: float):
     """Links between members of one band in different components, within one pair of blocks.
 
-    A pair is looked at in its first common band only.  The registers'
-    agreement, within ``ERRORS`` standard errors, sorts out the dissimilar
-    ones, an exact comparison decides on the rest."""
+    A pair is looked at in its first common band only (of two bands in one
+    place, the smaller key).  The agreement of the registers of either sketch,
+    within ``ERRORS`` standard errors, sorts out the dissimilar ones, an exact
+    comparison decides on the rest."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
@@ -207,13 +225,21 @@ def _block(threshold: float):
         if bi[0] == bj[0]:
             differ &= left[:, None] < right[None, :]
         keys = np.stack([np.asarray(x) for x in col["bands"].to_numpy(zero_copy_only=False)])
-        for k in range(int(np.flatnonzero(keys[0] == band)[0])):
-            differ &= keys[left, k][:, None] != keys[right, k][None, :]
+        places = keys.shape[1] // 2
+        place = int(np.flatnonzero(keys[0] == band)[0]) % places
+        for k in range(place + 1):
+            for a in (k, k + places):
+                for b in (k, k + places):
+                    earlier = keys[left, a][:, None] == keys[right, b][None, :]
+                    if k == place:
+                        earlier &= (keys[left, a] < band)[:, None]
+                    differ &= ~earlier
         i, j = np.nonzero(differ)
         i, j = left[i], right[j]
         registers = np.stack([np.frombuffer(x.as_py(), "<u2") for x in col["registers"]])
-        least = threshold - ERRORS * np.sqrt(threshold * (1 - threshold) / registers.shape[1])
-        near = np.concatenate([(registers[i[lo:lo + 50_000]] == registers[j[lo:lo + 50_000]]).mean(axis=1) >= least
+        least = threshold - ERRORS * np.sqrt(threshold * (1 - threshold) / (registers.shape[1] // 2))
+        agreement = lambda a, b: (registers[a] == registers[b]).reshape(len(a), 2, -1).mean(axis=2).max(axis=1)
+        near = np.concatenate([agreement(i[lo:lo + 50_000], j[lo:lo + 50_000]) >= least
                                for lo in range(0, len(i), 50_000)]) if len(i) else np.zeros(0, bool)
         shingles = lambda r: (np.frombuffer(col["shingles"][int(r)].as_py(), "<u8"), np.frombuffer(col["counts"][int(r)].as_py(), "<u4"))
         u, v, last, known = [], [], None, None

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from claimsmith.llm import common as C
 from claimsmith.llm import probminhash as P
@@ -146,3 +147,46 @@ def test_components_of_random_graphs(spark):
     want = {i: root(i) for i in list(up)}
     got = {r.id: r.component for r in C.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == want
+
+
+def test_plain_bands_of_strongly_repeated_lines():
+    """Of pairs with equal shingle sets, all share a band, however often one repeats some."""
+    rng = np.random.default_rng(7)
+    pairs, distinct, most = 60, 100, 1000
+    grams = rng.integers(0, 1 << 44, (pairs, distinct)).astype(np.uint64)
+    element, row = np.tile(grams, (2, 1)).ravel(), np.repeat(np.arange(2 * pairs), distinct)
+    count = np.where((row >= pairs) & (np.tile(np.arange(distinct), 2 * pairs) < 20), most, 1)
+    z, plain, repeats = P.sketches(element, row, count, 2 * pairs, P.BANDS * P.BAND_ROWS)
+    assert not repeats[:pairs].any() and repeats[pairs:].all()
+    assert (z[:pairs] == plain[:pairs]).all() and (plain[:pairs] == plain[pairs:]).all()
+    assert (z[:pairs] == z[pairs:]).mean() < 0.685
+
+
+def test_texts_that_repeat_lines_equal_brute_force(spark, make_docs):
+    """Copies that repeat a passage many times, some of them where neither is the first of a band."""
+    rng = random.Random(9)
+    rows = []
+    for g in range(12):
+        base = prose(rng, 100)
+        loop = prose(rng, 24) + " "
+        for k, times in enumerate((2, 300, 60)):
+            rows.append((10 * g + k, base + " " + loop * times))
+    got = {r.doc_id: r.class_id for r in P.near_duplicates(make_docs(rows)).collect()}
+    assert got == brute(rows) == {10 * g + k: 10 * g for g in range(12) for k in range(3)}
+
+
+def test_blocks_let_pairs_past_that_only_the_plain_measure_links():
+    rng = random.Random(10)
+    base, loop = prose(rng, 100), prose(rng, 24) + " "
+    texts = pa.array([base + " " + loop * 2, base + " " + loop * 300], pa.string())
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), texts], names=["id", "text"])
+    profile = next(P._profiles(iter([batch]), P.BANDS, P.BAND_ROWS))
+    keys = np.stack([np.asarray(x) for x in profile.column(1).to_numpy(zero_copy_only=False)])
+    links = 0
+    for band in np.intersect1d(keys[0], keys[1]):
+        more = {"band": [band] * 2, "component": [1, 2], "own": [0, 0], "bi": [0, 0], "bj": [0, 0]}
+        table = pa.Table.from_batches([profile])
+        for name, values in more.items():
+            table = table.append_column(name, pa.array(values, pa.int64()))
+        links += P._block(0.8)(table).num_rows
+    assert links == 1
