@@ -15,9 +15,9 @@ weights 1 and the bands of both; without repeats the two sketches are one.
 
 How groups of any size stay linear:
 
-* equal word sequences collapse to one representative first (map-side
-  combined minimum), so a huge group of copies is one node;
-* a band's members are compared with the band's smallest id, not with each
+* equal word sequences are one node, named by their hash and represented by
+  their smallest id, so a huge group of copies is one node;
+* a band's members are compared with the band's smallest node, not with each
   other; links found this way are joined into components;
 * only members of one band that ended up in *different* components are then
   compared with each other, in blocks, so no link between components is lost
@@ -28,7 +28,8 @@ How groups of any size stay linear:
 
 Null ids: the row is kept and never linked.  Null or empty text, or text
 without any word: no shingle; linked only with rows of the very same
-non-empty text.  Repeated ids form one node with the links of all its texts.
+non-empty text.  An id with several texts has a node for each; its class
+joins the links of all of them, while ``keep_one`` judges every text by itself.
 """
 
 from __future__ import annotations
@@ -135,8 +136,8 @@ def _sketches(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Itera
                     same.append(hashlib.blake2b(raw.encode(), digest_size=15).digest() if raw else None)
                     band.append(None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, n), pa.array(same, pa.binary()), pa.array(size, pa.int64()),
-                 pa.array(band, pa.list_(pa.int64()))], names=["doc_id", "same", "n", "bands"])
+                [batch.column(0).slice(lo, n), batch.column(2).slice(lo, n), pa.array(same, pa.binary()), pa.array(size, pa.int64()),
+                 pa.array(band, pa.list_(pa.int64()))], names=["doc_id", "key", "same", "n", "bands"])
 
 
 def jaccards(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
@@ -264,7 +265,7 @@ def between_components(labelled: DataFrame, texts: DataFrame, threshold: float,
     split = (labelled.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b"))
              .where("a <> b").select("band"))
     open_ = C.store(labelled.join(C.dealt_anew(split, "band"), "band", "left_semi"))
-    known = C.store(texts.join(open_.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    known = C.store(texts.join(open_.select("id").distinct(), "id", "left_semi")
                     .mapInArrow(lambda it: _profiles(it, bands, band_rows),
                                 "id long, bands array<long>, registers binary, shingles binary, counts binary, n long"))
     members = open_.join(known.select("id", "n"), "id")
@@ -276,32 +277,56 @@ def between_components(labelled: DataFrame, texts: DataFrame, threshold: float,
     return C.store(rows.groupBy("band", "bi", "bj").applyInArrow(_block(threshold), "u long, v long")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    threshold: float = C.SIMILARITY, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
-    """(doc_id, class_id) for every non-null id: class_id is the smallest id of its group."""
-    base = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+def linked(docs: DataFrame, id_col: str, text_col: str, threshold: float, bands: int, band_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, node) of every row with an id, and the links (u, v) between nodes.
+
+    ``key`` is the hash of the text, ``node`` that of its words; a text that is
+    never linked has a null node."""
+    text = F.col(f"`{text_col}`")
+    base = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("key"))
     base = base.where("doc_id is not null")
     sketched = C.store(base.mapInArrow(lambda it: _sketches(it, bands, band_rows),
-                                       "doc_id long, same binary, n long, bands array<long>"))
-    groups = C.dealt_anew(sketched.where("same is not null").groupBy("same").agg(F.min("doc_id").alias("rep")), "same")
-    member = sketched.where("same is not null").join(groups, "same").select("doc_id", "rep").distinct()
-    reps = sketched.where("n > 0").join(groups, "same").where("doc_id = rep")
-    band = C.store(reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("band")).distinct())
+                                       "doc_id long, key long, same binary, n long, bands array<long>")
+                       .withColumn("node", F.when(F.col("same").isNotNull(), F.xxhash64("same"))).drop("same"))
+    groups = C.dealt_anew(sketched.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep")), "node")
+    reps = sketched.where("n > 0").join(groups, "node").where("doc_id = rep")
+    band = C.store(reps.select(F.col("node").alias("id"), F.explode("bands").alias("band")).distinct())
     first = band.groupBy("band").agg(F.min("id").alias("u"), F.count("*").alias("c")).where("c > 1").select("band", "u")
     shared = C.store(band.join(C.dealt_anew(first, "band"), "band"))
-    texts = C.store(base.join(shared.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-                    .dropDuplicates(["doc_id"]))
+    wanted = C.store(reps.select("doc_id", "key", F.col("node").alias("id")).distinct()
+                     .join(shared.select("id").distinct(), "id", "left_semi"))
+    # All texts of a node have the same words: any one will do.
+    texts = C.store(base.join(wanted, ["doc_id", "key"]).select("id", "text").dropDuplicates(["id"]))
     stars = shared.where("u <> id").select("u", F.col("id").alias("v")).distinct()
     links = C.store(verified(stars, texts, threshold))
     label = C.connected_components(links)
     labelled = (shared.where("id <> u").join(label, "id", "left")
                 .select("band", "id", F.coalesce("component", "id").alias("component")))
     more = between_components(labelled, texts, threshold, bands, band_rows)
-    copies = member.where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    label = C.connected_components(links.union(more).union(copies))
-    ids = sketched.select("doc_id").distinct()
-    return (ids.join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-            .select("doc_id", F.coalesce("component", "doc_id").alias("class_id")))
+    return sketched.select("doc_id", "key", "node"), links.union(more)
+
+
+def components(member: DataFrame, links: DataFrame) -> DataFrame:
+    """``member`` rows with the ``component`` of their node."""
+    label = C.connected_components(links).withColumnRenamed("id", "node")
+    return (member.join(C.dealt_anew(label, "node"), "node", "left")
+            .withColumn("component", F.coalesce("component", "node")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    threshold: float = C.SIMILARITY, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
+    """(doc_id, class_id) for every non-null id: class_id is the smallest id of its group."""
+    rows, links = linked(docs, id_col, text_col, threshold, bands, band_rows)
+    member = C.store(rows.where("node is not null").select("doc_id", "node").distinct())
+    # Texts of one id are joined to its smallest node.
+    one = member.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("most")).where("v <> most").select("doc_id", "v")
+    texts = member.join(C.dealt_anew(one, "doc_id"), "doc_id").where("node <> v").select(F.col("node").alias("u"), "v")
+    member = C.store(components(member, links.union(texts)).select("doc_id", "component"))
+    low = member.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    classes = member.join(C.dealt_anew(low, "component"), "component").select("doc_id", "class_id").distinct()
+    ids = rows.select("doc_id").distinct()
+    return (ids.join(classes, "doc_id", "left")
+            .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")))
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,17 +334,26 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(C.table(spark, sf_dir, "documents")).withColumn("kept", F.col("class_id") == F.col("doc_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: one per group; rows with a null id stay.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = C.SIMILARITY,
+             bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
+    """The rows of ``docs`` that stay: one per group of near-equal texts; rows with a null id stay.
 
-    Repeated rows of one id: exactly one of them stays.  Their texts are
-    shuffled only where an id does repeat.
+    A group keeps a text of its smallest id.  Unlike texts of one id are in
+    different groups and all stay; of repeated rows with one id and one text
+    exactly one stays.  Their texts are shuffled only where rows do repeat.
     """
-    classes = near_duplicates(docs, id_col, text_col)
-    gone = C.store(classes.where("class_id <> doc_id").select(F.col("doc_id").alias("_gone")))
-    many = C.store(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_many")).count()
-                   .where("count > 1").select("_many"))
-    kept = docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
-    once = kept.join(many, kept[id_col] == F.col("_many"), "left_anti")
-    repeated = kept.join(many, kept[id_col] == F.col("_many"), "left_semi").dropDuplicates([id_col])
+    rows, links = linked(docs, id_col, text_col, threshold, bands, band_rows)
+    member = C.store(components(rows.where("node is not null"), links).select("doc_id", "key", "component").distinct())
+    low = member.groupBy("component").agg(F.min("doc_id").alias("low"))
+    least = C.store(member.join(C.dealt_anew(low, "component"), "component").where("doc_id = low")
+                    .groupBy("component", "low").agg(F.min("key").alias("least")))
+    gone = C.store(member.join(C.dealt_anew(least, "component"), "component").where("doc_id <> low or key <> least")
+                   .select(F.col("doc_id").alias("_gone"), F.col("key").alias("_gone_key")))
+    many = C.store(rows.groupBy(F.col("doc_id").alias("_many"), F.col("key").alias("_many_key")).count()
+                   .where("count > 1").select("_many", "_many_key"))
+    key = F.xxhash64(F.col(f"`{text_col}`"))
+    kept = docs.join(gone, (docs[id_col] == F.col("_gone")) & (key == F.col("_gone_key")), "left_anti")
+    repeats = (kept[id_col] == F.col("_many")) & (key == F.col("_many_key"))
+    once = kept.join(many, repeats, "left_anti")
+    repeated = kept.join(many, repeats, "left_semi").dropDuplicates([id_col, text_col])
     return once.unionByName(repeated)

@@ -190,3 +190,26 @@ def test_blocks_let_pairs_past_that_only_the_plain_measure_links():
             table = table.append_column(name, pa.array(values, pa.int64()))
         links += P._block(0.8)(table).num_rows
     assert links == 1
+
+
+def two_texts():
+    """Ids with two unlike texts, one of them with a near copy under another id."""
+    rng = random.Random(11)
+    rows = []
+    for g in range(8):
+        a, b = prose(rng, 120), prose(rng, 120)
+        rows += [(10 * g, a), (10 * g, b), (10 * g + 1, b + " tail"), (10 * g + 2, a + " end"), (10 * g + 3, prose(rng, 90))]
+    return rows
+
+
+def test_an_id_with_two_texts_has_the_links_of_both(spark, make_docs):
+    rows = two_texts()
+    got = {r.doc_id: r.class_id for r in P.near_duplicates(make_docs(rows)).collect()}
+    assert got == brute(rows) == {10 * g + k: 10 * g + (3 if k == 3 else 0) for g in range(8) for k in range(4)}
+
+
+def test_keep_one_keeps_unlike_texts_of_one_id(spark, make_docs):
+    rows = two_texts()
+    rows += [(500, rows[0][1].upper()), (600, None), (600, ""), (600, None), (700, rows[4][1]), (700, rows[4][1] + " more")]
+    got = sorted(((r.doc_id, r.text) for r in P.keep_one(make_docs(rows)).collect()), key=str)
+    assert got == sorted([t for g in range(8) for t in (rows[5 * g], rows[5 * g + 1], rows[5 * g + 4])] + [(600, None), (600, "")], key=str)
