@@ -1,9 +1,9 @@
 """URL filter: rules first, then a path-template tree judged by labelled purity.
 
 The tree is built level by level for all hosts at once.  Below each node
-(host, template so far) a path segment stays literal when it is frequent
-there, else its shape (digit runs become ``*``) stands for it when that is
-frequent, else the wildcard ``**``.  Segments beyond ``LEVELS`` share one
+(host, template so far) a path segment stays literal when ``MIN_COUNT`` pages
+have it there, whatever their share of the node, else its shape (digit runs
+become ``*``) stands for it when as many have that, else the wildcard ``**``.  Segments beyond ``LEVELS`` share one
 ``**`` tail.  Sibling templates that differ only in a literal segment are
 merged when their share of good labels does not differ significantly from
 that of the whole family.  A template is rejected when its purity, smoothed
@@ -29,7 +29,7 @@ from claimsmith.llm import common as C
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
          ("block", "net/es/"), ("block", "net/fr/")]
 LEVELS = 6
-MIN_COUNT, MIN_SHARE = 5, 0.02
+MIN_COUNT, MIN_SHARE = 5, 0.0  # no share: a large node keeps its small branches, the labels decide what is pooled
 SMOOTHING, MIN_PURITY, Z = 4.0, 0.5, 1.96
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 

@@ -117,3 +117,13 @@ def test_query_whole_table(spark):
             good[i] = marks[int(m[1])]
     got = sorted((r.page_id, r.host, r.path, r.rule or "", r.verdict) for r in U.op3_url_filter(spark, SF0001).collect())
     assert got == sorted((i, h, p, r or "", v) for (i, _), (h, p, r, v) in zip(pages, brute(pages, good)))
+
+
+def test_small_branches_of_a_large_host_are_judged_by_themselves(spark):
+    """60 equal directories, one of them bad: none has 2 % of the host's pages."""
+    pages = [(100 * d + i, f"http://hot.org/dir{'abcdefghij'[d // 10]}{'abcdefghij'[d % 10]}/p{i}x") for d in range(60) for i in range(40)]
+    bad = 17
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i // 100 != bad)) for i, _ in pages if i % 2], "page_id long, good int")
+    got = {r.page_id: r.verdict for r in U.filter_urls(df, labels).collect()}
+    assert got == {i: "block" if i // 100 == bad else "allow" for i, _ in pages}
