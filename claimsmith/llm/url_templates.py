@@ -3,8 +3,9 @@
 The tree is built level by level for all hosts at once.  Below each node
 (host, template so far) a path segment stays literal when ``MIN_COUNT`` pages
 have it there, whatever their share of the node, else its shape (digit runs
-become ``*``) stands for it when as many have that, else the wildcard ``**``.  Segments beyond ``LEVELS`` share one
-``**`` tail.  Sibling templates that differ only in a literal segment are
+become ``*``) stands for it when as many have that, else the wildcard ``**``.  Beyond ``LEVELS`` only nodes with
+``MIN_COUNT`` pages left go on, to any depth; the rest of the others' segments
+is one ``**`` tail.  Sibling templates that differ only in a literal segment are
 merged when their share of good labels does not differ significantly from
 that of the whole family.  A template is rejected when its purity, smoothed
 towards its host's and the host's towards the whole table's, is below
@@ -57,8 +58,9 @@ def template_tree(pages: DataFrame, min_count: int = MIN_COUNT, min_share: float
     """Pages (row, host, path, ...) with their ``template``, level by level."""
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     tree = pages.withColumn("seg", segments).withColumn("template", F.lit(""))
-    depth = C.store(tree).agg(F.max(F.size("seg"))).first()[0] or 0
-    for level in range(min(depth, LEVELS)):
+    longest = lambda t: t.agg(F.max(F.size("seg"))).first()[0] or 0
+    depth, level, ended = longest(tree), 0, []
+    while level < depth:
         own = F.get("seg", F.lit(level))
         here = tree.withColumn("own", own).withColumn("shape", F.regexp_replace(own, "[0-9]+", "*"))
         counts = (here.where("own is not null").groupBy("host", "template", "shape", "own").agg(F.count("*").alias("c")))
@@ -69,12 +71,22 @@ def template_tree(pages: DataFrame, min_count: int = MIN_COUNT, min_share: float
                 .join(C.dealt_anew(shapes, "host"), ["host", "template", "shape"])
                 .select("host", "template", "own",
                         F.when(often("c") & ~F.col("own").rlike("^[0-9]+$"), F.col("own"))
-                        .when(often("shaped"), F.col("shape")).otherwise("**").alias("said")))
+                        .when(often("shaped"), F.col("shape")).otherwise("**").alias("said"),
+                        (F.lit(level >= LEVELS) & (F.col("total") < min_count)).alias("closed")))
         tree = C.store(here.drop("shape").join(C.dealt_anew(said, "host"), ["host", "template", "own"], "left")
                        .withColumn("template", F.when(F.col("said").isNotNull(), F.concat("template", F.lit("/"), "said"))
-                                   .otherwise(F.col("template"))).drop("own", "said"))
-    more = F.size("seg") > LEVELS
-    return tree.withColumn("template", F.when(more, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))).drop("seg")
+                                   .otherwise(F.col("template")))
+                       # A closed node's "**" stands for all that is left.
+                       .withColumn("seg", F.when(F.col("closed"), F.slice("seg", 1, level + 1)).otherwise(F.col("seg")))
+                       .drop("own", "said", "closed"))
+        level += 1
+        if level >= LEVELS:
+            ended.append(tree.where(F.size("seg") <= level))
+            tree = tree.where(F.size("seg") > level)
+            depth = longest(tree)
+    for done in ended:
+        tree = tree.unionByName(done)
+    return tree.drop("seg")
 
 
 def judged_templates(tree: DataFrame, smoothing: float = SMOOTHING, min_purity: float = MIN_PURITY, z: float = Z) -> DataFrame:

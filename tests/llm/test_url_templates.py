@@ -127,3 +127,13 @@ def test_small_branches_of_a_large_host_are_judged_by_themselves(spark):
     labels = spark.createDataFrame([(i, int(i // 100 != bad)) for i, _ in pages if i % 2], "page_id long, good int")
     got = {r.page_id: r.verdict for r in U.filter_urls(df, labels).collect()}
     assert got == {i: "block" if i // 100 == bad else "allow" for i, _ in pages}
+
+
+def test_branches_that_part_at_depth_are_judged_by_themselves(spark):
+    """Good and bad branches part at the ninth segment; a lone deep page ends in one tail."""
+    pages = [(i, f"http://deep.org/a/b/c/d/e/f/g/h/{'bad' if i % 3 == 0 else 'good'}/p{i}x") for i in range(120)] + [(999, "http://lone.org" + "/s" * 20)]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(0, 120, 2)], "page_id long, good int")
+    got = {r.page_id: r for r in U.filter_urls(df, labels).collect()}
+    assert {i: r.verdict for i, r in got.items()} == {i: "block" if i < 120 and i % 3 == 0 else "allow" for i, _ in pages}
+    assert got[0].template == "/a/b/c/d/e/f/g/h/bad/p*x" and got[999].template == "/**" * 7
