@@ -42,13 +42,14 @@ def drop_stored(spark: SparkSession, paths) -> None:
         hp.getFileSystem(conf).delete(hp, True)
 
 
-def materialize(df: DataFrame, mode: str = "table", stored: list | None = None) -> DataFrame:
+def materialize(df: DataFrame, mode: str = "table", stored: list | None = None, partition_by=()) -> DataFrame:
     """Cut a long plan so later stages start from stored data.
 
     ``table`` (default) writes Parquet under the session's checkpoint folder
     (shared storage on a cluster) and reads it back: columnar, lineage cut,
     survives executor loss.  ``checkpoint`` uses Spark's reliable
     checkpoint; ``persist`` keeps the plan and caches (no lineage cut).
+    ``partition_by`` lays a table out in a folder a value, for readers of a part.
     """
     if mode == "table":
         spark = df.sparkSession
@@ -56,7 +57,7 @@ def materialize(df: DataFrame, mode: str = "table", stored: list | None = None)
         STORED.append(path)
         if stored is not None:
             stored.append(path)
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
         return spark.read.schema(df.schema).parquet(path)
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
