@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from claimsmith.llm import secret_scan, spherical_dedup, url_templates
 
+# Of the contracts of op11 to op13.
+MERKLE_RUN, CODE_SCALE, CODE_ENTRIES, CODE_ROUNDS, LINE_DOCUMENTS = 3, 1024, 256, 4, 10
+
 
 def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -98,5 +101,78 @@ SELECT v.vec_id, coalesce(c.n, 0) AS n_links, coalesce(l.low, v.vec_id) AS compo
 FROM v LEFT JOIN lows l ON v.vec_id = l.id LEFT JOIN counts c ON v.vec_id = c.a"""
 
 
+def merkle_sql() -> str:
+    """Level by level with window-numbered rows; proofs and folding by joins on the levels."""
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+    leaf = lambda text: "sha256(concat(" + ", ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + "))"
+    crc = """list_reduce(list_transform(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x))),
+      lambda x: CAST(x AS BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), [CAST(0 AS BIGINT) FOR i IN range(8)]),
+      lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
+    up = lambda name, start: f"""{name} AS (SELECT 0 AS level, tree, pos, digest, n FROM {start} UNION ALL
+  SELECT level + 1, tree, pos // {MERKLE_RUN}, sha256(string_agg(digest, '' ORDER BY pos)), (n + {MERKLE_RUN - 1}) // {MERKLE_RUN}
+  FROM {name} WHERE n > 1 GROUP BY level, tree, pos // {MERKLE_RUN}, n)"""
+    sides = lambda nodes, node: f"""coalesce(string_agg({nodes}.digest, '' ORDER BY {nodes}.pos) FILTER (WHERE {nodes}.pos < {node}), '') AS before,
+    coalesce(string_agg({nodes}.digest, '' ORDER BY {nodes}.pos) FILTER (WHERE {nodes}.pos > {node}), '') AS after"""
+    place = f"(l.pos // CAST(power({MERKLE_RUN}, u.level) AS BIGINT))"
+    top = f"(t.pos // CAST(power({MERKLE_RUN}, v.level) AS BIGINT))"
+    return f"""WITH RECURSIVE leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n, row_number() OVER () AS row, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS tree
+  FROM (SELECT doc_id, source, {leaf("text")} AS leaf, CASE WHEN {crc} % 2 = 1 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS claim
+    FROM documents)),
+start AS (SELECT tree, pos, leaf AS digest, n FROM leaves),
+{up("nodes", "start")},
+trees AS (SELECT tree AS name, '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, digest, count(*) OVER () AS n FROM nodes WHERE n = 1),
+{up("tops", "trees")},
+steps AS (SELECT l.row, 0 AS part, u.level, {sides("u", place)} FROM leaves l
+    JOIN nodes u ON u.tree = l.tree AND u.n > 1 AND u.pos // {MERKLE_RUN} = {place} // {MERKLE_RUN} GROUP BY l.row, u.level, {place}
+  UNION ALL SELECT l.row, 1, v.level, {sides("v", top)} FROM leaves l JOIN trees t ON t.name = l.tree
+    JOIN tops v ON v.n > 1 AND v.pos // {MERKLE_RUN} = {top} // {MERKLE_RUN} GROUP BY l.row, v.level, {top}),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY part, level) AS i FROM steps),
+proofs AS (SELECT row, sha256(string_agg(before || after, '' ORDER BY i)) AS proof, count(*) AS steps FROM numbered GROUP BY row),
+folds AS (SELECT row, CAST(0 AS BIGINT) AS i, claim AS digest FROM leaves UNION ALL
+  SELECT f.row, s.i, sha256(s.before || f.digest || s.after) FROM folds f JOIN numbered s ON s.row = f.row AND s.i = f.i + 1)
+SELECT l.doc_id, l.leaf, t.digest AS subroot, r.digest AS root, coalesce(p.proof, sha256('')) AS proof_sha256, f.digest AS folded_root,
+  f.digest = r.digest AS verified
+FROM leaves l JOIN trees t ON t.name = l.tree CROSS JOIN (SELECT digest FROM tops WHERE n = 1) r LEFT JOIN proofs p ON p.row = l.row
+JOIN folds f ON f.row = l.row AND f.i = coalesce(p.steps, 0)"""
+
+
+def vector_codes_sql() -> str:
+    """Every sub-vector against every entry, in exact doubles."""
+    ctes = [f"""kept AS (SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label,
+    list_transform(embedding, lambda e: floor({CODE_SCALE} * CAST(e AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0)""",
+            """subs AS MATERIALIZED (SELECT *, list_inner_product(v, v) AS vv FROM
+    (SELECT row, part, list_slice(x, part * len(x) // 4 + 1, (part + 1) * len(x) // 4) AS v FROM kept, range(4) AS r(part)))""",
+            f"book0 AS MATERIALIZED (SELECT part, row - 1 AS entry, v AS c, vv AS cc FROM subs WHERE row <= {CODE_ENTRIES})"]
+    for i in range(CODE_ROUNDS + 1):
+        ctes.append(f"""near{i} AS MATERIALIZED (SELECT row, part, arg_min(entry, (d, entry)) AS entry, min(d) AS error
+  FROM (SELECT s.row, s.part, b.entry, s.vv - 2 * list_inner_product(s.v, b.c) + b.cc AS d FROM subs s JOIN book{i} b ON s.part = b.part) s
+  GROUP BY row, part)""")
+        if i < CODE_ROUNDS:
+            ctes.append(f"""book{i + 1} AS MATERIALIZED (SELECT *, list_inner_product(c, c) AS cc FROM (
+  SELECT part, entry, coalesce(mean, c) AS c FROM book{i} LEFT JOIN (
+    SELECT part, entry, list(m ORDER BY place) AS mean FROM (SELECT part, entry, place, floor(sum(e) / count(*)) AS m FROM (
+      SELECT n.part, n.entry, generate_subscripts(s.v, 1) AS place, unnest(s.v) AS e FROM near{i} n JOIN subs s ON s.row = n.row AND s.part = n.part)
+    GROUP BY part, entry, place) GROUP BY part, entry) USING (part, entry)))""")
+    last = CODE_ROUNDS
+    return f"""WITH {", ".join(ctes)},
+coded AS (SELECT row, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(error) AS BIGINT) AS error FROM near{last} GROUP BY row),
+books AS (SELECT sha256(string_agg(list_aggregate(list_transform(c, lambda e: CAST(CAST(e AS BIGINT) AS VARCHAR)), 'string_agg', ','), ',' ORDER BY part, entry)) AS h FROM book{last})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM kept JOIN coded USING (row) CROSS JOIN books"""
+
+
+def line_dedup_sql() -> str:
+    key = "translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""WITH docs AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT row, i, line, {key} AS key FROM (SELECT row, generate_subscripts(parts, 1) AS i, unnest(parts) AS line FROM docs)),
+shared AS (SELECT key FROM lines WHERE key <> '' GROUP BY key HAVING count(DISTINCT row) >= {LINE_DOCUMENTS}),
+kept AS (SELECT row, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS text FROM lines WHERE key NOT IN (SELECT key FROM shared) GROUP BY row)
+SELECT doc_id, CAST(len(parts) AS BIGINT) AS n_lines, len(parts) - coalesce(n, 0) AS n_dropped, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.row = k.row"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": secret_scan_sql(), "op3_url_filter": url_filter_sql(), "op4_embedding_near_dedup": embedding_sql()}
+    return {"op1_secret_scan": secret_scan_sql(), "op3_url_filter": url_filter_sql(), "op4_embedding_near_dedup": embedding_sql(),
+            "op11_merkle_manifest": merkle_sql(), "op12_vector_codes": vector_codes_sql(), "op13_line_dedup": line_dedup_sql()}
