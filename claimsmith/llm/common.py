@@ -59,6 +59,29 @@ def dealt_anew(df: DataFrame, *keys: str) -> DataFrame:
     return df.withColumns({k: same.get(kinds[k], lambda c: c.bitwiseXOR(F.lit(0)))(F.col(k)) for k in keys})
 
 
+FILTER_BITS, _PAGE = 1 << 26, 15  # bits of a key filter; a page is a bitmap of 2^15 bits
+
+
+def key_filter(keys: DataFrame, *columns: str) -> DataFrame:
+    """(_page, _bits): one bit for each key's hash, stored.
+
+    At most ``FILTER_BITS`` / 2^15 rows of 4 KB (8 MB in all) however many
+    keys there are, so it may always be broadcast."""
+    place = F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
+    pages = keys.select(F.shiftright(place, _PAGE).alias("_page"), place.bitwiseAND(F.lit((1 << _PAGE) - 1)).alias("bit")).repartition("_page")
+    return store(pages.groupBy("_page").agg(F.bitmap_construct_agg("bit").alias("_bits")))
+
+
+def maybe_in(df: DataFrame, pages: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with ``_maybe``: false where the columns are none of the filter's keys for sure."""
+    place = F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
+    bit = place.bitwiseAND(F.lit((1 << _PAGE) - 1))
+    own = df.withColumns({"_place": F.shiftright(place, _PAGE), "_bit": bit})
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.shiftright("_bit", 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = F.coalesce(F.getbit(byte, F.col("_bit").bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
+    return own.join(F.broadcast(pages), F.col("_place") == F.col("_page"), "left").withColumn("_maybe", held).drop("_place", "_bit", "_page", "_bits")
+
+
 _worker: dict[str, dict] = {}
 
 

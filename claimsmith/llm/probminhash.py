@@ -287,16 +287,19 @@ def linked(docs: DataFrame, id_col: str, text_col: str, threshold: float, bands:
     base = base.where("doc_id is not null")
     sketched = C.store(base.mapInArrow(lambda it: _sketches(it, bands, band_rows),
                                        "doc_id long, key long, same binary, n long, bands array<long>")
-                       .withColumn("node", F.when(F.col("same").isNotNull(), F.xxhash64("same"))).drop("same"))
-    groups = C.dealt_anew(sketched.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep")), "node")
-    reps = sketched.where("n > 0").join(groups, "node").where("doc_id = rep")
-    band = C.store(reps.select(F.col("node").alias("id"), F.explode("bands").alias("band")).distinct())
+                       .withColumn("node", F.when(F.col("same").isNotNull(), F.xxhash64("same"))).drop("same")
+                       .withColumn("row", F.monotonically_increasing_id()))
+    groups = C.dealt_anew(sketched.where("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("rep")), "node")
+    reps = sketched.where("n > 0").join(groups, "node").where("row = rep.row")
+    band = C.store(reps.select(F.col("node").alias("id"), F.explode("bands").alias("band")))
     first = band.groupBy("band").agg(F.min("id").alias("u"), F.count("*").alias("c")).where("c > 1").select("band", "u")
     shared = C.store(band.join(C.dealt_anew(first, "band"), "band"))
     wanted = C.store(reps.select("doc_id", "key", F.col("node").alias("id")).distinct()
                      .join(shared.select("id").distinct(), "id", "left_semi"))
+    # Most texts are no candidate: a filter of bounded size keeps them out of the shuffle, the join is exact.
     # All texts of a node have the same words: any one will do.
-    texts = C.store(base.join(wanted, ["doc_id", "key"]).select("id", "text").dropDuplicates(["id"]))
+    candidates = C.maybe_in(base, C.key_filter(wanted, "doc_id", "key"), "doc_id", "key").where("_maybe").drop("_maybe")
+    texts = C.store(candidates.join(wanted, ["doc_id", "key"]).select("id", "text").dropDuplicates(["id"]))
     stars = shared.where("u <> id").select("u", F.col("id").alias("v")).distinct()
     links = C.store(verified(stars, texts, threshold))
     label = C.connected_components(links)
@@ -347,13 +350,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     low = member.groupBy("component").agg(F.min("doc_id").alias("low"))
     least = C.store(member.join(C.dealt_anew(low, "component"), "component").where("doc_id = low")
                     .groupBy("component", "low").agg(F.min("key").alias("least")))
-    gone = C.store(member.join(C.dealt_anew(least, "component"), "component").where("doc_id <> low or key <> least")
-                   .select(F.col("doc_id").alias("_gone"), F.col("key").alias("_gone_key")))
-    many = C.store(rows.groupBy(F.col("doc_id").alias("_many"), F.col("key").alias("_many_key")).count()
-                   .where("count > 1").select("_many", "_many_key"))
-    key = F.xxhash64(F.col(f"`{text_col}`"))
-    kept = docs.join(gone, (docs[id_col] == F.col("_gone")) & (key == F.col("_gone_key")), "left_anti")
-    repeats = (kept[id_col] == F.col("_many")) & (key == F.col("_many_key"))
-    once = kept.join(many, repeats, "left_anti")
-    repeated = kept.join(many, repeats, "left_semi").dropDuplicates([id_col, text_col])
-    return once.unionByName(repeated)
+    gone = (member.join(C.dealt_anew(least, "component"), "component").where("doc_id <> low or key <> least")
+            .select("doc_id", "key", F.lit(True).alias("gone")))
+    many = rows.groupBy("doc_id", "key").count().where("count > 1").select("doc_id", "key", F.lit(False).alias("gone"))
+    judged = C.store(gone.unionAll(many).groupBy("doc_id", "key").agg(F.max("gone").alias("_gone"))
+                     .select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "_gone"))
+    # Rows that are neither a copy nor repeated stay where they are; the others meet their verdict in an exact join.
+    own = docs.withColumns({"_own_id": F.col(f"`{id_col}`").cast("long"), "_own_key": F.xxhash64(F.col(f"`{text_col}`"))})
+    own = C.maybe_in(own, C.key_filter(judged, "_id", "_key"), "_own_id", "_own_key")
+    exact = own.where("_maybe").join(judged, (F.col("_own_id") == F.col("_id")) & (F.col("_own_key") == F.col("_key")), "left")
+    parts = [own.where("not _maybe"), exact.where("_gone is null"), exact.where("not _gone").dropDuplicates([id_col, text_col])]
+    parts = [part.select(*[F.col(f"`{c}`") for c in docs.columns]) for part in parts]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
