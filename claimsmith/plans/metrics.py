@@ -21,6 +21,7 @@ from claimsmith.config import ClaimsConfig, StudyWindow
 from claimsmith.operators import classify
 from claimsmith.functions.exprs import lit_date
 from claimsmith.operators.aggregates import exact_median
+from claimsmith.sources import sinks
 from claimsmith.sources.sinks import materialize
 from claimsmith.plans.episodes import STAY_KEYS, EpisodeRun, NewbornIdent, readmissions, stay_fee_features
 
@@ -305,11 +306,37 @@ def trend_query(history: DataFrame, client: str) -> DataFrame:
             .orderBy(F.col("run_date").desc()))
 
 
+def history_violations(history: DataFrame) -> DataFrame:
+    """Rows that the history's constraints refuse: no key, or a percentage out of range."""
+    keyless = history.filter(F.col("run_id").isNull() | F.col("client_name").isNull())
+    return (metrics_checks(history).select("run_id", "client_name", "violation")
+            .unionByName(keyless.select("run_id", "client_name", F.lit("NULL_KEY").alias("violation"))))
+
+
+def write_history(row: DataFrame, history_path: str) -> None:
+    """Add a run's row to the history under its key (run, client): the same run again replaces its row.
+
+    The row is checked against the constraints first; a violating one is refused
+    and the history stays as it is.  Each key has a folder of its own, which an
+    overwrite of partitions replaces as a whole."""
+    held: list[str] = []
+    row = sinks.materialize(row, stored=held)
+    try:
+        bad = [r.violation for r in history_violations(row).select("violation").distinct().collect()]
+        if bad:
+            raise ValueError(f"history row refused: {', '.join(sorted(bad))}")
+        key = F.sha2(F.concat_ws("\x00", "run_id", "client_name"), 256)
+        (row.withColumn("history_key", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("history_key").parquet(history_path))
+    finally:
+        sinks.drop_stored(row.sparkSession, held)
+
+
 def metrics_job(run: EpisodeRun, ps_membership: DataFrame, w: StudyWindow, cfg: ClaimsConfig, info: RunInfo,
                 history_path: str) -> dict[str, DataFrame]:
-    """Append the run's row to the history, and return history, checks, trend and period comparison over it."""
+    """Write the run's row into the history, and return history, checks, trend and period comparison over it."""
     spark = ps_membership.sparkSession
-    run_metrics(run, ps_membership, w, cfg, info).write.mode("append").parquet(history_path)
-    history = spark.read.parquet(history_path)
+    write_history(run_metrics(run, ps_membership, w, cfg, info), history_path)
+    history = spark.read.parquet(history_path).drop("history_key")
     return {"history": history, "checks": metrics_checks(history), "trend": trend_query(history, info.client),
             "compare": period_compare(history)}

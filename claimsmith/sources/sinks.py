@@ -125,18 +125,15 @@ def new_version_path(base: str) -> str:
 
 
 def full_refresh(spark: SparkSession, df: DataFrame, target_path: str | None) -> tuple[str | None, int, int]:
-    """Truncate + reload: write a new version; empty input keeps the target.
+    """Truncate + reload: write a new version under the table's own folder; empty input writes nothing and keeps the target.
 
     Returns (current path, rows inserted, rows updated=0)."""
-    base = os.path.dirname(target_path) if target_path else ensure_checkpoint_dir(spark)
-    path = new_version_path(base)
+    if df.isEmpty():
+        return target_path, 0, 0
+    path = new_version_path(target_path or os.path.join(ensure_checkpoint_dir(spark), "refreshed"))
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
-    n = seen.get["n"]
-    if n == 0:
-        drop_stored(spark, [path])
-        return target_path, 0, 0
-    return path, n, 0
+    return path, seen.get["n"], 0
 
 
 _INT_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)

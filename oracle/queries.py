@@ -513,10 +513,9 @@ BODIES = {
           UNION ALL SELECT 'run-0001', 'PRODUCTS', 'FULL_REFRESH', odd, odd_products, odd_products, 0 FROM n
           UNION ALL SELECT 'run-0002', 'REQUESTS', 'INCREMENTAL', every, every, every - odd, odd FROM n
           UNION ALL SELECT 'run-0002', 'PRODUCTS', 'FULL_REFRESH', every, products, products, 0 FROM n)""",
-    "metrics_job": f"""SELECT * FROM (WITH h AS (SELECT * FROM {RUN_METRICS}), hh AS (SELECT * FROM h UNION ALL SELECT * FROM h)
+    "metrics_job": f"""SELECT * FROM (WITH h AS (SELECT * FROM {RUN_METRICS}), hh AS (SELECT * FROM h UNION ALL SELECT * REPLACE ('run-0000' AS run_id) FROM h)
         SELECT 'history' AS section, run_id, client_name, run_date, CAST(NULL AS VARCHAR) AS period,
           total_newborns_identified AS newborns, total_nicu_episodes AS nicu_episodes, nicu_rate_pct, CAST(NULL AS VARCHAR) AS violation FROM hh
-        UNION ALL SELECT 'checks', run_id, client_name, NULL, NULL, NULL, NULL, NULL, 'DUPLICATE_KEY' FROM h
         UNION ALL SELECT 'trend', NULL, client_name, run_date, NULL, total_newborns_identified, total_nicu_episodes, nicu_rate_pct, NULL FROM hh
         UNION ALL SELECT 'compare', run_id, client_name, NULL, 'Previous Period', newborns_previous_period, nicu_episodes_previous,
           {pct_h_sql('nicu_episodes_previous', 'newborns_previous_period')}, NULL FROM hh
