@@ -113,10 +113,10 @@ class ClaimsConfig:
     birthweight_icd: tuple = (("P0714", "Low"), ("P0734", "Very Low"))
     gest_age_icd: tuple = (("P0732", "Preterm"),)
     nas_icd_code: str = "P961"
-    # Skew controls: number of salt buckets for per-group ranking, day width of
-    # range-join buckets.
+    # Skew controls: number of salt buckets for per-group ranking, number of
+    # interval starts of a key that one cell of its time line holds.
     rank_salt_buckets: int = 16
-    range_bucket_days: int = 32
+    range_cell_starts: int = 64
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def __post_init__(self):
@@ -130,7 +130,7 @@ class ClaimsConfig:
             raise ValueError("readmit_threshold_days must be >= 1")
         if self.hosp_stay_gap_days < 0:
             raise ValueError("hosp_stay_gap_days must be >= 0")
-        if self.rank_salt_buckets < 1 or self.range_bucket_days < 1:
+        if self.rank_salt_buckets < 1 or self.range_cell_starts < 1:
             raise ValueError("skew controls must be positive")
 
     def code_sets(self) -> dict:

@@ -1,4 +1,4 @@
-"""Join shapes: bucketed range joins, trimmed joins, null-safe enrichment.
+"""Join shapes: interval and bucketed range joins, trimmed joins, null-safe enrichment.
 
 Range joins always carry an equi key (member).  To avoid pairing every row
 of a member with every interval of that member (quadratic for a hot
@@ -14,6 +14,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimsmith.functions.exprs import c
@@ -46,6 +47,55 @@ def range_join(points: DataFrame, intervals: DataFrame, keys: list[str], point:
     return joined.select(*out_cols)
 
 
+def _day(col) -> Column:
+    return F.datediff(c(col), F.lit("1970-01-01").cast("date"))
+
+
+def interval_cells(intervals: DataFrame, keys: list[str], lo: str, starts: int) -> DataFrame:
+    """(keys, _edges) of keys with more than ``starts`` intervals: the days that cut their time line into cells.
+
+    A cell holds about ``starts`` interval starts, one day's at least.  Starts
+    are counted by day first, so a hot key is as many rows as it has days."""
+    days = intervals.groupBy(*keys, _day(lo).alias("_d")).agg(F.count("*").alias("_n"))
+    own = W.partitionBy(*keys)
+    cell = F.floor((F.sum("_n").over(own.orderBy("_d")) - F.col("_n")) / starts)
+    cut = days.select(*keys, "_d", cell.alias("_c"), F.sum("_n").over(own).alias("_all")).where(F.col("_all") > starts)
+    return (cut.groupBy(*keys, "_c").agg(F.min("_d").alias("_from"))
+            .groupBy(*keys).agg(F.array_sort(F.collect_list("_from")).alias("_edges")))
+
+
+def _cell(day: Column) -> Column:
+    """How many of the sorted ``_edges`` are not after the day (binary search); 0 without edges."""
+    steps = F.array(*[F.lit(1 << b) for b in range(21, -1, -1)])  # more edges than days a date can be
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("_edges", at + step - 1) <= day, at + step).otherwise(at))
+    return F.when(F.col("_edges").isNull(), F.lit(0)).otherwise(found)
+
+
+def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], point: str, lo: Column | str, hi: Column | str,
+                  how: str = "inner", starts: int = 64) -> DataFrame:
+    """points JOIN intervals ON keys AND lo <= point <= hi (inclusive), by cells of equal numbers of interval starts.
+
+    The time line of a key with many intervals is cut where they start, one
+    cell for about ``starts`` of them; other keys are one cell.  A point is in
+    one cell, an interval in those it spans, so an interval is copied once
+    per ``starts`` intervals that begin within it, however long it is: rows
+    shuffled are points, intervals, and the mean number of intervals that are
+    open at a time over ``starts``.  A point is held against the intervals of
+    its cell only.  The points of a hot key and cell are split by Spark's
+    skew-join rule.  ``how``: 'inner' or 'left' (a point without an interval
+    is kept once).
+    """
+    own = (intervals.withColumns({"_lo": c(lo), "_hi": c(hi)}).where("_lo is not null and _hi is not null and _lo <= _hi"))
+    edges = interval_cells(own, keys, "_lo", starts)
+    iv = own.join(edges, keys, "left").withColumn("_ic", F.explode(F.sequence(_cell(_day("_lo")), _cell(_day("_hi")))))
+    iv = iv.select(*[F.col(f"`{x}`").alias(f"_iv_{x}") for x in intervals.columns], "_lo", "_hi", "_ic")
+    pt = points.join(edges, keys, "left").withColumn("_pc", _cell(_day(point))).drop("_edges")
+    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_iv_{k}") for k in keys]
+                  + [F.col("_pc") == F.col("_ic"), F.col("_lo") <= F.col(point), F.col(point) <= F.col("_hi")])
+    return pt.join(iv, cond, how).select(*[F.col(f"`{x}`") for x in points.columns],
+                                         *[F.col(f"`_iv_{x}`").alias(x) for x in intervals.columns if x not in keys])
+
+
 def join_trimmed(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join bringing only right-side columns not already on the left."""
     extra = [x for x in right.columns if x not in keys and x not in left.columns]
@@ -53,12 +103,27 @@ def join_trimmed(left: DataFrame, right: DataFrame, keys: list[str], how: str =
 
 
 def join_enrich_nullsafe(df: DataFrame, other: DataFrame, key: str, cols: list[str],
-                         null_salts: int = 64) -> DataFrame:
+                         null_salts: int = 64, null_matches: str | None = None) -> DataFrame:
     """Left join ``cols`` of ``other`` by ``key`` where null matches null
     (pandas merge semantics; duplicates on the right fan out).  No-op when
-    ``other`` lacks the key or ``df`` lacks it."""
+    ``other`` lacks the key or ``df`` lacks it.
+
+    ``null_matches`` names a column and keeps null x null compact: a row with
+    a null key stays one row, with the largest value of each column over the
+    null rows of ``other`` and, in the named column, how many those are
+    (other rows: 1 with a match, else 0)."""
     if key not in df.columns or key not in other.columns:
         return df
+    if null_matches:
+        nulls = other.where(F.col(key).isNull()).agg(F.count("*").alias("_nn"), *[F.max(x).alias(f"_n_{x}") for x in cols])  # one row
+        right = other.where(F.col(key).isNotNull()).select(F.col(key).alias("_rk"), *[F.col(x).alias(f"_r_{x}") for x in cols])
+        # Rows without a key match nothing; a hash of the row deals them to many tasks.
+        salted = df.withColumn("_ls", F.when(F.col(key).isNull(), F.xxhash64(*df.columns)).otherwise(F.lit(0)))
+        joined = salted.join(right.withColumn("_rs", F.lit(0)), (F.col(key) == F.col("_rk")) & (F.col("_ls") == F.col("_rs").cast("long")), "left")
+        rows = joined.crossJoin(F.broadcast(nulls))
+        none = F.col(key).isNull()
+        return rows.select(*[F.col(f"`{x}`") for x in df.columns], *[F.when(none, F.col(f"_n_{x}")).otherwise(F.col(f"_r_{x}")).alias(x) for x in cols],
+                           F.when(none, F.col("_nn")).otherwise(F.col("_rk").isNotNull().cast("long")).alias(null_matches))
     # Null keys are dealt over ``null_salts`` tasks: left rows by their hash,
     # the right side's null rows (all of them) to each.
     right = other.select(F.col(key).alias("_rk"), *cols).withColumn("_rs", F.explode(

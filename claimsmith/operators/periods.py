@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimsmith.config import StudyWindow
@@ -101,25 +101,43 @@ def by_study_year(overlaps: DataFrame) -> DataFrame:
     return overlaps.select("*", F.inline(slices)).filter(F.col("MEMBER_MONTHS") > 0)
 
 
+def distinct_months(periods: DataFrame, window: StudyWindow) -> DataFrame:
+    """(INDV_ID, STUDY_YR, MEMBER_MONTHS) with every month of a member counted once, however many periods cover it.
+
+    Periods are clipped to each half of the window and read as runs of months;
+    a run adds the months after the last one that the runs before it reach."""
+    halves = (("Previous", window.start, window.mid - dt.timedelta(days=1)), ("Current", window.mid, window.end))
+    month = lambda d: F.year(d) * 12 + F.month(d)
+    runs = []
+    for label, lo, hi in halves:
+        s, e = strict_greatest("MEM_EFF_DT", lit_date(lo)), strict_least("MEM_EXP_DT", lit_date(hi))
+        runs.append(F.when(s <= e, F.struct(F.lit(label).alias("STUDY_YR"), month(s).alias("_a"), month(e).alias("_b"))))
+    rows = periods.select("INDV_ID", F.explode(F.array_compact(F.array(*runs))).alias("r")).select("INDV_ID", "r.*").distinct()
+    w = Window.partitionBy("INDV_ID", "STUDY_YR").orderBy("_a", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    new = F.greatest(F.lit(0), F.col("_b") - F.greatest(F.col("_a") - 1, F.max("_b").over(w)))
+    return (rows.withColumn("_new", new).groupBy("INDV_ID", "STUDY_YR").agg(F.sum("_new").cast("bigint").alias("MEMBER_MONTHS")))
+
+
 def membership_periods(members: DataFrame, window: StudyWindow, client_name: str,
-                       tiebreak: str | None = None) -> DataFrame:
+                       tiebreak: str | None = None, once: bool = False) -> DataFrame:
     """Member-months per member x study year (Previous / Current).
 
     Latest demographics per member (by month desc) joined to all distinct
     enrollment periods; overlap months with each half of the window; rows
     with no overlap are dropped; months summed per member, year and
-    demographics.  Overlapping enrollment periods are counted twice.
+    demographics.  Overlapping enrollment periods are counted twice, unless
+    ``once`` counts each month of a member once.
     """
     src = usable_months(members)
     prev_high = window.mid - dt.timedelta(days=1)
-    base = enrollment_periods(src).join(latest_demographics(src, tiebreak=tiebreak), "INDV_ID")
-    base = with_overlaps(base, window).withColumns({
+    periods = distinct_months(enrollment_periods(src), window) if once else with_overlaps(enrollment_periods(src), window)
+    base = periods.join(latest_demographics(src, tiebreak=tiebreak), "INDV_ID").withColumns({
         "AGE": F.when(F.col("BTH_DT").isNotNull(), years_crossed("BTH_DT", lit_date(window.end))),
         "CLIENT_NAME": F.lit(client_name),
         "PREVIOUS_PERIOD": F.lit(period_label(window.start, prev_high)),
         "CURRENT_PERIOD": F.lit(period_label(window.mid, window.end)),
     })
-    return (by_study_year(base).groupBy("INDV_ID", "STUDY_YR", "GENDER", "BTH_DT", "BUS_LINE_CD", "PRDCT_CD", "STATE",
+    return ((base if once else by_study_year(base)).groupBy("INDV_ID", "STUDY_YR", "GENDER", "BTH_DT", "BUS_LINE_CD", "PRDCT_CD", "STATE",
                                         "AGE", "CLIENT_NAME", "PREVIOUS_PERIOD", "CURRENT_PERIOD")
             .agg(F.sum("MEMBER_MONTHS").cast("bigint").alias("MEMBER_MONTHS")))
 

@@ -76,7 +76,7 @@ def first_value_by_key(df: DataFrame, key: str, value: str, out: str) -> DataFra
 
 
 def sessionize_gap(intervals: DataFrame, keys: list[str], start: str, end: str, gap_days: int,
-                   out: str = "HOSP_STAY", copies: str | None = None, mode: str = "previous") -> DataFrame:
+                   out: str = "HOSP_STAY", copies: str | None = None, mode: str = "previous", spread: bool = False) -> DataFrame:
     """Number sessions: new when there is no previous row or the gap between
     the previous row's end and this start exceeds ``gap_days``.
 
@@ -88,7 +88,12 @@ def sessionize_gap(intervals: DataFrame, keys: list[str], start: str, end: str,
     than the gap before the start: ``REOPENS`` tells so, ``out`` is then the
     first line's session, and the interval's further lines take the next
     ``copies - 1`` numbers.
+
+    ``spread`` is for keys with too many intervals for one task: a segmented
+    scan over range partitions (``_sessionize_spread``), same result.
     """
+    if spread:
+        return _sessionize_spread(intervals, keys, start, end, gap_days, out, copies, mode)
     w = Window.partitionBy(*keys).orderBy(F.col(start).asc_nulls_first(), F.col(end).asc_nulls_first())
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     if mode == "previous":
@@ -105,6 +110,63 @@ def sessionize_gap(intervals: DataFrame, keys: list[str], start: str, end: str,
     return rows.withColumn(out, F.sum(F.col("NEW_STAY") + extra).over(so_far) - extra)
 
 
+def deal_by_range(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Rows in small range parts of (keys, order), numbered ``_part`` and stored, dealt evenly over the tasks.
+
+    A part is one task's rows as a whole, so windows by (keys, ``_part``) need no
+    further exchange; a key's rows are in consecutive parts."""
+    from claimsmith.sources.sinks import materialize
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(df.repartitionByRange(4 * n, *[F.col(k) for k in keys], *order).withColumn("_part", F.spark_partition_id()))
+    return dealt.repartitionByRange(n, "_part")
+
+
+def _continued(summary: DataFrame, keys: list[str], carried: dict[str, Column]) -> DataFrame:
+    """What (keys, part) gets from the key's earlier parts; only parts that go on with a key, one key a part at most."""
+    over = Window.partitionBy(*keys).orderBy("_part")
+    rows = summary.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_part").alias("_p"),
+                          *[x.alias(name) for name, x in carried.items()], F.row_number().over(over).alias("_nth"))
+    return rows.where("_nth > 1").drop("_nth")
+
+
+def _carry(rows: DataFrame, edge: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with what their part gets; ``edge`` has one row a part at most, so it is broadcast."""
+    on = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        on &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return rows.join(F.broadcast(edge), on, "left").drop("_p", *[f"_k{i}" for i in range(len(keys))])
+
+
+def _sessionize_spread(intervals, keys, start, end, gap_days, out, copies, mode):
+    """``sessionize_gap`` as a scan in parts: each part works on its own rows, then gets the end it
+    has to be compared with (the last one, or the largest) and the number of sessions from the parts before it."""
+    from claimsmith.sources.sinks import materialize
+    if mode not in ("previous", "running_max"):
+        raise ValueError(mode)
+    order = [F.col(start).asc_nulls_first(), F.col(end).asc_nulls_first()]
+    dealt = deal_by_range(intervals, keys, order)
+    over = Window.partitionBy(*keys).orderBy("_part")
+    before = over.rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(*keys, "_part").orderBy(*order)
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    ends = dealt.groupBy(*keys, "_part").agg(F.max(F.struct(start, end))[end].alias("_last"), F.max(end).alias("_most"))
+    edge = _continued(ends, keys, {"_prev_last": F.lag("_last").over(over), "_prev_most": F.max("_most").over(before)})
+    rows = _carry(dealt, edge, keys)
+    if mode == "previous":
+        prev_end, own_end = F.when(F.row_number().over(w) == 1, F.col("_prev_last")).otherwise(F.lag(end).over(w)), F.col(end)
+    else:
+        earlier = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        prev_end, own_end = F.greatest(earlier, "_prev_most"), F.greatest(F.max(end).over(so_far), "_prev_most")
+    opens = lambda e: F.coalesce(F.datediff(F.col(start), e) > gap_days, F.lit(False)) | e.isNull()
+    rows = rows.withColumn("NEW_STAY", F.when(opens(prev_end), 1).otherwise(0)).withColumn("REOPENS", opens(own_end))
+    extra = F.lit(0) if copies is None else F.when(F.col("REOPENS"), F.col(copies) - 1).otherwise(F.lit(0))
+    rows = materialize(rows.withColumn("_own", F.sum(F.col("NEW_STAY") + extra).over(so_far)).drop("_prev_last", "_prev_most"))
+    totals = rows.groupBy(*keys, "_part").agg(F.max("_own").alias("_n"))
+    edge = _continued(totals, keys, {"_before": F.sum("_n").over(before)})
+    done = _carry(rows, edge, keys).withColumn(out, F.col("_own") + F.coalesce("_before", F.lit(0)) - extra)
+    return done.drop("_own", "_before", "_part", *(["REOPENS"] if copies is None else []))
+
+
 def top_k_salted(df: DataFrame, key: str, order: str, tiebreak: str, k: int = 3,
                  salt_buckets: int = 16, descending: bool = True, out: str = "RANK") -> DataFrame:
     """Rows ranked 1..k per key by ``order`` (desc or asc, nulls last), then
