@@ -11,6 +11,8 @@ Cohorts are left-semi joins: no key list ever travels through the driver.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +25,18 @@ DIAG_COLS = ("DIAG_1_CD", "DIAG_2_CD", "DIAG_3_CD", "DIAG_4_CD", "DIAG_5_CD")
 CLAIM_KEYS = ("INDV_ID", "CLM_AUD_NBR")
 
 
+@dataclass(frozen=True)
+class CodeTables:
+    """Reference tables that take the place of the config's code lists.
+
+    ``flags``: flag name (as in ``ClaimsConfig.code_sets``) -> table with the
+    codes in ``CODE``; ``gest_age`` and ``birthweight``: (code, category) tables."""
+
+    flags: Mapping[str, DataFrame]
+    gest_age: DataFrame
+    birthweight: DataFrame
+
+
 def any_column_in(cols, codes) -> Column:
     """True when any of ``cols`` (cast to string) is in ``codes``; never null."""
     return F.coalesce(reduce(lambda a, b: a | b, [is_in(x, codes) for x in cols]), F.lit(False))
@@ -92,9 +106,18 @@ def flag_code_table(df: DataFrame, col: str, ref: DataFrame, out: str,
     return joined.withColumn(out, F.col("_hit").isNotNull()).drop("_probe", "_code", "_hit")
 
 
-def tag_reference_flags(df: DataFrame, cfg: ClaimsConfig) -> DataFrame:
+def tag_reference_flags(df: DataFrame, cfg: ClaimsConfig, tables: CodeTables | None = None) -> DataFrame:
     """All 8 reference flags in one pass: 4 claim-level ICD flags (one
-    aggregate), 2 revenue and 2 DRG line flags (plain predicates)."""
+    aggregate), 2 revenue and 2 DRG line flags (plain predicates, or joins
+    with ``tables``, which Spark broadcasts where their size allows)."""
+    if tables:
+        t = tables.flags
+        out = flag_any_of_columns(df, {f: t[f] for f in ("NEWBORN_ICD", "SINGLE", "TWIN", "MULTIPLE")})
+        for f in ("NEWBORN_REV", "NICU_REV"):
+            out = flag_code(out, "RVNU_CD", t[f], f)
+        for f in ("NICU_MSDRG", "NICU_APRDRG"):
+            out = flag_code_prefix(out, "DRG", t[f], f)
+        return out
     sets = cfg.code_sets()
     out = flag_any_of_columns(df, {f: sets[f] for f in ("NEWBORN_ICD", "SINGLE", "TWIN", "MULTIPLE")})
     return out.withColumns({

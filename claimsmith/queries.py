@@ -33,6 +33,7 @@ from claimsmith.plans import requests as R
 from claimsmith.plans import sos as S
 from claimsmith.session import ensure_checkpoint_dir, scratch_dir
 from claimsmith.sources import fixtures as FX
+from claimsmith.sources import layout as LO
 from claimsmith.sources import sinks as SK
 from claimsmith.sources import tables as TB
 
@@ -787,6 +788,19 @@ def q_newborn_end_to_end(ctx):
                                materialize=ctx.cut).final
 
 
+def q_newborn_by_tables(ctx):
+    """The job with its codes from reference tables and its claims laid out by service month."""
+    path = scratch_dir(ctx.spark, "claims_by_month")
+    LO.write_by_month(ctx.claims, path, files=1)
+    row = LO.month_bounds(ctx.spark, path).first()
+    claims = ctx.spark.read.parquet(path)
+    if row["MIN_FROMDATE"] is None:
+        raise ValueError("claims without service dates")
+    tables = codes.CodeTables({f: FX.ref_codes_df(ctx.spark, c) for f, c in CFG.code_sets().items()},
+                              FX.ref_category_df(ctx.spark, CFG.gest_age_icd, "GA_CAT"), FX.ref_category_df(ctx.spark, CFG.birthweight_icd, "BW_CAT"))
+    return EP.newborn_episodes(claims, ctx.ps, W, CFG, materialize=ctx.cut, tables=tables).final
+
+
 def q_sos_data_pull(ctx):
     return ctx.sos_lines.drop(S.EVENT)
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import re
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,22 +77,34 @@ def coerce_date_columns(df: DataFrame, formats=DATE_FORMATS) -> DataFrame:
     return out
 
 
+def as_declared(df: DataFrame, schema: T.StructType, formats=DATE_FORMATS) -> DataFrame:
+    """Columns of ``schema`` in its order and types, whatever the file holds.
+
+    Text dates are read as ISO or by ``formats``; a value that isn't of the
+    declared type is null, as is a column that the file lacks."""
+    def typed(f: T.StructField):
+        if f.name not in df.columns:
+            return F.lit(None).cast(f.dataType)
+        if isinstance(f.dataType, (T.DateType, T.TimestampType)) and isinstance(df.schema[f.name].dataType, T.StringType):
+            return parse_when(df, f.name, formats).cast(f.dataType)
+        return F.col(f"`{f.name}`").try_cast(f.dataType)
+    return df.select(*[typed(f).alias(f.name) for f in schema.fields])
+
+
 def scan_optional(spark: SparkSession, path: str, schema: str | T.StructType,
                   fmt: str = "csv") -> DataFrame:
-    """Optional source: missing/empty/unreadable -> empty frame, never fails."""
+    """Optional source with a declared schema: missing, empty or unreadable -> empty frame, never fails.
+
+    Text files are read as text once and cast as declared, so types don't
+    depend on the data and no second pass infers them."""
     empty = spark.createDataFrame([], schema)
     if not path or not _path_exists(spark, path):
         return empty
     try:
-        if fmt == "csv":
-            df = upper_columns(spark.read.csv(path, header=True, inferSchema=True))
-        else:
-            df = upper_columns(spark.read.format(fmt).load(path))
-    except Exception:  # unreadable input is treated as absent
-        return empty
-    if not df.columns:
+        found = spark.read.csv(path, header=True) if fmt == "csv" else spark.read.format(fmt).load(path)
+    except (PySparkException, Py4JJavaError):  # a file that Spark can't read is treated as absent
         return empty
-    return coerce_date_columns(df)
+    return as_declared(upper_columns(found), empty.schema) if found.columns else empty
 
 
 def ref_codes(ref: DataFrame, code_col: str = "CODE", alias: str = "CODE") -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimsmith.sources import sinks
+from claimsmith.sources.publish import BucketedTable
 
 
 def _fs(spark: SparkSession, path: str):
@@ -66,3 +67,16 @@ def upsert_stream(spark: SparkSession, source: DataFrame, target_dir: str, key:
     if trigger_once:
         w = w.trigger(availableNow=True)
     return w.start()
+
+
+def merge_stream(source: DataFrame, table: BucketedTable, checkpoint_dir: str, trigger_once: bool = False):
+    """Start a query that merges each micro-batch into a bucketed table.
+
+    A batch rewrites the buckets its keys fall into and publishes them by one
+    pointer, which also holds the batch's number: a batch that is replayed
+    after a failure is either not published yet, or skipped."""
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        table.merge(batch, batch=batch_id)
+
+    w = source.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint_dir)
+    return (w.trigger(availableNow=True) if trigger_once else w).start()

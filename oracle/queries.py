@@ -493,6 +493,7 @@ BODIES = {
     "nicu_rollup": f"SELECT {NICU_ROLLUP_COLS} FROM nicu_rollup",
     "nas_flag": f"SELECT {STAY}, NAS FROM nas",
     "newborns_final": f"SELECT {FINAL_COLS} FROM newborns_final",
+    "newborn_by_tables": f"SELECT {FINAL_COLS} FROM newborns_final",
     "newborn_end_to_end": f"SELECT {FINAL_COLS} FROM newborns_final",  # over the window of the claims, see oracle_sql
     "sos_data_pull": f"SELECT {SOS_PULL_COLS} FROM sos_pull",
     "sos_event_id": "SELECT LINE_KEY, INDV_ID, SRVC_FROM_DT, OUTPATIENT_EVENT_ID FROM sos_ev",
