@@ -130,7 +130,11 @@ def profile_columns(df: DataFrame, expected: dict, table_name: str, salt_buckets
     samples = (sample_values(values, sample_size, salt_buckets)
                .groupBy("column_name")
                .agg(F.array_join(F.array_sort(F.collect_list("value")), ", ").alias("sample_values")))
-    prof = meta.join(n_distinct, "column_name", "left").join(samples, "column_name", "left")
+    return profile_rows(meta.join(n_distinct, "column_name", "left").join(samples, "column_name", "left"), table_name)
+
+
+def profile_rows(prof: DataFrame, table_name: str) -> DataFrame:
+    """Profile rows from counts, ``_n_distinct`` and ``sample_values`` per column."""
     populated = F.col("total_rows") - F.col("null_count")
     null_h = hundredths_pct(F.col("null_count"), F.col("total_rows"))
     pop_h = hundredths_pct(populated, F.col("total_rows"))

@@ -31,6 +31,7 @@ from claimsmith.plans import profile as P
 from claimsmith.plans import request_job as RJ
 from claimsmith.plans import requests as R
 from claimsmith.plans import sos as S
+from claimsmith.plans import states as ST
 from claimsmith.session import ensure_checkpoint_dir, scratch_dir
 from claimsmith.sources import fixtures as FX
 from claimsmith.sources import layout as LO
@@ -525,6 +526,24 @@ def q_code_frequency(ctx):
     return ctx.code_freq
 
 
+def _by_load(ctx, name, add):
+    """A state that three loads of claims were added to, each by its own rows only."""
+    state = ST.DistinctState(ctx.spark, scratch_dir(ctx.spark, name), name)
+    load = F.pmod(F.xxhash64("CLM_AUD_NBR"), F.lit(3))
+    for i in range(3):
+        add(state, f"load-{i}", ctx.claims.where(load == i))
+    return state
+
+
+def q_code_frequency_by_load(ctx):
+    return ST.code_frequency(_by_load(ctx, "codes", lambda *a: ST.add_code_load(*a, CFG)))
+
+
+def q_profile_columns_by_load(ctx):
+    state = _by_load(ctx, "profile", lambda *a: ST.add_profile_load(*a, P.CLAIMS_EXPECTED))
+    return ST.profile_columns(state, P.CLAIMS_EXPECTED, "FA_MEDICAL").drop("null_pct_h", "populated_pct_h")
+
+
 def q_code_type_breakdown(ctx):
     return P.code_type_breakdown(ctx.code_freq, CFG)
 

@@ -1,4 +1,6 @@
-"""Claims laid out by service month, so that a study window reads its own months only.
+"""Layouts of claims and eligibility: by service month, and by member.
+
+By month, so that a study window reads its own months only.
 
 ``write_by_month`` adds ``SRVC_MONTH`` (yyyymm of the service date, null
 dates apart) as the folder level; rows of a month are dealt over tasks by
@@ -6,6 +8,13 @@ member, so a large month is many files.  ``months_within`` turns a date
 window into a filter on that column, which Spark applies to folders before
 any file is opened.  The bounds that a study window is derived from come from
 the first and last months that hold usable rows, not from the whole table.
+
+By member, as tables bucketed and sorted by ``INDV_ID``: the cohort's
+distinct members, the semi-join, the eligibility join, the claim flags and the stay
+windows all group by the member, so none of them shuffles claims again.  The
+join on (member, claim) needs ``spark.sql.requireAllClusterKeysForCoPartition``
+off in such a session: a member's rows are together, hence a claim's.  A member with a huge share of all lines makes a huge bucket; such
+tables are better left unbucketed, where Spark splits hot members.
 """
 
 from __future__ import annotations
@@ -64,3 +73,9 @@ def month_bounds(spark: SparkSession, path: str, from_col: str = "SRVC_FROM_DT",
     lo, hi = bound(months, F.min), bound(reversed(months), F.max)
     kind = claims.schema[from_col].dataType
     return usable.agg(F.lit(lo).cast(kind).alias("MIN_FROMDATE"), F.lit(hi).cast(kind).alias("MAX_FROMDATE"), F.max(process_col).alias("MAX_PAIDDATE"))
+
+
+def write_by_member(df: DataFrame, table: str, key: str = "INDV_ID", buckets: int = 64) -> DataFrame:
+    """Save ``df`` as a catalog table bucketed and sorted by ``key``, one file a bucket, and read it."""
+    df.repartition(buckets, key).write.mode("errorifexists").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -589,6 +589,8 @@ def claim_window_prefix() -> str:
     return "WITH " + ",".join([FIXTURE_CTES, CLAIM_WINDOW, chain]) + "\n"
 
 
+for _whole in ("code_frequency", "profile_columns"):  # by load: the same rows
+    BODIES[_whole + "_by_load"] = BODIES[_whole]
 BODIES["qa_report"] = QA_JOB.replace("CODE_STATS", BODIES["code_frequency_stats"])
 
 

@@ -18,6 +18,8 @@ def spark():
          .config("spark.driver.memory", "4g")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="claimsmith-test-warehouse-"))
          .config("spark.sql.codegen.hugeMethodLimit", "8000")
          .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="claimsmith-test-ckpt-"))
          .getOrCreate())

@@ -99,3 +99,26 @@ def test_stream_rewrites_touched_buckets_and_skips_replays(spark, tmp_path):
     assert sorted(tuple(r) for r in table.read().collect()) == [(i, "Complete" if i == 7 else "Waiting") for i in range(40)]
     assert table.merge(spark.createDataFrame([(7, "replayed")], schema), batch=1) == P.Merged(0, 0, [])
     assert os.path.isdir(str(tmp_path / "base" / P.POINTERS))
+
+
+def test_member_layout_shuffles_no_claims_again(spark):
+    """Bucketed by member: no exchange from the cohort through the stay windows, and the same stays."""
+    import re
+    import uuid
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+    old = {k: spark.conf.get(k) for k in off}
+    names = [f"{n}_{uuid.uuid4().hex}" for n in ("claims", "members")]
+    plain = [FX.fx_claims(spark, SF0001), membership_periods(FX.fx_membership(spark, SF0001), FIXTURE_WINDOW, "DEMO")]
+    try:
+        for k, v in off.items():
+            spark.conf.set(k, v)
+        laid = [LO.write_by_member(df, name, buckets=4) for df, name in zip(plain, names)]
+        one, two = (EP.newborn_episodes(*tables, FIXTURE_WINDOW, CFG, materialize=False) for tables in (plain, laid))
+        exchanges = [len(re.findall(r"\bExchange hashpartitioning", plan_of(run.hosp))) for run in (one, two)]
+        assert exchanges[0] > 4 and exchanges[1] == 0, exchanges
+        assert sorted(map(str, one.hosp.collect())) == sorted(map(str, two.hosp.collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
