@@ -156,8 +156,7 @@ REQUEST_PRODUCTS = (
     ("CAR-T", "Specialty", "CAR-T", "CAR_T_START", "CAR_T_END", "CAR_T_STATUS"),
 )
 # Client-type labels of the request fixture; a code without a label (9) passes through.
-CLIENT_TYPES = {"1": "Direct NBEA", "2": "Cross Carrier NBEA", "3": "Carrier NBEA", "4": "Direct",
-                "5": "Cross Carrier", "6": "Prospective", "7": "N/A", "8": "N/A"}
+CLIENT_TYPES = {"1": "Kind A", "2": "Kind B", "3": "Kind C", "4": "Kind D", "5": "Kind E", "6": "Kind F", "7": "None", "8": "None"}
 STATUSES = ["Not Started", "In Progress", "Waiting", "Complete", "Completed"]
 
 

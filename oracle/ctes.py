@@ -82,9 +82,8 @@ sos_rollup AS (SELECT {", ".join(SOS_DIMS)}, count(DISTINCT OUTPATIENT_EVENT_ID)
     sum(coalesce(ALLW_AMT, 0) + {" + ".join(f"coalesce({x}, 0)" for x in BUCKETS)}) AS EPISODE_COVERED
   FROM sos_base GROUP BY {", ".join(SOS_DIMS)})"""
 
-CLIENT_TYPE = ("CASE CLIENT_TYPE_DETAIL WHEN '1' THEN 'Direct NBEA' WHEN '2' THEN 'Cross Carrier NBEA' "
-               "WHEN '3' THEN 'Carrier NBEA' WHEN '4' THEN 'Direct' WHEN '5' THEN 'Cross Carrier' "
-               "WHEN '6' THEN 'Prospective' WHEN '7' THEN 'N/A' WHEN '8' THEN 'N/A' END")
+CLIENT_TYPE = ("CASE CLIENT_TYPE_DETAIL WHEN '1' THEN 'Kind A' WHEN '2' THEN 'Kind B' WHEN '3' THEN 'Kind C' "
+               "WHEN '4' THEN 'Kind D' WHEN '5' THEN 'Kind E' WHEN '6' THEN 'Kind F' WHEN '7' THEN 'None' WHEN '8' THEN 'None' END")
 # Flags in the order of the products.
 FLAGS = [("NICU", "Nicu"), ("MATERNITY", "Maternity"), ("KIDNEY", "Kidney"), ('"CAR-T"', "Car-T")]
 FLAG_TEXT = "concat_ws(', ', " + ", ".join(f"CASE WHEN coalesce({f}, FALSE) THEN '{t}' END" for f, t in FLAGS) + ")"
