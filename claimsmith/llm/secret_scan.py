@@ -41,6 +41,7 @@ WEAK = [
      r"""(?i)\b(?:https?|ftps?|sftp|ssh|jdbc:[a-z0-9]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?|s3)://[^\s"'<>]+""", 0, 10),
 ]
 SCOPE = 200
+BLOCK = 1024  # code points of a text that are rebuilt together
 KINDS = [k for k, *_ in STRONG + WEAK]
 
 
@@ -99,7 +100,8 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     key = ["id", "text_key"]
     role = F.col("role")
     before = W.partitionBy(*key).orderBy("start", "end", "kind").rowsBetween(W.unboundedPreceding, -1)
-    after = W.partitionBy(*key).orderBy("start", "end", "kind").rowsBetween(1, W.unboundedFollowing)
+    # In falling order, because a frame that ends with the partition would be read anew for every row.
+    after = W.partitionBy(*key).orderBy(F.desc("start"), F.desc("end"), F.desc("kind")).rowsBetween(W.unboundedPreceding, -1)
     reach = found
     for r in ("identifier", "secret"):
         own = F.when(role == r, F.col("end"))
@@ -139,24 +141,52 @@ def attach(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col:
             .withColumn("_spans", F.coalesce("_spans", F.array().cast(spans.schema["spans"].dataType))))
 
 
+def cuts(found: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(id, text_key, spans): what goes from every block of ``block`` code points of a text.
+
+    One sweep in order of place merges overlapping spans into runs; a run is
+    cut where blocks end.  ``spans`` is an array of (block, cuts), one for
+    each block up to the last with cuts; a cut is (place in the block, end
+    there, whether the run opens here, where the cut before it ends), so a
+    block is rebuilt without looking at others.
+    """
+    key = ["id", "text_key"]
+    order = W.partitionBy(*key).orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int")
+    runs = (found.withColumn("opens", opens).withColumn("run", F.sum("opens").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+            .groupBy(*key, "run").agg(F.min("start").alias("start"), F.max("end").alias("end")))
+    least = lambda c: F.floor(c / block).cast("int")
+    held = runs.withColumn("block", F.explode(F.sequence(least(F.col("start")), least(F.col("end") - 1))))
+    at = F.greatest(F.col("start") - F.col("block") * block, F.lit(0)).cast("int")
+    to = F.least(F.col("end") - F.col("block") * block, F.lit(block)).cast("int")
+    held = held.select(*key, "block", at.alias("at"), to.alias("to"), (F.col("start") >= F.col("block") * block).alias("opens"))
+    held = held.withColumn("gap", F.coalesce(F.lag("to").over(W.partitionBy(*key, "block").orderBy("at")), F.lit(0)))
+    per = held.groupBy(*key, "block").agg(F.sort_array(F.collect_list(F.struct("at", "to", "opens", "gap"))).alias("cuts"))
+    last = F.coalesce(F.lag("block").over(W.partitionBy(*key).orderBy("block")), F.lit(-1))
+    dense = (per.withColumn("last", last).withColumn("at", F.explode(F.sequence(F.col("last") + 1, F.col("block"))))
+             .select(*key, F.struct(F.col("at").alias("block"), F.when(F.col("at") == F.col("block"), F.col("cuts")).alias("cuts")).alias("item")))
+    return dense.groupBy(*key).agg(F.sort_array(F.collect_list("item")).alias("spans"))
+
+
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE,
-           mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every reported span of the text replaced by ``mark``."""
+           mark: str = "[SECRET]", block: int = BLOCK) -> DataFrame:
+    """``docs`` with every reported span of the text replaced by ``mark``.
+
+    A text is rebuilt block by block, so the work grows with its length and
+    not with length times number of spans.
+    """
     text = F.col(f"`{text_col}`")
-    rows = attach(docs, scan(docs, id_col, text_col, scope), id_col, text_col)
-    spans = F.col("_spans")
-    at = F.col("_open")
-    # Overlapping spans become one: a span opens a run when no earlier one reaches it.
-    opens = F.filter(spans, lambda s: ~F.exists(spans, lambda o: (o["end"] > s["start"]) & (
-        (o["start"] < s["start"]) | ((o["start"] == s["start"]) & (o["rank"] < s["rank"])))))
-    runs = F.transform(opens, lambda s: F.struct(s["start"].alias("start"), F.array_max(F.transform(F.filter(
-        spans, lambda o: (o["start"] >= s["start"]) & ~F.exists(
-            opens, lambda n: (n["start"] > s["start"]) & (n["start"] <= o["start"]))), lambda o: o["end"])).alias("end")))
-    starts = F.concat(F.array(F.lit(0).cast("long")), F.transform(at, lambda r: r["end"]))
-    ends = F.concat(F.transform(at, lambda r: r["start"]), F.array(F.length(text).cast("long")))
-    pieces = F.zip_with(starts, ends, lambda a, b: F.substr(text, (a + 1).cast("int"), (b - a).cast("int")))
-    clean = F.when(F.size(spans) == 0, text).otherwise(F.array_join(pieces, mark))
-    return rows.withColumn("_open", runs).withColumn(text_col, clean).select(*docs.columns)
+    rows = attach(docs, cuts(linked(parts(docs, id_col, text_col), scope), block), id_col, text_col)
+
+    def rebuilt(piece: Column, own: Column) -> Column:
+        before = F.transform(own, lambda c: F.concat(F.substr(piece, c["gap"] + 1, c["at"] - c["gap"]), F.when(c["opens"], mark).otherwise("")))
+        rest = F.substr(piece, F.element_at(own, -1)["to"] + 1, F.lit(block))
+        return F.when(own.isNull(), piece).otherwise(F.concat(F.array_join(before, ""), rest))
+
+    pieces = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % block), F.lit(0))
+    clean = F.array_join(F.zip_with(pieces, F.col("_spans"), lambda p, s: rebuilt(p, s["cuts"])), "")
+    return rows.withColumn(text_col, F.when(F.size("_spans") == 0, text).otherwise(clean)).select(*docs.columns)
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,6 +68,32 @@ def test_redaction_replaces_every_span_once(make_docs):
     assert {r.doc_id: r.text for r in rows.collect()} == {1: "é [SECRET]\" end", 2: "clean", 3: None, 4: "[SECRET]", 5: "a [SECRET] b [SECRET] c"}
 
 
+def plain_redaction(text, spans):
+    """Code points under a span go, each run of overlapping spans leaves one mark."""
+    out, at = "", 0
+    for a, b in sorted((s["start"], s["end"]) for s in spans):
+        if a >= at:
+            out += text[at:a] + "[SECRET]"
+        at = max(at, b)
+    return out + text[at:] if text is not None else None
+
+
+@pytest.mark.parametrize("block", [3, 64, S.BLOCK])
+def test_redaction_equals_brute_force(make_docs, odd_texts, block):
+    rng = random.Random(4)
+    texts = [random_text(rng) for _ in range(120)] + [t for t in odd_texts if t is None or len(t) < 1000] + ["secret=" + "0123456789abcdef" * 300 + " é"]
+    docs = make_docs([(i, t) for i, t in enumerate(texts)])
+    spans = dict(result(docs))
+    got = {r.doc_id: r.text for r in S.redact(docs, block=block).collect()}
+    assert got == {i: plain_redaction(t, spans[i]) for i, t in enumerate(texts)}
+
+
+def test_redaction_of_a_key_dump(make_docs):
+    docs = make_docs([(1, "".join(f"😀 token=abcdefgh{i:06d}\n" for i in range(100_000)))])
+    text = S.redact(docs).first().text
+    assert text == "😀 [SECRET]\n" * 100_000
+
+
 @pytest.mark.parametrize("name", ["sf0.001"])
 def test_query_whole_table(spark, documents, name):
     texts = {r.doc_id: r.text for r in documents.collect()}
