@@ -1,8 +1,8 @@
 """Sharding along a Hilbert curve over metadata, DataFrame functions only.
 
 Each metadata dimension is quantised into ``2 ** bits`` equally filled cells
-by quantiles of all rows (strings by their first bytes, so cells are ranges
-of the column).  Rows are sorted by their cell's index on the Hilbert curve
+by quantiles of all rows (strings by the ranks of their distinct values), so
+cells are ranges of the column.  Rows are sorted by their cell's index on the Hilbert curve
 and the order is cut into runs of near equal bytes: each run covers a compact
 part of every dimension, so filters on any of them skip files.
 
@@ -75,12 +75,29 @@ def hilbert_index(coords: list[Column], bits: int) -> Column:
     return _let(turned, lambda x: _let(gray(x), lambda y: _let(undo(y), weave)))
 
 
-def order_code(column: Column, kind: str) -> Column:
-    """A number in the column's order (strings: their first seven bytes); null is -1."""
-    if kind == "string":
-        head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7)), 14, "0")
-        column = F.conv(head, 16, 10).cast("long")
-    return F.coalesce(column.cast("double"), F.lit(-1.0))
+def string_cuts(rows: DataFrame, column: str, share: list[float]) -> list[Column]:
+    """For each share, whether the column lies above the smallest value that share of all rows doesn't pass.
+
+    Whole values are ranked by cumulated counts: distinct values are range
+    partitioned, counts of whole partitions are added to counts within each.
+    Nulls come first.  Only ``len(share)`` values reach the driver.
+    """
+    counts = rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("rows"))
+    part = C.store(counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()))
+    earlier = W.orderBy("part")  # one row a partition
+    sums = part.groupBy("part").agg(F.sum("rows").alias("own")).select("part", (F.sum("own").over(earlier) - F.col("own")).alias("passed"), F.sum("own").over(W.partitionBy()).alias("total"))
+    inner = W.partitionBy("part").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = part.join(sums, "part").withColumn("upto", F.col("passed") + F.sum("rows").over(inner))
+    found = ranked.agg(*[F.min(F.when(F.col("upto") >= F.lit(q) * F.col("total"), F.struct("value"))).alias(f"q{i}") for i, q in enumerate(share)]).first()
+    cuts = [v["value"] for v in found if v is not None]
+    return [F.col(column).isNotNull() if v is None else F.coalesce(F.col(column) > F.lit(v), F.lit(False)) for v in cuts]
+
+
+def number_cuts(rows: DataFrame, column: str, share: list[float]) -> list[Column]:
+    """As ``string_cuts`` for a number, by approximate quantiles."""
+    value = F.coalesce(F.col(column).cast("double"), F.lit(-1.0))
+    found = rows.agg(F.percentile_approx(value, share, 10_000).alias("cut")).first()["cut"]
+    return [value > F.lit(v) for v in found or []]
 
 
 def assign(docs: DataFrame, dims: tuple[str, ...] = ("lang", "source"), shards: int = SHARDS, bits: int = BITS,
@@ -91,11 +108,14 @@ def assign(docs: DataFrame, dims: tuple[str, ...] = ("lang", "source"), shards:
     rows = C.store(docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("text_key"),
-        *[order_code(F.col(f"`{d}`"), kinds[d]).alias(f"d{i}") for i, d in enumerate(dims)]))
+        *[F.col(f"`{d}`").alias(f"d{i}") for i, d in enumerate(dims)]))
     codes = [*[f"d{i}" for i in range(len(dims))], "size"]
     share = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cut = rows.agg(*[F.percentile_approx(c, share, 10_000).alias(c) for c in codes], F.sum("size").alias("total")).first()
-    cells = [sum((F.col(c) > F.lit(v)).cast("int") for v in cut[c]) if cut[c] else F.lit(0) for c in codes]
+    total = rows.agg(F.sum("size").alias("total")).first()["total"]
+    above = [(string_cuts if kinds.get(d) == "string" else number_cuts)(rows, c, share) for c, d in zip(codes, [*dims, None])]
+    cell = [sum((a.cast("int") for a in over), F.lit(0)) for over in above]
+    rows = rows.withColumns(dict(zip(codes[:-1], cell)))
+    cells = [*[F.col(c) for c in codes[:-1]], cell[-1]]
     same = ["text_key", "text_crc32", "size"]
     groups = (rows.groupBy(*same).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *codes[:-1])).alias("first"), F.count("*").alias("copies"))
               .select(*same, "copies", *[F.col(f"first.{c}").alias(c) for c in codes[:-1]]))
@@ -110,7 +130,7 @@ def assign(docs: DataFrame, dims: tuple[str, ...] = ("lang", "source"), shards:
     run = C.store(placed.join(sums, "part")
                   .withColumn("before", F.col("b0") + F.sum("size").over(inner) - F.col("size"))
                   .withColumn("row", F.col("r0") + F.count("*").over(inner) - 1).drop("b0", "r0", "part"))
-    total = F.lit(cut["total"] or 1).cast("double")
+    total = F.lit(total or 1).cast("double")
     spread = F.col("copies") * F.col("size")
     small = (F.col("copies") > 1) & (spread * shards * GROUP_SHARE <= total)
     begin = run.where(small).groupBy(*same).agg(F.min("before").alias("begin"))
