@@ -11,14 +11,14 @@ the coverage of an item reaches the threshold.
 
 The seeds of the test items are compared in blocks of at most ``BLOCK_SEEDS``:
 each block is one broadcast of bounded size and one pass over the documents.
-Items are dealt to blocks by a running sum of their lengths, so a larger
-benchmark makes more passes, not larger broadcasts (an item longer than a
-block is its own block).  Documents are never shuffled as texts.
+Items are dealt to blocks by a hash, as many blocks as the benchmark's words
+need, so a larger benchmark makes more passes, not larger broadcasts, and no
+task holds all items.  Documents are never shuffled as texts.
 
 Null or empty texts, texts without words: never contaminated, coverage 0.
 Items without words match nothing; an item of one to four words is its own
-seed, found only where a document holds no other words than these.  Repeated
-rows get equal results.  Ties between items go to the smallest item id.
+seed and is found wherever these words stand in a row.  Repeated rows get
+equal results.  Ties between items go to the smallest item id.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimsmith.llm import common as C
@@ -83,28 +82,47 @@ def tiles(pairs: np.ndarray, least: int) -> list[tuple[int, int, int]]:
 
 
 class Seeds:
-    """One block of test items: sorted seed hashes with their places."""
+    """One block of test items: for each seed length, sorted seed hashes with their places.
+
+    The seeds of an item have ``LEAST_MATCH`` words, or all words of a shorter item.
+    """
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = np.array([i for i, _ in items], np.int64)
         words, off = C.word_hashes(pa.array([t for _, t in items], pa.large_string()))
         self.words = np.diff(off)
-        seed, row, place = C.shingle_hashes(words, off)
+        seed, row, place = C.shingle_hashes(words, off)  # a shorter row's shingle has all its words
+        length = np.minimum(self.words[row], LEAST_MATCH)
+        self.by_length = {int(k): _Table(seed[length == k], row[length == k], place[length == k]) for k in np.unique(length)}
+
+    def hits(self, words: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(seed length, row, place in the row, item, place in the item) of all equal seeds, by seed length."""
+        n = np.diff(off)
+        for k, table in self.by_length.items():
+            shingle, row, place = C.shingle_hashes(words, off, k)
+            whole = n[row] >= k
+            shingle, row, place = shingle[whole], row[whole], place[whole]
+            at, seed = table.equal(shingle)
+            yield k, row[at], place[at], table.item[seed], table.place[seed]
+
+
+class _Table:
+    """Sorted hashes of seeds of one length, and the items and places they come from."""
+
+    def __init__(self, seed: np.ndarray, item: np.ndarray, place: np.ndarray):
         order = np.argsort(seed, kind="stable")
-        self.seed, self.item, self.place = seed[order], row[order], place[order]
+        self.seed, self.item, self.place = seed[order], item[order], place[order]
         # One bit a seed: most documents' shingles miss it, a small table answers them.
         self.bits = max(16, int(len(seed)).bit_length() + 5)
         self.hit = np.zeros(1 << self.bits, bool)
         self.hit[(self.seed >> np.uint64(64 - self.bits)).astype(np.int64)] = True
 
-    def places(self, shingle: np.ndarray) -> np.ndarray:
-        """(index into ``shingle``, index into ``seed``) of all equal pairs."""
+    def equal(self, shingle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Indexes into ``shingle`` and into the seeds of all equal pairs."""
         maybe = np.flatnonzero(self.hit[(shingle >> np.uint64(64 - self.bits)).astype(np.int64)])
         lo, hi = np.searchsorted(self.seed, shingle[maybe], "left"), np.searchsorted(self.seed, shingle[maybe], "right")
         n = hi - lo
-        at = np.repeat(maybe, n)
-        seed = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.stack([at, seed], axis=1)
+        return np.repeat(maybe, n), np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
 def _scan(batches: Iterator[pa.RecordBatch], seeds: Seeds, threshold: float) -> Iterator[pa.RecordBatch]:
@@ -113,21 +131,14 @@ def _scan(batches: Iterator[pa.RecordBatch], seeds: Seeds, threshold: float) ->
         rows = []
         for _, text in C.chunks(batch.column(1)):
             words, off = C.word_hashes(text)
-            shingle, doc, place = C.shingle_hashes(words, off)
-            hits = seeds.places(shingle)
-            length = np.diff(off)
             found: dict[int, list] = {}
-            if len(hits):
-                at, seed = hits[:, 0], hits[:, 1]
-                key = doc[at] * len(seeds.ids) + seeds.item[seed]
+            for least, doc, doc_place, item, item_place in seeds.hits(words, off):
+                key = doc * len(seeds.ids) + item
                 order = np.argsort(key, kind="stable")
                 cut = np.flatnonzero(np.diff(key[order], prepend=-1))
-                for group in np.split(order, cut[1:]):
-                    d, t = int(doc[at[group[0]]]), int(seeds.item[seed[group[0]]])
-                    least = int(min(LEAST_MATCH, seeds.words[t]))
-                    if least < LEAST_MATCH and length[d] != least:
-                        continue
-                    tiled = tiles(np.stack([place[at[group]], seeds.place[seed[group]]], axis=1), least)
+                for group in np.split(order, cut[1:]) if len(order) else ():
+                    d, t = int(doc[group[0]]), int(item[group[0]])
+                    tiled = tiles(np.stack([doc_place[group], item_place[group]], axis=1), least)
                     found.setdefault(d, []).append((sum(n for _, _, n in tiled) / int(seeds.words[t]), t, tiled))
             for d in range(len(text)):
                 best = (None, 0.0)
@@ -150,10 +161,11 @@ def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, limit: int = BLO
     words = F.size(F.split(F.col(f"`{text_col}`"), r"\s+"))
     items = C.store(benchmark.select(F.col(f"`{id_col}`").cast("long").alias("item_id"), F.col(f"`{text_col}`").alias("text"),
                                      words.alias("n")).where("item_id is not null and text is not null").distinct())
-    sums = W.orderBy("item_id", "text")  # over the benchmark's items only
-    dealt = C.store(items.withColumn("block", F.floor(F.sum("n").over(sums) / limit)))
-    for row in dealt.select("block").distinct().orderBy("block").collect():
-        yield [(r.item_id, r.text) for r in dealt.where(F.col("block") == row.block).collect()]
+    n_blocks = -(-(items.agg(F.sum("n")).first()[0] or 0) // limit)
+    for block in range(n_blocks):
+        held = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).collect()
+        if held:
+            yield [(r.item_id, r.text) for r in held]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = C.SIMILARITY, id_col: str = "doc_id",

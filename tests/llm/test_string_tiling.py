@@ -15,7 +15,7 @@ def coverage(doc, item):
     """Greedy string tiling word by word."""
     d, t = words(doc), words(item)
     least = min(5, len(t))
-    if not t or (least < 5 and d != t):
+    if not t:
         return 0.0
     used_d, used_t, covered = set(), set(), 0
     while True:
@@ -62,6 +62,14 @@ def test_coverage_equals_brute_force(spark, make_docs, odd_texts, block):
     assert sorted(key(r.doc_id, r.contaminated, r.coverage, r.item_id) for r in got) == sorted(want)
 
 
+def test_short_items_stand_anywhere(spark, make_docs):
+    bench = spark.createDataFrame([(1, "alpha beta gamma"), (2, "omega"), (3, "one two three four")], "item_id long, text string")
+    docs = make_docs([(1, "here alpha beta gamma again"), (2, "alpha gamma beta"), (3, "the OMEGA!"), (4, "omegas"), (5, "two three four one"),
+                      (6, "one two three four " * 3), (7, "beta gamma"), (8, "alpha beta gamma")])
+    got = {r.doc_id: (r.contaminated, r.item_id, r.coverage) for r in S.contamination(docs, bench).collect()}
+    assert got == {i: (i in best, best.get(i), float(i in best)) for i in range(1, 9) for best in [{1: 1, 3: 2, 6: 3, 8: 1}]}
+
+
 def test_empty_tables_and_clean(spark, make_docs):
     bench = spark.createDataFrame([(1, "one two three four five six seven")], "item_id long, text string")
     docs = make_docs([(1, "x ONE two three four five six seven y"), (2, None), (None, "one two three four five six seven"), (3, "clean text")])
