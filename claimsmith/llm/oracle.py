@@ -46,6 +46,9 @@ SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in ranks[:3])},
   coalesce(spans, '') AS spans FROM documents d LEFT JOIN told t ON d.doc_id = t.doc_id"""
 
 
+SQL_LEVELS = 6  # the SQL is written out for paths of so many segments; the operator has no such bound
+
+
 def url_filter_sql() -> str:
     u = url_templates
     rules, verdicts = [], []
@@ -54,19 +57,33 @@ def url_filter_sql() -> str:
         fits = f"((host = {_q(h)} OR ends_with(host, {_q('.' + h)})) AND starts_with(path, {_q(slash + p)}))"
         rules.append(f"WHEN {fits} THEN {_q(text)}")
         verdicts.append(f"WHEN {fits} THEN {_q(action)}")
+    differs = lambda n, g, of_n, of_g: (f"({n} > 0 AND abs({g} / greatest({n}, 1) - {of_g} / greatest({of_n}, 1)) > {u.Z} * "
+                                        f"sqrt({of_g} / greatest({of_n}, 1) * (1 - {of_g} / greatest({of_n}, 1)) / greatest({n}, 1)))")
     levels = ["tree0 AS (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS seg, '' AS template FROM base)"]
-    for i in range(u.LEVELS):
-        often = lambda c: f"({c} >= {u.MIN_COUNT} AND {c} >= total * {u.MIN_SHARE})"
+    for i in range(SQL_LEVELS):
+        own, shape = f"(c >= {u.MIN_COUNT} AND NOT regexp_full_match(own, '[0-9]+'))", f"(shaped >= {u.MIN_COUNT} AND contains(shape, '*'))"
+        # A value's c pages each count c in the sum of squares.
+        varies = lambda of, c: f"pow(sum(CASE WHEN {of} THEN 1 ELSE 0 END) OVER node, 2) > {u.VARIED} * sum(CASE WHEN {of} THEN {c} ELSE 0 END) OVER node"
         levels.append(f"""here{i} AS (SELECT *, seg[{i + 1}] AS own, regexp_replace(seg[{i + 1}], '[0-9]+', '*', 'g') AS shape FROM tree{i}),
-counted{i} AS (SELECT *, count(*) OVER (PARTITION BY host, template, own IS NULL, own) AS c,
-    count(*) OVER (PARTITION BY host, template, own IS NULL, shape) AS shaped,
-    count(*) OVER (PARTITION BY host, template, own IS NULL) AS total FROM here{i}),
+counted{i} AS (SELECT *, count(*) OVER value AS c, count(good) OVER value AS n, coalesce(sum(good) OVER value, 0) AS g,
+    count(*) OVER (PARTITION BY host, template, own IS NULL, shape) AS shaped FROM here{i}
+    WINDOW value AS (PARTITION BY host, template, own IS NULL, own)),
+noded{i} AS (SELECT *, count(good) OVER node AS nn, coalesce(sum(good) OVER node, 0) AS ng, {varies(own, "c")} AS vary, {varies(shape, "shaped")} AS shapes_vary
+    FROM counted{i} WINDOW node AS (PARTITION BY host, template, own IS NULL)),
 tree{i + 1} AS (SELECT page_id, host, path, good, seg, template || CASE WHEN own IS NULL THEN ''
-    WHEN {often("c")} AND NOT regexp_full_match(own, '[0-9]+') THEN '/' || own
-    WHEN {often("shaped")} THEN '/' || shape ELSE '/**' END AS template FROM counted{i})""")
+    WHEN {own} AND (NOT vary OR {differs("n", "g", "nn", "ng")}) THEN '/' || own
+    WHEN {shape} AND NOT shapes_vary THEN '/' || shape ELSE '/**' END AS template FROM noded{i})""")
+    merges = ["merge0 AS (SELECT host, template, template AS merged, count(good) AS n, coalesce(sum(good), 0) AS g FROM tree GROUP BY host, template)"]
+    for i in range(SQL_LEVELS):
+        at = SQL_LEVELS - i
+        merges.append(f"""parts{i} AS (SELECT *, string_split(merged, '/') AS parts, coalesce(NOT contains(parts[{at + 1}], '*') AND parts[{at + 1}] <> '{{}}', false) AS literal FROM merge{i}),
+family{i} AS (SELECT *, CASE WHEN literal THEN array_to_string(parts[1:{at}] || ['{{}}'] || parts[{at + 2}:], '/') ELSE merged END AS family,
+    sum(n) OVER own AS cn, sum(g) OVER own AS cg FROM parts{i} WINDOW own AS (PARTITION BY host, merged)),
+pool{i} AS (SELECT *, sum(n) OVER kin AS fn, sum(g) OVER kin AS fg, min(merged) OVER kin <> max(merged) OVER kin AS several
+    FROM family{i} WINDOW kin AS (PARTITION BY host, literal, family)),
+merge{i + 1} AS (SELECT host, template, n, g, CASE WHEN literal AND several AND NOT {differs("cn", "cg", "fn", "fg")} THEN family ELSE merged END AS merged FROM pool{i})""")
     prior = f"((ag + 0.5 * {u.SMOOTHING}) / (an + {u.SMOOTHING}))"
     host_prior = f"((hg + {u.SMOOTHING} * {prior}) / (hn + {u.SMOOTHING}))"
-    rate = "(fg / greatest(fn, 1))"
     return f"""WITH split AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
 parsed AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{u._UPPER}', '{u._LOWER}') AS host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM split),
@@ -74,13 +91,9 @@ marks AS (SELECT p.page_id, min(CAST(l.quality = 1 AND l.toxic = 0 AS INTEGER))
   JOIN labels l ON l.doc_id = TRY_CAST(regexp_extract(p.path, '/([0-9]+)', 1) AS BIGINT) GROUP BY p.page_id),
 base AS (SELECT p.*, m.good FROM parsed p LEFT JOIN marks m ON p.page_id = m.page_id),
 {", ".join(levels)},
-tree AS (SELECT page_id, host, path, good, template || CASE WHEN len(seg) > {u.LEVELS} THEN '/**' ELSE '' END AS template FROM tree{u.LEVELS}),
-stats AS (SELECT host, template, count(good) AS n, coalesce(sum(good), 0) AS g,
-    regexp_replace(template, '^((?:/[^/]*\\*[^/]*)*)/[^/*]+(/(?s:.*))?\\z', '\\1/{{}}\\2') AS family FROM tree GROUP BY host, template),
-pooled AS (SELECT *, sum(n) OVER (PARTITION BY host, family) AS fn, sum(g) OVER (PARTITION BY host, family) AS fg,
-    sum(n) OVER (PARTITION BY host) AS hn, sum(g) OVER (PARTITION BY host) AS hg, sum(n) OVER () AS an, sum(g) OVER () AS ag FROM stats),
-branch AS (SELECT *, CASE WHEN n = 0 OR abs(g / greatest(n, 1) - {rate}) <= {u.Z} * sqrt({rate} * (1 - {rate}) / greatest(n, 1))
-    THEN family ELSE template END AS merged FROM pooled),
+tree AS (SELECT page_id, host, path, good, template FROM tree{SQL_LEVELS}),
+{", ".join(merges)},
+branch AS (SELECT *, sum(n) OVER (PARTITION BY host) AS hn, sum(g) OVER (PARTITION BY host) AS hg, sum(n) OVER () AS an, sum(g) OVER () AS ag FROM merge{SQL_LEVELS}),
 judged AS (SELECT host, template, (sum(g) OVER w + {u.SMOOTHING} * {host_prior}) / (sum(n) OVER w + {u.SMOOTHING}) AS purity
   FROM branch WINDOW w AS (PARTITION BY host, merged))
 SELECT page_id, host, path, CASE {" ".join(rules)} END AS rule,

@@ -2,14 +2,21 @@
 
 The tree is built level by level for all hosts at once.  Below each node
 (host, template so far) a path segment stays literal when ``MIN_COUNT`` pages
-have it there, whatever their share of the node, else its shape (digit runs
-become ``*``) stands for it when as many have that, else the wildcard ``**``.  Beyond ``LEVELS`` only nodes with
-``MIN_COUNT`` pages left go on, to any depth; the rest of the others' segments
-is one ``**`` tail.  Sibling templates that differ only in a literal segment are
-merged when their share of good labels does not differ significantly from
-that of the whole family.  A template is rejected when its purity, smoothed
-towards its host's and the host's towards the whole table's, is below
-``min_purity``; an unlabelled template thus falls back on its host.
+have it there, whatever their share of the node.  A node whose frequent values
+are more than ``VARIED`` in effect (squared sum of their counts over the sum of
+squares) holds a variable: there a value stays literal only if its share of good
+labels differs significantly from the node's.  Any other segment is written as
+its shape (digit runs become ``*``) when that is frequent and the node's shapes
+don't vary likewise, else as the wildcard ``**``.  A node is closed at once when
+it has fewer than ``MIN_COUNT`` pages (a ``**`` a segment) or when all its pages
+go on with the same segments, so only nodes that branch are carried on.
+
+Siblings are merged bottom up: at each level, from the deepest, templates
+that differ only in their literal segment there are pooled as ``{}``, except
+those whose share of good labels differs significantly from the pool's; the
+level above compares the merged templates.  A template is rejected when its
+purity, smoothed towards its host's and the host's towards the whole table's, is
+below ``min_purity``; an unlabelled template thus falls back on its host.
 
 Every statistic is a map-side combined count over all pages, so a host with
 a third of the pages is one small aggregate row a branch.
@@ -29,8 +36,7 @@ from claimsmith.llm import common as C
 # The contract's rules.
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
          ("block", "net/es/"), ("block", "net/fr/")]
-LEVELS = 6
-MIN_COUNT, MIN_SHARE = 5, 0.0  # no share: a large node keeps its small branches, the labels decide what is pooled
+MIN_COUNT, VARIED = 5, 32
 SMOOTHING, MIN_PURITY, Z = 4.0, 0.5, 1.96
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -54,61 +60,91 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
     return rule, verdict
 
 
-def template_tree(pages: DataFrame, min_count: int = MIN_COUNT, min_share: float = MIN_SHARE) -> DataFrame:
-    """Pages (row, host, path, ...) with their ``template``, level by level."""
-    segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    tree = pages.withColumn("seg", segments).withColumn("template", F.lit(""))
-    longest = lambda t: t.agg(F.max(F.size("seg"))).first()[0] or 0
-    depth, level, ended = longest(tree), 0, []
-    while level < depth:
-        own = F.get("seg", F.lit(level))
-        here = tree.withColumn("own", own).withColumn("shape", F.regexp_replace(own, "[0-9]+", "*"))
-        counts = (here.where("own is not null").groupBy("host", "template", "shape", "own").agg(F.count("*").alias("c")))
-        total = counts.groupBy("host", "template").agg(F.sum("c").alias("total"))
+def _differs(n: str, g: str, of_n: str, of_g: str, z: float) -> Column:
+    """Whether g good of n labels is significantly another share than ``of_g`` of ``of_n``; false without labels."""
+    rate = F.col(of_g) / F.greatest(of_n, F.lit(1))
+    return (F.col(n) > 0) & (F.abs(F.col(g) / F.greatest(n, F.lit(1)) - rate) > z * F.sqrt(rate * (1 - rate) / F.greatest(n, F.lit(1))))
+
+
+def _varies(of: Column, count: str, varied: int) -> Column:
+    """Aggregate: more than ``varied`` values in effect among those that ``of`` holds for, in whole numbers."""
+    c = F.when(of, F.col(count)).otherwise(0).cast("decimal(18,0)")
+    return F.sum(c) * F.sum(c) > F.sum(c * c) * varied
+
+
+def template_tree(pages: DataFrame, min_count: int = MIN_COUNT, varied: int = VARIED, z: float = Z) -> tuple[DataFrame, int]:
+    """Pages (row, host, path, good, ...) with their ``template``, and the number of levels at which nodes branch."""
+    start = pages.withColumn("seg", F.filter(F.split("path", "/"), lambda s: s != "")).withColumn("template", F.lit(""))
+    ended, tree, level = [start.where(F.size("seg") == 0)], start.where(F.size("seg") > 0), 0
+    digits = lambda s: s.rlike(r"\A[0-9]+\z")
+    while not tree.isEmpty():
+        rest = F.slice("seg", level + 1, F.size("seg"))
+        here = (tree.withColumn("own", F.get("seg", F.lit(level))).withColumn("shape", F.regexp_replace("own", "[0-9]+", "*"))
+                .withColumn("h", F.xxhash64(rest)).withColumn("k", F.xxhash64(F.lit(level), rest)))
+        counts = (here.groupBy("host", "template", "shape", "own")
+                  .agg(F.count("*").alias("c"), F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("g"),
+                       *[f(x).alias(f.__name__ + x) for f in (F.min, F.max) for x in "hk"]))
+        often, frequent = F.col("c") >= min_count, F.col("shaped") >= min_count
         shapes = counts.groupBy("host", "template", "shape").agg(F.sum("c").alias("shaped"))
-        often = lambda c: (F.col(c) >= min_count) & (F.col(c) >= F.col("total") * min_share)
-        said = (counts.join(C.dealt_anew(total, "host"), ["host", "template"])
+        starred = F.col("shape").contains("*")
+        shape_nodes = shapes.groupBy("host", "template").agg(_varies(frequent & starred, "shaped", varied).alias("shapes_vary"))
+        nodes = (counts.groupBy("host", "template")
+                 .agg(F.sum("c").alias("total"), F.sum("n").alias("nn"), F.sum("g").alias("ng"),
+                      _varies(often & ~digits(F.col("own")), "c", varied).alias("vary"),
+                      ((F.min("minh") == F.max("maxh")) & (F.min("mink") == F.max("maxk"))).alias("alone"))
+                 .join(shape_nodes, ["host", "template"]))
+        said = (counts.join(C.dealt_anew(nodes, "host"), ["host", "template"])
                 .join(C.dealt_anew(shapes, "host"), ["host", "template", "shape"])
                 .select("host", "template", "own",
-                        F.when(often("c") & ~F.col("own").rlike("^[0-9]+$"), F.col("own"))
-                        .when(often("shaped"), F.col("shape")).otherwise("**").alias("said"),
-                        (F.lit(level >= LEVELS) & (F.col("total") < min_count)).alias("closed")))
-        tree = C.store(here.drop("shape").join(C.dealt_anew(said, "host"), ["host", "template", "own"], "left")
-                       .withColumn("template", F.when(F.col("said").isNotNull(), F.concat("template", F.lit("/"), "said"))
-                                   .otherwise(F.col("template")))
-                       # A closed node's "**" stands for all that is left.
-                       .withColumn("seg", F.when(F.col("closed"), F.slice("seg", 1, level + 1)).otherwise(F.col("seg")))
-                       .drop("own", "said", "closed"))
-        level += 1
-        if level >= LEVELS:
-            ended.append(tree.where(F.size("seg") <= level))
-            tree = tree.where(F.size("seg") > level)
-            depth = longest(tree)
-    for done in ended:
-        tree = tree.unionByName(done)
-    return tree.drop("seg")
-
-
-def judged_templates(tree: DataFrame, smoothing: float = SMOOTHING, min_purity: float = MIN_PURITY, z: float = Z) -> DataFrame:
+                        F.when(often & ~digits(F.col("own")) & (~F.col("vary") | _differs("n", "g", "nn", "ng", z)), F.col("own"))
+                        .when(frequent & starred & ~F.col("shapes_vary"), F.col("shape")).otherwise("**").alias("said"),
+                        (F.col("total") < min_count).alias("thin"), "alone"))
+        tail = (F.when(F.col("thin"), F.transform(rest, lambda s: F.lit("**")))
+                .when(F.col("alone"), F.transform(rest, lambda s: F.when(digits(s), "*").otherwise(s)))
+                .otherwise(F.array("said")))
+        step = C.store(here.drop("shape", "h", "k").join(C.dealt_anew(said, "host"), ["host", "template", "own"])
+                       .withColumn("template", F.concat_ws("/", "template", tail))
+                       .withColumn("open", ~F.col("thin") & ~F.col("alone") & (F.size("seg") > level + 1))
+                       .drop("own", "said", "thin", "alone"))
+        ended.append(step.where(~F.col("open")).drop("open"))
+        tree, level = step.where("open").drop("open"), level + 1
+    whole = ended[0]
+    for done in ended[1:]:
+        whole = whole.unionByName(done)
+    return whole.drop("seg"), level
+
+
+def merged_siblings(stats: DataFrame, levels: int, z: float = Z) -> DataFrame:
+    """(host, template, n, g) -> the same with ``merged``: siblings with like labels pooled, from the deepest level up."""
+    now = stats.withColumn("merged", F.col("template"))
+    for level in reversed(range(levels)):
+        parts = F.split("merged", "/")
+        seg = F.get(parts, F.lit(level + 1))
+        family = F.concat_ws("/", F.slice(parts, 1, level + 1), F.array(F.lit("{}")), F.slice(parts, level + 3, F.size(parts)))
+        nodes = (now.groupBy("host", "merged").agg(F.sum("n").alias("n"), F.sum("g").alias("g"))
+                 .where(seg.isNotNull() & ~seg.contains("*") & (seg != "{}")).withColumn("family", family))
+        pool = (nodes.groupBy("host", "family")
+                .agg(F.sum("n").alias("fn"), F.sum("g").alias("fg"), (F.min("merged") != F.max("merged")).alias("several"))
+                .where("several").drop("several"))
+        joined = (nodes.join(C.dealt_anew(pool, "host"), ["host", "family"]).where(~_differs("n", "g", "fn", "fg", z))
+                  .select("host", "merged", "family"))
+        now = C.store(now.join(C.dealt_anew(joined, "host"), ["host", "merged"], "left")
+                      .withColumn("merged", F.coalesce("family", "merged")).drop("family"))
+    return now
+
+
+def judged_templates(tree: DataFrame, levels: int, smoothing: float = SMOOTHING, min_purity: float = MIN_PURITY, z: float = Z) -> DataFrame:
     """(host, template, merged, labelled, purity, rejected) from the pages' ``good`` labels (0, 1 or null)."""
-    stats = (tree.groupBy("host", "template")
-             .agg(F.count("*").alias("pages"), F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("g")))
-    # A family: templates that differ in their first literal segment only.
-    stats = C.store(stats.withColumn("family", F.regexp_replace("template", r"^((?:/[^/]*\*[^/]*)*)/[^/*]+(/(?s:.*))?\z", "$1/{}$2")))
-    pool = stats.groupBy("host", "family").agg(F.sum("n").alias("fn"), F.sum("g").alias("fg"))
-    rate = F.col("fg") / F.greatest("fn", F.lit(1))
-    spread = F.sqrt(rate * (1 - rate) / F.greatest("n", F.lit(1)))
-    alike = F.abs(F.col("g") / F.greatest("n", F.lit(1)) - rate) <= z * spread
-    branch = (stats.join(pool, ["host", "family"])
-              .withColumn("merged", F.when((F.col("n") == 0) | alike, F.col("family")).otherwise(F.col("template"))))
+    stats = C.store(tree.groupBy("host", "template").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("g")))
+    branch = merged_siblings(stats, levels, z)
     merged = branch.groupBy("host", "merged").agg(F.sum("n").alias("labelled"), F.sum("g").alias("mg"))
     hosts = stats.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("g").alias("hg"))
     every = stats.agg(F.sum("n").alias("an"), F.sum("g").alias("ag"))  # one row
     prior = (F.col("ag") + 0.5 * smoothing) / (F.col("an") + smoothing)
     host_prior = (F.col("hg") + smoothing * prior) / (F.col("hn") + smoothing)
     purity = (F.col("mg") + smoothing * host_prior) / (F.col("labelled") + smoothing)
-    return (branch.select("host", "template", "merged").join(merged, ["host", "merged"]).join(hosts, "host")
-            .join(F.broadcast(every), F.lit(True))
+    return (branch.select("host", "template", "merged").join(C.dealt_anew(merged, "host"), ["host", "merged"])
+            .join(C.dealt_anew(hosts, "host"), "host").join(F.broadcast(every), F.lit(True))
             .select("host", "template", "merged", "labelled", purity.alias("purity"), (purity < min_purity).alias("rejected")))
 
 
@@ -122,9 +158,9 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]
     url = F.col(f"`{url_col}`")
     base = pages.select(F.col(f"`{id_col}`").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     mark = labels.select(F.col("page_id").alias("_id"), "good").groupBy("_id").agg(F.min("good").alias("good"))
-    base = base.join(mark, F.col("page_id") == F.col("_id"), "left").drop("_id")
-    tree = C.store(template_tree(base))
-    judged = judged_templates(tree)
+    base = C.store(base.join(mark, F.col("page_id") == F.col("_id"), "left").drop("_id"))
+    tree, levels = template_tree(base)
+    judged = judged_templates(tree, levels)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     return (tree.join(C.dealt_anew(judged, "host"), ["host", "template"])
             .select("page_id", "host", "path", rule.alias("rule"),

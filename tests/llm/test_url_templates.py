@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import defaultdict
 
@@ -26,44 +27,60 @@ def rule(host, path):
     return max(fits)[1:] if fits else (None, None)
 
 
+def differs(n, g, of_n, of_g):
+    r = of_g / max(1, of_n)
+    return n > 0 and abs(g / n - r) > U.Z * math.sqrt(r * (1 - r) / n)
+
+
 def brute(pages, good):
-    """page index -> (host, path, rule, verdict) by the documented method, row by row."""
+    """page index -> (host, path, rule, verdict) by the documented method, row by row, without closing nodes early."""
     parts = [split(u) for _, u in pages]
     segs = [[s for s in p.split("/") if s] for _, p in parts]
     template = [""] * len(pages)
-    for level in range(U.LEVELS):
-        own, shaped, total = defaultdict(int), defaultdict(int), defaultdict(int)
-        shape = lambda s: re.sub("[0-9]+", "*", s)
-        for (h, _), s, t in zip(parts, segs, template):
-            if len(s) > level:
-                own[h, t, s[level]] += 1
-                shaped[h, t, shape(s[level])] += 1
-                total[h, t] += 1
-        new = list(template)
+    shape = lambda s: re.sub("[0-9]+", "*", s)
+    depth = max(map(len, segs), default=0)
+    for level in range(depth):
+        nodes = defaultdict(list)
         for i, ((h, _), s, t) in enumerate(zip(parts, segs, template)):
             if len(s) > level:
-                often = lambda n: n >= U.MIN_COUNT and n >= total[h, t] * U.MIN_SHARE
-                x = s[level]
-                said = x if often(own[h, t, x]) and not re.fullmatch("[0-9]+", x) else shape(x) if often(shaped[h, t, shape(x)]) else "**"
-                new[i] = t + "/" + said
-        template = new
-    template = [t + "/**" if len(s) > U.LEVELS else t for t, s in zip(template, segs)]
+                nodes[h, t].append(i)
+        for members in nodes.values():
+            label = lambda of: (sum(pages[i][0] in good for i in of), sum(good.get(pages[i][0], 0) for i in of))
+            own, shaped = defaultdict(list), defaultdict(int)
+            for i in members:
+                own[segs[i][level]].append(i)
+                shaped[shape(segs[i][level])] += 1
+            frequent = {x: len(of) for x, of in own.items() if len(of) >= U.MIN_COUNT and not re.fullmatch("[0-9]+", x)}
+            stars = {x: c for x, c in shaped.items() if c >= U.MIN_COUNT and "*" in x}
+            vary, shapes_vary = (sum(c.values()) ** 2 > U.VARIED * sum(n * n for n in c.values()) for c in (frequent, stars))
+            for x, of in own.items():
+                if x in frequent and (not vary or differs(*label(of), *label(members))):
+                    said = x
+                else:
+                    said = shape(x) if shape(x) in stars and not shapes_vary else "**"
+                for i in of:
+                    template[i] += "/" + said
     n, g, hn, hg = (defaultdict(int) for _ in range(4))
     for (h, _), t, (i, _) in zip(parts, template, pages):
         n[h, t] += i in good
         g[h, t] += good.get(i, 0)
         hn[h] += i in good
         hg[h] += good.get(i, 0)
-    family = {k: (k[0], re.sub(r"^((?:/[^/]*\*[^/]*)*)/[^/*]+(?=/|$)", r"\1/{}", k[1])) for k in n}
-    fn, fg = defaultdict(int), defaultdict(int)
-    for k in n:
-        fn[family[k]] += n[k]
-        fg[family[k]] += g[k]
-    merged = {}
-    for k in n:
-        r = fg[family[k]] / max(1, fn[family[k]])
-        alike = abs(g[k] / max(1, n[k]) - r) <= U.Z * math.sqrt(r * (1 - r) / max(1, n[k]))
-        merged[k] = family[k] if n[k] == 0 or alike else k
+    merged = {k: k for k in n}
+    for level in reversed(range(depth)):
+        cn, cg, family = defaultdict(int), defaultdict(int), defaultdict(set)
+        for k, m in merged.items():
+            cn[m] += n[k]
+            cg[m] += g[k]
+        for h, t in cn:
+            s = t.split("/")
+            if len(s) > level + 1 and "*" not in s[level + 1] and s[level + 1] != "{}":
+                family[h, "/".join(s[:level + 1] + ["{}"] + s[level + 2:])].add((h, t))
+        to = {}
+        for f, of in family.items():
+            pool = sum(cn[m] for m in of), sum(cg[m] for m in of)
+            to |= {m: f for m in of if len(of) > 1 and not differs(cn[m], cg[m], *pool)}
+        merged = {k: to.get(m, m) for k, m in merged.items()}
     mn, mg = defaultdict(int), defaultdict(int)
     for k in n:
         mn[merged[k]] += n[k]
@@ -130,10 +147,68 @@ def test_small_branches_of_a_large_host_are_judged_by_themselves(spark):
 
 
 def test_branches_that_part_at_depth_are_judged_by_themselves(spark):
-    """Good and bad branches part at the ninth segment; a lone deep page ends in one tail."""
+    """Good and bad branches part at the ninth segment; a lone deep page has a wildcard a segment."""
     pages = [(i, f"http://deep.org/a/b/c/d/e/f/g/h/{'bad' if i % 3 == 0 else 'good'}/p{i}x") for i in range(120)] + [(999, "http://lone.org" + "/s" * 20)]
     df = spark.createDataFrame(pages, "page_id long, url string")
     labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(0, 120, 2)], "page_id long, good int")
     got = {r.page_id: r for r in U.filter_urls(df, labels).collect()}
     assert {i: r.verdict for i, r in got.items()} == {i: "block" if i < 120 and i % 3 == 0 else "allow" for i, _ in pages}
-    assert got[0].template == "/a/b/c/d/e/f/g/h/bad/p*x" and got[999].template == "/**" * 7
+    assert got[0].template == "/a/b/c/d/e/f/g/h/bad/p*x" and got[999].template == "/**" * 20
+
+
+def frames(spark, urls, good):
+    return (spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"),
+            spark.createDataFrame(list(good.items()), "page_id long, good int"))
+
+
+def test_many_alike_values_are_a_variable(spark):
+    """520 slugs of five pages are one wildcard, but for the slugs whose labels are bad."""
+    slug = lambda d: "".join("abcdefghij"[int(x)] for x in str(1000 + d))
+    urls = [f"http://hot.org/{slug(d)}/view" for d in range(520) for _ in range(5)]
+    bad = {40, 41, 300}
+    good = {i: int(i // 5 not in bad) for i in range(len(urls))}
+    got = {r.page_id: r for r in U.filter_urls(*frames(spark, urls, good)).collect()}
+    assert {r.template for i, r in got.items() if i // 5 not in bad} == {"/**/view"}
+    assert {r.template for i, r in got.items() if i // 5 in bad} == {f"/{slug(d)}/view" for d in bad}
+    want = brute(list(enumerate(urls)), good)
+    assert [got[i].verdict for i in range(len(urls))] == [w[3] for w in want]
+    assert {i // 5 for i, r in got.items() if r.verdict == "block"} == bad
+
+
+def test_siblings_are_merged_below_a_shared_literal(spark):
+    """/en/blog and /en/news are alike and pooled, /en/spam differs; the level above pools what is alike."""
+    kinds = ["blog", "news", "docs", "wiki", "shop", "help", "jobs", "spam"]
+    urls = [f"http://h.org/{a}/{b}/{i}" for a in ("en", "fr") for b in kinds for i in range(40)]
+    good = {i: int("spam" not in u) for i, u in enumerate(urls) if i % 2}
+    pages, labels = frames(spark, urls, good)
+    tree, levels = U.template_tree(pages.join(labels, "page_id", "left").select("page_id", U.host_of(pages.url).alias("host"), U.path_of(pages.url).alias("path"), "good"))
+    got = {r.template: r.merged for r in U.judged_templates(tree, levels).collect()}
+    assert got == {f"/{a}/{b}/*": "/{}/spam/*" if b == "spam" else "/{}/{}/*" for a in ("en", "fr") for b in kinds}
+    judged = {r.page_id: r.verdict for r in U.filter_urls(pages, labels).collect()}
+    assert judged == {i: "block" if "spam" in u else "allow" for i, u in enumerate(urls)}
+
+
+def test_pages_that_go_on_alike_need_no_further_level(spark, monkeypatch):
+    """Five copies of a thousand segments, and a thin host: one level, not a job a segment."""
+    stored = []
+    store = U.C.store
+    monkeypatch.setattr(U.C, "store", lambda df: stored.append(1) or store(df))
+    deep = "/".join(f"s{i}" if i % 3 else str(i) for i in range(1000))
+    urls = [f"http://deep.org/{deep}"] * 5 + ["http://thin.org/" + "/".join("abcdefghij")] * 2
+    got = {r.page_id: r.template for r in U.filter_urls(*frames(spark, urls, {0: 1})).collect()}
+    assert got[0] == "/" + "/".join(f"s{i}" if i % 3 else "*" for i in range(1000)) and got[5] == "/**" * 10
+    assert len(stored) <= 4
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_trees_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(60)] + [f"p{i}" for i in range(6)] + ["7", "{}", "a*"]
+    urls, weight = [], [1 / (i + 1) ** (0.2 * seed) for i in range(len(words))]
+    for _ in range(700):
+        urls.append(f"http://h{rng.randrange(3)}.org/" + "/".join(rng.choices(words[:rng.choice([3, 50, len(words)])], k=rng.randrange(4)))
+                    if seed else f"http://h.org/{rng.choice(words)}/{rng.choice(words[:2])}")
+    rate = {w: rng.random() for w in words}
+    good = {i: int(rng.random() < rate.get(u.split("/")[3], 0.5)) for i, u in enumerate(urls) if rng.random() < 0.7}
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in U.filter_urls(*frames(spark, urls, good)).collect()}
+    assert [got[i] for i in range(len(urls))] == brute(list(enumerate(urls)), good)
