@@ -5,8 +5,9 @@ other run is one blank), hashed to ``2 ** BITS``; their values are relative
 frequencies times inverse document frequency.  Document frequencies come
 from *all* rows that may be learned from.  The weights are fitted with
 follow-the-regularised-leader and an elastic-net penalty on a bounded
-sample: about ``PER_LANGUAGE`` rows a language chosen by hash, ``MAX_SAMPLE``
-at most in all; most weights stay zero.  A fifth of the sample is kept back
+sample: about ``PER_LANGUAGE`` rows a language chosen by hash, about ``MAX_SAMPLE``
+in all, from the ``MAX_LANGUAGES`` most frequent languages (ties by name), so a
+column of many stray labels can't outgrow the driver; most weights stay zero.  A fifth of the sample is kept back
 to fit a temperature, so scores are calibrated probabilities.
 
 Null texts and texts without letters: ``und``, score 0.  Rows without a
@@ -30,6 +31,7 @@ from claimsmith.llm import common as C
 
 BITS = 16
 PER_LANGUAGE, MAX_SAMPLE = 400, 8_000
+MAX_LANGUAGES = 128  # a weight matrix has 2 ** BITS rows for each
 EPOCHS, ALPHA, BETA, L1, L2 = 5, 0.5, 1.0, 0.002, 0.002
 SCALE = 20.0  # relative frequencies are small; the learner sees them enlarged
 UNKNOWN = "und"
@@ -172,12 +174,13 @@ def learnable(id_col: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bits: int = BITS,
-          per_language: int = PER_LANGUAGE, max_sample: int = MAX_SAMPLE) -> Model:
+          per_language: int = PER_LANGUAGE, max_sample: int = MAX_SAMPLE, max_languages: int = MAX_LANGUAGES) -> Model:
     rows = docs.where(learnable(id_col)).select(
         F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text"),
         F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`")).alias("h")).where("lang is not null and text is not null")
-    size = {r["lang"]: r["count"] for r in docs.where(learnable(id_col)).groupBy(F.col(f"`{lang_col}`").cast("string").alias("lang")).count()
-            .where("lang is not null").collect()}  # one row a language
+    # The bounded frame of languages that are learned; the whole column never reaches the driver.
+    size = (docs.where(learnable(id_col)).groupBy(F.col(f"`{lang_col}`").cast("string").alias("lang")).agg(F.count("*").alias("n"))
+            .where("lang is not null").orderBy(F.desc("n"), "lang").limit(max_languages).collect())
     if not size:
         return Model([], np.zeros((1 << bits, 0)), np.zeros(0), 1.0)
     df = np.zeros(1 << bits)
@@ -190,10 +193,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             df[r["feature"]] = r["n"]
     idf = np.log((1 + total) / (1 + df)) + 1.0
     want = min(per_language, max(1, max_sample // len(size)))
-    share = F.lit(0)
-    for lang, n in size.items():
-        share = F.when(F.col("lang") == lang, F.lit(int(min(1.0, want / n) * (1 << 30)))).otherwise(share)
-    chosen = rows.where(F.pmod("h", F.lit(1 << 30)) < share).dropDuplicates(["h"])
+    share = docs.sparkSession.createDataFrame([(r["lang"], int(min(1.0, want / r["n"]) * (1 << 30))) for r in size], "lang string, share long")
+    chosen = (rows.join(F.broadcast(share), "lang")  # max_languages rows at most
+              .where(F.pmod("h", F.lit(1 << 30)) < F.col("share")).dropDuplicates(["h"]))
     sample = (chosen.select("lang", "text").mapInArrow(lambda it: _counted(it, bits), "lang string, f array<int>, c array<int>")
               .toPandas())
     languages = sorted(set(sample["lang"]))

@@ -71,3 +71,16 @@ def test_weights_are_sparse_and_temperature_calibrates(spark, make_docs):
     docs = make_docs([(i, text(rng, k), k) for i, k in enumerate(sorted(TONGUES) * 100)])
     model = L.train(docs)
     assert (model.weight != 0).mean() < 0.05 and 0.05 <= model.temperature <= 20
+
+
+def test_many_labels_keep_the_fit_bounded(spark, make_docs):
+    """A dirty column of 3,000 labels: the most frequent ones are learned, the sample stays within its bound."""
+    rng = random.Random(3)
+    words = {"en": "the and with from house river", "de": "der und mit von haus fluss"}
+    rows = [(i, " ".join(rng.choices(words[l].split(), k=20)), l) for i, l in enumerate(["en", "de"] * 150)]
+    rows += [(1000 + i, f"noise {i}", f"x{i}") for i in range(3000)]
+    docs = make_docs(rows)
+    model = L.train(docs, max_sample=200, max_languages=2)
+    assert model.languages == ["de", "en"]
+    got = {r.doc_id: r.lang_pred for r in L.identify(docs.where("doc_id < 300"), model).collect()}
+    assert got == {i: l for i, _, l in rows[:300]}
