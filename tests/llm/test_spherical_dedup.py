@@ -111,3 +111,34 @@ def test_links_of_low_rank_vectors_equal_brute_force(spark):
     rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
     got = S.near_duplicates(spread(spark, rows)).collect()
     assert sorted([(r.vec_id, r.n_links, r.component_id, r.kept) for r in got], key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("super_", [16, 40])
+def test_many_groups_and_cut_groups_equal_brute_force(spark, monkeypatch, super_):
+    """Labels of several groups, and groups with more rows than a task takes."""
+    monkeypatch.setattr(S, "BLOCK", 8)
+    monkeypatch.setattr(S, "SUPER", super_ // 4)
+    rows = [(i, None if x is None else [None if e is None else float(np.float32(e)) for e in x], c) for i, x, c in fixture(seed=4)]
+    got = S.near_duplicates(spread(spark, rows)).collect()
+    assert sorted([(r.vec_id, r.n_links, r.component_id, r.kept) for r in got], key=str) == brute(rows)
+
+
+def test_double_components_equal_brute_force(spark):
+    rows = [(i, x, c) for i, x, c in fixture(seed=6, n=40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = S.near_duplicates(df).collect()
+    assert sorted([(r.vec_id, r.n_links, r.component_id, r.kept) for r in got], key=str) == brute(rows)
+
+
+def test_vectors_without_structure_are_copied_once_a_group_not_once_a_cell(spark, monkeypatch):
+    monkeypatch.setattr(S, "BLOCK", 64)
+    monkeypatch.setattr(S, "SUPER", 1000)
+    rng = np.random.default_rng(8)
+    rows = [(i, 1, 0, v.tolist(), i) for i, v in enumerate(rng.normal(size=(4000, 64)).astype(np.float32))]
+    reps = spark.createDataFrame(rows, "node long, copies long, label int, x array<float>, same long").repartition(4)
+    cells = spark.sparkContext.broadcast(S.fit_cells(reps, 4000))
+    assert len(cells.value[64]) == 32
+    margin = np.sqrt(1 - S.THRESHOLD ** 2)
+    placed = S.placed_in_groups(reps, 4000, cells, margin).select("id", "cell", "kind").collect()
+    assert len({(r.id, r.cell) for r in placed}) == len(placed) <= 4 * 4000
+    assert sum(r.kind == S.BOTH for r in placed) == 4000  # each has one home
