@@ -37,3 +37,28 @@ def test_prefix_flag_null_is_false(spark):
     df = spark.createDataFrame([("5931",), (None,), ("790",)], "DRG string")
     out = codes.flag_code_prefix(df, "DRG", ("593",), "MS")
     assert [r["MS"] for r in out.collect()] == [True, False, False]
+
+
+def test_reference_table_is_broadcast_before_lines_are_dealt_by_code(spark):
+    """Most lines have no code: none of them may be shuffled by it (it put them all in one task)."""
+    df = spark.range(1000).selectExpr("id as LINE", "case when id % 50 = 0 then '5801' when id % 50 = 1 then '470' end as DRG")
+    ref = spark.createDataFrame([("580",), ("580",), (None,)], "CODE string")  # of a size that Spark doesn't know
+    out = codes.flag_code_prefix(df, "DRG", ref, "HIT")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(_probe" not in plan
+    assert out.columns == ["LINE", "DRG", "HIT"] and out.count() == 1000
+    assert out.where("HIT").count() == 20 and out.where("HIT and DRG <> '5801'").count() == 0
+
+
+def test_lines_without_a_code_are_dealt_over_tasks_where_the_table_is_too_big_to_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(4000).selectExpr("id as LINE", "case when id % 50 = 0 then '5801' end as DRG")
+        out = codes.flag_code_prefix(df, "DRG", spark.createDataFrame([("580",)], "CODE string"), "HIT")
+        parts = out.where("DRG is null").groupBy(F.spark_partition_id()).count().collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "_deal" in plan and sum(r["count"] for r in parts) == 3920
+        assert out.where("HIT").count() == 80
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
