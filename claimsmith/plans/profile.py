@@ -1,8 +1,8 @@
 """Data-QA: single-pass column profiling, alerts, summaries, code frequency.
 
 The profile unpivots the table once into (column, value-as-text) pairs.
-Row and null counts are one partial aggregate; distinct counts come from
-one exact distinct over (column, value) pairs, whatever the table's size;
+Row, null and distinct counts come from one exact count over (column, value)
+pairs, whatever the table's size;
 sample values are the 5 smallest of its values per column via the salted
 top-k (a column with millions of distinct values is never sorted in one task).  Percentages use integer
 arithmetic (half-up to hundredths) so they are exact.
@@ -95,6 +95,12 @@ def distinct_values(df: DataFrame, cols) -> DataFrame:
     return df.select(F.inline(pairs)).distinct()
 
 
+def value_counts(df: DataFrame, cols) -> DataFrame:
+    """(column_name, value as text, n) of every distinct value, null included; equal values combine before the shuffle."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols])
+    return df.select(F.inline(pairs)).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def sample_values(values: DataFrame, sample_size: int, salt_buckets: int, out: str = "SAMPLE_RANK") -> DataFrame:
     """The ``sample_size`` smallest non-null values of each column, ranked."""
     return top_k_salted(values.filter(F.col("value").isNotNull()), "column_name", "value", "value", sample_size,
@@ -107,26 +113,27 @@ def profile_columns(df: DataFrame, expected: dict, table_name: str, salt_buckets
     distinct count (null counts as a value; null for a column without any
     value) and the 5 smallest distinct non-null values.
 
-    Pass 1 is one aggregate (row and null counts of every column).  Pass 2 is
-    one distinct over (column, value), combined before its shuffle and stored
-    by ``cut``; distinct counts and sample values both come from it.
+    The table is read once: one count over (column, value), combined before its
+    shuffle and stored by ``cut``; row, null and distinct counts and sample
+    values all come from it.
     """
     from claimsmith.sources.sinks import materialize
     spark = df.sparkSession
     cols = [c for c in expected if c in df.columns]
     if not cols:
         return spark.createDataFrame([], "table_name string, column_name string")
-    counts = df.agg(F.count(F.lit(1)).alias("_total"),
-                    *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}") for i, c in enumerate(cols)]).first()
-    total = counts["_total"]
-    nulls = {c: counts[f"_n{i}"] for i, c in enumerate(cols)}
+    values = (cut or materialize)(value_counts(df, cols))
+    per = values.groupBy("column_name").agg(F.sum("n").alias("_total"), F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("_nulls"),
+                                            F.count(F.lit(1)).alias("_n_distinct"))
+    counts = {r["column_name"]: r for r in per.collect()}  # one row a column
+    total = max((r["_total"] for r in counts.values()), default=0)
+    nulls = {c: (counts[c]["_nulls"] or 0) if c in counts else 0 for c in cols}
     meta = spark.createDataFrame(
         [(c, str(df.schema[c].dataType), expected[c][0], expected[c][1], expected[c][2], total, nulls[c])
          for c in cols],
         "column_name string, data_type string, critical boolean, key_field boolean, description string, "
         "total_rows long, null_count long")
-    values = (cut or materialize)(distinct_values(df, cols))
-    n_distinct = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("_n_distinct"))
+    n_distinct = spark.createDataFrame([(c, r["_n_distinct"]) for c, r in counts.items()], "column_name string, _n_distinct long")
     samples = (sample_values(values, sample_size, salt_buckets)
                .groupBy("column_name")
                .agg(F.array_join(F.array_sort(F.collect_list("value")), ", ").alias("sample_values")))

@@ -52,3 +52,20 @@ def test_rank_buckets_partition_rankable_amounts(spark):
 def test_event_dropped_when_rank_one_not_eligible(spark):
     rows = [("e", "l1", "Facility", "Y", "N", Decimal(10)), ("e", "l2", "Facility", "Y", "Y", Decimal(5))]
     assert S.primary_lines(_lines(spark, rows), "ALLW_AMT", CFG).count() == 0
+
+
+def test_profile_reads_the_table_once(spark):
+    """Row and null counts come from the stored values, not from a scan of their own."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.createDataFrame([("a", 1), ("a", None), (None, None), ("b", 3)], "x string, y int").mapInArrow(rows, "x string, y int")
+    expected = {"x": (True, True, "x"), "y": (False, False, "y"), "z": (False, False, "z")}
+    got = {r.column_name: r for r in P.profile_columns(df, expected, "T").collect()}
+    assert seen.value == 4
+    assert [(got[k].total_rows, got[k].null_count, got[k].distinct_count, got[k].sample_values) for k in "xy"] == [(4, 1, 3, "a, b"), (4, 2, 3, "1, 3")]
+    empty = {r.column_name: r for r in P.profile_columns(df.limit(0), expected, "T").collect()}
+    assert [(r.total_rows, r.null_count, r.distinct_count) for r in empty.values()] == [(0, 0, None)] * 2
