@@ -75,3 +75,41 @@ def test_hot_member_stays_equal_brute_force(spark):
            for r in EP.hospital_rollup(df, runout, CFG).collect()}
     exp = _brute_force_stays(rows)
     assert got == exp
+
+
+def test_among_is_a_condition_that_spark_pushes_to_the_scan(spark, tmp_path):
+    from claimsmith.operators.joins import among
+    spark.range(5000).selectExpr("cast(id as string) as k", "id % 7 as v").write.parquet(str(tmp_path / "l"))
+    spark.range(5000).selectExpr("cast(id as string) as k2", "id as w").write.parquet(str(tmp_path / "r"))
+    joined = spark.read.parquet(str(tmp_path / "l")).join(spark.read.parquet(str(tmp_path / "r")), F.col("k") == F.col("k2"))
+    keys = spark.createDataFrame([(str(i),) for i in range(0, 5000, 50)] + [(None,)], "k string")
+    out = joined.where(among(keys, "k"))
+    kept = {r.k for r in out.collect()}
+    assert kept >= {str(i) for i in range(0, 5000, 50)} and len(kept) < 110
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("getbit")
+    assert spark.createDataFrame([(None,)], "k string").where(among(keys, "k")).count() == 0
+    assert joined.where(among(keys.limit(0), "k")).count() == 0
+
+
+def test_claims_are_scanned_once_for_the_cohort_and_once_for_its_lines(spark):
+    """The claim-level flags start from the stored cohort claims, so the claims aren't built again for them."""
+    from claimsmith import queries as Q
+    from claimsmith.sources.sinks import materialize
+    ctx, stored = Q.Ctx(spark, SF0001), []
+
+    def cut(df):
+        stored.append(df._jdf.queryExecution().optimizedPlan().toString().count("l_orderkey#") > 0)
+        return materialize(df)
+    out = EP.tagged_claims(ctx.claims, ctx.ps, Q.W, Q.CFG, cut=cut)
+    assert "l_orderkey" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert stored == [True, True]  # cohort, lines
+    plain = EP.tagged_claims(ctx.claims, ctx.ps, Q.W, Q.CFG)
+    assert out.columns == plain.columns and out.exceptAll(plain).isEmpty() and plain.exceptAll(out).isEmpty() and not out.isEmpty()
+
+
+def test_wide_claims_projection_is_small_enough_to_be_compiled(spark):
+    """No constant list is a chain of conditions (each one was hundreds of bytes of generated code)."""
+    from claimsmith.sources import fixtures as FX
+    plan = FX.fx_claims(spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" WHEN ") < 25
