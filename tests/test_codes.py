@@ -62,3 +62,15 @@ def test_lines_without_a_code_are_dealt_over_tasks_where_the_table_is_too_big_to
         assert out.where("HIT").count() == 80
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_flags_of_lines_that_are_together_equal_the_join(spark):
+    rows = [("1", "a", 1, "Z3800", None), ("1", "a", 2, None, None), ("1", "a", 2, None, None), ("1", "b", 3, "X", None), ("1", None, 4, "Z3800", None),
+            ("1", None, 5, None, None), (None, "a", 6, None, "Z3800"), (None, "a", 7, None, None), ("2", "a", 8, None, "Y")]
+    df = spark.createDataFrame(rows, "INDV_ID string, CLM_AUD_NBR string, n int, DIAG_1_CD string, DIAG_2_CD string")
+    flags = {"SINGLE": ("Z3800",), "OTHER": ("X", "Y")}
+    joined, spread = (codes.flag_any_of_columns(df, flags, together=t) for t in (False, True))
+    assert spread.columns == joined.columns
+    assert sorted(map(str, spread.collect())) == sorted(map(str, joined.collect()))
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan(joined) and "Join" not in plan(spread)

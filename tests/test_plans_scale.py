@@ -113,3 +113,32 @@ def test_wide_claims_projection_is_small_enough_to_be_compiled(spark):
     from claimsmith.sources import fixtures as FX
     plan = FX.fx_claims(spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(" WHEN ") < 25
+
+
+def test_tagged_claims_are_stored_once_and_eligibility_is_read_for_the_cohort(spark):
+    """The last stored table has the flags already, and the key filter of the cohort is on both scans of the orders."""
+    from claimsmith import queries as Q
+    from claimsmith.sources.sinks import materialize
+    ctx, stored = Q.Ctx(spark, SF0001), []
+
+    def cut(df):
+        stored.append((df.columns, df._jdf.queryExecution().optimizedPlan().toString()))
+        return materialize(df)
+    out = EP.tagged_claims(ctx.claims, ctx.ps, Q.W, Q.CFG, cut=cut)
+    columns, plan = stored[-1]
+    assert columns == out.columns and "NEWBORN_ICD" in columns
+    filters = [x for x in plan.splitlines() if "Filter" in x and "getbit" in x]
+    assert any("o_orderdate" in y for y in plan.splitlines()) and len(filters) >= 2
+
+
+def test_claim_rows_are_compiled_unless_the_session_has_a_limit(spark):
+    from claimsmith import queries as Q
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    was = spark.conf.get(limit)
+    try:
+        for given, kept in (("65535", "8000"), ("4000", "4000")):
+            spark.conf.set(limit, given)
+            Q.Ctx(spark, SF0001)
+            assert spark.conf.get(limit) == kept
+    finally:
+        spark.conf.set(limit, was)
