@@ -142,3 +142,21 @@ def test_claim_rows_are_compiled_unless_the_session_has_a_limit(spark):
             assert spark.conf.get(limit) == kept
     finally:
         spark.conf.set(limit, was)
+
+
+def test_a_month_of_claims_is_more_files_where_there_are_more_tasks(spark, monkeypatch):
+    from claimsmith import queries as Q
+    seen = []
+    monkeypatch.setattr(Q.LO, "write_by_month", lambda claims, path, files: seen.append(files))
+    monkeypatch.setattr(Q.LO, "month_bounds", lambda *a: (_ for _ in ()).throw(KeyError))
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (8, 600):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            try:
+                Q.q_newborn_by_tables(Q.Ctx(spark, SF0001))
+            except KeyError:
+                pass
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert seen == [1, 50]
