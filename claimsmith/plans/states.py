@@ -60,15 +60,16 @@ class DistinctState:
     def dictionary(self) -> DataFrame:
         return self._parts("dictionary", _DICTIONARY)
 
-    def add(self, load: str, values: DataFrame, stats: DataFrame) -> bool:
+    def add(self, load: str, values: DataFrame, stats: DataFrame, stored: bool = False) -> bool:
         """Add a load's (grp, value, number) rows and its own statistics; False if it was added before.
 
-        Null values are not counted."""
+        Null values are not counted.  ``stored``: the rows are distinct and stored already."""
         known = self.loads()
         if load in known:
             return False
         epoch, held = len(known), []
-        pairs = sinks.materialize(values.where("value is not null or number is not null").distinct(), stored=held)
+        pairs = values.where("value is not null or number is not null")
+        pairs = pairs if stored else sinks.materialize(pairs.distinct(), stored=held)
         path = sinks.new_version_path(os.path.join(self.base, self.name))
         words = pairs.where("number is null").select("value").distinct()
         old = self.dictionary()
@@ -123,18 +124,26 @@ _COLUMN_STATS = "column_name string, data_type string, total_rows long, null_cou
 
 
 def add_profile_load(state: DistinctState, load: str, df: DataFrame, expected: dict, sample_size: int = 5, salt_buckets: int = 16) -> bool:
-    """Add a load of a table to its column profile."""
-    cols = [c for c in expected if c in df.columns]
+    """Add a load of a table to its column profile; False if it was added before.
+
+    The load is read once: one count over (column, value), stored, gives the
+    distinct values, the row and null counts and the samples."""
+    if load in state.loads():
+        return False
+    cols, held = [c for c in expected if c in df.columns], []
     cell = lambda c: F.struct(F.lit(c).alias("grp"), F.col(f"`{c}`").cast("string").alias("value"),
                               number_of(df.schema[c].dataType, F.col(f"`{c}`")).alias("number"))
-    values = df.select(F.inline(F.array(*[cell(c) for c in cols])))
-    counts = df.agg(F.count(F.lit(1)).alias("_total"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}") for i, c in enumerate(cols)])
-    rows = counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(str(df.schema[c].dataType)).alias("data_type"),
-                                                     F.col("_total").alias("total_rows"), F.col(f"_n{i}").alias("null_count"))
-                                            for i, c in enumerate(cols)])))
-    least = (PR.sample_values(values.select(F.col("grp").alias("column_name"), "value").distinct(), sample_size, salt_buckets)
+    counted = df.select(F.inline(F.array(*[cell(c) for c in cols]))).groupBy("grp", "value", "number").agg(F.count(F.lit(1)).alias("n"))
+    counted = sinks.materialize(counted, stored=held)
+    kinds = state.spark.createDataFrame([(c, str(df.schema[c].dataType)) for c in cols], "column_name string, data_type string")
+    sums = counted.groupBy(F.col("grp").alias("column_name")).agg(
+        F.sum("n").alias("total_rows"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(F.lit(0))).alias("null_count"))
+    rows = kinds.join(sums, "column_name", "left").fillna(0, ["total_rows", "null_count"])
+    least = (PR.sample_values(counted.select(F.col("grp").alias("column_name"), "value"), sample_size, salt_buckets)
              .groupBy("column_name").agg(F.collect_list("value").alias("samples")))
-    return state.add(load, values, rows.join(least, "column_name", "left"))
+    added = state.add(load, counted.drop("n"), rows.join(least, "column_name", "left"), stored=True)
+    sinks.drop_stored(state.spark, held)
+    return added
 
 
 def profile_columns(state: DistinctState, expected: dict, table_name: str, sample_size: int = 5) -> DataFrame:

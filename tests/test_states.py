@@ -69,3 +69,27 @@ def test_failed_load_adds_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="no stats"):
         state.add("a", values, spark.range(1).select(F.raise_error(F.lit("no stats")).alias("x")))
     assert state.loads() == {} and P.current(spark, str(tmp_path)) == {} and state.counts().isEmpty()
+
+
+def test_a_load_is_read_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def row(i):
+        seen.add(1)
+        return (i, "v" + str(i % 7) if i % 10 else None)
+    df = spark.createDataFrame(spark.sparkContext.parallelize(range(200), 4).map(row), "n long, s string")
+    expected = {"n": (True, True, "key"), "s": (False, False, "text"), "absent": (False, False, "")}
+    state = ST.DistinctState(spark, str(tmp_path), "t")
+    assert ST.add_profile_load(state, "a", df, expected) and seen.value == 200
+    assert not ST.add_profile_load(state, "a", df, expected) and seen.value == 200
+    assert ST.add_profile_load(state, "empty", df.where("n < 0"), expected)
+    got = {r.column_name: (r.total_rows, r.null_count, r.distinct_count, r.sample_values) for r in ST.profile_columns(state, expected, "t").collect()}
+    assert got == {"n": (200, 0, 200, "0, 1, 10, 100, 101"), "s": (200, 20, 8, "v0, v1, v2, v3, v4")}
+
+
+def test_loads_of_the_queries_are_stored_rows_of_one_build(spark):
+    from claimsmith import queries as Q
+    plans = []
+    Q._by_load(Q.Ctx(spark, SF0001), "t", PR.CLAIMS_EXPECTED, lambda state, name, df: plans.append((name, df._jdf.queryExecution().optimizedPlan().toString(), df.columns)))
+    assert [p[0] for p in plans] == ["load-0", "load-1", "load-2"]
+    assert not any("l_orderkey" in p[1] for p in plans) and set(plans[0][2]) <= set(PR.CLAIMS_EXPECTED)
